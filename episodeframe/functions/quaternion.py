@@ -104,6 +104,30 @@ def slerp(q0: Column, q1: Column, t: Column) -> Column:
     return F.when(n > 0, _scale(raw, 1.0 / n)).otherwise(q0)
 
 
+def slerp_columns(df, q0: Column, q1: Column, t: Column, out: str):
+    """F4 as staged projections (same maths as ``slerp``): the dot product,
+    angle and weights become columns first, so the final expression refers
+    to attributes instead of repeating sub-expressions."""
+    d0 = quat_dot(q0, q1)
+    df = df.withColumn(f"{out}_d0", d0)
+    d = F.abs(F.col(f"{out}_d0"))
+    df = (df.withColumn(f"{out}_th", F.acos(F.least(F.greatest(d, F.lit(-1.0)), F.lit(1.0))))
+          .withColumn(f"{out}_lin", d > 0.9995))
+    th, lin = F.col(f"{out}_th"), F.col(f"{out}_lin")
+    sgn = F.when(F.col(f"{out}_d0") < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+    df = (df.withColumn(f"{out}_w0", F.when(lin, 1.0 - t).otherwise(F.sin((1.0 - t) * th) / F.sin(th)))
+          .withColumn(f"{out}_w1", F.when(lin, t).otherwise(F.sin(t * th) / F.sin(th)) * sgn))
+    w0, w1 = F.col(f"{out}_w0"), F.col(f"{out}_w1")
+    df = df.withColumn(f"{out}_raw", quat_struct(q0["x"] * w0 + q1["x"] * w1, q0["y"] * w0 + q1["y"] * w1,
+                                                 q0["z"] * w0 + q1["z"] * w1, q0["w"] * w0 + q1["w"] * w1))
+    raw = F.col(f"{out}_raw")
+    df = df.withColumn(f"{out}_n", quat_norm(raw))
+    n = F.col(f"{out}_n")
+    df = df.withColumn(out, F.when(n > 0, _scale(raw, 1.0 / n)).otherwise(q0))
+    return df.drop(f"{out}_d0", f"{out}_th", f"{out}_lin", f"{out}_w0", f"{out}_w1",
+                   f"{out}_raw", f"{out}_n")
+
+
 def wrap_angle(a) -> Column:
     """wrap to [-pi, pi) as ``(a + pi) mod 2pi - pi``."""
     return F.pmod(_c(a) + F.lit(PI), F.lit(2 * PI)) - F.lit(PI)

@@ -108,46 +108,52 @@ def frame_grid(params: DataFrame, rec: str = REC) -> DataFrame:
 
 
 # ---------------------------------------------------------------- frame assignment
+#
+# Every message gets a half-step key: ``2k`` when t_{k-1} < ts < t_k and
+# ``2k + 1`` when ts == t_k exactly (before the first frame: 0; after the
+# last frame: 2n).  A frame k sits at key 2k + 1, ahead of its exact hits, so
+# for frame k:  keys <= 2k  hold ts < t_k,  key 2k + 1 holds ts == t_k.
 
 def assign_frames_grid(messages: DataFrame, params: DataFrame, rec: str = REC,
                        ts: str = TS) -> DataFrame:
-    """Tag messages with ``_k`` (first frame with t >= ts, clamped to
-    ``[0, n]``) and ``_tk`` (that frame's time; null for the sentinel)."""
+    """Half-step keys on the regular grid of ``params``: arithmetic only."""
     x = F.col(ts) - F.col("start_ns")
-    k = F.when(x <= 0, F.lit(0).cast("long")).otherwise(
-        F.floor((x + F.col("step_ns") - 1) / F.col("step_ns")).cast("long"))
-    k = F.least(k, F.col("n_frames"))
-    tk = F.when(k < F.col("n_frames"), F.col("start_ns") + k * F.col("step_ns"))
+    step, n = F.col("step_ns"), F.col("n_frames")
+    k = F.floor((x + step - 1) / step).cast("long")
+    exact = (F.pmod(x, step) == 0).cast("long")
+    key = (F.when(x < 0, F.lit(0).cast("long"))
+           .when(k >= n, 2 * n)
+           .otherwise(2 * k + exact))
     return (messages.join(params.select(rec, "start_ns", "step_ns", "n_frames"), rec)
-            .withColumn("_k", k).withColumn("_tk", tk)
+            .withColumn("_key", key)
             .drop("start_ns", "step_ns", "n_frames"))
 
 
 def assign_frames_timeline(messages: DataFrame, frames: DataFrame, rec: str = REC,
                            ts: str = TS, seq: str = SEQ,
                            time_block_ns: int = 60_000_000_000) -> DataFrame:
-    """Same tags against an arbitrary sorted timeline ``frames(rec,
+    """Half-step keys against an arbitrary timeline ``frames(rec,
     frame_index, t_ns)`` (dense frame_index, increasing t_ns).
 
-    ``_k`` = number of frames with t < ts, by a blocked running count over
-    the union of frames and messages ordered by time (messages before frames
-    at equal time); ``_tk`` = first frame time >= ts by a blocked backward
-    fill.  Blocks are time buckets, so a long recording spreads over tasks.
+    ``k`` = number of frames with t < ts, by a blocked running count over
+    the union of frames and messages ordered by time (messages first at
+    equal time); exact hits by a blocked backward fill of the next frame
+    time.  Blocks are time buckets, so a long recording spreads over tasks.
     """
     m = messages.withColumn("_is_frame", F.lit(0))
     f = (frames.select(rec, F.col("t_ns").alias(ts), F.col("frame_index"))
          .withColumn("_is_frame", F.lit(1)))
     u = (m.unionByName(f, allowMissingColumns=True)
-         .withColumn("_ord", F.struct(F.col(ts), F.col("_is_frame"),
-                                      F.coalesce(F.col(seq), F.col("frame_index"))))
+         .withColumn("_tie", F.coalesce(F.col(seq), F.col("frame_index")))
          .withColumn("_tb", F.floor(F.col(ts) / F.lit(time_block_ns)).cast("long"))
          .withColumn("_one", F.col("_is_frame").cast("long"))
          .withColumn("_ft", F.when(F.col("_is_frame") == 1, F.col(ts))))
-    s = ordered_scan(u, [rec], "_tb", "_ord", [
+    sc = ordered_scan(u, [rec], "_tb", [ts, "_is_frame", "_tie"], [
         Scan("_k", "_one", "sum", inclusive=True),
         Scan("_tk", "_ft", "bfill", inclusive=True)])
-    return s.where(F.col("_is_frame") == 0).drop("_is_frame", "frame_index", "_ord", "_tb",
-                                                  "_one", "_ft")
+    key = 2 * F.col("_k") + F.coalesce((F.col(ts) == F.col("_tk")).cast("long"), F.lit(0))
+    return (sc.where(F.col("_is_frame") == 0).withColumn("_key", key)
+            .drop("_is_frame", "frame_index", "_tie", "_tb", "_one", "_ft", "_k", "_tk"))
 
 
 # ---------------------------------------------------------------- J1-J5
@@ -201,65 +207,93 @@ def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
     else:
         tagged = assign_frames_timeline(msgs, frames, rec)
 
+    # Raw rows -> one row per (recording, key): last and first sample of each
+    # stream.  Map-side combine keeps a hot recording's shuffle small.
     row = _row_struct(spec.payload)
     order = F.struct(F.col(TS), F.col(SEQ))
-    before = F.col(TS) < F.col("_tk")
-    at_or_after = F.col(TS) >= F.col("_tk")
-
-    grid_rows = frames.select(rec, F.col("frame_index").alias("_k"),
-                              F.col("t_ns").alias("_tk"), F.lit(True).alias("_grid"))
-    # One schema for the union: messages carry their stream, grid rows none.
-    tagged = tagged.withColumn("_grid", F.lit(False))
-    u = tagged.unionByName(grid_rows, allowMissingColumns=True)
-
-    aggs = [F.max("_grid").alias("_grid"), F.max("_tk").alias("_t")]
-    need_all = any(m != ASOF for m in spec.methods.values())
+    interp = [s for s in names if spec.methods[s] != ASOF]
+    aggs = []
     for s in names:
         is_s = F.col(stream) == F.lit(s)
         aggs.append(F.max_by(row, F.when(is_s, order)).alias(f"_le_{s}"))
-        if need_all and spec.methods[s] != ASOF:
-            aggs.append(F.max_by(row, F.when(is_s & before, order)).alias(f"_lt_{s}"))
-            aggs.append(F.min_by(row, F.when(is_s & at_or_after, order)).alias(f"_ge_{s}"))
+        if s in interp:
             aggs.append(F.min_by(row, F.when(is_s, order)).alias(f"_first_{s}"))
-    buckets = u.groupBy(rec, "_k").agg(*aggs)
+    buckets = tagged.groupBy(rec, "_key").agg(*aggs).withColumn("_kind", F.lit(1))
+
+    # Frames join the scan directly at key 2k + 1, ahead of their exact hits.
+    grid_rows = frames.select(rec, (2 * F.col("frame_index") + 1).alias("_key"),
+                              F.col("frame_index").alias("_k"), F.col("t_ns").alias("_t"),
+                              F.lit(0).alias("_kind"))
+    u = buckets.unionByName(grid_rows, allowMissingColumns=True)
 
     scans = []
     for s in names:
-        scans.append(Scan(f"_asof_{s}", f"_le_{s}", "ffill", inclusive=True))
-        if spec.methods[s] != ASOF:
-            scans.append(Scan(f"_prevle_{s}", f"_le_{s}", "ffill", inclusive=False))
-            scans.append(Scan(f"_after_{s}", f"_first_{s}", "bfill", inclusive=False))
-    filled = carry_scan(buckets, [rec], "_k", scans, block=block).where("_grid")
-
+        scans.append(Scan(f"_prev_{s}", f"_le_{s}", "ffill", inclusive=False))
+        scans.append(Scan(f"_nextkey_{s}", "_key", "lead"))
+        scans.append(Scan(f"_exact_{s}", f"_le_{s}", "lead"))
+        if s in interp:
+            scans.append(Scan(f"_next_{s}", f"_first_{s}", "bfill", inclusive=False))
+    # Blocks of 2 * block keys keep a frame and its exact hits together.
+    filled = (ordered_scan(u, [rec], F.floor(F.col("_key") / F.lit(2 * block)).cast("long"),
+                           ["_key", "_kind"], _dedupe_lead(scans))
+              .where(F.col("_kind") == 0))
+
+    if any(spec.methods[s] == LINEAR for s in names):
+        last = (msgs.groupBy(rec).agg(*[F.max(F.when(F.col(stream) == s, F.col(TS))).alias(f"_last_{s}")
+                                        for s in names if spec.methods[s] == LINEAR]))
+        filled = filled.join(last, rec, "left")
+
+    # Stage 1: bracket rows as plain columns (so later expressions reference
+    # attributes instead of repeating the coalesces).
     t = F.col("_t")
+    stage = [F.col(rec), F.col("_k"), t]
+    for s in names:
+        exact = F.when(F.col("_nextkey") == F.col("_key"), F.col(f"_exact_{s}"))
+        stage.append(F.coalesce(exact, F.col(f"_prev_{s}")).alias(f"_a_{s}"))
+        if s in interp:
+            stage.append(F.col(f"_prev_{s}").alias(f"_p_{s}"))
+            stage.append(F.col(f"_next_{s}").alias(f"_n_{s}"))
+            if spec.methods[s] == LINEAR:
+                # J3 clamps to the last sample once t >= the stream's last stamp.
+                stage.append((t >= F.col(f"_last_{s}")).alias(f"_x_{s}"))
+    br = filled.select(*stage)
+
+    # Stage 2: ratios and SLERP terms for the interpolating methods.
+    for s in names:
+        m = spec.methods[s]
+        if m in (LINEAR, POSE):
+            prev, nxt = F.col(f"_p_{s}"), F.col(f"_n_{s}")
+            ratio = ((t - prev["ts"]) / (nxt["ts"] - prev["ts"])).cast("double")
+            if m == POSE:
+                ratio = F.least(F.greatest(ratio, F.lit(0.0)), F.lit(1.0))
+            br = br.withColumn(f"_r_{s}", ratio)
+            if m == POSE and "orientation" in spec.payload:
+                br = Q.slerp_columns(br, prev["orientation"], nxt["orientation"],
+                                     F.col(f"_r_{s}"), f"_q_{s}")
+
     outs = [F.col(rec), F.col("_k").alias("frame_index"), t.alias("t_ns")]
     single = len(spec.payload) == 1
     for s in names:
         m = spec.methods[s]
-        asof = F.col(f"_asof_{s}")
+        asof = F.col(f"_a_{s}")
         if m == ASOF:
             val, src = asof, asof["ts"]
         else:
-            prev = F.coalesce(F.col(f"_lt_{s}"), F.col(f"_prevle_{s}"))
-            nxt = F.coalesce(F.col(f"_ge_{s}"), F.col(f"_after_{s}"))
-            after = F.col(f"_after_{s}")
+            prev, nxt = F.col(f"_p_{s}"), F.col(f"_n_{s}")
+            after = F.col(f"_x_{s}") if m == LINEAR else None
             if m == NEAREST:
                 pick_next = prev.isNull() | (nxt.isNotNull() & (
                     (nxt["ts"] - t) < (t - prev["ts"])))
                 val = F.when(pick_next, nxt).otherwise(prev)
                 src = val["ts"]
             elif m == LINEAR:
-                ratio = ((t - prev["ts"]) / (nxt["ts"] - prev["ts"])).cast("double")
-                interp = _lerp_struct(prev, nxt, ratio, spec.payload, messages.schema)
+                interp = _lerp_struct(prev, nxt, F.col(f"_r_{s}"), spec.payload, messages.schema)
                 val = (F.when(prev.isNull(), nxt)
-                       .when(after.isNull(), asof)
+                       .when(after, asof)
                        .otherwise(interp))
-                src = F.when(prev.isNull(), nxt["ts"]).when(after.isNull(), asof["ts"])
+                src = F.when(prev.isNull(), nxt["ts"]).when(after, asof["ts"])
             elif m == POSE:
-                ratio = F.least(F.greatest(
-                    ((t - prev["ts"]) / (nxt["ts"] - prev["ts"])).cast("double"),
-                    F.lit(0.0)), F.lit(1.0))
-                interp = _pose_struct(prev, nxt, ratio, spec.payload)
+                interp = _pose_struct(prev, nxt, F.col(f"_r_{s}"), spec.payload, f"_q_{s}")
                 val = (F.when(prev.isNull(), nxt)
                        .when(nxt.isNull(), prev)
                        .otherwise(interp))
@@ -271,7 +305,20 @@ def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
         else:
             outs.append(F.struct(*[val[p].alias(p) for p in spec.payload]).alias(s))
         outs.append(src.alias(f"{s}__ts"))
-    return filled.select(*outs)
+    return br.select(*outs)
+
+
+def _dedupe_lead(scans: list[Scan]) -> list[Scan]:
+    """One ``_nextkey`` lead is enough for all streams."""
+    out, seen = [], False
+    for sc in scans:
+        if sc.out.startswith("_nextkey_"):
+            if seen:
+                continue
+            seen = True
+            sc = Scan("_nextkey", "_key", "lead")
+        out.append(sc)
+    return out
 
 
 def _lerp(a: Column, b: Column, r: Column, dtype: T.DataType) -> Column:
@@ -297,7 +344,8 @@ def _lerp_struct(prev: Column, nxt: Column, r: Column, payload: list[str],
     return F.struct(*parts)
 
 
-def _pose_struct(prev: Column, nxt: Column, r: Column, payload: list[str]) -> Column:
+def _pose_struct(prev: Column, nxt: Column, r: Column, payload: list[str],
+                 quat_col: str) -> Column:
     """``position`` lerp, ``orientation`` SLERP; other payload columns
     keep the earlier sample."""
     parts = [F.lit(None).cast("long").alias("ts"), F.lit(None).cast("long").alias("seq")]
@@ -307,7 +355,7 @@ def _pose_struct(prev: Column, nxt: Column, r: Column, payload: list[str]) -> Co
             parts.append(Q.xyz_struct(a["x"] + r * (b["x"] - a["x"]), a["y"] + r * (b["y"] - a["y"]),
                                       a["z"] + r * (b["z"] - a["z"])).alias(p))
         elif p == "orientation":
-            parts.append(Q.slerp(prev[p], nxt[p], r).alias(p))
+            parts.append(F.col(quat_col).alias(p))
         else:
             parts.append(prev[p].alias(p))
     return F.struct(*parts)

@@ -42,7 +42,8 @@ class Scan:
     """One scan output.
 
     kind: ``ffill`` (last non-null value), ``bfill`` (first non-null value
-    ahead) or ``sum`` (running sum).  ``inclusive`` decides whether the
+    ahead), ``sum`` (running sum) or ``lead`` (next row's value within the
+    block, for callers that keep related rows in one block).  ``inclusive`` decides whether the
     current row takes part.
     """
 
@@ -68,8 +69,12 @@ def ordered_scan(df: DataFrame, keys: list[str], block_col: str | Column, order,
     okey = ordc[0] if len(ordc) == 1 else F.struct(*ordc)
     part = keys + [BLK]
     w = Window.partitionBy(*part).orderBy(*ordc)
-    up, uf = Window.unboundedPreceding, Window.unboundedFollowing
+    # Backward scans run as forward scans over the reversed order: Spark
+    # evaluates frames that end at UNBOUNDED FOLLOWING row by row (quadratic).
+    wr = Window.partitionBy(*part).orderBy(*[o.desc() for o in ordc])
+    up = Window.unboundedPreceding
     wb = Window.partitionBy(*keys).orderBy(BLK)
+    wbr = Window.partitionBy(*keys).orderBy(F.col(BLK).desc())
 
     local, summary, carry = [], [], []
     for s in scans:
@@ -81,24 +86,31 @@ def ordered_scan(df: DataFrame, keys: list[str], block_col: str | Column, order,
             summary.append(F.max_by(c, F.when(c.isNotNull(), okey)).alias(so))
             carry.append(F.last(so, ignorenulls=True).over(wb.rowsBetween(up, -1)).alias(co))
         elif s.kind == "bfill":
-            local.append(F.first(c, ignorenulls=True).over(
-                w.rowsBetween(0 if s.inclusive else 1, uf)).alias(lo))
+            local.append(F.last(c, ignorenulls=True).over(
+                wr.rowsBetween(up, 0 if s.inclusive else -1)).alias(lo))
             summary.append(F.min_by(c, F.when(c.isNotNull(), okey)).alias(so))
-            carry.append(F.first(so, ignorenulls=True).over(wb.rowsBetween(1, uf)).alias(co))
+            carry.append(F.last(so, ignorenulls=True).over(wbr.rowsBetween(up, -1)).alias(co))
         elif s.kind == "sum":
             local.append(F.sum(c).over(w.rowsBetween(up, 0 if s.inclusive else -1)).alias(lo))
             summary.append(F.sum(c).alias(so))
             carry.append(F.sum(so).over(wb.rowsBetween(up, -1)).alias(co))
+        elif s.kind == "lead":
+            local.append(F.lead(c, 1).over(w).alias(lo))
         else:
             raise ValueError(f"unknown scan kind {s.kind!r}")
 
     # One row per block, scanned across blocks: what each block inherits.
-    blocks = d.groupBy(*part).agg(*summary).select(*part, *carry)
-    out = d.select("*", *local).join(blocks, on=part, how="left")
+    out = d.select("*", *local)
+    if summary:
+        blocks = d.groupBy(*part).agg(*summary).select(*part, *carry)
+        out = out.join(blocks, on=part, how="left")
     finals = []
     for s in scans:
         lc, cc = F.col(f"_l_{s.out}"), F.col(f"_c_{s.out}")
-        if s.kind == "sum":
+        if s.kind == "lead":
+            # Block-local: callers put a row and the row after it in one block.
+            finals.append(lc.alias(s.out))
+        elif s.kind == "sum":
             finals.append((F.coalesce(cc, F.lit(0)) + F.coalesce(lc, F.lit(0))).alias(s.out))
         else:
             finals.append(F.coalesce(lc, cc).alias(s.out))

@@ -42,16 +42,13 @@ def embeddings_as_poses(spark: SparkSession, sf_dir: str, step_ns: int = 1_000_0
     = ``vec_id``, ``ts_ns = vec_id * step_ns``; position = elements 5-7,
     orientation = normalised elements 1-4 (x, y, z, w)."""
     e = table(spark, sf_dir, "embeddings")
-    v = F.col("embedding")
+    v = [F.col("embedding")[i].cast("double") for i in range(7)]
     n = F.sqrt(v[0] * v[0] + v[1] * v[1] + v[2] * v[2] + v[3] * v[3])
     return e.select(
         F.col("label").cast("long").alias("recording_id"),
         F.lit("arm_end_pose").alias("stream"),
         (F.col("vec_id") * F.lit(step_ns)).alias("ts_ns"),
         F.col("vec_id").alias("seq"),
-        F.struct(v[4].cast("double").alias("x"), v[5].cast("double").alias("y"),
-                 v[6].cast("double").alias("z")).alias("position"),
-        F.struct((v[0] / n).cast("double").alias("x"), (v[1] / n).cast("double").alias("y"),
-                 (v[2] / n).cast("double").alias("z"), (v[3] / n).cast("double").alias("w")
-                 ).alias("orientation"),
-        F.slice(v, 8, 7).cast("array<double>").alias("positions"))
+        F.struct(v[4].alias("x"), v[5].alias("y"), v[6].alias("z")).alias("position"),
+        F.struct((v[0] / n).alias("x"), (v[1] / n).alias("y"),
+                 (v[2] / n).alias("z"), (v[3] / n).alias("w")).alias("orientation"))
