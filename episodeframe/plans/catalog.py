@@ -52,4 +52,4 @@ grid AS (
 
 def load_all() -> None:
     """Import every query module so its ``register`` calls run."""
-    from episodeframe.plans import align_queries  # noqa: F401
+    from episodeframe.plans import action_queries, align_queries, merge_queries  # noqa: F401
