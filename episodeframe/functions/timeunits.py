@@ -48,3 +48,17 @@ def header_stamp_ns(sec: str | Column, nanosec: str | Column) -> Column:
     s = F.col(sec) if isinstance(sec, str) else sec
     n = F.col(nanosec) if isinstance(nanosec, str) else nanosec
     return s.cast("long") * F.lit(1_000_000_000) + n.cast("long")
+
+
+def floor_div(a, b) -> Column:
+    """Exact floor division of BIGINTs (``a / b`` would go through double
+    and can be off by one for nanosecond values)."""
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else (b if isinstance(b, Column) else F.lit(b))
+    return F.call_function("div", a - F.pmod(a, b), b)
+
+
+def ceil_div(a, b) -> Column:
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else (b if isinstance(b, Column) else F.lit(b))
+    return -floor_div(-a, b)

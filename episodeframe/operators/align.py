@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from episodeframe.functions import quaternion as Q
+from episodeframe.functions.timeunits import ceil_div, floor_div
 from episodeframe.operators.blocks import DEFAULT_BLOCK, Scan, carry_scan, dense_index, ordered_scan
 
 REC, STREAM, TS, SEQ = "recording_id", "stream", "ts_ns", "seq"
@@ -80,7 +81,7 @@ def grid_params(window: DataFrame, step_ns: int, max_frames: int | None = None,
                 rec: str = REC) -> DataFrame:
     """Per recording: ``start_ns, step_ns, n_frames`` of the frame grid
     ``range(start, end + 1, step)`` cut to ``max_frames``."""
-    n = F.floor((F.col("end_ns") - F.col("start_ns")) / F.lit(step_ns)).cast("long") + 1
+    n = floor_div(F.col("end_ns") - F.col("start_ns"), F.lit(int(step_ns))) + 1
     if max_frames is not None:
         n = F.least(n, F.lit(int(max_frames)))
     return (window.where("valid")
@@ -97,7 +98,7 @@ def frame_grid(params: DataFrame, rec: str = REC) -> DataFrame:
     chunks = (params
               .withColumn("_chunk", F.explode(F.sequence(
                   F.lit(0).cast("long"),
-                  F.floor((F.col("n_frames") - 1) / F.lit(GRID_CHUNK)).cast("long"))))
+                  floor_div(F.col("n_frames") - 1, F.lit(GRID_CHUNK)))))
               .repartition(rec, "_chunk"))
     lo = F.col("_chunk") * F.lit(GRID_CHUNK)
     hi = F.least(F.col("n_frames"), lo + F.lit(GRID_CHUNK)) - 1
@@ -119,7 +120,7 @@ def assign_frames_grid(messages: DataFrame, params: DataFrame, rec: str = REC,
     """Half-step keys on the regular grid of ``params``: arithmetic only."""
     x = F.col(ts) - F.col("start_ns")
     step, n = F.col("step_ns"), F.col("n_frames")
-    k = F.floor((x + step - 1) / step).cast("long")
+    k = ceil_div(x, step)
     exact = (F.pmod(x, step) == 0).cast("long")
     key = (F.when(x < 0, F.lit(0).cast("long"))
            .when(k >= n, 2 * n)
@@ -145,7 +146,7 @@ def assign_frames_timeline(messages: DataFrame, frames: DataFrame, rec: str = RE
          .withColumn("_is_frame", F.lit(1)))
     u = (m.unionByName(f, allowMissingColumns=True)
          .withColumn("_tie", F.coalesce(F.col(seq), F.col("frame_index")))
-         .withColumn("_tb", F.floor(F.col(ts) / F.lit(time_block_ns)).cast("long"))
+         .withColumn("_tb", floor_div(F.col(ts), F.lit(time_block_ns)))
          .withColumn("_one", F.col("_is_frame").cast("long"))
          .withColumn("_ft", F.when(F.col("_is_frame") == 1, F.col(ts))))
     sc = ordered_scan(u, [rec], "_tb", [ts, "_is_frame", "_tie"], [
@@ -234,7 +235,7 @@ def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
         if s in interp:
             scans.append(Scan(f"_next_{s}", f"_first_{s}", "bfill", inclusive=False))
     # Blocks of 2 * block keys keep a frame and its exact hits together.
-    filled = (ordered_scan(u, [rec], F.floor(F.col("_key") / F.lit(2 * block)).cast("long"),
+    filled = (ordered_scan(u, [rec], floor_div(F.col("_key"), F.lit(2 * block)),
                            ["_key", "_kind"], _dedupe_lead(scans))
               .where(F.col("_kind") == 0))
 

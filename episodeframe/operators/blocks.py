@@ -33,8 +33,9 @@ HALO = "_halo"
 
 
 def block_of(index: str | Column, block: int) -> Column:
+    from episodeframe.functions.timeunits import floor_div
     c = F.col(index) if isinstance(index, str) else index
-    return F.floor(c / F.lit(block)).cast("long")
+    return floor_div(c.cast("long"), F.lit(block).cast("long"))
 
 
 @dataclass(frozen=True)
@@ -130,7 +131,7 @@ def dense_index(df: DataFrame, keys: list[str], order: list[str], out: str,
     be broken by ``order`` itself).  Blocked running count; ``block_col``
     defaults to one-minute buckets of the first order column (ns)."""
     if block_col is None:
-        block_col = F.floor(F.col(order[0]) / F.lit(60_000_000_000)).cast("long")
+        block_col = block_of(order[0], 60_000_000_000)
     d = df.withColumn("_one_", F.lit(1).cast("long"))
     r = ordered_scan(d, keys, block_col, order, [Scan(out, "_one_", "sum", inclusive=False)])
     return r.drop("_one_")

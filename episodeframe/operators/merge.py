@@ -60,9 +60,9 @@ def renumber(frames: DataFrame, episode_key: list[str], frame_order: list[str],
     ``episode_index`` and ``index`` (global running row number).  episodes
     carry ``length`` and the index range.  ``episode_order`` columns must be
     present on ``frames`` (constant per episode)."""
-    from episodeframe.operators.blocks import dense_index
+    from episodeframe.operators.blocks import block_of, dense_index
     fr = dense_index(frames, episode_key, frame_order, "frame_index",
-                     block_col=F.floor(F.col(frame_order[0]) / F.lit(1 << 16)).cast("long"))
+                     block_col=block_of(frame_order[0], 1 << 16))
     eps = (fr.groupBy(*episode_key, *[c for c in episode_order if c not in episode_key])
            .agg(F.count(F.lit(1)).alias("length")))
     eps = episode_offsets(eps, episode_order, block=block)

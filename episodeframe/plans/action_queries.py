@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from episodeframe.operators.actions import (delta_action, drop_last_frame, future_chunk,
                                             next_state, relative_to_first)
-from episodeframe.operators.blocks import dense_index
+from episodeframe.operators.blocks import block_of, dense_index
 from episodeframe.plans.catalog import r6, register
 from episodeframe.sources.tables import events_as_messages, table
 
@@ -28,7 +28,7 @@ def embedding_frames(spark, sf_dir, width: int = 4):
         F.col("label").cast("long").alias("recording_id"), F.col("vec_id"),
         F.slice("embedding", 1, width).cast("array<double>").alias("state"))
     return dense_index(e, ["recording_id"], ["vec_id"], "frame_index",
-                       block_col=F.floor(F.col("vec_id") / F.lit(1 << 16)).cast("long")).drop("vec_id")
+                       block_col=block_of("vec_id", 1 << 16)).drop("vec_id")
 
 
 _CHUNK_COLS_SQL = ",\n       ".join(

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from episodeframe.operators import merge as M
 from episodeframe.operators import stats as S
-from episodeframe.operators.blocks import dense_index
+from episodeframe.functions.timeunits import floor_div
+from episodeframe.operators.blocks import block_of, dense_index
 from episodeframe.plans.catalog import r6, register
 from episodeframe.sources.tables import table
 
@@ -120,8 +121,8 @@ def merge_episodes(spark, sf_dir):
     _, eps, tasks = merged(spark, sf_dir)
     eps = eps.join(tasks, "task_index")
     se = dense_index(eps, ["task_index", "nation"], ["source_episode"], "src_ep",
-                     block_col=F.floor(F.col("source_episode") / F.lit(1 << 20)).cast("long"))
-    se = se.withColumn("local_file_index", F.floor(F.col("src_ep") / EPISODES_PER_FILE).cast("long"))
+                     block_col=block_of("source_episode", 1 << 20))
+    se = se.withColumn("local_file_index", floor_div(F.col("src_ep"), EPISODES_PER_FILE))
     files = M.video_file_index(se.select("task_index", "nation", "local_file_index").distinct(),
                                ["task_index", "nation"])
     mapped, _ = M.map_video_files(se, files, ["task_index", "nation", "local_file_index"])
@@ -145,11 +146,11 @@ def missing_camera_files_q(spark, sf_dir):
     episodes) missing for a file index the first camera has."""
     frames, eps, _ = merged(spark, sf_dir)
     se = dense_index(eps, ["task_index", "nation"], ["source_episode"], "src_ep",
-                     block_col=F.floor(F.col("source_episode") / F.lit(1 << 20)).cast("long"))
+                     block_col=block_of("source_episode", 1 << 20))
     cam = (frames.select("source_episode", F.col("l_returnflag").alias("camera")).distinct()
            .join(se.select("source_episode", "task_index", "nation", "src_ep"), "source_episode")
            .select("task_index", "nation",
-                   F.floor(F.col("src_ep") / EPISODES_PER_FILE).cast("long").alias("local_file_index"),
+                   floor_div(F.col("src_ep"), EPISODES_PER_FILE).alias("local_file_index"),
                    "camera"))
     return M.missing_camera_files(cam, ["A", "N", "R"], "A", ["task_index", "nation"])
 
