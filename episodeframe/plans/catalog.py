@@ -53,4 +53,4 @@ grid AS (
 def load_all() -> None:
     """Import every query module so its ``register`` calls run."""
     from episodeframe.plans import (action_queries, align_queries, episode_queries,  # noqa: F401
-                                    merge_queries, quality_queries)
+                                    merge_queries, quality_queries, trajectory_queries)
