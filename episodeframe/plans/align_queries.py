@@ -159,7 +159,7 @@ x AS (SELECT recording_id, stream, min(ts_ns) AS f, max(ts_ns) AS l FROM e GROUP
 w AS (SELECT recording_id, max(f) AS s, min(l) AS e FROM x GROUP BY 1 HAVING max(f) < min(l)),
 g AS (SELECT recording_id, s, unnest(range(0, (e - s) // 600000000000 + 1)) AS k FROM w)
 SELECT recording_id, count(*) AS n_frames, min(s + k * 600000000000) AS first_t,
-       max(s + k * 600000000000) AS last_t, sum(k) AS sum_k
+       max(s + k * 600000000000) AS last_t, CAST(sum(k) AS BIGINT) AS sum_k
 FROM g GROUP BY 1""")
 def frame_grid_10min(spark, sf_dir):
     """O2: grid with step int(1e9 / fps) at fps = 1/600 over the view/click

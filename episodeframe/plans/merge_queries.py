@@ -40,7 +40,8 @@ def source_frames(spark, sf_dir):
 
 def tasks_table(frames):
     """K2: task_index in manifest order (sorted task names)."""
-    return M.first_seen_order(frames.select("task").distinct(), "task", "task", "task_index")
+    t = M.first_seen_order(frames.select("task").distinct(), "task", "task", "task_index")
+    return t.withColumn("task_index", F.col("task_index").cast("long"))
 
 
 def merged(spark, sf_dir):

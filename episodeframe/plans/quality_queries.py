@@ -249,7 +249,7 @@ def image_state_check(spark, sf_dir):
 
 
 @register("audio_length", """
-SELECT user_id AS recording_id, sum(octet_length(CAST(props AS BLOB))) AS total_bytes,
+SELECT user_id AS recording_id, CAST(sum(octet_length(CAST(props AS BLOB))) AS BIGINT) AS total_bytes,
        round(sum(octet_length(CAST(props AS BLOB))) / (16000 * 1 * (16 // 8)), 6) AS seconds
 FROM events GROUP BY 1""")
 def audio_length(spark, sf_dir):
