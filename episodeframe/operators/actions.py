@@ -41,6 +41,7 @@ def future_chunk(df: DataFrame, keys: list[str], index: str, state: str, k: int
     current state); past the end the chunk is padded with the last
     collected state; a null current state, and the last frame, give null.
     Nulls are forward-filled first (``collect_list`` would drop them)."""
+    block = max(block, k)  # the halo must fit in a block
     filled = carry_scan(df, keys, index, [Scan("_ff_state", state, "ffill", True)], block=block)
     h = halo_blocks(filled, index, after=k, block=block)
     w = halo_window(keys, index)
