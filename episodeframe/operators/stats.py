@@ -74,7 +74,10 @@ def pack_stats(stats: DataFrame, keys: list[str] | None = None) -> DataFrame:
     names = [c for c in stats.columns if c not in set(keys) | {"feature", "pos"}]
     packed = stats.groupBy(*keys, "feature").agg(
         F.array_sort(F.collect_list(F.struct("pos", *names))).alias("_s"))
-    return packed.select(*keys, "feature", *[F.transform("_s", lambda x, n=n: x[n]).alias(n) for n in names])
+    def field_of(n):
+        return lambda x: x[n]
+
+    return packed.select(*keys, "feature", *[F.transform("_s", field_of(n)).alias(n) for n in names])
 
 
 def dataset_totals(frames: DataFrame, episodes: DataFrame, tasks: DataFrame) -> DataFrame:

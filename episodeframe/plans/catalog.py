@@ -54,4 +54,4 @@ def load_all() -> None:
     """Import every query module so its ``register`` calls run."""
     from episodeframe.plans import (action_queries, align_queries, episode_queries,  # noqa: F401
                                     function_queries,
-                                    merge_queries, quality_queries, trajectory_queries)
+                                    merge_queries, quality_queries, stream_queries, trajectory_queries)

@@ -96,8 +96,8 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
                    F.try_variant_get("t", "$.description", "string")).alias("task"),
         F.posexplode(F.variant_get("t", "$.files", "array<variant>")).alias("file_index", "f"))
     return files.select("task_index", "task_id", "task", "file_index",
-                        F.coalesce(F.try_variant_get("f", "$", "string"),
-                                   F.try_variant_get("f", "$.path", "string")).alias("file"))
+                        F.coalesce(F.try_variant_get("f", "$.path", "string"),
+                                   F.try_variant_get("f", "$", "string")).alias("file"))
 
 
 def read_published_frames(spark: SparkSession, root: str) -> DataFrame:

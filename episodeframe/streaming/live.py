@@ -101,31 +101,42 @@ STATE_SCHEMA = T.StructType([
     T.StructField("alarmed", T.BooleanType())])
 
 
+def _alarm(rec, stream, kind, last_ts, at) -> dict:
+    return {"recording_id": rec, "stream": stream, "alarm": kind, "last_ts": last_ts, "at": at}
+
+
 def _liveness(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     rec, stream = key
+    last_ts, seen, alarmed = state.get if state.exists else (None, False, False)
     if state.hasTimedOut:
-        last_ts, seen, alarmed = state.get if state.exists else (None, False, False)
         if not alarmed:
-            yield pd.DataFrame([{"recording_id": rec, "stream": stream,
-                                 "alarm": "silent" if seen else "never seen",
-                                 "last_ts": last_ts, "at": pd.Timestamp.utcnow().tz_localize(None)}])
+            limit = SILENCE_TIMEOUT_S if seen else NEVER_SEEN_TIMEOUT_S
+            at = None if last_ts is None else pd.Timestamp(last_ts) + pd.Timedelta(seconds=limit)
+            yield pd.DataFrame([_alarm(rec, stream, "silent" if seen else "never seen", last_ts, at)])
         state.update((last_ts, seen, True))
         return
-    last_ts, seen, alarmed = state.get if state.exists else (None, False, False)
+    alarms = []
     for pdf in pdfs:
-        data = pdf[pdf["kind"] == "data"]
-        starts = pdf[pdf["kind"] == "expected"]
-        if len(data):
-            m = data["ts"].max()
-            last_ts = m if last_ts is None or m > last_ts else last_ts
+        starts = pdf[pdf["kind"] == "expected"]["ts"]
+        if len(starts) and last_ts is None:
+            last_ts = starts.max()
+        for t in sorted(pdf[pdf["kind"] == "data"]["ts"]):
+            # A gap inside the data already seen: the alarm the live timer
+            # would have raised at last_ts + limit.
+            if last_ts is not None and t > last_ts:
+                limit = SILENCE_TIMEOUT_S if seen else NEVER_SEEN_TIMEOUT_S
+                if (t - last_ts).total_seconds() > limit and not alarmed:
+                    alarms.append(_alarm(rec, stream, "silent" if seen else "never seen", last_ts,
+                                         pd.Timestamp(last_ts) + pd.Timedelta(seconds=limit)))
+            if last_ts is None or t > last_ts:
+                last_ts = t
             seen, alarmed = True, False
-        elif len(starts) and last_ts is None:
-            last_ts = starts["ts"].max()
+    if alarms:
+        yield pd.DataFrame(alarms)
     state.update((last_ts, seen, alarmed))
     limit = SILENCE_TIMEOUT_S if seen else NEVER_SEEN_TIMEOUT_S
-    state.setTimeoutTimestamp(int(pd.Timestamp(last_ts).value // 1_000_000) + int(limit * 1000))
-    return
-    yield  # pragma: no cover
+    if last_ts is not None:
+        state.setTimeoutTimestamp(int(pd.Timestamp(last_ts).value // 1_000_000) + int(limit * 1000))
 
 
 def liveness_alarms(messages: DataFrame, expected: DataFrame, watermark: str = "1 second") -> DataFrame:
