@@ -82,12 +82,10 @@ def missing_required(present: DataFrame, required: list[str], rec: str = REC,
     return have.select(rec, F.explode(miss).alias("missing"))
 
 
-def missing_data_keys(present: DataFrame, keys_dim: DataFrame, rec: str = REC,
+def missing_data_keys(present: DataFrame, keys: list[tuple[str, str]], rec: str = REC,
                       all_recordings: DataFrame | None = None) -> DataFrame:
-    """Enabled data keys that are empty or absent, with severity
-    (master-arm keys warn only)."""
-    keys = [r for r in keys_dim.select("data_key").collect()]  # config-sized
-    m = missing_required(present.withColumnRenamed("data_key", "field") if "data_key" in present.columns
-                         else present, [k[0] for k in keys], rec, "field", all_recordings)
-    return m.join(F.broadcast(keys_dim), m["missing"] == keys_dim["data_key"]).select(
-        rec, F.col("missing").alias("data_key"), "severity")
+    """Enabled data keys ``(key, severity)`` that are empty or absent
+    per recording (master-arm keys carry severity 'warn')."""
+    sev = F.create_map(*[F.lit(x) for kv in keys for x in kv])
+    m = missing_required(present, [k for k, _ in keys], rec, "field", all_recordings)
+    return m.select(rec, F.col("missing").alias("data_key"), F.element_at(sev, F.col("missing")).alias("severity"))

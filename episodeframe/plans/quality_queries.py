@@ -10,7 +10,7 @@ from episodeframe.operators import quality as QC
 from episodeframe.operators import selecting as SEL
 from episodeframe.operators.stats import valid_range
 from episodeframe.plans.catalog import r6, register
-from episodeframe.sources.config import CollectionSwitches, enabled_keys_dim, parse_mapping_config, topic_dim
+from episodeframe.sources.config import CollectionSwitches, parse_mapping_config, topic_dim
 from episodeframe.sources.tables import events_as_messages, table
 
 # The mapping config used for the ``events`` recordings.
@@ -89,12 +89,10 @@ def missing_data_keys(spark, sf_dir):
     sw = CollectionSwitches(slave_joint_names=["view", "click", "purchase"],
                             slave_action_names=["view_actions"],
                             enabled={"odometry", "master_arm_data"})
-    keys = enabled_keys_dim(spark, sw)
+    keys = [(k, "warn" if k.startswith("master_arm") else "error") for k in sw.data_keys()]
     m = events_as_messages(spark, sf_dir)
     present = m.select("recording_id", F.col("stream").alias("field"))
-    miss = SEL.missing_required(present, sw.data_keys(), all_recordings=m.select("recording_id"))
-    return miss.join(F.broadcast(keys), miss["missing"] == keys["data_key"]).select(
-        "recording_id", "data_key", "severity")
+    return SEL.missing_data_keys(present, keys, all_recordings=m.select("recording_id"))
 
 
 @register("reject_counts", f"""

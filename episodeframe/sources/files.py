@@ -19,6 +19,7 @@ FRAME_SCHEMA = T.StructType([
     T.StructField("observation", T.MapType(T.StringType(), T.StringType())),
     T.StructField("action", T.MapType(T.StringType(), T.StringType())),
     T.StructField("images", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("joint_states", T.StringType()),
 ])
 EPISODE_SCHEMA = T.StructType([
     T.StructField("episode_id", T.LongType()),
@@ -29,6 +30,7 @@ EPISODE_SCHEMA = T.StructType([
     T.StructField("num_frames", T.LongType()),
     T.StructField("joint_names", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
     T.StructField("storage_format", T.StringType()),
+    T.StructField("collection_config", T.StringType()),
     T.StructField("frames", T.ArrayType(FRAME_SCHEMA)),
 ])
 
@@ -45,11 +47,40 @@ def read_episodes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
         "source_file", "episode_id", F.lit("no frames").alias("reason"))
     good = ep.where(F.size("frames") > 0)
     fr = good.select("source_file", "episode_id", "model", "task",
+                     F.col("collection_config").isNotNull().alias("has_collection_config"),
                      F.posexplode("frames").alias("frame_pos", "f")).select(
-        "source_file", "episode_id", "model", "task", "frame_pos", "f.*")
+        "source_file", "episode_id", "model", "task", "has_collection_config", "frame_pos", "f.*")
     return fr, bad
 
 
+# Keys that mark the episode JSON generations.
+V3_OBS_KEY, V3_ACT_KEY = "right_arm_joint_states", "master_left_arm_end_pose_action"
+X2_OBS_KEY, X2_ACT_KEY = "left_arm_end_pose", "left_arm_end_pose_action"
+
+
+def is_v3_frame(observation: F.Column, action: F.Column) -> F.Column:
+    """P18, per frame: quanta_x1 or quanta_x2 key pairs present."""
+    return F.coalesce(
+        (F.map_contains_key(observation, V3_OBS_KEY) & F.map_contains_key(action, V3_ACT_KEY))
+        | (F.map_contains_key(observation, X2_OBS_KEY) & F.map_contains_key(action, X2_ACT_KEY)),
+        F.lit(False))
+
+
+def episode_formats(frames: DataFrame) -> DataFrame:
+    """P18 per episode: ``new_format`` (first frame has the V3 observation
+    key, or top-level joint states, or the episode has a collection
+    config) and ``has_action`` (an action map in any of the first 5
+    frames)."""
+    first = F.col("frame_pos") == 0
+    return frames.groupBy("source_file", "episode_id").agg(
+        F.bool_or(first & (F.coalesce(F.map_contains_key("observation", V3_OBS_KEY), F.lit(False))
+                           | F.col("joint_states").isNotNull())).alias("_first_new"),
+        F.bool_or("has_collection_config").alias("_old"),
+        F.bool_or((F.col("frame_pos") < 5) & F.col("action").isNotNull()).alias("has_action"),
+    ).select("source_file", "episode_id", (F.col("_first_new") | F.col("_old")).alias("new_format"),
+             "has_action")
+
+
 def read_episode_metadata(spark: SparkSession, path: str) -> DataFrame:
     """S3: metadata only.  The frames array is read as ids only (the JSON
     parser skips the rest); task defaults to 'unknown', num_frames to the

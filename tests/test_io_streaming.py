@@ -219,3 +219,22 @@ def test_recording_sessions(spark, tmpdir_path):
     q = L.recording_sessions(src, lambda df, e: closed.extend(r[0] for r in df.collect()), f"{tmpdir_path}/ck_t6")
     q.awaitTermination(120)
     assert closed == [1]
+
+
+def test_plain_record_and_formats(spark, tmpdir_path):
+    from episodeframe.functions.records import plain_json
+    df = spark.createDataFrame([({"header": {"stamp": 1}, "_priv": 2, "pose": {"x": 1.0, "stamp": 5},
+                                  "items": [{"a": 1, "stamp": 3}]},)],
+                               "m struct<header:struct<stamp:int>,_priv:int,pose:struct<x:double,stamp:int>,"
+                               "items:array<struct<a:int,stamp:int>>>")
+    got = json.loads(df.select(plain_json(F.col("m"), df.schema["m"].dataType)).first()[0])
+    assert got == {"pose": {"x": 1.0}, "items": [{"a": 1}]}
+    _write(f"{tmpdir_path}/f/e1.json", {"episode_id": 1, "frames": [
+        {"frame_id": 0, "observation": {"right_arm_joint_states": {}}, "action": {"x": 1}}]})
+    _write(f"{tmpdir_path}/f/e2.json", {"episode_id": 2, "collection_config": {"a": 1}, "frames": [
+        {"frame_id": 0, "observation": {}}] * 6 + [{"frame_id": 6, "action": {}}]})
+    _write(f"{tmpdir_path}/f/e3.json", {"episode_id": 3, "frames": [{"frame_id": 0, "joint_states": {"p": []}}]})
+    frames, _ = FS.read_episodes(spark, f"{tmpdir_path}/f")
+    got = {r["episode_id"]: (r["new_format"], r["has_action"]) for r in FS.episode_formats(frames).collect()}
+    assert got == {1: (True, True), 2: (True, False), 3: (True, False)}
+    assert frames.select(FS.is_v3_frame(F.col("observation"), F.col("action"))).where("1=1").count() == 9
