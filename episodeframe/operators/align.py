@@ -51,6 +51,14 @@ def fps_step_ns(fps: float) -> int:
     return step
 
 
+# ---------------------------------------------------------------- O1
+
+def stable_order(messages: DataFrame, ts: str = TS, seq: str = SEQ) -> DataFrame:
+    """O1: sort messages by (stamp, arrival) inside each partition; ties
+    keep arrival order because ``seq`` is part of every ordering here."""
+    return messages.sortWithinPartitions(ts, seq)
+
+
 # ---------------------------------------------------------------- A1 / A2
 
 def stream_extents(messages: DataFrame, rec: str = REC, stream: str = STREAM,

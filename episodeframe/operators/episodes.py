@@ -88,7 +88,7 @@ def step_actions_from_meta(step_list: DataFrame, rec: str = REC, pos: str = "pos
 
 
 def episode_selection(spec: str | None) -> Column | None:
-    """P5: ``"0,1,2"`` / ``"0-5"`` (inclusive) -> sorted distinct
+    """P5 + U2: ``"0,1,2"`` / ``"0-5"`` (inclusive) -> sorted distinct
     ``array<int>``; ``None`` selects everything."""
     if spec is None:
         return None

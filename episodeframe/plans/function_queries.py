@@ -204,3 +204,24 @@ def width_profile_q(spark, sf_dir):
     return width_profile(e, "v", ["label"]).select(
         "label", F.col("min_width").cast("long").alias("min_width"),
         F.col("max_width").cast("long").alias("max_width"), "n_widths")
+
+
+@register("decode_payloads", f"""
+SELECT vec_id, round({_ed(4)}, 6) AS px, round({_ed(3)}, 6) AS qw, round({_ed(9)}, 6) AS j2,
+       CAST(7 AS INTEGER) AS n_joints, round({_ed(30)}, 6) AS value, CAST(NULL AS DOUBLE) AS bad
+FROM embeddings""")
+def decode_payloads(spark, sf_dir):
+    """payloads written as JSON text (pose, joint state, float) and
+    decoded back with the typed decoders; an unreadable payload gives null."""
+    from episodeframe.functions.decoders import decode
+    e = table(spark, sf_dir, "embeddings").select("vec_id", sample_struct().alias("s"))
+    landed = e.select(
+        "vec_id",
+        F.to_json(F.struct(F.col("s.position"), F.col("s.orientation"))).alias("pose_json"),
+        F.to_json(F.struct(F.col("s.positions").alias("positions"))).alias("joint_json"),
+        F.to_json(F.struct(F.col("s.value").alias("value"))).alias("float_json"))
+    d = landed.select("vec_id", decode("pose_json", "pose").alias("p"), decode("joint_json", "joint").alias("j"),
+                      decode("float_json", "float").alias("f"), decode(F.lit("{not json"), "float").alias("b"))
+    return d.select("vec_id", r6(F.col("p.position.x")).alias("px"), r6(F.col("p.orientation.w")).alias("qw"),
+                    r6(F.col("j.positions")[2]).alias("j2"), F.size("j.positions").alias("n_joints"),
+                    r6(F.col("f.value")).alias("value"), F.col("b.value").alias("bad"))
