@@ -114,7 +114,8 @@ def smooth_savgol(spark, sf_dir):
     element 1 over each label trajectory (rows-only check)."""
     e = table(spark, sf_dir, "embeddings").select(
         F.col("label").cast("long").alias("traj"), "vec_id", F.col("embedding")[0].alias("x"))
-    return TR.smoothen(e, ["traj"], "vec_id", "x", method="savgol")
+    e = dense_index(e, ["traj"], ["vec_id"], "idx", block_col=block_of("vec_id", 1 << 16))
+    return TR.smoothen(e, ["traj"], "idx", "x", method="savgol")
 
 
 @register("smooth_ema")
@@ -123,7 +124,8 @@ def smooth_ema(spark, sf_dir):
     (rows-only check)."""
     e = table(spark, sf_dir, "embeddings").select(
         F.col("label").cast("long").alias("traj"), "vec_id", F.col("embedding")[0].alias("x"))
-    return TR.smoothen(e, ["traj"], "vec_id", "x", method="ema")
+    e = dense_index(e, ["traj"], ["vec_id"], "idx", block_col=block_of("vec_id", 1 << 16))
+    return TR.smoothen(e, ["traj"], "idx", "x", method="ema")
 
 
 # -- transform tree: customer -> nation -> region -> world

@@ -89,20 +89,41 @@ def test_upsample_counts_and_linear(spark):
     assert pose[6][3] == pytest.approx(0.15, abs=1e-3) and pose[6][5] == pytest.approx(0.2, abs=1e-9)
 
 
-def test_smoothing_matches_numpy(spark):
-    rnd = random.Random(1)
-    vals = [rnd.random() for _ in range(23)]
-    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(vals)], "t long, i long, x double")
-    sg = sorted((r["i"], r["smoothed"]) for r in TR.smoothen(df, ["t"], "i", "x").collect())
-    w, p = TR.savgol_window(23)
-    assert (w, p) == (5, 2)
-    # interior point: least-squares quadratic through 5 points evaluated at the centre
-    i = 10
-    fit = np.polyfit(np.arange(-2, 3), np.array(vals[i - 2:i + 3], dtype=np.float32).astype(float), 2)
-    assert sg[i][1] == pytest.approx(np.polyval(fit, 0), abs=1e-5)
-    ema = sorted((r["i"], r["smoothed"]) for r in TR.smoothen(df, ["t"], "i", "x", method="ema").collect())
+@pytest.mark.parametrize("n", [2, 3, 4, 7, 23, 61])
+def test_smoothing_matches_numpy(spark, n):
+    rnd = random.Random(n)
+    vals = [rnd.random() for _ in range(n)]
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(vals)] + [(2, 0, 5.0)], "t long, i long, x double")
     a = np.array(vals, dtype=np.float32)
-    assert ema[0][1] == pytest.approx(float(TR._ema_two_sided_np(a)[0]), abs=1e-6)
+    sg = sorted((r["i"], r["smoothed"]) for r in TR.smoothen(df, ["t"], "i", "x").collect() if r["t"] == 1)
+    if n < 3:
+        exp = a
+    else:
+        w, p = TR.savgol_window(n)
+        exp = TR._savgol_np(a.astype(np.float64), w, p)
+    assert [v for _, v in sg] == pytest.approx(list(exp), abs=1e-5)
+    ema = sorted((r["i"], r["smoothed"]) for r in TR.smoothen(df, ["t"], "i", "x", method="ema").collect()
+                 if r["t"] == 1)
+    assert [v for _, v in ema] == pytest.approx(list(TR._ema_two_sided_np(a)), abs=1e-5)
+
+
+def test_ema_beyond_reach_and_blocks(spark):
+    rnd = random.Random(11)
+    vals = [rnd.random() for _ in range(300)]
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(vals)], "t long, i long, x double")
+    got = sorted((r["i"], r["smoothed"]) for r in TR.ema_two_sided(df, ["t"], "i", "x", block=128).collect())
+    exp = TR._ema_two_sided_np(np.array(vals, dtype=np.float32))
+    assert [v for _, v in got] == pytest.approx(list(exp), abs=1e-5)
+
+
+def test_savgol_large_window_blocks(spark):
+    rnd = random.Random(12)
+    vals = [rnd.gauss(0, 1) for _ in range(500)]
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(vals)], "t long, i long, x double")
+    got = sorted((r["i"], r["smoothed"]) for r in TR.savgol(df, ["t"], "i", "x", block=64).collect())
+    w, p = TR.savgol_window(500)
+    exp = TR._savgol_np(np.array(vals, dtype=np.float32).astype(np.float64), w, p)
+    assert [v for _, v in got] == pytest.approx(list(exp), abs=1e-4)
 
 
 def test_transform_tree(spark):
