@@ -45,13 +45,16 @@ def tolerant_decode(messages: DataFrame, schema: T.DataType, payload: str = "pay
 
 
 def reject_counts(decoded: DataFrame, reasons: dict[str, F.Column], topic: str = "topic") -> DataFrame:
-    """A4: ``(topic, reason, count)`` for each named reject condition."""
-    parts = [decoded.where(cond).groupBy(topic).agg(F.count(F.lit(1)).alias("count"))
-             .withColumn("reason", F.lit(name)) for name, cond in reasons.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(topic, "reason", "count")
+    """A4: ``(topic, reason, count)`` for each named reject condition with
+    at least one hit; one pass over the data (conditional counts, then
+    unpivot)."""
+    names = list(reasons)
+    agg = decoded.groupBy(topic).agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(f"_r{i}")
+                                       for i, c in enumerate(reasons.values())])
+    pairs = F.array(*[F.struct(F.lit(n).alias("reason"), F.col(f"_r{i}").alias("count"))
+                      for i, n in enumerate(names)])
+    return (agg.select(topic, F.inline(pairs)).where(F.col("count") > 0)
+            .select(topic, "reason", "count"))
 
 
 def topic_counts(routed: DataFrame, rec: str = REC) -> DataFrame:

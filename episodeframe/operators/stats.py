@@ -16,14 +16,13 @@ QUANTILES = {"q01": 0.01, "q10": 0.10, "q50": 0.50, "q90": 0.90, "q99": 0.99}
 def long_vectors(df: DataFrame, features: list[str], keys: list[str] | None = None) -> DataFrame:
     """``(keys..., feature, pos, value)`` rows from array columns."""
     keys = keys or []
-    parts = []
-    for f in features:
-        parts.append(df.select(*keys, F.lit(f).alias("feature"),
-                               F.posexplode(F.col(f"`{f}`")).alias("pos", "value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("value", F.col("value").cast("double"))
+
+    def tagged(f):
+        return F.transform(F.col(f"`{f}`"), lambda x, i: F.struct(
+            F.lit(f).alias("feature"), i.alias("pos"), x.cast("double").alias("value")))
+
+    # one pass: every feature's elements as (feature, pos, value) structs
+    return df.select(*keys, F.inline(F.concat(*[tagged(f) for f in features])))
 
 
 def vector_stats(df: DataFrame, features: list[str], keys: list[str] | None = None,

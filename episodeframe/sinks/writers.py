@@ -78,7 +78,9 @@ def write_episode_json(frames: DataFrame, path: str, episode: str = "episode_id"
     """K7 (re-aimed): episode frames as JSON lines partitioned by episode,
     one folder per episode, instead of one document holding every frame
     (which would pull a whole episode into one record)."""
-    frames.repartition(episode).sortWithinPartitions(episode, "frame_id").write.partitionBy(
+    # Range partitioning splits a long episode over several tasks (a hash on
+    # the episode alone would put a hot episode in one task).
+    frames.repartitionByRange(episode, "frame_id").sortWithinPartitions(episode, "frame_id").write.partitionBy(
         episode).mode("errorifexists").json(path)
 
 

@@ -33,7 +33,7 @@ class MappingConfig:
     state: list[FieldSpec]
     action: list[FieldSpec] = field(default_factory=list)
     action_mode: str = "next_state"
-    fps: int = 30
+    fps: float = 30
 
     def topic_names(self) -> list[str]:
         return [t[0] for t in self.topics]
@@ -121,7 +121,8 @@ def parse_mapping_config(cfg: dict) -> MappingConfig:
     action = _layout(act_cfg, "action") if mode == "from_sources" else []
     if mode == "from_sources":
         check_action_width(state, action)
-    return MappingConfig(rows, state, action, mode, int(cfg.get("fps", 30)))
+    fps = float(cfg.get("fps", 30))
+    return MappingConfig(rows, state, action, mode, int(fps) if fps == int(fps) else fps)
 
 
 def load_yaml(path: str) -> dict:

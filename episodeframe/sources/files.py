@@ -132,8 +132,9 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_published_frames(spark: SparkSession, root: str) -> DataFrame:
-    """``data/chunk-*/file-*.parquet`` of a published dataset."""
-    return spark.read.parquet(f"{root.rstrip('/')}/data/chunk-*/file-*.parquet")
+    """The ``data/`` Parquet files of a published dataset, whether laid
+    out as ``chunk-*/file-*.parquet`` or as Spark part files."""
+    return spark.read.option("recursiveFileLookup", "true").parquet(f"{root.rstrip('/')}/data")
 
 
 def read_stats_json(spark: SparkSession, path: str, prefix: str | None = None) -> DataFrame:
