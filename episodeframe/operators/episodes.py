@@ -73,7 +73,9 @@ def cut_episodes(frames: DataFrame, specs: DataFrame, rec: str = REC) -> DataFra
     """Frames of every episode spec; overlapping steps repeat frames.
     Adds ``episode_frame_index`` (0.. inside the episode)."""
     rows = explode_range(specs, "start_index", "end_index", "frame_index", spread=[rec])
-    return (rows.join(frames, [rec, "frame_index"])
+    # The exploded side is as large as the frames, but Catalyst sizes an
+    # explode from its small input; never let it be broadcast.
+    return (rows.hint("shuffle_merge").join(frames, [rec, "frame_index"])
             .withColumn("episode_frame_index", F.col("frame_index") - F.col("start_index")))
 
 
