@@ -7,23 +7,37 @@ blocked scan or a per-episode aggregate: no window spans a whole episode.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from episodeframe.operators.blocks import (DEFAULT_BLOCK, HALO, Scan, carry_scan, drop_halo,
-                                           halo_blocks, halo_window)
+from episodeframe.operators.blocks import (BLK, DEFAULT_BLOCK, HALO, Scan, block_of, carry_scan,
+                                           drop_halo, halo_blocks, halo_window)
 
 
 def next_state(df: DataFrame, keys: list[str], index: str, cols: dict[str, str],
                block: int = DEFAULT_BLOCK) -> DataFrame:
     """``out[t] = state[t+1]`` inside the episode; the last frame
-    repeats its own state.  ``cols`` maps output -> state column."""
-    h = halo_blocks(df, index, after=1, block=block)
-    w = halo_window(keys, index)
-    has_next = F.lead(F.lit(1), 1).over(w).isNotNull()
-    outs = [F.when(has_next, F.lead(F.col(src), 1).over(w)).otherwise(F.col(src)).alias(out)
-            for out, src in cols.items()]
-    return drop_halo(h.select("*", *outs))
+    repeats its own state.  ``cols`` maps output -> state column.
+
+    The lead is taken inside each ``(keys, _blk)`` block; the last row of a
+    block takes the first row of the next block from a one-row-per-block
+    table.  If ``df`` already carries ``_blk`` (= index // block, e.g. from
+    ``align_frames(keep_block=True)``) its partitioning is reused and the
+    frames are not shuffled again."""
+    d = df if BLK in df.columns else df.withColumn(BLK, block_of(index, block))
+    w = Window.partitionBy(*keys, BLK).orderBy(index)
+    srcs = list(dict.fromkeys(cols.values()))
+    nxt = F.lead(F.struct(*[F.col(c).alias(c) for c in srcs]), 1).over(w)
+    d = d.withColumn("_nx", nxt)
+    heads = (d.groupBy(*keys, BLK)
+             .agg(F.min_by(F.struct(*[F.col(c).alias(c) for c in srcs]), F.col(index)).alias("_hd"))
+             .withColumn(BLK, F.col(BLK) - 1))
+    d = d.join(heads, keys + [BLK], "left")
+    outs = [F.when(F.col("_nx").isNotNull(), F.col("_nx")[src])
+            .when(F.col("_hd").isNotNull(), F.col("_hd")[src])
+            .otherwise(F.col(src)).alias(out) for out, src in cols.items()]
+    keep = [c for c in df.columns if c != BLK]
+    return d.select(*keep, *outs)
 
 
 def has_next_frame(df: DataFrame, keys: list[str], index: str, out: str = "has_next",

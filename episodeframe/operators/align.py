@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 
 from episodeframe.functions import quaternion as Q
 from episodeframe.functions.timeunits import ceil_div, floor_div
-from episodeframe.operators.blocks import DEFAULT_BLOCK, Scan, carry_scan, dense_index, ordered_scan
+from episodeframe.session import cut_lineage
+from episodeframe.operators.blocks import BLK, DEFAULT_BLOCK, Scan, carry_scan, dense_index, ordered_scan
 
 REC, STREAM, TS, SEQ = "recording_id", "stream", "ts_ns", "seq"
 
@@ -75,7 +76,12 @@ def sampling_window(messages: DataFrame, rec: str = REC, stream: str = STREAM,
     """A2: start = max of first stamps, end = min of last stamps over the
     non-empty streams of each recording.  ``valid`` is false where the
     reference raises (start >= end)."""
-    ext = stream_extents(messages.where(F.col(ts).isNotNull()), rec, stream, ts)
+    return window_from_extents(stream_extents(messages.where(F.col(ts).isNotNull()), rec, stream, ts), rec)
+
+
+def window_from_extents(ext: DataFrame, rec: str = REC) -> DataFrame:
+    """A2 from per-stream extents (so one extents pass serves the window,
+    the grid and the interpolation clamp)."""
     return (ext.groupBy(rec)
             .agg(F.max("first_ts").alias("start_ns"),
                  F.min("last_ts").alias("end_ns"),
@@ -199,14 +205,21 @@ def _row_struct(payload: list[str]) -> Column:
 
 def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
                  params: DataFrame | None = None, rec: str = REC, stream: str = STREAM,
-                 block: int = DEFAULT_BLOCK) -> DataFrame:
+                 block: int = DEFAULT_BLOCK, keep_block: bool = False,
+                 materialize: bool = True, extents: DataFrame | None = None) -> DataFrame:
     """Align every stream in ``spec`` onto ``frames(rec, frame_index, t_ns)``.
 
     If ``params`` (from ``grid_params``) is given the timeline is that
     regular grid; otherwise the timeline in ``frames`` is used as-is.
     Output: ``rec, frame_index, t_ns`` and per stream ``<s>`` (payload
     struct, or the value when the payload is one column) and ``<s>__ts``
-    (source stamp; null for interpolated values).
+    (source stamp; null for interpolated values).  ``extents`` (from
+    ``stream_extents``, ideally materialised) saves a pass over the
+    messages for the interpolation clamp.  ``materialize`` writes the
+    frame-sized bucket table once to the checkpoint folder so its several
+    consumers never re-aggregate the raw messages.  ``keep_block`` also
+    returns ``_blk`` (= frame_index // block) with the rows already
+    partitioned by ``(rec, _blk)``, for frame windows that follow.
     """
     names = list(spec.methods)
     msgs = (messages.where(F.col(stream).isin(names) & F.col(TS).isNotNull())
@@ -234,6 +247,12 @@ def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
                               F.col("frame_index").alias("_k"), F.col("t_ns").alias("_t"),
                               F.lit(0).alias("_kind"))
     u = buckets.unionByName(grid_rows, allowMissingColumns=True)
+    if materialize:
+        # The frame-sized bucket table feeds the block scan and its block
+        # summaries (and, downstream, frame windows).  Writing it once to the
+        # shared checkpoint folder stops every consumer from re-running the
+        # raw-message aggregation and cuts the lineage for executor loss.
+        u = cut_lineage(u)
 
     scans = []
     for s in names:
@@ -242,20 +261,23 @@ def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
         scans.append(Scan(f"_exact_{s}", f"_le_{s}", "lead"))
         if s in interp:
             scans.append(Scan(f"_next_{s}", f"_first_{s}", "bfill", inclusive=False))
-    # Blocks of 2 * block keys keep a frame and its exact hits together.
-    filled = (ordered_scan(u, [rec], floor_div(F.col("_key"), F.lit(2 * block)),
-                           ["_key", "_kind"], _dedupe_lead(scans))
+    # Block = frame index // block (a frame and its exact hits share a key,
+    # so they share a block).  The block column is kept: downstream frame
+    # windows (next state) reuse this partitioning instead of reshuffling.
+    blk = floor_div(floor_div(F.col("_key"), F.lit(2)), F.lit(block))
+    filled = (ordered_scan(u, [rec], blk, ["_key", "_kind"], _dedupe_lead(scans), keep_block=True)
               .where(F.col("_kind") == 0))
 
     if any(spec.methods[s] == LINEAR for s in names):
-        last = (msgs.groupBy(rec).agg(*[F.max(F.when(F.col(stream) == s, F.col(TS))).alias(f"_last_{s}")
-                                        for s in names if spec.methods[s] == LINEAR]))
+        ext = extents if extents is not None else stream_extents(msgs, rec, stream)
+        last = ext.groupBy(rec).agg(*[F.max(F.when(F.col(stream) == s, F.col("last_ts"))).alias(f"_last_{s}")
+                                      for s in names if spec.methods[s] == LINEAR])
         filled = filled.join(last, rec, "left")
 
     # Stage 1: bracket rows as plain columns (so later expressions reference
     # attributes instead of repeating the coalesces).
     t = F.col("_t")
-    stage = [F.col(rec), F.col("_k"), t]
+    stage = [F.col(rec), F.col("_k"), t, F.col(BLK)]
     for s in names:
         exact = F.when(F.col("_nextkey") == F.col("_key"), F.col(f"_exact_{s}"))
         stage.append(F.coalesce(exact, F.col(f"_prev_{s}")).alias(f"_a_{s}"))
@@ -281,6 +303,8 @@ def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
                                      F.col(f"_r_{s}"), f"_q_{s}")
 
     outs = [F.col(rec), F.col("_k").alias("frame_index"), t.alias("t_ns")]
+    if keep_block:
+        outs.append(F.col(BLK))
     single = len(spec.payload) == 1
     for s in names:
         m = spec.methods[s]

@@ -55,7 +55,7 @@ class Scan:
 
 
 def ordered_scan(df: DataFrame, keys: list[str], block_col: str | Column, order,
-                 scans: list[Scan]) -> DataFrame:
+                 scans: list[Scan], keep_block: bool = False) -> DataFrame:
     """Run ``scans`` over rows ordered by ``order`` within ``keys``.
 
     ``block_col`` must be monotone in ``order`` (e.g. ``floor(index / B)`` or
@@ -103,7 +103,12 @@ def ordered_scan(df: DataFrame, keys: list[str], block_col: str | Column, order,
     # One row per block, scanned across blocks: what each block inherits.
     out = d.select("*", *local)
     if summary:
-        blocks = d.groupBy(*part).agg(*summary).select(*part, *carry)
+        # Referencing every input column keeps this branch's input identical
+        # to the window branch's, so Spark reuses the upstream shuffle
+        # instead of recomputing it (column pruning would otherwise give the
+        # two branches different inputs).
+        same_input = F.count(F.struct(*[F.col(f"`{c}`") for c in d.columns])).alias("_rows")
+        blocks = d.groupBy(*part).agg(*summary, same_input).select(*part, *carry)
         out = out.join(blocks, on=part, how="left")
     finals = []
     for s in scans:
@@ -115,7 +120,8 @@ def ordered_scan(df: DataFrame, keys: list[str], block_col: str | Column, order,
             finals.append((F.coalesce(cc, F.lit(0)) + F.coalesce(lc, F.lit(0))).alias(s.out))
         else:
             finals.append(F.coalesce(lc, cc).alias(s.out))
-    return out.select(*df.columns, *finals)
+    extra = [F.col(BLK)] if keep_block and BLK not in df.columns else []
+    return out.select(*df.columns, *extra, *finals)
 
 
 def carry_scan(df: DataFrame, keys: list[str], index: str, scans: list[Scan],

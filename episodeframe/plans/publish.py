@@ -76,8 +76,9 @@ def align_recordings(messages: DataFrame, config: MappingConfig, joint_and_actio
         "recording_id", F.col("field").alias("stream"), "ts_ns", "seq", *unified_payload())
     fields = config.fields("observation")
     methods = {f: A.method_for(f, joint_and_action or set()) for f in fields}
-    params = A.grid_params(A.sampling_window(dec), A.fps_step_ns(config.fps), max_frames)
-    fr = A.align_frames(dec, A.frame_grid(params), A.AlignSpec(methods, PAYLOAD), params=params)
+    ext = cut_lineage(A.stream_extents(dec))
+    params = A.grid_params(A.window_from_extents(ext), A.fps_step_ns(config.fps), max_frames)
+    fr = A.align_frames(dec, A.frame_grid(params), A.AlignSpec(methods, PAYLOAD), params=params, extents=ext)
     fr = fr.withColumn("state", build_vector(fr, config.state))
     return fr.select("recording_id", "frame_index", "t_ns", "state"), rejected
 

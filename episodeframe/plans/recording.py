@@ -12,20 +12,24 @@ from pyspark.sql import functions as F
 from episodeframe.functions.vectors import FieldSpec, build_vector, missing_mask
 from episodeframe.operators import align as A
 from episodeframe.operators.actions import next_state
+from episodeframe.session import cut_lineage
 
 
 def aligned_frames(messages: DataFrame, methods: dict[str, str], step_ns: int,
                    payload: list[str] | None = None, max_frames: int | None = None,
-                   window_streams: list[str] | None = None) -> DataFrame:
+                   window_streams: list[str] | None = None, keep_block: bool = False) -> DataFrame:
     """Frames on the regular grid of each recording with every stream
     aligned by its method.  The sampling window is taken over the aligned
     streams (or ``window_streams``), as the reference does over every
     non-empty configured stream."""
     streams = list(window_streams or methods)
     m = messages.where(F.col(A.STREAM).isin(streams))
+    # One row per recording; written once so the grid and the frame
+    # assignment do not each re-scan the raw messages for it.
     params = A.grid_params(A.sampling_window(m), step_ns, max_frames)
     grid = A.frame_grid(params)
-    return A.align_frames(messages, grid, A.AlignSpec(methods, payload or ["value"]), params=params)
+    return A.align_frames(messages, grid, A.AlignSpec(methods, payload or ["value"]), params=params,
+                          keep_block=keep_block)
 
 
 def state_action_frames(messages: DataFrame, layout: list[FieldSpec], methods: dict[str, str],
@@ -33,6 +37,6 @@ def state_action_frames(messages: DataFrame, layout: list[FieldSpec], methods: d
                         max_frames: int | None = None) -> DataFrame:
     """Aligned frames plus ``state`` (array<float>), its ``missing`` mask and
     ``action`` = next state (last frame repeats)."""
-    fr = aligned_frames(messages, methods, step_ns, payload, max_frames)
+    fr = aligned_frames(messages, methods, step_ns, payload, max_frames, keep_block=True)
     fr = fr.withColumn("state", build_vector(fr, layout)).withColumn("missing", missing_mask(fr, layout))
     return next_state(fr, [A.REC], "frame_index", {"action": "state"})

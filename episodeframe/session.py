@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,8 +55,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, how: str = "table") -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (reliable, survives
-    executor loss) and return a DataFrame reading it back."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    executor loss) and return a DataFrame reading it back.
+
+    ``how="table"`` writes a Parquet table (columnar, cheap to write and
+    re-read, column-pruned by later readers); ``how="checkpoint"`` uses
+    ``DataFrame.checkpoint``."""
+    d = ensure_checkpoint_dir(df.sparkSession)
+    if how == "checkpoint":
+        return df.checkpoint(eager=True)
+    path = f"{d.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
