@@ -241,18 +241,19 @@ def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
         if s in interp:
             aggs.append(F.min_by(row, F.when(is_s, order)).alias(f"_first_{s}"))
     buckets = tagged.groupBy(rec, "_key").agg(*aggs).withColumn("_kind", F.lit(1))
+    if materialize:
+        # The aggregated buckets feed several consumers (the block scan, its
+        # block summaries and downstream frame windows).  Written once to the
+        # shared checkpoint folder, no consumer re-aggregates the raw
+        # messages, and the lineage is cut for executor loss.  Grid rows are
+        # arithmetic and are regenerated instead of written.
+        buckets = cut_lineage(buckets)
 
     # Frames join the scan directly at key 2k + 1, ahead of their exact hits.
     grid_rows = frames.select(rec, (2 * F.col("frame_index") + 1).alias("_key"),
                               F.col("frame_index").alias("_k"), F.col("t_ns").alias("_t"),
                               F.lit(0).alias("_kind"))
     u = buckets.unionByName(grid_rows, allowMissingColumns=True)
-    if materialize:
-        # The frame-sized bucket table feeds the block scan and its block
-        # summaries (and, downstream, frame windows).  Writing it once to the
-        # shared checkpoint folder stops every consumer from re-running the
-        # raw-message aggregation and cuts the lineage for executor loss.
-        u = cut_lineage(u)
 
     scans = []
     for s in names:
