@@ -159,7 +159,7 @@ SELECT event_id,
   CASE event_type WHEN 'click' THEN 'head_camera' WHEN 'view' THEN 'left_wrist' ELSE event_type END AS renamed,
   format('data/chunk-{:03d}/file-{:03d}.parquet', event_id // 1000, event_id % 1000) AS path,
   event_id % 1000 AS file_back,
-  'x2/' || regexp_replace(event_type, '[^\\p{L}\\p{N}_-]', '_', 'g') || format('_part_{:03d}_{:03d}', 1, 2) AS part_id
+  'robot/' || regexp_replace(event_type, '[^\\p{L}\\p{N}_-]', '_', 'g') || format('_part_{:03d}_{:03d}', 1, 2) AS part_id
 FROM e""")
 def message_functions(spark, sf_dir):
     """P9 first-present (present-but-null beats coalesce), P14 header stamps,
@@ -180,7 +180,7 @@ def message_functions(spark, sf_dir):
         TX.normalize_msgtype(F.col("msgtype")).alias("msgtype"),
         TX.rename(F.col("stream"), {"click": "head_camera", "view": "left_wrist"}).alias("renamed"),
         path.alias("path"), TX.file_index_from_name(path).alias("file_back"),
-        TX.part_id(F.concat(F.lit("x2/"), F.col("stream")), F.lit(1), F.lit(2)).alias("part_id"))
+        TX.part_id(F.concat(F.lit("robot/"), F.col("stream")), F.lit(1), F.lit(2)).alias("part_id"))
 
 
 @register("first_seen_streams", """

@@ -59,7 +59,7 @@ X2_OBS_KEY, X2_ACT_KEY = "left_arm_end_pose", "left_arm_end_pose_action"
 
 
 def is_v3_frame(observation: F.Column, action: F.Column) -> F.Column:
-    """P18, per frame: quanta_x1 or quanta_x2 key pairs present."""
+    """P18, per frame: either robot generation's observation/action key pair present."""
     return F.coalesce(
         (F.map_contains_key(observation, V3_OBS_KEY) & F.map_contains_key(action, V3_ACT_KEY))
         | (F.map_contains_key(observation, X2_OBS_KEY) & F.map_contains_key(action, X2_ACT_KEY)),

@@ -50,7 +50,7 @@ def _write(path, obj):
 
 
 def test_episode_json_sources(spark, tmpdir_path):
-    ep = {"episode_id": 3, "model": "X1", "task": "pick", "timestamp": "t", "duration": 1.0,
+    ep = {"episode_id": 3, "model": "arm-a", "task": "pick", "timestamp": "t", "duration": 1.0,
           "joint_names": {"left": ["j1"]}, "storage_format": "video",
           "frames": [{"frame_id": 0, "timestamp": 0.0, "observation": {"left_arm_joint_states": {"positions": [1.0]}},
                       "action": {}, "images": {}},
