@@ -103,12 +103,9 @@ def ordered_scan(df: DataFrame, keys: list[str], block_col: str | Column, order,
     # One row per block, scanned across blocks: what each block inherits.
     out = d.select("*", *local)
     if summary:
-        # Referencing every input column keeps this branch's input identical
-        # to the window branch's, so Spark reuses the upstream shuffle
-        # instead of recomputing it (column pruning would otherwise give the
-        # two branches different inputs).
-        same_input = F.count(F.struct(*[F.col(f"`{c}`") for c in d.columns])).alias("_rows")
-        blocks = d.groupBy(*part).agg(*summary, same_input).select(*part, *carry)
+        # This branch reads only the scanned columns (column pruning); inputs
+        # that are costly to recompute are materialised by the caller.
+        blocks = d.groupBy(*part).agg(*summary).select(*part, *carry)
         out = out.join(blocks, on=part, how="left")
     finals = []
     for s in scans:
