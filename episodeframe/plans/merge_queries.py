@@ -196,8 +196,9 @@ SELECT feature, pos, count(value) AS count, round(min(value), 6) AS min, round(m
        round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std
 FROM lv GROUP BY feature, pos""")
 def vector_stats_q(spark, sf_dir):
-    """A5: elementwise min/max/mean/population std of state and action."""
-    frames, _, _ = merged(spark, sf_dir)
+    """A5: elementwise min/max/mean/population std of state and action
+    (statistics need the frames, not their new numbering)."""
+    frames = source_frames(spark, sf_dir)
     st = S.vector_stats(frames, ["state", "action"])
     return st.select(F.when(F.col("feature") == "state", "observation.state").otherwise(F.col("feature"))
                      .alias("feature"), "pos", "count", r6(F.col("min")).alias("min"),
@@ -219,8 +220,7 @@ FROM m""")
 def stats_merge(spark, sf_dir):
     """Per-source partial stats (one source = task x nation) merged
     count-weighted; equals A5 over the union."""
-    frames, _, _ = merged(spark, sf_dir)
-    fr = frames.withColumnRenamed("state", "observation.state")
+    fr = source_frames(spark, sf_dir).withColumnRenamed("state", "observation.state")
     part = S.vector_stats(fr, ["observation.state", "action"], ["task", "nation"])
     m = S.merge_stats(part)
     return m.select("feature", "pos", F.col("count").cast("long").alias("count"),
@@ -232,8 +232,7 @@ def stats_merge_quantiles(spark, sf_dir):
     """Per-source approximate quantiles merged by count-weighted mean,
     present only when every source has them (rows-only check: the
     reference's merge is itself an approximation)."""
-    frames, _, _ = merged(spark, sf_dir)
-    fr = frames.withColumnRenamed("state", "observation.state")
+    fr = source_frames(spark, sf_dir).withColumnRenamed("state", "observation.state")
     part = S.vector_stats(fr, ["observation.state", "action"], ["task", "nation"], quantiles=True)
     m = S.merge_stats(part)
     return m.select("feature", "pos", *[r6(F.col(q)).alias(q) for q in S.QUANTILES])
