@@ -23,7 +23,8 @@ def normalize_to_ns(raw: str | Column) -> Column:
 
     abs >= 1e17 -> ns, >= 1e14 -> us, >= 1e11 -> ms, else seconds.  The value
     goes through double (as the reference does) and truncates toward zero;
-    unparseable input gives null."""
+    unparseable input, and a value outside the BIGINT nanosecond range, give
+    null."""
     c = F.col(raw) if isinstance(raw, str) else raw
     x = c.cast("string").try_cast("double")
     a = F.abs(x)
@@ -32,7 +33,10 @@ def normalize_to_ns(raw: str | Column) -> Column:
               .when(a >= 1e11, x * 1e6)
               .otherwise(x * 1e9))
     ok = x.isNotNull() & ~F.isnan(x) & (a != F.lit(float("inf")))
-    return F.when(ok, scaled.cast("long"))
+    # a stamp whose nanoseconds fall outside BIGINT is null, not clamped
+    # (2^63 itself passes the JVM's own range check, hence the explicit bounds)
+    in_range = (scaled < F.lit(float(2 ** 63))) & (scaled >= F.lit(-float(2 ** 63)))
+    return F.when(ok & in_range, scaled.cast("long"))
 
 
 def header_stamp(sec: str | Column, nanosec: str | Column, arrival: str | Column) -> Column:
