@@ -92,3 +92,17 @@ def missing_data_keys(present: DataFrame, keys: list[tuple[str, str]], rec: str
     sev = F.create_map(*[F.lit(x) for kv in keys for x in kv])
     m = missing_required(present, [k for k, _ in keys], rec, "field", all_recordings)
     return m.select(rec, F.col("missing").alias("data_key"), F.element_at(sev, F.col("missing")).alias("severity"))
+
+
+def empty_after_alignment(frames: DataFrame, fields: list[str], rec: str = REC,
+                          severity: dict[str, str] | None = None) -> DataFrame:
+    """J10, after alignment: per recording, the aligned fields with no value
+    in any frame (one aggregation over the frames), with severity
+    (default 'error'; e.g. master-arm keys 'warn')."""
+    severity = severity or {}
+    agg = frames.groupBy(rec).agg(*[F.count(F.col(f"`{f}`")).alias(f"_n{i}") for i, f in enumerate(fields)])
+    pairs = F.array(*[F.struct(F.lit(f).alias("data_key"), F.col(f"_n{i}").alias("_n"),
+                               F.lit(severity.get(f, "error")).alias("severity"))
+                      for i, f in enumerate(fields)])
+    return (agg.select(rec, F.inline(pairs)).where(F.col("_n") == 0)
+            .select(rec, "data_key", "severity"))

@@ -160,3 +160,11 @@ def test_quantiles_present_only_when_all_sources_have_them(spark):
     r = S.merge_stats(parts).first()
     assert r["q50"] is None and r["mean"] == pytest.approx(1.75)
     assert r["std"] == pytest.approx(math.sqrt(0.25 * (0.25 + 1) + 0.75 * (0.25 + 4) - 1.75 ** 2))
+
+
+def test_empty_after_alignment(spark):
+    from episodeframe.operators.selecting import empty_after_alignment
+    df = spark.createDataFrame([(1, 0, 1.0, None), (1, 1, 2.0, None), (2, 0, None, 3.0)],
+                               "recording_id long, frame_index long, a double, master_arm double")
+    got = sorted(tuple(r) for r in empty_after_alignment(df, ["a", "master_arm"], severity={"master_arm": "warn"}).collect())
+    assert got == [(1, "master_arm", "warn"), (2, "a", "error")]
