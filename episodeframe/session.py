@@ -47,11 +47,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
     as-is.  Local tests have none, so a fresh scratch folder is created.
     """
-    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or \
-        spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) \
+        or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="episodeframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
