@@ -23,13 +23,15 @@ def aligned_frames(messages: DataFrame, methods: dict[str, str], step_ns: int,
     streams (or ``window_streams``), as the reference does over every
     non-empty configured stream."""
     streams = list(window_streams or methods)
-    m = messages.where(F.col(A.STREAM).isin(streams))
-    # One row per recording; written once so the grid and the frame
-    # assignment do not each re-scan the raw messages for it.
-    params = A.grid_params(A.sampling_window(m), step_ns, max_frames)
+    m = messages.where(F.col(A.STREAM).isin(streams) & F.col(A.TS).isNotNull())
+    # One row per (recording, stream), written once: the window, the grid,
+    # the frame assignment and the interpolation clamp all read it, so the
+    # raw messages are scanned once for it (pruned to three columns).
+    ext = cut_lineage(A.stream_extents(m))
+    params = A.grid_params(A.window_from_extents(ext), step_ns, max_frames)
     grid = A.frame_grid(params)
     return A.align_frames(messages, grid, A.AlignSpec(methods, payload or ["value"]), params=params,
-                          keep_block=keep_block)
+                          keep_block=keep_block, extents=ext)
 
 
 def state_action_frames(messages: DataFrame, layout: list[FieldSpec], methods: dict[str, str],
