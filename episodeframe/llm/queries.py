@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodeframe.llm import langid, mixing, packing, simhash, toxicity
+from episodeframe.llm import ann, covertree, hostrep, langid, licences, mixing, packing, simhash, toxicity, warc
 from episodeframe.llm.common import id_crc
 
 
@@ -63,6 +63,38 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_language": op2_language, "op4_simhash": op4_simhash,
-           "op5_packing": op5_packing, "op8_mixing": op8_mixing}
+#: Fixed values of the url contract.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+             ("block", "com/de/")]
+
+
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of a page: bad if the labels call the document of its number
+    toxic or of low quality."""
+    bad = F.greatest("toxic", 1 - F.col("quality")).cast("int")
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return hostrep.judge(table(spark, sf_dir, "pages"), outcomes, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
+def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.link(table(spark, sf_dir, "embeddings"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read(warc.archive(table(spark, sf_dir, "pages"))).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_language": op2_language, "op3_urls": op3_urls, "op4_simhash": op4_simhash,
+           "op5_packing": op5_packing, "op6_neighbours": op6_neighbours, "op7_licences": op7_licences,
+           "op8_mixing": op8_mixing, "op9_cover_tree": op9_cover_tree, "op10_warc": op10_warc}
 ORACLES: dict[str, str] = {}
