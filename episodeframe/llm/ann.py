@@ -31,7 +31,7 @@ class Index:
     tables: int = 8
     projections: int = 4
     width: float = 1.0
-    probes: int = 36
+    probes: int = 48
     seed: int = 6
 
     def cells(self, x: np.ndarray, table: int) -> np.ndarray:
@@ -125,7 +125,6 @@ def _rank_buckets(batches: Iterator[pa.RecordBatch], keep: int, block: int = 256
                 yield from done()
                 key, queries, best = (b[s], salt[s]), [], []
             for rows, x in here:
-                x = x / 1.0
                 for i in range(0, len(rows), block) if side[s] == 0 else ():
                     part = rows[i:i + block]
                     queries.append((ids[s:e][part], x[i:i + block]))

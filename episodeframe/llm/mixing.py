@@ -11,13 +11,17 @@ documents are shuffled within the shard.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from episodeframe.llm.common import cut_lineage, fresh, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
+_BACK, _ON = 12, 24  # blocks of a part pass that are chosen anew
 
 
 def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = WEIGHTS,
@@ -68,6 +72,39 @@ def _pass_order(seed: int, passes: Column) -> Column:
     return F.xxhash64(F.lit(seed), passes, "block")
 
 
+def nearest_subset(words: list[int], goal: float, units: int = 1_000_000) -> list[int]:
+    """Positions of a subset of ``words`` whose sum comes nearest to ``goal``
+    (subset sums as bits of an integer, in at most ``units`` steps)."""
+    unit = max(1, math.ceil(sum(words) / units))
+    scaled, sums = [round(w / unit) for w in words], [1]
+    for w in scaled:
+        sums.append(sums[-1] | sums[-1] << w)
+    want, reach = max(0, round(goal / unit)), sums[-1]
+    below = (reach & ((1 << want + 1) - 1)).bit_length() - 1
+    above = reach >> want
+    above = want + (above & -above).bit_length() - 1 if above else below
+    at, out = (below if want - below <= above - want else above), []
+    for i in range(len(words) - 1, -1, -1):
+        if not sums[i] >> at & 1:
+            out.append(i)
+            at -= scaled[i]
+    return out
+
+
+def _part_pass(blocks: pd.DataFrame) -> pd.DataFrame:
+    """Blocks of a source's part pass: in permuted order while they fit, then
+    the last taken (``_BACK``) and the next (``_ON``) are chosen anew so that
+    the words come nearest to the rest.  At most ``blocks`` rows a source."""
+    b = blocks.sort_values(["ord", "block"], ignore_index=True)
+    rest = float(b["rest"].iloc[0])
+    fit = int((b["words"].cumsum() <= rest).sum())
+    low = max(0, fit - _BACK)
+    free = b["words"].iloc[low:fit + _ON].astype(int).tolist()
+    chosen = [*range(low), *(low + i for i in nearest_subset(free, rest - float(b["words"].iloc[:low].sum())))]
+    b = b.iloc[sorted(chosen)]
+    return pd.DataFrame({"source": b["source"], "pass": b["passes"], "block": b["block"], "ord": b["ord"]})
+
+
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          weights: tuple[float, ...] = WEIGHTS, most: float = 3.0, blocks: int = 4096, shards: int = 256,
          seed: int = 20) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -75,9 +112,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
     documents: one row per row of ``docs``: id, source, size, ``key`` (hash of
     the row's id and text), ``block``.  sources: source, source_size, target.
-    draws: (source, pass, block, shard, partial, cut): block ``block`` goes to
-    ``shard`` once more; a ``partial`` block gives only documents with
-    ``key <= cut``.  At most ``blocks`` blocks a source, so draws have at most
+    draws: (source, pass, block, shard): the block's documents go to ``shard``
+    once more.  At most ``blocks`` blocks a source, so draws have at most
     (most + 1) x blocks rows a source; the driver sees one row per source.
     """
     spark = docs.sparkSession
@@ -91,25 +127,13 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     rows = [(s, n, float(goal[s]), int(goal[s] // n) if n else 0) for s, n in sizes]
     sources = spark.createDataFrame(rows, "source string, source_size long, target double, passes int")
     rest = F.col("target") - F.col("passes") * F.col("source_size")
-    # blocks of every pass; of the last (part) pass those that fit, then one in part
     each = per_block.join(F.broadcast(sources), per_block["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    whole = each.select("source", F.explode(F.expr("sequence(0, passes)")).alias("pass"), "passes", "block", "words",
-                        rest.alias("rest")).withColumn("ord", _pass_order(seed, F.col("pass")))
-    by = Window.partitionBy("source", "pass").orderBy("ord", "block")
-    seen = whole.withColumn("sum", F.sum("words").over(by)).withColumn("place", F.row_number().over(by) - 1)
-    taken = cut_lineage(seen.where((F.col("pass") < F.col("passes")) | (F.col("sum") - F.col("words") < F.col("rest")))
-                        .withColumn("partial", (F.col("pass") == F.col("passes")) & (F.col("sum") > F.col("rest")))
-                        .select("source", "pass", "block", "place", "partial",
-                                (F.col("rest") - F.col("sum") + F.col("words")).alias("room")))
-    # of the part block the documents, by key, that come nearest to the target
-    part = taken.where("partial").select("source", "block", "room")
-    docs_in = (meta.join(F.broadcast(part), meta["source"].eqNullSafe(part["source"]) & (meta["block"] == part["block"]))
-               .groupBy(meta["source"], "key").agg(F.sum("size").alias("words"), F.first("room").alias("room")))
-    key_order = Window.partitionBy("source").orderBy("key")
-    cuts = (docs_in.withColumn("sum", F.sum("words").over(key_order))
-            .where(F.col("sum") - F.col("words") / 2 <= F.col("room")).groupBy("source").agg(F.max("key").alias("cut")))
-    taken = taken.join(F.broadcast(cuts), taken["source"].eqNullSafe(cuts["source"]) & taken["partial"], "left").drop(cuts["source"])
-    taken = taken.where("not partial or cut is not null")
+    kind = "source string, pass int, block long, ord long"
+    whole = (each.where("passes > 0").select("source", F.explode(F.expr("sequence(0, passes - 1)")).alias("pass"), "block")
+             .withColumn("ord", _pass_order(seed, F.col("pass"))))
+    part = (each.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size")).where("rest > 0")
+            .withColumn("ord", _pass_order(seed, F.col("passes"))).groupBy("source").applyInPandas(_part_pass, kind))
+    taken = cut_lineage(whole.select("source", "pass", "block", "ord").union(part))
     # the splitting tree over the exact quotas; shards own runs of the permuted blocks
     quota = {r[0]: r[1] for r in taken.groupBy("source").count().collect()}
     names = sorted(quota, key=lambda s: (s is None, s or ""))
@@ -118,21 +142,20 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     for k, s in enumerate(names):
         runs += [(s, i, int(ends[i, k] - share[i, k]), int(ends[i, k])) for i in range(shards) if share[i, k]]
     runs_df = spark.createDataFrame(runs, "source string, shard int, low long, high long")
-    nth = taken.withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy("pass", "place")) - 1)
+    nth = taken.withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy("pass", "ord", "block")) - 1)
     draws = nth.join(F.broadcast(runs_df), nth["source"].eqNullSafe(runs_df["source"]) & (F.col("n") >= F.col("low"))
-                     & (F.col("n") < F.col("high"))).select(nth["source"], "pass", "block", "shard", "partial", "cut")
+                     & (F.col("n") < F.col("high"))).select(nth["source"], "pass", "block", "shard")
     return meta, sources, cut_lineage(draws)
 
 
-def _drawn(rows: DataFrame, draws: DataFrame, source: str, block: str, key: str, broadcast_rows: int = 500_000) -> DataFrame:
+def _drawn(rows: DataFrame, draws: DataFrame, source: str, block: str, broadcast_rows: int = 500_000) -> DataFrame:
     """``rows`` joined to their draws (struct array ``_draws``)."""
     lists = draws.groupBy(F.col("source").alias("_s"), F.col("block").alias("_b")).agg(
-        F.sort_array(F.collect_list(F.struct("shard", "pass", "partial", "cut"))).alias("_draws"))
+        F.sort_array(F.collect_list(F.struct("shard", "pass"))).alias("_draws"))
     if draws.count() <= broadcast_rows:  # at most 4 x blocks rows a source
         lists = F.broadcast(lists)
     out = rows.join(lists, F.col(source).eqNullSafe(F.col("_s")) & (F.col(block) == F.col("_b")), "left").drop("_s", "_b")
-    mine = F.filter("_draws", lambda d: ~d["partial"] | (F.col(key) <= d["cut"]))
-    return out.withColumn("_draws", F.coalesce(mine, F.array().cast("array<struct<shard:int,pass:int,partial:boolean,cut:bigint>>")))
+    return out.withColumn("_draws", F.coalesce("_draws", F.array().cast("array<struct<shard:int,pass:int>>")))
 
 
 def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -146,7 +169,7 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     row exceeds ``most`` times its size.  Reruns agree: all choices are hashes.
     """
     meta, sources, draws = plan(docs, id_col, text_col, source_col, **options)
-    rows = _drawn(meta, draws, "source", "block", "key").withColumn("copies", F.size("_draws"))
+    rows = _drawn(meta, draws, "source", "block").withColumn("copies", F.size("_draws"))
     rows = rows.join(F.broadcast(sources), rows["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     return rows.select(F.col("id").alias(id_col), rows["source"].alias(source_col), "size", "source_size", "target",
                        "copies", (F.col("size") * F.col("copies")).alias("taken"))
@@ -162,7 +185,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = (docs.withColumn(s, F.col(source_col).cast("string"))
             .withColumn(k, F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)))
             .withColumn(b, F.pmod(F.xxhash64(k), F.lit(blocks))))
-    out = _drawn(rows, draws, s, b, k).withColumn("_d", F.explode("_draws"))
+    out = _drawn(rows, draws, s, b).withColumn("_d", F.explode("_draws"))
     out = (out.withColumn(shard_col or "_shard", F.col("_d")["shard"])
            .withColumn(o, F.xxhash64(F.lit(seed + 1), F.col("_d")["shard"], F.col("_d")["pass"], F.col(k))))
     shard = shard_col or "_shard"
