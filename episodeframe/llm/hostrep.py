@@ -62,7 +62,7 @@ def _strength(groups: DataFrame) -> float:
     excess = F.sum(F.pow(F.col("k") - F.col("n") * F.col("parent"), 2) / (F.col("n") * var))
     g, n, s = groups.where("n > 0").agg(F.count(F.lit(1)), F.sum("n"), excess).first()
     if not g or n <= g:
-        return 99.0
+        return 4.0  # nothing to estimate it from
     return 1 / min(max((s - g) / (n - g), 0.01), 0.9) - 1
 
 

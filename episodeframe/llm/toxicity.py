@@ -204,13 +204,18 @@ def _calibrate(model: ToxicModel, words: DataFrame, sample: DataFrame, n: dict[i
              .mapInPandas(gains, "length int, gain int, docs long")
              .groupBy("length", "gain").agg(F.sum("docs").alias("docs")).collect())
     # Share of ordinary documents with a window of about this length and at
-    # least this gain; neighbouring lengths are pooled to steady the counts.
+    # least this gain; neighbouring lengths are pooled until they hold a
+    # twentieth of all windows, so that a rare length is no surprise by itself.
     most = max((g for _, g, _ in table), default=0) + 2
     counts = np.zeros((_LONGEST + 1, most))
     for length, gain, docs in table:
         counts[length, gain] += docs
+    held = counts.sum(1).cumsum()
     for length in range(_LONGEST + 1):
-        near = counts[max(0, length - 1):length + 2].sum(0)
+        low, high = max(0, length - 1), min(_LONGEST, length + 1)
+        while held[high] - (held[low - 1] if low else 0) < held[-1] / 20 and (low or high < _LONGEST):
+            low, high = max(0, low - 1), min(_LONGEST, high + 1)
+        near = counts[low:high + 1].sum(0)
         above = near[::-1].cumsum()[::-1]
         share = (above + 0.3) / n[0]
         model.surprise[length] = [max(0.0, -math.log10(min(1.0, s))) for s in share]
