@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from episodeframe.operators.blocks import (BLK, DEFAULT_BLOCK, HALO, Scan, block_of, carry_scan,
-                                           drop_halo, halo_blocks, halo_window)
+                                           drop_halo, halo_blocks, halo_window, null_safe_join)
 
 
 def next_state(df: DataFrame, keys: list[str], index: str, cols: dict[str, str],
                block: int = DEFAULT_BLOCK) -> DataFrame:
     """``out[t] = state[t+1]`` inside the episode; the last frame
-    repeats its own state.  ``cols`` maps output -> state column.
+    repeats its own state.  ``cols`` maps output -> state column.  ``keys``
+    must name one episode; null keys are values like any other.
 
     The lead is taken inside each ``(keys, _blk)`` block; the last row of a
     block takes the first row of the next block from a one-row-per-block
@@ -27,12 +28,11 @@ def next_state(df: DataFrame, keys: list[str], index: str, cols: dict[str, str],
     d = df if BLK in df.columns else df.withColumn(BLK, block_of(index, block))
     w = Window.partitionBy(*keys, BLK).orderBy(index)
     srcs = list(dict.fromkeys(cols.values()))
-    nxt = F.lead(F.struct(*[F.col(c).alias(c) for c in srcs]), 1).over(w)
-    d = d.withColumn("_nx", nxt)
-    heads = (d.groupBy(*keys, BLK)
-             .agg(F.min_by(F.struct(*[F.col(c).alias(c) for c in srcs]), F.col(index)).alias("_hd"))
+    here = F.struct(*[F.col(c).alias(c) for c in srcs])
+    d = d.withColumn("_nx", F.lead(here, 1).over(w))
+    heads = (d.groupBy(*keys, BLK).agg(F.min_by(here, F.col(index)).alias("_hd"))
              .withColumn(BLK, F.col(BLK) - 1))
-    d = d.join(heads, keys + [BLK], "left")
+    d = null_safe_join(d, heads, keys + [BLK])
     outs = [F.when(F.col("_nx").isNotNull(), F.col("_nx")[src])
             .when(F.col("_hd").isNotNull(), F.col("_hd")[src])
             .otherwise(F.col(src)).alias(out) for out, src in cols.items()]

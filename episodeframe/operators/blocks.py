@@ -54,6 +54,17 @@ class Scan:
     inclusive: bool = True
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left join in which null keys match each other; ``right`` has one row per
+    key and gives its other columns."""
+    names = {c: f"_r_{c}" for c in on}
+    r = right.select(*[F.col(c).alias(names[c]) for c in on], *[c for c in right.columns if c not in on])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & left[c].eqNullSafe(r[names[c]])
+    return left.join(r, cond, "left").drop(*names.values())
+
+
 def ordered_scan(df: DataFrame, keys: list[str], block_col: str | Column, order,
                  scans: list[Scan], keep_block: bool = False) -> DataFrame:
     """Run ``scans`` over rows ordered by ``order`` within ``keys``.
@@ -106,7 +117,7 @@ def ordered_scan(df: DataFrame, keys: list[str], block_col: str | Column, order,
         # This branch reads only the scanned columns (column pruning); inputs
         # that are costly to recompute are materialised by the caller.
         blocks = d.groupBy(*part).agg(*summary).select(*part, *carry)
-        out = out.join(blocks, on=part, how="left")
+        out = null_safe_join(out, blocks, part)
     finals = []
     for s in scans:
         lc, cc = F.col(f"_l_{s.out}"), F.col(f"_c_{s.out}")

@@ -1,19 +1,19 @@
 """Transform-tree queries.
 
 Edges are ``(child, parent)`` rows with an arrival key; the latest edge per
-child wins.  The walk from the roots is a recursive CTE, one join per tree
-level, with the path kept as an array so ordering by it gives the
-depth-first listing (children sorted by name).
+child wins.  The walk from the roots is one join per tree level, with the path
+kept as an array so ordering by it gives the depth-first listing (children
+sorted by name).
 """
 
 from __future__ import annotations
 
-import itertools
+import functools
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_ids = itertools.count()
+from episodeframe.session import cut_lineage
 
 
 def latest_edges(transforms: DataFrame, child: str = "child", order: list[str] | None = None) -> DataFrame:
@@ -41,17 +41,27 @@ def roots(edges: DataFrame, child: str = "child", parent: str = "parent") -> Dat
 
 def tree_walk(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
     """``(frame, root, depth, path)`` for every frame reachable from a
-    root; ordering by ``path`` gives the depth-first listing."""
-    spark = edges.sparkSession
-    n = next(_ids)
-    ev, rv = f"_ef_edges_{n}", f"_ef_roots_{n}"
-    edges.select(F.col(child).alias("child"), F.col(parent).alias("parent")).createOrReplaceTempView(ev)
-    roots(edges, child, parent).createOrReplaceTempView(rv)
-    return spark.sql(f"""
-        WITH RECURSIVE walk (frame, root, depth, path) AS (
-          SELECT frame, frame, 0, array(frame) FROM {rv}
-          UNION ALL
-          SELECT e.child, w.root, w.depth + 1, concat(w.path, array(e.child))
-          FROM walk w JOIN {ev} e ON e.parent = w.frame
-        )
-        SELECT frame, root, depth, path FROM walk""")
+    root; ordering by ``path`` gives the depth-first listing.
+
+    One equi-join per level, each level a written table, so neither the number
+    of rows nor the depth has a limit.  A frame that is already on its own path
+    is not entered again; frames on cycles without a root are what
+    ``unreached`` reports."""
+    e = cut_lineage(edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).where("_c is not null"))
+    level = roots(e, "_c", "_p").where("frame is not null").select(
+        "frame", F.col("frame").alias("root"), F.lit(0).alias("depth"), F.array("frame").alias("path"))
+    levels = []
+    while True:
+        level = cut_lineage(level)
+        if levels and level.isEmpty():
+            break
+        levels.append(level)
+        level = (level.join(e, F.col("frame") == F.col("_p")).where(~F.array_contains("path", F.col("_c")))
+                 .select(F.col("_c").alias("frame"), "root", (F.col("depth") + 1).alias("depth"),
+                         F.concat("path", F.array("_c")).alias("path")))
+    return functools.reduce(DataFrame.union, levels)
+
+
+def unreached(edges: DataFrame, walk: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
+    """Frames that no root reaches: they lie on or below a cycle."""
+    return frame_universe(edges, child, parent).where("frame is not null").join(walk.select("frame"), "frame", "left_anti")

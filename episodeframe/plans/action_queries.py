@@ -84,3 +84,17 @@ def relative_delta_actions(spark, sf_dir):
     return fr.select("recording_id", "frame_index",
                      *[r6(F.col("state")[i]).alias(f"rs{i}") for i in range(4)],
                      *[r6(F.col("action")[i]).alias(f"ra{i}") for i in range(4)])
+
+
+@register("next_state_blocks", """
+WITH e AS (SELECT CASE WHEN label % 3 = 0 THEN NULL ELSE CAST(label AS BIGINT) END AS episode, vec_id,
+                  CAST(embedding[1] AS DOUBLE) AS x FROM embeddings),
+i AS (SELECT *, row_number() OVER (PARTITION BY episode ORDER BY vec_id) - 1 AS idx FROM e)
+SELECT episode, idx, vec_id, coalesce(lead(x) OVER (PARTITION BY episode ORDER BY idx), x) AS action FROM i""")
+def next_state_blocks(spark, sf_dir):
+    """W1 across many small blocks, with a null episode key."""
+    e = table(spark, sf_dir, "embeddings").select(
+        F.when(F.col("label") % 3 != 0, F.col("label").cast("long")).alias("episode"), "vec_id",
+        F.col("embedding")[0].cast("double").alias("x"))
+    e = dense_index(e, ["episode"], ["vec_id"], "idx", block_col=block_of("vec_id", 64))
+    return next_state(e, ["episode"], "idx", {"action": "x"}, block=8).select("episode", "idx", "vec_id", "action")

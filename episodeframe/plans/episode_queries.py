@@ -62,13 +62,13 @@ us AS (SELECT recording_id, step_number, start_index, end_index, task FROM s2 WH
 sp AS (SELECT * FROM us UNION ALL
        SELECT recording_id, NULL, 0, n, '{FALLBACK_TASK}' FROM p
        WHERE recording_id NOT IN (SELECT recording_id FROM us)),
-ep AS (SELECT sp.recording_id, sp.step_number, sp.task, sp.start_index,
+ep AS (SELECT sp.recording_id, sp.step_number, sp.task, sp.start_index, sp.end_index,
               unnest(range(sp.start_index, sp.end_index)) AS frame_index FROM sp),
 j AS (SELECT ep.*, ep.frame_index - ep.start_index AS episode_frame_index, fr.s_click
       FROM ep JOIN fr ON fr.recording_id = ep.recording_id AND fr.frame_index = ep.frame_index)
 SELECT recording_id, step_number, episode_frame_index, frame_index, task, s_click,
        CASE WHEN lead(episode_frame_index) OVER w IS NULL THEN s_click ELSE lead(s_click) OVER w END AS a_click
-FROM j WINDOW w AS (PARTITION BY recording_id, step_number ORDER BY episode_frame_index)""")
+FROM j WINDOW w AS (PARTITION BY recording_id, start_index, end_index, step_number, task ORDER BY episode_frame_index)""")
 def episode_steps(spark, sf_dir):
     """J6 interval cut of the hourly frames by conversation steps (overlapping,
     so frames repeat), P13 stamps, P11 task text, W1 next state per episode."""
@@ -80,7 +80,7 @@ def episode_steps(spark, sf_dir):
     ranges = EP.step_ranges_on_grid(conversation_steps(spark, sf_dir, params), params)
     specs = EP.episode_specs(ranges, params, F.lit(FALLBACK_TASK))
     eps = EP.cut_episodes(frames, specs)
-    eps = next_state(eps, ["recording_id", "step_number"], "episode_frame_index", {"a_click": "s_click"})
+    eps = next_state(eps, ["recording_id", "start_index", "end_index", "step_number", "task"], "episode_frame_index", {"a_click": "s_click"})
     return eps.select("recording_id", "step_number", "episode_frame_index", "frame_index", "task",
                       r6(F.col("s_click")).alias("s_click"), r6(F.col("a_click")).alias("a_click"))
 
@@ -145,7 +145,8 @@ def task_names(spark, sf_dir):
 
 
 @register("platform_task_desc", """
-WITH d AS (SELECT doc_id, CASE WHEN n_chars <= 40 THEN text END AS direct, source, lang FROM documents)
+WITH d AS (SELECT doc_id, CASE WHEN toxic IS NULL THEN text END AS direct, source, lang
+           FROM documents LEFT JOIN (SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY 1) USING (doc_id))
 SELECT doc_id, coalesce(CASE WHEN length(trim(direct)) > 0 THEN trim(direct) END,
                         CASE WHEN concat_ws('；', nullif(trim(source), ''), nullif(trim(lang), '')) <> ''
                              THEN concat_ws('；', nullif(trim(source), ''), nullif(trim(lang), '')) END)
@@ -153,10 +154,11 @@ SELECT doc_id, coalesce(CASE WHEN length(trim(direct)) > 0 THEN trim(direct) END
        regexp_replace(trim(source), '[^\\p{L}\\p{N}_-]', '_', 'g') AS safe_source
 FROM d""")
 def platform_task_desc(spark, sf_dir):
-    """P12 task description from a raw task map (direct text for short
-    documents, else name / action joined by '；') and P21 safe ids."""
-    d = table(spark, sf_dir, "documents")
-    raw = F.create_map(F.lit("task_desc"), F.when(F.col("n_chars") <= 40, F.col("text")),
+    """P12 task description from a raw task map (the whole text of documents
+    without a label row, else name / action joined by '；') and P21 safe ids."""
+    labelled = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    d = table(spark, sf_dir, "documents").join(labelled, "doc_id", "left")
+    raw = F.create_map(F.lit("task_desc"), F.when(F.col("toxic").isNull(), F.col("text")),
                        F.lit("taskName"), F.col("source"), F.lit("actionDesc"), F.col("lang"))
     return d.select("doc_id", T.platform_task_description(raw).alias("task_description"),
                     T.safe_id(F.col("source")).alias("safe_source"))

@@ -102,7 +102,7 @@ def publish(messages: DataFrame, config: MappingConfig, out_root: str, task: str
                               F.lit(0).cast("long").alias("start_index"),
                               F.col("n_frames").alias("end_index"), F.lit(task).alias("task"))
     eps = EP.cut_episodes(frames, specs)
-    eps = next_state(eps, ["recording_id", "step_number"], "episode_frame_index", {"action": "state"})
+    eps = next_state(eps, ["recording_id", "start_index", "end_index", "step_number", "task"], "episode_frame_index", {"action": "state"})
     tasks = M.first_seen_order(eps.select("task", "recording_id", "start_index"), "task",
                                ["recording_id", "start_index"], "task_index")
     tasks = tasks.withColumn("task_index", F.col("task_index").cast("long"))

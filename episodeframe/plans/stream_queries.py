@@ -63,30 +63,24 @@ def accumulated_transforms(spark, sf_dir):
 
 
 @F.pandas_udf(T.BinaryType())
-def _pack_xyz(v: pd.Series) -> pd.Series:
-    """Pack the first 63 floats of a vector as 21 little-endian (x, y, z)
-    float32 points with a 4-byte pad (point_step 16)."""
-    def one(a):
-        pts = np.asarray(a[:63], dtype="<f4").reshape(21, 3)
-        out = np.zeros((21, 4), dtype="<f4")
-        out[:, :3] = pts
-        return out.tobytes()
-    return v.map(one)
+def _pack_points(v: pd.Series) -> pd.Series:
+    """A vector of 4 n floats as n little-endian float32 points (x, y, z, w)."""
+    return v.map(lambda a: np.asarray(a, dtype="<f4").tobytes())
 
 
 @register("point_cloud_explode", """
 SELECT vec_id AS cloud_id, CAST(p AS BIGINT) AS point_index,
-       round(CAST(embedding[3 * p + 1] AS DOUBLE), 6) AS x, round(CAST(embedding[3 * p + 2] AS DOUBLE), 6) AS y,
-       round(CAST(embedding[3 * p + 3] AS DOUBLE), 6) AS z
-FROM embeddings, range(0, 21) r(p)""")
+       round(CAST(embedding[4 * p + 1] AS DOUBLE), 6) AS x, round(CAST(embedding[4 * p + 2] AS DOUBLE), 6) AS y,
+       round(CAST(embedding[4 * p + 3] AS DOUBLE), 6) AS z, round(CAST(embedding[4 * p + 4] AS DOUBLE), 6) AS w
+FROM embeddings, range(0, 16) r(p)""")
 def point_cloud_explode(spark, sf_dir):
-    """each embedding packed as a binary cloud of 21 points, exploded
-    back to rows by the vectorised decoder."""
+    """each embedding packed as a binary cloud of 16 points (all 64
+    elements), exploded back to rows by the vectorised decoder."""
     fields = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(4 * i).alias("offset"),
-                                F.lit(7).alias("datatype"), F.lit(1).alias("count")) for i, n in enumerate("xyz")])
+                                F.lit(7).alias("datatype"), F.lit(1).alias("count")) for i, n in enumerate("xyzw")])
     clouds = table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("cloud_id"), F.lit(21).alias("width"), F.lit(1).alias("height"),
-        F.lit(16).alias("point_step"), F.lit(False).alias("is_bigendian"), fields.alias("fields"),
-        _pack_xyz("embedding").alias("data"))
-    p = explode_points(clouds)
-    return p.select("cloud_id", "point_index", *[r6(F.col(c)).alias(c) for c in "xyz"])
+        F.col("vec_id").alias("cloud_id"), F.call_function("div", F.size("embedding"), F.lit(4)).cast("int").alias("width"),
+        F.lit(1).alias("height"), F.lit(16).alias("point_step"), F.lit(False).alias("is_bigendian"), fields.alias("fields"),
+        _pack_points("embedding").alias("data"))
+    p = explode_points(clouds, tuple("xyzw"))
+    return p.select("cloud_id", "point_index", *[r6(F.col(c)).alias(c) for c in "xyzw"])

@@ -108,24 +108,74 @@ def trajectory_upsample(spark, sf_dir):
     return u.select("traj", F.col("up_index"), *[r6(F.col("v")[i]).alias(f"d{i}") for i in range(7)])
 
 
-@register("smooth_savgol")
-def smooth_savgol(spark, sf_dir):
-    """Savitzky-Golay (window = odd(T/5), poly 2, polynomial ends) of
-    element 1 over each label trajectory (rows-only check)."""
+_TRAJ_SQL = """e AS (SELECT CAST(label AS BIGINT) AS traj, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS idx,
+              CAST(embedding[1] AS DOUBLE) AS x, count(*) OVER (PARTITION BY label) AS n FROM embeddings)"""
+
+
+def _element_rows(spark, sf_dir):
+    """Element 1 over each label trajectory."""
     e = table(spark, sf_dir, "embeddings").select(
         F.col("label").cast("long").alias("traj"), "vec_id", F.col("embedding")[0].alias("x"))
-    e = dense_index(e, ["traj"], ["vec_id"], "idx", block_col=block_of("vec_id", 1 << 16))
-    return TR.smoothen(e, ["traj"], "idx", "x", method="savgol")
+    return dense_index(e, ["traj"], ["vec_id"], "idx", block_col=block_of("vec_id", 1 << 16))
+
+
+def _savgol_sql(window: str) -> str:
+    """Quadratic fit over each row's window (moved inside the trajectory),
+    evaluated at the row; T >= 5."""
+    return f"""
+WITH {_TRAJ_SQL},
+w AS (SELECT *, ({window} - 1) // 2 AS m FROM e),
+s AS (SELECT traj, idx, m, least(greatest(idx - m, 0), n - 1 - 2 * m) + m AS c FROM w),
+k AS (SELECT s.traj, s.idx, any_value(s.m)::DOUBLE AS m, any_value(s.idx - s.c) AS v, sum(e.x) AS s0,
+             sum((e.idx - s.c) * e.x) AS s1, sum((e.idx - s.c) * (e.idx - s.c) * e.x) AS s2
+      FROM s JOIN e ON e.traj = s.traj AND e.idx BETWEEN s.c - s.m AND s.c + s.m GROUP BY 1, 2),
+q AS (SELECT *, 2 * m + 1 AS c0, m * (m + 1) * (2 * m + 1) / 3 AS c2,
+             m * (m + 1) * (2 * m + 1) * (3 * m * m + 3 * m - 1) / 15 AS c4 FROM k),
+a AS (SELECT *, (c0 * s2 - c2 * s0) / (c0 * c4 - c2 * c2) AS a2 FROM q)
+SELECT traj, idx, round((s0 - a2 * c2) / c0 + s1 / c2 * v + a2 * v * v, 4) + 0.0 AS smoothed FROM a"""
+
+
+@register("smooth_savgol", _savgol_sql(
+    "(CASE WHEN round_even(n / 5, 0) < 3 THEN 3 WHEN round_even(n / 5, 0) % 2 = 0 THEN round_even(n / 5, 0) + 1"
+    " ELSE round_even(n / 5, 0) END)::BIGINT"))
+def smooth_savgol(spark, sf_dir):
+    """Savitzky-Golay (window = odd(T/5), poly 2, polynomial ends)."""
+    s = TR.smoothen(_element_rows(spark, sf_dir), ["traj"], "idx", "x", method="savgol")
+    return s.withColumn("smoothed", F.round(F.col("smoothed").cast("double"), 4))
+
+
+@register("smooth_savgol_5", _savgol_sql("5"))
+def smooth_savgol_5(spark, sf_dir):
+    """W12 with a window of five rows."""
+    s = TR.smoothen(_element_rows(spark, sf_dir), ["traj"], "idx", "x", method="savgol", window=5)
+    return s.withColumn("smoothed", F.round(F.col("smoothed").cast("double"), 4))
+
 
+def _ema_sql(a: float) -> str:
+    return f"""
+WITH RECURSIVE {_TRAJ_SQL},
+f AS (SELECT traj, idx, x AS y FROM e WHERE idx = 0
+      UNION ALL SELECT e.traj, e.idx, {a} * e.x + {1 - a} * f.y FROM f JOIN e ON e.traj = f.traj AND e.idx = f.idx + 1),
+b AS (SELECT traj, idx, x AS y FROM e WHERE idx = n - 1
+      UNION ALL SELECT e.traj, e.idx, {a} * e.x + {1 - a} * b.y FROM b JOIN e ON e.traj = b.traj AND e.idx = b.idx - 1)
+SELECT f.traj, f.idx, round(0.5 * (f.y + b.y), 4) + 0.0 AS smoothed FROM f JOIN b USING (traj, idx)"""
 
-@register("smooth_ema")
+
+def _smooth_ema(spark, sf_dir, alpha):
+    s = TR.ema_two_sided(_element_rows(spark, sf_dir), ["traj"], "idx", "x", alpha=alpha, block=16)
+    return s.select("traj", "idx", F.round(F.col("smoothed").cast("double"), 4).alias("smoothed"))
+
+
+@register("smooth_ema", _ema_sql(0.25))
 def smooth_ema(spark, sf_dir):
-    """Two-sided EMA (alpha 0.25) of element 1 per label trajectory
-    (rows-only check)."""
-    e = table(spark, sf_dir, "embeddings").select(
-        F.col("label").cast("long").alias("traj"), "vec_id", F.col("embedding")[0].alias("x"))
-    e = dense_index(e, ["traj"], ["vec_id"], "idx", block_col=block_of("vec_id", 1 << 16))
-    return TR.smoothen(e, ["traj"], "idx", "x", method="ema")
+    """Two-sided EMA (alpha 0.25) of element 1 per label trajectory."""
+    return _smooth_ema(spark, sf_dir, 0.25)
+
+
+@register("smooth_ema_slow", _ema_sql(0.01))
+def smooth_ema_slow(spark, sf_dir):
+    """W11 with alpha 0.01: the memory spans every block."""
+    return _smooth_ema(spark, sf_dir, 0.01)
 
 
 # -- transform tree: customer -> nation -> region -> world

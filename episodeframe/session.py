@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a job should run with; applied only where the session leaves them unset.
+# Settings of a session that this package builds; a session that already runs keeps its own.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -16,23 +17,33 @@ DEFAULTS = {
     # Frame tables are narrow in bytes but sort-heavy; keep AQE from
     # coalescing them into one or two tasks.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
+_written: list[str] = []
+
+
+def _is_local(master: str) -> bool:
+    """Driver and tasks in one process (``local``, ``local[n]``, ``local[*]``)."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+
+
 def get_session(master: str | None = None, partitions: int = 8, app: str = "episodeframe") -> SparkSession:
-    """Return the active session or build a local one (tests, bench)."""
+    """Return the active session or build one.
+
+    ``DEFAULTS`` apply to a built session only; the number of shuffle
+    partitions and the driver's memory are set for local masters (tests,
+    bench) and left to the cluster's configuration otherwise."""
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
-    b = SparkSession.builder.appName(app)
+    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         b = b.master(master)
-    b = (b.config("spark.ui.enabled", "false")
-         .config("spark.sql.shuffle.partitions", str(partitions))
-         .config("spark.driver.memory", "16g"))
+    if _is_local(master or ""):
+        b = b.config("spark.sql.shuffle.partitions", str(partitions)).config("spark.driver.memory", "16g")
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -42,15 +53,17 @@ def get_session(master: str | None = None, partitions: int = 8, app: str = "epis
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a scratch one only when unset.
+    """Return the session's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as-is.  Local tests have none, so a fresh scratch folder is created.
-    """
+    Where none is configured a scratch folder is made for a local master; on a
+    cluster that is an error, because executors could not see each other's
+    files."""
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) \
         or sc.getCheckpointDir()
     if not d:
+        if not _is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="episodeframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
@@ -63,10 +76,21 @@ def cut_lineage(df: DataFrame, how: str = "table") -> DataFrame:
 
     ``how="table"`` writes a Parquet table (columnar, cheap to write and
     re-read, column-pruned by later readers); ``how="checkpoint"`` uses
-    ``DataFrame.checkpoint``."""
+    ``DataFrame.checkpoint``.  ``release_tables`` deletes the written tables."""
     d = ensure_checkpoint_dir(df.sparkSession)
     if how == "checkpoint":
         return df.checkpoint(eager=True)
     path = f"{d.rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _written.append(path)
     return df.sparkSession.read.parquet(path)
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete every table that ``cut_lineage`` wrote in this process; frames
+    that read them must not be used any more.  Returns how many."""
+    jvm, n = spark.sparkContext._jvm, len(_written)
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n

@@ -8,12 +8,14 @@ is safe) and to ``FieldSpec`` layouts used by the Column builders.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from episodeframe.functions.vectors import FieldSpec, check_action_width, validate_extractor
+from episodeframe.functions.decoders import DECODER_SCHEMAS
+from episodeframe.functions.vectors import Extractor, FieldSpec, validate_extractor
 
 TOPIC_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType(), False),
@@ -49,80 +51,129 @@ class MappingConfig:
         return sorted({t[1] for t in self.topics if t[5] == kind and t[3]})
 
 
-def _enabled(d: dict) -> bool:
-    return bool(d.get("enabled", True))
+class ConfigError(ValueError):
+    """All problems of a mapping config, one line each (``problems``)."""
 
+    def __init__(self, problems: list[str]):
+        super().__init__("; ".join(problems))
+        self.problems = problems
 
-def _candidates(cands: list, label: str) -> list[tuple[str, int]]:
-    out = []
-    for i, c in enumerate(cands or []):
-        if not isinstance(c, dict):
-            raise ValueError(f"{label}.candidates[{i}] must be a mapping")
-        if not _enabled(c):
-            continue
-        topic = str(c.get("topic", "")).strip()
-        if not topic:
-            raise ValueError(f"Config field '{label}.candidates[{i}].topic' is required")
-        pr = c.get("priority", i)
+
+#: Groups of topics: row kind by config key, and whether a field is required
+#: and must name a decoder unless it says otherwise.
+GROUPS = {"observations": ("observation", True, True), "cameras": ("camera", False, False)}
+
+
+class _Reader:
+    """Reads the plain data of a config; ``problems`` gathers what is wrong."""
+
+    def __init__(self):
+        self.problems: list[str] = []
+
+    def say(self, where: str, what: str) -> None:
+        self.problems.append(f"{where}: {what}")
+
+    def entries(self, where: str, found) -> list[tuple[str, dict]]:
+        """Enabled entries of a mapping or a list, each with its place."""
+        if found is None:
+            return []
+        pairs = found.items() if isinstance(found, dict) else enumerate(found) if isinstance(found, list) else None
+        if pairs is None:
+            self.say(where, "expected a mapping or a list")
+            return []
+        out = []
+        for name, entry in pairs:
+            place = f"{where}.{name}"
+            if not isinstance(entry, dict):
+                self.say(place, "expected a mapping")
+            elif entry.get("enabled", True):
+                out.append((place, entry))
+        return out
+
+    def text(self, where: str, entry: dict, key: str, needed: bool = True) -> str | None:
+        value = str(entry.get(key) or "").strip()
+        if not value and needed:
+            self.say(where, f"{key} is missing")
+        return value or None
+
+    def whole(self, where: str, entry: dict, key: str, default: int) -> int:
         try:
-            pr = int(pr)
-        except (TypeError, ValueError) as exc:
-            raise ValueError(f"{label}.candidates[{i}].priority must be an integer") from exc
-        out.append((topic, pr))
-    return out
-
-
-def _layout(section: dict | None, label: str) -> list[FieldSpec]:
-    out = []
-    for i, f in enumerate((section or {}).get("fields", []) or []):
-        if not isinstance(f, dict):
-            raise ValueError(f"{label}.fields[{i}] must be a mapping")
-        name = str(f.get("name", "")).strip()
-        if not name:
-            raise ValueError(f"{label}.fields[{i}].name is required")
-        ext = str(f.get("extractor", "")).strip()
-        validate_extractor(ext, f"{label}.fields[{i}]")
-        src = f.get("source")
-        if not ext.startswith("constant:") and not src:
-            raise ValueError(f"{label}.fields[{i}].source is required")
-        out.append(FieldSpec(name, str(src) if src else None, ext, _enabled(f)))
-    return out
+            return int(entry.get(key, default))
+        except (TypeError, ValueError):
+            self.say(where, f"{key} is not a whole number")
+            return default
+
+    def topics(self, section: dict) -> list[tuple[str, str, str | None, bool, int, str]]:
+        rows = []
+        for group, (kind, required, decoded) in GROUPS.items():
+            for place, entry in self.entries(f"topics.{group}", section.get(group)):
+                decoder = self.text(place, entry, "decoder", decoded)
+                if decoder is not None and decoded and decoder not in DECODER_SCHEMAS:
+                    self.say(place, f"unknown decoder {decoder!r}")
+                candidates = self.entries(f"{place}.candidates", entry.get("candidates"))
+                if not candidates:
+                    self.say(place, "no enabled candidate topic")
+                for spot, c in candidates:
+                    topic = self.text(spot, c, "topic")
+                    rows.append((topic, place.rsplit(".", 1)[-1], decoder, bool(entry.get("required", required)),
+                                 self.whole(spot, c, "priority", int(spot.rsplit(".", 1)[-1])), kind))
+        for topic, n in Counter(r[0] for r in rows if r[0]).items():
+            if n > 1:
+                self.say("topics", f"duplicate topic {topic!r}")
+        return rows
+
+    def layout(self, where: str, section: dict, sources: set[str]) -> list[FieldSpec]:
+        out = []
+        for place, entry in self.entries(f"{where}.fields", section.get("fields")):
+            name = self.text(place, entry, "name")
+            text = str(entry.get("extractor") or "").strip()
+            source = self.text(place, entry, "source", needed=not text.startswith("constant:"))
+            try:
+                Extractor.parse(text)
+            except ValueError as e:
+                self.say(place, str(e))
+            if source is not None and source not in sources:
+                self.say(place, f"source {source!r} is not an observation")
+            out.append(FieldSpec(name or "", source, text))
+        for name, n in Counter(f.name for f in out if f.name).items():
+            if n > 1:
+                self.say(where, f"duplicate field {name!r}")
+        return out
 
 
 def parse_mapping_config(cfg: dict) -> MappingConfig:
-    """Validate and compile a mapping config.
-
-    Disabled entries are dropped, a topic may feed only one field (duplicates
-    rejected), priority defaults to the candidate's list position,
-    observations are required unless stated, cameras are optional unless
-    stated, every extractor is checked, and the action width must equal the
-    state width in ``from_sources`` mode."""
-    topics_cfg = cfg.get("topics", {}) or {}
-    rows: list[tuple[str, str, str | None, bool, int, str]] = []
-    seen: set[str] = set()
-    for kind, key, req_default in (("observation", "observations", True), ("camera", "cameras", False)):
-        for fname, fc in (topics_cfg.get(key, {}) or {}).items():
-            if not isinstance(fc, dict) or not _enabled(fc):
-                continue
-            decoder = str(fc.get("decoder", "")).strip() or None
-            if kind == "observation" and not decoder:
-                raise ValueError(f"Config field 'topics.observations.{fname}.decoder' is required")
-            required = bool(fc.get("required", req_default))
-            for topic, pr in _candidates(fc.get("candidates", []), f"topics.{key}.{fname}"):
-                if topic in seen:
-                    raise ValueError(f"Duplicate {kind} topic in config: {topic}")
-                seen.add(topic)
-                rows.append((topic, str(fname), decoder, required, pr, kind))
-    state = _layout(cfg.get("state"), "state")
-    act_cfg = cfg.get("action", {}) or {}
-    mode = str(act_cfg.get("mode", "next_state"))
+    """Validate and compile a mapping config; ``ConfigError`` lists every problem.
+
+    Disabled entries are dropped, a topic may feed only one field, priority
+    defaults to the candidate's list position, observations are required and
+    need a known decoder, cameras are optional unless stated, layout fields
+    have distinct names and configured sources.  ``action.mode`` is
+    ``next_state`` (no fields) or ``from_sources`` (as many fields as the
+    state)."""
+    read = _Reader()
+    topics = read.topics(cfg.get("topics") or {})
+    sources = {t[1] for t in topics if t[5] == "observation"}
+    state = read.layout("state", cfg.get("state") or {}, sources)
+    section = cfg.get("action") or {}
+    mode = str(section.get("mode", ACTION_MODES[0]))
+    action = read.layout("action", section, sources)
+    if not state:
+        read.say("state", "the vector is empty")
     if mode not in ACTION_MODES:
-        raise ValueError(f"action.mode must be one of {ACTION_MODES}")
-    action = _layout(act_cfg, "action") if mode == "from_sources" else []
-    if mode == "from_sources":
-        check_action_width(state, action)
-    fps = float(cfg.get("fps", 30))
-    return MappingConfig(rows, state, action, mode, int(fps) if fps == int(fps) else fps)
+        read.say("action", f"unknown mode {mode!r}")
+    elif mode == "next_state" and action:
+        read.say("action", "next_state takes no fields")
+    elif mode == "from_sources" and len(action) != len(state):
+        read.say("action", f"width {len(action)} is not the state's width {len(state)}")
+    try:
+        fps = float(cfg.get("fps", 30))
+        if not fps > 0:
+            read.say("fps", "must be positive")
+    except (TypeError, ValueError):
+        read.say("fps", "is not a number")
+    if read.problems:
+        raise ConfigError(read.problems)
+    return MappingConfig(topics, state, action, mode, int(fps) if fps == int(fps) else fps)
 
 
 def load_yaml(path: str) -> dict:

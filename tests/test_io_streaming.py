@@ -31,12 +31,25 @@ def test_config_validation():
     assert m.required_fields() == ["arm"] and m.required_fields("camera") == []
     bad = json.loads(json.dumps(cfg))
     bad["topics"]["observations"]["opt"]["candidates"] = [{"topic": "/a"}]
-    with pytest.raises(ValueError, match="Duplicate"):
+    with pytest.raises(ValueError, match="duplicate topic"):
         C.parse_mapping_config(bad)
     bad = json.loads(json.dumps(cfg))
     bad["action"]["fields"] = bad["action"]["fields"][:1]
     with pytest.raises(ValueError, match="width"):
         C.parse_mapping_config(bad)
+    bad = {"topics": {"observations": {"arm": {"decoder": "jiont", "candidates": [{"topic": "/a", "priority": "x"}]},
+                                       "none": {"decoder": "float"}}},
+           "state": {"fields": [{"name": "j", "source": "arm", "extractor": "joint.position[-1]"},
+                                {"name": "j", "source": "leg", "extractor": "float.value"}]},
+           "action": {"mode": "next_state", "fields": [{"name": "a", "extractor": "constant:z"}]}}
+    with pytest.raises(C.ConfigError) as e:
+        C.parse_mapping_config(bad)
+    text = "\n".join(e.value.problems)
+    for part in ("unknown decoder 'jiont'", "priority is not a whole number", "no enabled candidate", "joint.position[-1]",
+                 "duplicate field 'j'", "source 'leg'", "next_state takes no fields", "constant"):
+        assert part in text
+    with pytest.raises(C.ConfigError, match="empty"):
+        C.parse_mapping_config({})
     sw = C.CollectionSwitches(slave_joint_names=["left_arm_joint_states"], enabled={"odometry", "head_rgb_stream"})
     assert sw.action_names() == ["left_arm_actions"]
     assert sw.data_keys() == ["left_arm_joint_states", "left_arm_actions", "odometry"]

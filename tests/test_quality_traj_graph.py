@@ -89,41 +89,79 @@ def test_upsample_counts_and_linear(spark):
     assert pose[6][3] == pytest.approx(0.15, abs=1e-3) and pose[6][5] == pytest.approx(0.2, abs=1e-9)
 
 
-@pytest.mark.parametrize("n", [2, 3, 4, 7, 23, 61])
-def test_smoothing_matches_numpy(spark, n):
+def ema_by_weights(x, a):
+    """Both averages written out as weighted sums of all values."""
+    n, x = len(x), np.asarray(x, np.float64)
+    one = lambda v: [sum((a if j else 1.0) * (1 - a) ** (t - j) * v[j] for j in range(t + 1)) for t in range(n)]
+    return 0.5 * (np.array(one(x)) + np.array(one(x[::-1]))[::-1])
+
+
+def fits_by_window(x, w, p):
+    """A least-squares polynomial over the window around each row (moved inside
+    the rows), evaluated at the row."""
+    n, m = len(x), w // 2
+    out = []
+    for t in range(n):
+        c = min(max(t, m), n - 1 - m)
+        j = np.arange(-m, m + 1) / m
+        out.append(np.polynomial.Polynomial.fit(j, x[c - m:c + m + 1], p, domain=[-1, 1], window=[-1, 1])((t - c) / m))
+    return out
+
+
+def smoothed(df):
+    return [r["smoothed"] for r in sorted(df.collect(), key=lambda r: r["i"])]
+
+
+@pytest.mark.parametrize("n, w", [(3, 3), (4, 3), (7, 3), (23, 5), (61, 13)])
+def test_smoothing_of_short_rows(spark, n, w):
     rnd = random.Random(n)
     vals = [rnd.random() for _ in range(n)]
-    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(vals)] + [(2, 0, 5.0)], "t long, i long, x double")
-    a = np.array(vals, dtype=np.float32)
-    sg = sorted((r["i"], r["smoothed"]) for r in TR.smoothen(df, ["t"], "i", "x").collect() if r["t"] == 1)
-    if n < 3:
-        exp = a
-    else:
-        w, p = TR.savgol_window(n)
-        exp = TR._savgol_np(a.astype(np.float64), w, p)
-    assert [v for _, v in sg] == pytest.approx(list(exp), abs=1e-5)
-    ema = sorted((r["i"], r["smoothed"]) for r in TR.smoothen(df, ["t"], "i", "x", method="ema").collect()
-                 if r["t"] == 1)
-    assert [v for _, v in ema] == pytest.approx(list(TR._ema_two_sided_np(a)), abs=1e-5)
-
-
-def test_ema_beyond_reach_and_blocks(spark):
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(vals)] + [(2, 0, 5.0), (2, 1, 6.0)], "t long, i long, x double")
+    a = np.array(vals, dtype=np.float32).astype(np.float64)
+    got = TR.smoothen(df, ["t"], "i", "x")
+    assert smoothed(got.where("t = 1")) == pytest.approx(fits_by_window(a, w, 2), abs=1e-5)
+    assert smoothed(got.where("t = 2")) == [5.0, 6.0]
+    assert smoothed(TR.smoothen(df, ["t"], "i", "x", method="ema").where("t = 1")) == pytest.approx(ema_by_weights(a, 0.25), abs=1e-5)
+
+
+@pytest.mark.parametrize("alpha, block", [(0.25, 128), (0.01, 128), (0.01, 7), (0.9, 1)])
+def test_ema_is_exact_across_blocks(spark, alpha, block):
     rnd = random.Random(11)
-    vals = [rnd.random() for _ in range(300)]
+    vals = [100 * rnd.random() for _ in range(300)]
+    df = spark.createDataFrame([(None, i, v) for i, v in enumerate(vals)], "t long, i long, x double")
+    exp = ema_by_weights(np.array(vals, dtype=np.float32), alpha)
+    assert smoothed(TR.ema_two_sided(df, ["t"], "i", "x", alpha=alpha, block=block)) == pytest.approx(exp, abs=1e-4)
+
+
+def test_ema_skips_nulls(spark):
+    vals = [None, 1.0, None, 3.0, None]
     df = spark.createDataFrame([(1, i, v) for i, v in enumerate(vals)], "t long, i long, x double")
-    got = sorted((r["i"], r["smoothed"]) for r in TR.ema_two_sided(df, ["t"], "i", "x", block=128).collect())
-    exp = TR._ema_two_sided_np(np.array(vals, dtype=np.float32))
-    assert [v for _, v in got] == pytest.approx(list(exp), abs=1e-5)
+    for block in (64, 2):
+        got = smoothed(TR.ema_two_sided(df, ["t"], "i", "x", alpha=0.5, block=block))
+        assert got == pytest.approx([(1 + 2) / 2, (1 + 2) / 2, (1 + 3) / 2, (2 + 3) / 2, (2 + 3) / 2])
 
 
-def test_savgol_large_window_blocks(spark):
+@pytest.mark.parametrize("window, poly", [(None, 2), (5, 2), (31, 5), (9, 4)])
+def test_savgol_of_any_window_and_degree(spark, window, poly):
     rnd = random.Random(12)
     vals = [rnd.gauss(0, 1) for _ in range(500)]
     df = spark.createDataFrame([(1, i, v) for i, v in enumerate(vals)], "t long, i long, x double")
-    got = sorted((r["i"], r["smoothed"]) for r in TR.savgol(df, ["t"], "i", "x", block=64).collect())
-    w, p = TR.savgol_window(500)
-    exp = TR._savgol_np(np.array(vals, dtype=np.float32).astype(np.float64), w, p)
-    assert [v for _, v in got] == pytest.approx(list(exp), abs=1e-4)
+    a = np.array(vals, dtype=np.float32).astype(np.float64)
+    got = smoothed(TR.savgol(df, ["t"], "i", "x", window=window, poly=poly, block=64, run=32))
+    assert got == pytest.approx(fits_by_window(a, window or 101, poly), abs=1e-5)
+
+
+def test_savgol_stays_exact_on_long_rows(spark):
+    n = 300_000
+    df = spark.range(n).select(F.lit(1).alias("t"), F.col("id").alias("i"), (5 + F.sin(F.col("id") * 0.7)).alias("x"))
+    got = TR.savgol(df, ["t"], "i", "x", window=5).where(f"i > {n - 1000}").orderBy("i").collect()
+    x = (5 + np.sin(np.arange(n) * 0.7)).astype(np.float32).astype(np.float64)
+    assert [r["smoothed"] for r in got] == pytest.approx(fits_by_window(x[-2000:], 5, 2)[-len(got):], abs=1e-5)
+
+
+def test_power_sums():
+    for m in (1, 2, 7, 40):
+        assert [TR.power_sum(m, k) for k in range(9)] == [sum(j ** k for j in range(-m, m + 1)) for k in range(9)]
 
 
 def test_transform_tree(spark):
@@ -139,6 +177,16 @@ def test_transform_tree(spark):
     assert G.frame_universe(latest).count() == 6
 
 
+def test_transform_tree_deep_and_with_a_cycle(spark):
+    deep = [(f"n{i + 1}", f"n{i}") for i in range(12)] + [("x", "y"), ("y", "z"), ("z", "x"), ("w", "x"), ("n1", "n5"), (None, "n0")]
+    df = spark.createDataFrame(deep, "child string, parent string")
+    spark.conf.set("spark.sql.cteRecursionRowLimit", 5)  # the walk has no such limit
+    walk = G.tree_walk(df)
+    assert {r["frame"]: r["depth"] for r in walk.collect()} == {f"n{i}": i for i in range(13)}
+    assert {r["frame"] for r in G.unreached(df, walk).collect()} == {"x", "y", "z", "w"}
+    assert G.tree_walk(df.limit(0)).count() == 0
+
+
 def test_quaternion_functions(spark):
     rnd = random.Random(3)
     rows = [(rnd.uniform(-1, 1), rnd.uniform(-1.4, 1.4), rnd.uniform(-3, 3)) for _ in range(20)]
