@@ -1,8 +1,8 @@
 """End-to-end publish: landed messages -> published dataset (Entry A + B).
 
     route (P1, J7) -> preferred topic (A1, A3) -> required check (J9)
-    -> decode (F11) -> sampling window + grid (A2, O2) -> align (J1-J5)
-    -> vectors (F8, F9) -> episodes (J6, P11) -> next-state action (W1)
+    -> decode (F11) -> sampling window + grid (A2, O2) -> align (J1, or J5)
+    -> vectors (F8, F9) -> episodes (J6, P11) -> action (W1 or from sources)
     -> renumber (W6, J11) -> frames / tasks / episodes / stats / info (K1-K5)
 
 The aligned frame table is cut from its lineage with a reliable checkpoint
@@ -26,6 +26,7 @@ from episodeframe.operators import merge as M
 from episodeframe.operators import selecting as SEL
 from episodeframe.operators import stats as S
 from episodeframe.operators.actions import next_state
+from episodeframe.operators.blocks import dense_index
 from episodeframe.session import cut_lineage
 from episodeframe.sinks import writers as W
 from episodeframe.sources.config import MappingConfig, topic_dim
@@ -58,36 +59,58 @@ def unified_payload(decoded: str = "decoded") -> list:
     ]
 
 
+CAMERA = "camera/"  # stream names of cameras, apart from the observations
+
+
 def align_recordings(messages: DataFrame, config: MappingConfig, joint_and_action: set[str] | None = None,
-                     max_frames: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Entry A up to aligned frames with ``state``; returns (frames, rejected
-    recordings with the missing required fields)."""
+                     max_frames: int | None = None, collector: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Entry A up to aligned frames; returns (frames, rejected recordings with
+    the missing required fields).
+
+    Observations and cameras both count for the sampling window and the
+    required check.  Every stream is sampled as of the frame (no future sample);
+    ``collector`` takes the collector's methods (J5) instead.  Frames hold
+    ``state``, with ``from_sources`` also ``action``, and ``camera_index``: per
+    camera the position of the sampled image in the camera's own order."""
     spark = messages.sparkSession
-    dim = topic_dim(spark, config).where(F.col("kind") == "observation")
+    dim = topic_dim(spark, config).withColumn("field", F.when(F.col("kind") == "camera", F.concat(F.lit(CAMERA), "field"))
+                                              .otherwise(F.col("field")))
     routed = SEL.route_topics(SEL.filter_topics(messages, config.topic_names()), dim)
     chosen = SEL.preferred_topics(SEL.topic_counts(routed)).where(F.col("selected_topic").isNotNull())
-    missing = SEL.missing_required(chosen.select("recording_id", "field"), config.required_fields(),
+    required = config.required_fields() + [CAMERA + c for c in config.required_fields("camera")]
+    missing = SEL.missing_required(chosen.select("recording_id", "field"), required,
                                    all_recordings=messages.select("recording_id"))
     rejected = missing.groupBy("recording_id").agg(F.array_sort(F.collect_set("missing")).alias("missing"))
     ok = (routed.join(chosen.select("recording_id", F.col("selected_topic").alias("topic")),
                       ["recording_id", "topic"], "left_semi")
           .join(rejected.select("recording_id"), "recording_id", "left_anti"))
-    dec = ok.withColumn("decoded", decode_routed("payload", "decoder")).select(
-        "recording_id", F.col("field").alias("stream"), "ts_ns", "seq", *unified_payload())
+    cameras = [CAMERA + c for c in config.fields("camera")]
+    seen = ok.where(F.col("kind") == "observation").withColumn("decoded", decode_routed("payload", "decoder")).select(
+        "recording_id", F.col("field").alias("stream"), "ts_ns", "seq", *unified_payload(),
+        F.lit(None).cast("long").alias("image_index"))
+    if cameras:
+        images = dense_index(ok.where(F.col("kind") == "camera"), ["recording_id", "field"], ["ts_ns", "seq"], "image_index")
+        blank = [F.lit(None).cast(seen.schema[c].dataType).alias(c) for c in PAYLOAD]
+        seen = seen.union(images.select("recording_id", F.col("field").alias("stream"), "ts_ns", "seq", *blank, "image_index"))
     fields = config.fields("observation")
-    methods = {f: A.method_for(f, joint_and_action or set()) for f in fields}
-    ext = cut_lineage(A.stream_extents(dec))
+    methods = {f: A.method_for(f, joint_and_action or set()) if collector else A.ASOF for f in fields}
+    methods |= {c: A.ASOF for c in cameras}
+    ext = cut_lineage(A.stream_extents(seen))
     params = A.grid_params(A.window_from_extents(ext), A.fps_step_ns(config.fps), max_frames)
-    fr = A.align_frames(dec, A.frame_grid(params), A.AlignSpec(methods, PAYLOAD), params=params, extents=ext)
-    fr = fr.withColumn("state", build_vector(fr, config.state))
-    return fr.select("recording_id", "frame_index", "t_ns", "state"), rejected
+    fr = A.align_frames(seen, A.frame_grid(params), A.AlignSpec(methods, [*PAYLOAD, "image_index"]), params=params, extents=ext)
+    out = [build_vector(fr, config.state).alias("state")]
+    if config.action_mode == "from_sources":
+        out.append(build_vector(fr, config.action).alias("action"))
+    index = [x for c in cameras for x in (F.lit(c.removeprefix(CAMERA)), F.col(f"`{c}`")["image_index"])]
+    out.append((F.create_map(*index) if index else F.create_map().cast("map<string,bigint>")).alias("camera_index"))
+    return fr.select("recording_id", "frame_index", "t_ns", *out), rejected
 
 
 def publish(messages: DataFrame, config: MappingConfig, out_root: str, task: str = "default task",
             steps: DataFrame | None = None, checkpoint: bool = True,
-            joint_and_action: set[str] | None = None) -> Published:
+            joint_and_action: set[str] | None = None, collector: bool = False) -> Published:
     """Run Entry A + B and write the dataset under ``out_root``."""
-    frames, rejected = align_recordings(messages, config, joint_and_action)
+    frames, rejected = align_recordings(messages, config, joint_and_action, collector=collector)
     if checkpoint:
         frames = cut_lineage(frames)
     spark = messages.sparkSession
@@ -102,7 +125,9 @@ def publish(messages: DataFrame, config: MappingConfig, out_root: str, task: str
                               F.lit(0).cast("long").alias("start_index"),
                               F.col("n_frames").alias("end_index"), F.lit(task).alias("task"))
     eps = EP.cut_episodes(frames, specs)
-    eps = next_state(eps, ["recording_id", "start_index", "end_index", "step_number", "task"], "episode_frame_index", {"action": "state"})
+    if config.action_mode == "next_state":
+        eps = next_state(eps, ["recording_id", "start_index", "end_index", "step_number", "task"], "episode_frame_index",
+                         {"action": "state"})
     tasks = M.first_seen_order(eps.select("task", "recording_id", "start_index"), "task",
                                ["recording_id", "start_index"], "task_index")
     tasks = tasks.withColumn("task_index", F.col("task_index").cast("long"))
@@ -114,7 +139,8 @@ def publish(messages: DataFrame, config: MappingConfig, out_root: str, task: str
                                block=F.col("recording_id"))
     out = out.select((F.col("episode_frame_index") / F.lit(float(config.fps))).alias("timestamp"),
                      "frame_index", "episode_index", "index", "task_index",
-                     F.col("state").alias("observation.state"), "action")
+                     F.col("state").alias("observation.state"), "action",
+                     *[F.col("camera_index")[c].alias(f"observation.images.{c}.index") for c in config.fields("camera")])
     episodes = episodes.join(eps.select("episode_key", "task").distinct(), "episode_key").drop("episode_key")
     W.write_frames(out, out_root)
     W.write_tasks(tasks, out_root)
