@@ -209,9 +209,10 @@ def pad_or_truncate(v: Column, n: int, fill: float = 0.0) -> Column:
 
 def reshape(flat: Column, d: int) -> Column:
     """flat vector -> array of rows of width ``d`` (the last row may be
-    short)."""
-    rows = F.ceil(F.size(flat) / F.lit(d)).cast("int")
-    return F.transform(F.sequence(F.lit(0), rows - 1), lambda i: F.slice(flat, i * d + 1, d))
+    short; an empty vector has no rows)."""
+    last = F.greatest(F.ceil(F.size(flat) / F.lit(d)).cast("int") - 1, F.lit(0))
+    rows = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(flat, i * d + 1, d))
+    return F.filter(rows, lambda r: F.size(r) > 0)
 
 
 def hold_last(v: Column, i: Column) -> Column:

@@ -65,11 +65,12 @@ def clamp_to_limits(v: Column, lower: Column, upper: Column) -> Column:
 
 
 def limit_violations(v: Column, lower: Column, upper: Column) -> Column:
-    """Indices (0-based) of elements outside their limits."""
+    """Indices (0-based) of elements outside their limits; none for an
+    empty vector."""
     flags = F.zip_with(F.zip_with(v, lower, lambda x, lo: x < lo), F.zip_with(v, upper, lambda x, hi: x > hi),
                        lambda a, b: a | b)
-    idx = F.sequence(F.lit(0), F.size(v) - 1)
-    return F.filter(idx, lambda i: F.element_at(flags, i + 1))
+    idx = F.sequence(F.lit(0), F.greatest(F.size(v) - 1, F.lit(0)))
+    return F.filter(idx, lambda i: F.get(flags, i))
 
 
 def count_mismatch(n_images: Column, n_states: Column) -> Column:

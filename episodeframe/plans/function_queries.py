@@ -130,7 +130,7 @@ def vector_functions(spark, sf_dir):
                  V.max_abs_delta(a6, b6).alias("mad"), V.distance(a6, b6).alias("dist"),
                  V.minmax_255(F.slice("embedding", 1, 8).cast("array<double>")).alias("mm"),
                  (F.size(F.filter("embedding", lambda x: x > 0)) != 32).alias("width_reject"),
-                 sel.alias("sel"), V.flatten_sorted_map(mp).alias("flat"))
+                 sel.alias("sel"), V.flatten_sorted_map(mp).alias("flat"), F.size("embedding").alias("n_src"))
     out = [F.col("vec_id")]
     for i in range(10):
         out.append(r6(F.col("vec")[i]).alias(f"v{i}"))
@@ -138,7 +138,7 @@ def vector_functions(spark, sf_dir):
             r6(F.aggregate("p7", F.lit(0.0), lambda a, x: a + x)).alias("pose7_sum"),
             r6(F.aggregate(F.slice("o13", 8, 6), F.lit(0.0), lambda a, x: a + x)).alias("twist_sum"),
             r6(F.aggregate("pad", F.lit(0.0), lambda a, x: a + x)).alias("pad12_sum"),
-            F.lit(64).alias("pad12_len_src"), F.size("rs").alias("reshape_rows"),
+            F.col("n_src").alias("pad12_len_src"), F.size("rs").alias("reshape_rows"),
             r6(F.col("hl")).alias("hold_last"), r6(F.col("mad")).alias("max_abs_delta"),
             r6(F.col("dist")).alias("distance"), r6(F.col("mm")[0]).alias("scaled0"), F.col("width_reject"),
             r6(F.col("sel")[0]).alias("sel_j3"), r6(F.col("sel")[1]).alias("sel_j1"),
@@ -225,3 +225,37 @@ def decode_payloads(spark, sf_dir):
     return d.select("vec_id", r6(F.col("p.position.x")).alias("px"), r6(F.col("p.orientation.w")).alias("qw"),
                     r6(F.col("j.positions")[2]).alias("j2"), F.size("j.positions").alias("n_joints"),
                     r6(F.col("f.value")).alias("value"), F.col("b.value").alias("bad"))
+
+
+@register("sensor_vectors", f"""
+SELECT vec_id, round({_ed(0)}, 6) AS i0, round({_ed(3)}, 6) AS i3, round({_ed(6)}, 6) AS i6, round({_ed(9)}, 6) AS i9, 10 AS imu_width,
+       round({_ed(10)}, 6) AS p0, round({_ed(12)}, 6) AS p2, round({_yaw_sql(_ed(0), _ed(1), _ed(2), _ed(3))}, 6) AS p5,
+       round({_ed(10)}, 6) AS o0, round({_ed(11)}, 6) AS o1, round({_yaw_sql(_ed(0), _ed(1), _ed(2), _ed(3))}, 6) AS o2
+FROM embeddings""")
+def sensor_vectors(spark, sf_dir):
+    """F12 IMU vector, F10 position + Euler and odometry (x, y, yaw), from
+    elements 1-13 as a sensor record."""
+    xyz = lambda at: F.struct(*[_e(at + k).alias(c) for k, c in enumerate("xyz")])
+    quat = F.struct(*[_e(k).alias(c) for k, c in enumerate("xyzw")])
+    pose = F.struct(xyz(10).alias("position"), quat.alias("orientation"))
+    e = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.struct(quat.alias("orientation"), xyz(4).alias("angular_velocity"), xyz(7).alias("linear_acceleration")).alias("imu"),
+        pose.alias("pose"), F.struct(pose.alias("pose")).alias("odom"))
+    e = e.select("vec_id", V.imu10(F.col("imu")).alias("i"), V.position_euler6(F.col("pose")).alias("p"),
+                 V.odom_xy_yaw(F.col("odom")).alias("o"))
+    return e.select("vec_id", *[r6(F.col("i")[k]).alias(f"i{k}") for k in (0, 3, 6, 9)], F.size("i").alias("imu_width"),
+                    *[r6(F.col("p")[k]).alias(f"p{k}") for k in (0, 2, 5)], *[r6(F.col("o")[k]).alias(f"o{k}") for k in range(3)])
+
+
+@register("union_width_rejects", """
+SELECT vec_id, 'b' AS source, len(list_filter(embedding, lambda x: x > 0))::INT AS width FROM embeddings
+WHERE label % 2 = 1 AND len(list_filter(embedding, lambda x: x > 0)) <> 32""")
+def union_width_rejects(spark, sf_dir):
+    """U1 union of two sources with different columns, F22 rows of another
+    vector width than 32."""
+    from episodeframe.operators.merge import union_sources
+    e = table(spark, sf_dir, "embeddings")
+    a = e.where(F.col("label") % 2 == 0).select("vec_id", F.lit("a").alias("source"), F.slice("embedding", 1, 32).alias("v"))
+    b = e.where(F.col("label") % 2 == 1).select(F.filter("embedding", lambda x: x > 0).alias("v"), "vec_id",
+                                                F.lit("b").alias("source"), F.lit(1).alias("extra"))
+    return V.width_rejects(union_sources([a, b]), "v", 32).select("vec_id", "source", F.size("v").alias("width"))
