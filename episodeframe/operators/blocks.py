@@ -151,6 +151,21 @@ def dense_index(df: DataFrame, keys: list[str], order: list[str], out: str,
     return r.drop("_one_")
 
 
+def range_blocks(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` stored in range partitions of ``order``, the partition number in
+    ``_blk``: blocks for a scan over one global order that no single key value
+    can crowd.  Rows equal in ``order`` share a block."""
+    from episodeframe.session import cut_lineage
+    return cut_lineage(df.repartitionByRange(*order).withColumn(BLK, F.spark_partition_id()))
+
+
+def global_scan(df: DataFrame, order: list[str], scans: list[Scan]) -> DataFrame:
+    """``scans`` over all rows in ``order``, by ``range_blocks``; only one
+    summary row per block crosses partitions."""
+    d = df.withColumn("_one", F.lit(1).cast("long"))
+    return ordered_scan(range_blocks(d, order), [], BLK, order, scans).drop("_one", BLK)
+
+
 def halo_blocks(df: DataFrame, index: str, before: int = 0, after: int = 0,
                 block: int = DEFAULT_BLOCK) -> DataFrame:
     """Tag rows with ``_blk`` and add halo copies for bounded windows.

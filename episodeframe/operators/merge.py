@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from episodeframe.operators.blocks import Scan, ordered_scan
+from episodeframe.operators.blocks import Scan, global_scan
 
 
 def union_sources(tables: list[DataFrame]) -> DataFrame:
@@ -30,31 +30,23 @@ def first_seen_order(df: DataFrame, name: str, pos: str | list[str], out: str =
 
 
 def _rank_small(df: DataFrame, order_col: str, out: str) -> DataFrame:
-    """0-based rank over a small dimension table (tasks, sources)."""
-    from pyspark.sql import Window
-    return df.withColumn(out, F.row_number().over(Window.orderBy(order_col)) - 1)
+    """0-based rank over a dimension table (tasks, sources) of any size."""
+    return global_scan(df, [order_col], [Scan(out, "_one", "sum", inclusive=False)])
 
 
-def episode_offsets(episodes: DataFrame, order: list[str], length: str = "length",
-                    block: Column | None = None) -> DataFrame:
+def episode_offsets(episodes: DataFrame, order: list[str], length: str = "length") -> DataFrame:
     """W6 on the episode table: ``episode_index`` (0.. in ``order``) and
     ``dataset_from_index``/``dataset_to_index`` (running frame offsets).
 
-    A blocked running count/sum: ``block`` (monotone in ``order``) defaults
-    to the first order column, so each source is scanned by its own task
-    and only per-block totals cross partitions."""
-    blk = block if block is not None else F.col(order[0])
-    d = episodes.withColumn("_one", F.lit(1).cast("long"))
-    r = ordered_scan(d, [], blk, order, [
-        Scan("episode_index", "_one", "sum", inclusive=False),
-        Scan("dataset_from_index", length, "sum", inclusive=False)])
-    return (r.drop("_one")
-            .withColumn("dataset_to_index", F.col("dataset_from_index") + F.col(length)))
+    The episodes are cut into ranges of ``order``, so a source that holds most
+    of them is scanned by many tasks."""
+    r = global_scan(episodes, order, [Scan("episode_index", "_one", "sum", inclusive=False),
+                                      Scan("dataset_from_index", length, "sum", inclusive=False)])
+    return r.withColumn("dataset_to_index", F.col("dataset_from_index") + F.col(length))
 
 
 def renumber(frames: DataFrame, episode_key: list[str], frame_order: list[str],
-             episode_order: list[str], block: Column | None = None,
-             materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+             episode_order: list[str], materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """Returns ``(frames, episodes)``.
 
     frames gain ``frame_index`` (0.. per episode in ``frame_order``),
@@ -63,11 +55,9 @@ def renumber(frames: DataFrame, episode_key: list[str], frame_order: list[str],
     present on ``frames`` (constant per episode).
 
     The frames are read by three consumers (the dense frame index and its
-    block summaries, the episode lengths, the final offset join).  When they
-    are a Parquet scan (the published per-source datasets) re-reading is
-    cheap; when they come from an expensive plan, ``materialize`` writes
-    them once to the checkpoint folder first (measured at sf0.1 on a
-    three-way join: 10.7 s with vs 6.6 s without, so it is off by default)."""
+    block summaries, the episode lengths, the final offset join), so they are
+    written once to the checkpoint folder; ``materialize=False`` is for frames
+    that are a plain Parquet scan already."""
     from episodeframe.operators.blocks import block_of, dense_index
     from episodeframe.session import cut_lineage
     if materialize:
@@ -76,7 +66,7 @@ def renumber(frames: DataFrame, episode_key: list[str], frame_order: list[str],
                      block_col=block_of(frame_order[0], 1 << 16))
     eps = (fr.groupBy(*episode_key, *[c for c in episode_order if c not in episode_key])
            .agg(F.count(F.lit(1)).alias("length")))
-    eps = episode_offsets(eps, episode_order, block=block)
+    eps = episode_offsets(eps, episode_order)
     out = (fr.join(eps.select(*episode_key, "episode_index", "dataset_from_index"), episode_key)
            .withColumn("index", F.col("dataset_from_index") + F.col("frame_index"))
            .drop("dataset_from_index"))
@@ -90,10 +80,7 @@ def video_file_index(files: DataFrame, source_order: list[str], local_index: str
     ``files`` holds one row per (source, local file index) for the first
     camera; sources are numbered in ``source_order`` and each source's
     files follow the previous sources' files in local index order."""
-    d = files.withColumn("_one", F.lit(1).cast("long"))
-    return (ordered_scan(d, [], F.col(source_order[0]), source_order + [local_index],
-                         [Scan(out, "_one", "sum", inclusive=False)])
-            .drop("_one"))
+    return global_scan(files, [*source_order, local_index], [Scan(out, "_one", "sum", inclusive=False)])
 
 
 def map_video_files(episodes: DataFrame, file_map: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -9,6 +9,7 @@ from episodeframe.operators.actions import (delta_action, drop_last_frame, futur
                                             next_state, relative_to_first)
 from episodeframe.operators.blocks import block_of, dense_index
 from episodeframe.plans.catalog import r6, register
+from episodeframe.session import cut_lineage
 from episodeframe.sources.tables import events_as_messages, table
 
 K = 32
@@ -17,8 +18,8 @@ K = 32
 def event_frames(spark, sf_dir):
     """One frame per event: episode = user, order = (ts, seq), state = [value]."""
     m = events_as_messages(spark, sf_dir)
-    return dense_index(m, ["recording_id"], ["ts_ns", "seq"], "frame_index").select(
-        "recording_id", "frame_index", F.array(F.col("value")).alias("state"))
+    return cut_lineage(dense_index(m, ["recording_id"], ["ts_ns", "seq"], "frame_index").select(
+        "recording_id", "frame_index", F.array(F.col("value")).alias("state")))
 
 
 def embedding_frames(spark, sf_dir, width: int = 4):

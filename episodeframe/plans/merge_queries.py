@@ -16,6 +16,7 @@ from episodeframe.operators import stats as S
 from episodeframe.functions.timeunits import floor_div
 from episodeframe.operators.blocks import block_of, dense_index
 from episodeframe.plans.catalog import r6, register
+from episodeframe.session import cut_lineage
 from episodeframe.sources.tables import table
 
 EPISODES_PER_FILE = 10
@@ -45,12 +46,11 @@ def tasks_table(frames):
 
 
 def merged(spark, sf_dir):
-    f = source_frames(spark, sf_dir)
+    f = cut_lineage(source_frames(spark, sf_dir))  # the join runs once
     tasks = tasks_table(f)
     f = M.attach_task_index(f, tasks)
     frames, episodes = M.renumber(f, ["source_episode"], ["l_linenumber", "l_partkey", "l_suppkey"],
-                                  ["task_index", "nation", "source_episode"],
-                                  block=F.struct("task_index", "nation"))
+                                  ["task_index", "nation", "source_episode"], materialize=False)
     return frames, episodes, tasks
 
 
@@ -99,7 +99,7 @@ def merge_renumber(spark, sf_dir):
 @register("merge_tasks", f"WITH {_MERGE_CTE} SELECT task_index, task FROM t")
 def merge_tasks(spark, sf_dir):
     """K2: tasks table."""
-    return tasks_table(source_frames(spark, sf_dir)).select("task_index", "task")
+    return tasks_table(source_frames(spark, sf_dir).select("task")).select("task_index", "task")
 
 
 _FILES_CTE = f"""

@@ -135,8 +135,7 @@ def publish(messages: DataFrame, config: MappingConfig, out_root: str, task: str
     eps = (eps.withColumnRenamed("frame_index", "recording_frame_index")
            .withColumn("episode_key", F.struct("recording_id", "step_number", "start_index")))
     out, episodes = M.renumber(eps, ["episode_key"], ["episode_frame_index"],
-                               ["recording_id", "start_index", "step_number"],
-                               block=F.col("recording_id"))
+                               ["recording_id", "start_index", "step_number"])
     out = out.select((F.col("episode_frame_index") / F.lit(float(config.fps))).alias("timestamp"),
                      "frame_index", "episode_index", "index", "task_index",
                      F.col("state").alias("observation.state"), "action",

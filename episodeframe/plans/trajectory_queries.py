@@ -9,6 +9,7 @@ from episodeframe.operators import graph as G
 from episodeframe.operators import trajectory as TR
 from episodeframe.operators.blocks import block_of, dense_index
 from episodeframe.plans.catalog import r6, register
+from episodeframe.session import cut_lineage
 from episodeframe.sources.tables import table
 
 DT = 0.1
@@ -21,7 +22,7 @@ def velocity_rows(spark, sf_dir):
     v = [F.col("embedding")[i].cast("double") for i in (7, 8, 9)]
     d = e.select(F.col("label").cast("long").alias("traj"), "vec_id", v[0].alias("vx"), v[1].alias("vy"),
                  (v[2] * 10).alias("vyaw"))
-    return dense_index(d, ["traj"], ["vec_id"], "idx", block_col=block_of("vec_id", 1 << 16))
+    return cut_lineage(dense_index(d, ["traj"], ["vec_id"], "idx", block_col=block_of("vec_id", 1 << 16)))
 
 
 def _wrap_sql(a: str) -> str:
@@ -61,7 +62,7 @@ FROM d""")
 def body_velocity(spark, sf_dir):
     """W9 over the W10 poses: recovers the body velocities (first row null)."""
     p = TR.dead_reckoning(velocity_rows(spark, sf_dir), ["traj"], "idx", "vx", "vy", "vyaw", DT)
-    p = p.select("traj", "idx", "x", "y", "theta")
+    p = cut_lineage(p.select("traj", "idx", "x", "y", "theta"))
     b = TR.body_velocity(p, ["traj"], "idx", "x", "y", "theta", DT)
     return b.select("traj", "idx", r6(F.col("vx")).alias("bvx"), r6(F.col("vy")).alias("bvy"),
                     r6(F.col("vyaw")).alias("bvyaw"))
@@ -116,7 +117,7 @@ def _element_rows(spark, sf_dir):
     """Element 1 over each label trajectory."""
     e = table(spark, sf_dir, "embeddings").select(
         F.col("label").cast("long").alias("traj"), "vec_id", F.col("embedding")[0].alias("x"))
-    return dense_index(e, ["traj"], ["vec_id"], "idx", block_col=block_of("vec_id", 1 << 16))
+    return cut_lineage(dense_index(e, ["traj"], ["vec_id"], "idx", block_col=block_of("vec_id", 1 << 16)))
 
 
 def _savgol_sql(window: str) -> str:
