@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from episodeframe.session import cut_lineage, ensure_checkpoint_dir
 
-__all__ = ["cut_lineage", "shared_path", "id_crc", "fresh", "connected_components", "word_count"]
+__all__ = ["cut_lineage", "shared_path", "id_crc", "fresh", "bounded_sample", "connected_components", "word_count"]
 
 #: Words of the size and shingle contracts: runs without space, tab and LF..CR.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -38,6 +38,27 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
+def bounded_sample(rows: DataFrame, by: str, most: dict | int) -> DataFrame:
+    """At most ``most`` rows (a number, or one per value of ``by``) of each
+    group, the first by a hash of ``id`` and ``text``.
+
+    Groups are thinned by the hash before they meet in a task, so a task gets
+    about twice what it keeps, however large a group is."""
+    groups = {r[0]: r[1] for r in rows.groupBy(by).count().collect()}
+    if not groups:
+        return rows
+    key, cases, bounds = F.xxhash64("id", "text"), F.lit(0.0), F.lit(0)
+    for g, n in groups.items():
+        k = most[g] if isinstance(most, dict) else most
+        cases = F.when(F.col(by) == g, F.lit(min(1.0, (2 * k + 50) / n))).otherwise(cases)
+        bounds = F.when(F.col(by) == g, F.lit(k)).otherwise(bounds)
+    thin = rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < cases * (1 << 30))
+    first = Window.partitionBy(by).orderBy(key, "id")
+    return (thin.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= max(most.values()) if isinstance(most, dict)
+                                                                    else F.col("_r") <= most)
+            .where(F.col("_r") <= bounds).drop("_r"))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph, distributed.
 

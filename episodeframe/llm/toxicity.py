@@ -19,10 +19,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from episodeframe.llm.common import cut_lineage, fresh
+from episodeframe.llm.common import bounded_sample, cut_lineage, fresh
 
 WINDOW, STEP = 64, 48  # slices of words longer than WINDOW characters
 _GRAMS = (4, 5, 6, 7)
@@ -102,14 +102,6 @@ class ToxicModel:
         return 1 / (1 + np.exp(-np.clip(self.weights[0] + x @ np.array(self.weights[1:]), -30, 30)))
 
 
-def _sample(labelled: DataFrame, per_class: dict[int, int]) -> DataFrame:
-    """At most so many whole documents a class, by a hash of their id."""
-    pick = Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"))
-    bound = F.when(F.col("toxic") == 1, per_class[1]).otherwise(per_class[0])
-    return (labelled.withColumn("r", F.row_number().over(pick)).where(F.col("r") <= max(per_class.values()))
-            .where(F.col("r") <= bound).drop("r"))
-
-
 def _toxic_part(words: DataFrame, n: dict[int, int], room: int, min_share: float, contrast: float) -> bytes:
     """Dictionary content of toxic text: the stretches of its windows whose
     grams are frequent in toxic and next to absent in ordinary documents,
@@ -170,9 +162,10 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     most ``room`` and ``samples`` rows and tables of sample size.
     """
     spark = labelled.sparkSession
-    sample = cut_lineage(_sample(labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                                                 F.col(label_col).cast("int").alias("toxic"))
-                                 .where("toxic in (0, 1) and text is not null"), {0: ordinary_docs, 1: toxic_docs})
+    sample = cut_lineage(bounded_sample(labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                                                        F.col(label_col).cast("int").alias("toxic"))
+                                        .where("toxic in (0, 1) and text is not null"), "toxic",
+                                        {0: ordinary_docs, 1: toxic_docs})
                          .repartition(4 * spark.sparkContext.defaultParallelism))
     n = {0: 0, 1: 0} | dict(sample.groupBy("toxic").count().collect())
     if not (n[0] and n[1]):
