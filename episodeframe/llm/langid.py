@@ -153,42 +153,103 @@ def fit(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str
 
 
 class Scorer:
-    """Text scores with a bounded cache of word scores (per Python worker)."""
+    """Text scores with a bounded cache of word scores (per Python worker).
 
-    def __init__(self, lattice: Lattice, cache_words: int = 200_000):
-        self.lattice, self.room = lattice, cache_words
+    Unknown words of many texts are scored together, all words of one length
+    at once: pieces are found by a rolling 64-bit hash of every stretch of up
+    to ``longest`` characters, and the forward sums run over arrays.
+    """
+
+    BASE, SPREAD, BITS = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15), np.uint64(44)
+
+    def __init__(self, lattice: Lattice, cache_words: int = 200_000, long_word: int = 48):
+        self.lattice, self.room, self.long_word = lattice, cache_words, long_word
         self.at: dict[str, int] = {}
-        self.rows = np.zeros((1024, len(lattice.langs)))
-
-    def _row(self, word: str) -> np.ndarray:
-        row = np.array(self.lattice.log_likelihood(word))
-        if (k := len(self.at)) < self.room:
-            if k == len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.at[word], self.rows[k] = k, row
-        return row
-
-    def total(self, words: list[str]) -> np.ndarray:
-        """Summed log-likelihood of the words, per language."""
-        places = list(map(self.at.get, words))
-        late = np.zeros(self.rows.shape[1])
-        if None in places:
-            for w, k in zip(words, places):
-                if k is None:
-                    k = self.at.get(w)
-                    late += self._row(w) if k is None else self.rows[k]
-            places = [k for k in places if k is not None]
-        return self.rows[places].sum(0) + late if places else late
-
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text)
-        if not words:
-            return UNDETERMINED, 0.0
-        t = self.total(words)
-        p = np.exp(t - t.max())
-        p /= p.sum()
-        k = int(p.argmax())
-        return self.lattice.langs[k], float(p[k])
+        n = len(lattice.langs)
+        self.rows = np.zeros((0, n))
+        pieces = list(lattice.table)
+        codes = [self._hash(np.array([list(map(ord, p))], np.uint64))[-1][0, 0] for p in pieces]
+        order = np.argsort(np.array(codes, np.uint64))
+        self.keys = np.array(codes, np.uint64)[order]
+        self.probs = np.vstack([np.array([lattice.table[p] for p in pieces]).reshape(-1, n)[order], np.zeros(n),
+                                np.full(n, lattice.unknown)])
+        self.maybe = np.zeros(1 << 20, bool)  # slots that hold a piece
+        self.maybe[(self.keys * self.SPREAD) >> self.BITS] = True
+
+    def _hash(self, codes: np.ndarray) -> list[np.ndarray]:
+        """Hashes of all stretches of 1, 2, .. characters, by start."""
+        out, h = [], np.zeros_like(codes)
+        for size in range(1, min(codes.shape[1], self.lattice.longest) + 1):
+            h = h[:, :codes.shape[1] - size + 1] * self.BASE + codes[:, size - 1:]
+            out.append(h)
+        return out
+
+    def _pieces(self, h: np.ndarray, size: int) -> np.ndarray:
+        """Rows of ``probs`` for hashes; no piece: zeros, but an unknown character
+        has its own row."""
+        found = np.full(h.shape, len(self.keys) + (size == 1))
+        some = np.flatnonzero(self.maybe[(h.ravel() * self.SPREAD) >> self.BITS])
+        k = h.ravel()[some]
+        at = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
+        hit = self.keys[at] == k
+        found.ravel()[some[hit]] = at[hit]
+        return found
+
+    def likelihoods(self, words: list[str]) -> np.ndarray:
+        """log P(word | language), words x languages."""
+        out = np.zeros((len(words), self.probs.shape[1]))
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        for n in np.unique(lengths):
+            mine = np.flatnonzero(lengths == n)
+            if n > self.long_word:
+                out[mine] = [self.lattice.log_likelihood(words[i]) for i in mine]
+                continue
+            text = "".join([_MARK + words[i] for i in mine])
+            codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(mine), n + 1).astype(np.uint64)
+            rows = [self._pieces(h, size) for size, h in enumerate(self._hash(codes), 1)]
+            alpha = [np.ones((len(mine), out.shape[1]))]
+            for j in range(1, n + 2):
+                alpha.append(sum(alpha[j - s] * self.probs[rows[s - 1][:, j - s]] for s in range(1, min(j, len(rows)) + 1)))
+            last = alpha[-1]
+            with np.errstate(divide="ignore"):
+                out[mine] = np.log(last)
+            for i in mine[(last < _TINY).any(1)]:  # so unlikely that the sums need rescaling
+                out[i] = self.lattice.log_likelihood(words[i])
+        return out
+
+    def batch(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        bags = [words_of(t) for t in texts]
+        new = [w for w in dict.fromkeys(w for b in bags for w in b) if w not in self.at]
+        known, rows, late = len(self.at), self.rows, {}
+        if new:
+            rows = np.concatenate([rows, self.likelihoods(new)])
+            late = {w: known + k for k, w in enumerate(new)}
+            if known < self.room:
+                self.at, self.rows = self.at | late, rows
+        out = []
+        for b in bags:
+            if not b:
+                out.append((UNDETERMINED, 0.0))
+                continue
+            at = list(map(self.at.get, b))
+            if None in at:
+                at = [late[w] if k is None else k for w, k in zip(b, at)]
+            t = rows[at].sum(0)
+            p = np.exp(t - t.max())
+            p /= p.sum()
+            k = int(p.argmax())
+            out.append((self.lattice.langs[k], float(p[k])))
+        return out
+
+    def __call__(self, texts: list[str | None], chars: int = 4_000_000) -> list[tuple[str, float]]:
+        """(language, posterior) of each text; about ``chars`` at once."""
+        out, low, size = [], 0, 0
+        for k, t in enumerate(texts):
+            size += len(t or "")
+            if size >= chars or k == len(texts) - 1:
+                out += self.batch(texts[low:k + 1])
+                low, size = k + 1, 0
+        return out
 
 
 def language_of(lattice: Lattice | None, text: Column) -> Column:
@@ -199,7 +260,7 @@ def language_of(lattice: Lattice | None, text: Column) -> Column:
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(lattice)
         for texts in batches:
-            yield pd.DataFrame([scorer(t) for t in texts], columns=["lang_pred", "score"])
+            yield pd.DataFrame(scorer(list(texts)), columns=["lang_pred", "score"])
 
     return score(text)
 
