@@ -16,10 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from episodeframe.llm.common import cut_lineage, fresh
+from episodeframe.llm.common import bounded_sample, cut_lineage, fresh
 
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -101,10 +101,8 @@ def training_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str, d
                    longest_word: int = 40) -> DataFrame:
     """(lang, word, times) of at most ``docs_per_lang`` whole documents a
     language, chosen by a hash of the id; the bound of the fitted sample."""
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"))
-    sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-              .where("lang is not null and text is not null")
-              .withColumn("r", F.row_number().over(pick)).where(F.col("r") <= docs_per_lang))
+    sample = bounded_sample(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+                            .where("lang is not null and text is not null"), "lang", docs_per_lang)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -115,7 +113,7 @@ def training_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str, d
                         counts[lang, w] += 1
             yield pd.DataFrame([(a, w, n) for (a, w), n in counts.items()], columns=["lang", "word", "times"])
 
-    return (sample.select("lang", "text").mapInPandas(count, "lang string, word string, times long")
+    return (sample.select("lang", "text").repartition(2 * docs.sparkSession.sparkContext.defaultParallelism).mapInPandas(count, "lang string, word string, times long")
             .groupBy("lang", "word").agg(F.sum("times").alias("times")))
 
 
