@@ -14,14 +14,26 @@ from episodeframe.functions.text import chunk_file_path
 from episodeframe.operators.stats import pack_stats
 
 
-def write_frames(frames: DataFrame, root: str, files: int | None = None) -> None:
-    """K1: ``data/`` as Parquet; fails if the output already exists.
-    Frames are range-partitioned and sorted by ``index``."""
+ROWS_PER_FILE = 1 << 20
+CHUNK_FILES = 1000
+
+
+def file_columns(index: str, rows_per_file: int = ROWS_PER_FILE) -> list:
+    """``chunk_index`` and ``file_index`` of a global row number: a file folder
+    holds ``rows_per_file`` consecutive rows, a chunk folder so many files."""
+    file = F.call_function("div", F.col(index), F.lit(rows_per_file).cast("long"))
+    return [F.call_function("div", file, F.lit(CHUNK_FILES).cast("long")).alias("chunk_index"), file.alias("file_index")]
+
+
+def write_frames(frames: DataFrame, root: str, files: int | None = None, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """K1: ``data/chunk_index=C/file_index=F/`` as Parquet; fails if the output
+    already exists.  Frames are range-partitioned and sorted by ``index``."""
     cols = ["timestamp", "frame_index", "episode_index", "index", "task_index",
-            "observation.state", "action"]
-    df = frames.select(*[F.col(f"`{c}`") for c in cols if c in frames.columns])
+            "observation.state", "action"] + [c for c in frames.columns if c.startswith("observation.images.")]
+    df = frames.select(*[F.col(f"`{c}`") for c in cols if c in frames.columns], *file_columns("index", rows_per_file))
     df = df.repartitionByRange(files, "index") if files else df.repartitionByRange("index")
-    df.sortWithinPartitions("index").write.mode("errorifexists").parquet(f"{root.rstrip('/')}/data")
+    (df.sortWithinPartitions("chunk_index", "file_index", "index").write.partitionBy("chunk_index", "file_index")
+     .mode("errorifexists").parquet(f"{root.rstrip('/')}/data"))
 
 
 def write_tasks(tasks: DataFrame, root: str) -> None:
@@ -30,13 +42,13 @@ def write_tasks(tasks: DataFrame, root: str) -> None:
         f"{root.rstrip('/')}/meta/tasks")
 
 
-def write_episodes(episodes: DataFrame, root: str) -> None:
-    """K3: ``meta/episodes``: tasks as a list, length, index range, data
-    file position and any per-camera video columns present."""
+def write_episodes(episodes: DataFrame, root: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """K3: ``meta/episodes``: tasks as a list, length, index range, the data
+    folder of the first frame and any per-camera video columns present."""
+    chunk, file = file_columns("dataset_from_index", rows_per_file)
     df = episodes.select(
         "episode_index", F.array(F.col("task")).alias("tasks"), "length", "dataset_from_index",
-        "dataset_to_index", F.lit(0).cast("long").alias("data/chunk_index"),
-        F.lit(0).cast("long").alias("data/file_index"),
+        "dataset_to_index", chunk.alias("data/chunk_index"), file.alias("data/file_index"),
         *[F.col(f"`{c}`") for c in episodes.columns if c.startswith("videos/")])
     df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/meta/episodes")
 
@@ -50,7 +62,7 @@ def stats_json(stats: DataFrame) -> DataFrame:
         "feature", F.struct(*names))))).alias("json"))
 
 
-def info_json(totals: DataFrame, fps: int, features: dict[str, int], chunks_size: int = 1000) -> DataFrame:
+def info_json(totals: DataFrame, fps: int, features: dict[str, int], chunks_size: int = CHUNK_FILES) -> DataFrame:
     """K5: totals, ``splits = {"train": "0:N"}``, feature shapes and path
     templates as one JSON row."""
     feats = F.create_map(*[x for name, width in features.items() for x in (
@@ -59,7 +71,7 @@ def info_json(totals: DataFrame, fps: int, features: dict[str, int], chunks_size
         F.col("total_episodes"), F.col("total_frames"), F.col("total_tasks"),
         F.lit(fps).alias("fps"), F.lit(chunks_size).alias("chunks_size"),
         F.create_map(F.lit("train"), F.concat(F.lit("0:"), F.col("total_episodes").cast("string"))).alias("splits"),
-        F.lit("data/chunk-{chunk_index:03d}/file-{file_index:03d}.parquet").alias("data_path"),
+        F.lit("data/chunk_index={chunk_index}/file_index={file_index}").alias("data_path"),
         F.lit("videos/{video_key}/chunk-{chunk_index:03d}/file-{file_index:03d}.mp4").alias("video_path"),
         feats.alias("features"))).alias("json"))
 

@@ -56,6 +56,15 @@ def test_config_validation():
     assert sw.camera_names() == ["head_rgb_stream"]
 
 
+def test_named_layouts():
+    C.register_layout("arm", [C.FieldSpec("j0", "arm", "joint.position[0]"), C.FieldSpec("k", None, "constant:1")])
+    assert [f.name for f in C.layout("arm")] == ["j0", "k"]
+    with pytest.raises(ValueError, match="bad.x"):
+        C.register_layout("bad", [C.FieldSpec("x", "arm", "joint.position[-1]")])
+    with pytest.raises(KeyError):
+        C.layout("bad")
+
+
 def _write(path, obj):
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w", encoding="utf-8") as f:

@@ -38,10 +38,14 @@ def test_publish_round_trip(spark, tmpdir_path):
     assert idx == list(range(n))
     eps = spark.read.parquet(f"{out}/meta/episodes").collect()
     assert sum(e["length"] for e in eps) == n
+    for e in eps[:5]:  # the announced folder exists and holds the episode's first frame
+        folder = f"{out}/data/chunk_index={e['data/chunk_index']}/file_index={e['data/file_index']}"
+        assert spark.read.parquet(folder).where(F.col("index") == e["dataset_from_index"]).count() == 1
     assert spark.read.parquet(f"{out}/meta/tasks").first()["task"] == "collect"
     st = read_stats_json(spark, f"{out}/meta/stats/*.txt").collect()
     assert {r["feature"] for r in st} == {"observation.state", "action"}
     info = json.loads(spark.read.text(f"{out}/meta/info").first()[0])
+    assert info["data_path"] == "data/chunk_index={chunk_index}/file_index={file_index}"
     assert info["total_frames"] == n and info["splits"]["train"] == f"0:{len(eps)}"
     widths = {r[0] for r in frames.select(F.size("`observation.state`")).distinct().collect()}
     assert widths == {4}
