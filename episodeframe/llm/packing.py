@@ -12,6 +12,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,62 +33,62 @@ class WordTokenizer:
     words of many texts are encoded in one call.
     """
 
-    def __init__(self, path: str, room: int = 250_000):
+    def __init__(self, path: str, room: int = 400_000):
         from tokenizers import Tokenizer
         self.raw = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
         self.room = room
+        self.tails = {t: self._bytes(self.raw.encode(t, add_special_tokens=False).ids) for t in ".,"}
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, "<u4").tobytes()
 
-    @staticmethod
-    def _plain(chunk: str) -> bool:
-        """Letters of Latin-1 only: one word of the pre-tokenizer that neither
-        normalisation nor lower-casing in context can change."""
-        return chunk.isalpha() and max(chunk) < "Ā"
-
-    def _learn(self, missing: set[str], into: dict[str, bytes]) -> None:
-        plain: dict[str, list[str]] = {}
+    def _together(self, chunks: list[str], into: dict[str, bytes]) -> None:
+        """Encode Latin-1 chunks without special tokens in joint calls; an id
+        belongs to the chunk in which its characters start."""
+        for at in range(0, len(chunks), 8192):
+            part = chunks[at:at + 8192]
+            enc = self.raw.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(enc.ids, "<u4")
+            starts = np.fromiter((s for s, _ in enc.offsets), np.int64, len(ids))
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+            cuts = [0, *np.searchsorted(starts, ends, "left").tolist()]
+            for c, s, e in zip(part, cuts, cuts[1:]):
+                into[c] = ids[s:e].tobytes()
+
+    def _learn(self, missing: set[str]) -> dict[str, bytes]:
+        """Ids of unknown chunks.  A word in any case, alone or before a full
+        stop or comma, is encoded once."""
+        into: dict[str, bytes] = {}
+        stems: dict[str, list[str]] = {}
+        joint = []
         for chunk in missing:
-            stem, tail = chunk, ""
-            if chunk[-1] in ".," and len(chunk) > 1:
-                stem, tail = chunk[:-1], chunk[-1]
-            if self._plain(stem):
-                plain.setdefault(stem.lower(), []).append(chunk)
+            stem = chunk[:-1] if chunk[-1] in ".," else chunk
+            if stem.isalpha() and max(stem) < "Ā":
+                stems.setdefault(stem.lower(), []).append(chunk)
+            elif max(chunk) < "Ā" and "<|" not in chunk:
+                joint.append(chunk)
             else:
                 into[chunk] = self._bytes(self.raw.encode(chunk, add_special_tokens=False).ids)
-        tails = {t: self._bytes(self.raw.encode(t, add_special_tokens=False).ids) for t in ".,"}
-        words = [w for w in plain if w not in self.known and w not in into]
-        for at in range(0, len(words), 4096):
-            part = words[at:at + 4096]
-            enc = self.raw.encode(" ".join(part), add_special_tokens=False)
-            ids, of = np.array(enc.ids, "<u4"), np.array(enc.word_ids, np.int64)
-            ends = np.searchsorted(of, np.arange(len(part)), "right")
-            for w, s, e in zip(part, np.concatenate([[0], ends[:-1]]), ends):
-                into[w] = ids[s:e].tobytes()
-        for w, chunks in plain.items():
-            base = self.known.get(w)
+        known = self.known
+        self._together(joint + [w for w in stems if w not in known], into)
+        for w, chunks in stems.items():
+            base = known.get(w)
             base = into[w] if base is None else base
             for c in chunks:
-                into[c] = base + tails[c[-1]] if c[-1] in tails and len(c) > 1 else base
+                into[c] = base + self.tails[c[-1]] if c[-1] in ".," else base
+        return into
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         chunks = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        missing = {c for t in chunks for c in t if c not in self.known}
-        late: dict[str, bytes] = {}
-        if missing:
-            self._learn(missing, late)
-            if len(self.known) < self.room:
-                self.known.update(late)
-        get = self.known.get
-        out = []
-        for t in chunks:
-            got = list(map(get, t))
-            if None in got:
-                got = [late[c] if b is None else b for c, b in zip(t, got)]
-            out.append(b"".join(got))
+        known, before = self.known, len(self.known)
+        late = self._learn(set(chain.from_iterable(chunks)).difference(known))
+        known.update(late)
+        out = [b"".join(map(known.__getitem__, t)) for t in chunks]
+        if before >= self.room:
+            for c in late:
+                known.pop(c, None)
         return out
 
 
