@@ -26,6 +26,7 @@ from episodeframe.llm.common import bounded_sample, cut_lineage, fresh
 
 WINDOW, STEP = 64, 48  # slices of words longer than WINDOW characters
 _GRAMS = (4, 5, 6, 7)
+_FEW = 30  # texts of fewer windows count as having so many
 _LONGEST = 3 * WINDOW  # bytes; window lengths above count as this
 #: Stands at the end of both dictionaries and around each window, so that a
 #: window is always stored as a compressed block and lengths differ by bytes.
@@ -83,7 +84,7 @@ class ToxicModel:
     toxic: bytes
     level: int
     surprise: dict = field(default_factory=dict)  # window bytes -> surprise by gain
-    weights: tuple = (-3.0, 0.0, 0.0)
+    weights: tuple = (-3.0, 0.0, 0.0, 0.0)
 
     def gain_fn(self):
         a, b = _compressor(self.ordinary + _FRAME, self.level), _compressor(self.ordinary + self.toxic + _FRAME, self.level)
@@ -98,9 +99,6 @@ class ToxicModel:
         row = self.surprise.get(length)
         return row[min(gain, len(row) - 1)] if row and gain > 0 else 0.0
 
-    def probability(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.weights[0] + x @ np.array(self.weights[1:]), -30, 30)))
-
 
 def _toxic_part(words: DataFrame, n: dict[int, int], room: int, min_share: float, contrast: float) -> bytes:
     """Dictionary content of toxic text: the stretches of its windows whose
@@ -151,8 +149,8 @@ def _ordinary_part(words: DataFrame, room: int, samples: int = 40_000) -> bytes:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        ordinary_docs: int = 4000, toxic_docs: int = 1500, room: int = 4096, level: int = 12,
-        min_share: float = 0.01, contrast: float = 100.0) -> ToxicModel | None:
+        ordinary_docs: int = 4000, toxic_docs: int = 1500, room: int = 4096, level: int = 19,
+        min_share: float = 0.02, contrast: float = 200.0) -> ToxicModel | None:
     """Train dictionaries, thresholds and weights; ``None`` unless both
     classes have a text.
 
@@ -214,12 +212,12 @@ def _calibrate(model: ToxicModel, words: DataFrame, sample: DataFrame, n: dict[i
         model.surprise[length] = [max(0.0, -math.log10(min(1.0, s))) for s in share]
     features = _features(model)
     got = sample.select("toxic", features(F.col("text")).alias("f")).select("toxic", "f.*").toPandas()
-    x, y = got[["top", "rest"]].to_numpy(), got["toxic"].to_numpy(float)
+    x, y = got[["top", "rest", "size"]].to_numpy(), got["toxic"].to_numpy(float)
     # Newton steps of a ridge logistic regression, toxic rows at their own rate.
-    z, w = np.column_stack([np.ones(len(x)), x]), np.zeros(3)
+    z, w = np.column_stack([np.ones(len(x)), x]), np.zeros(4)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        h = (z * (p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(3)
+        h = (z * (p * (1 - p))[:, None]).T @ z + 0.05 * np.eye(4)
         step = np.linalg.solve(h, z.T @ (y - p) - 0.05 * w)
         w += step
         if np.abs(step).max() < 1e-6:
@@ -228,9 +226,10 @@ def _calibrate(model: ToxicModel, words: DataFrame, sample: DataFrame, n: dict[i
 
 
 def _features(model: ToxicModel, cache_words: int = 150_000):
-    """UDF text -> struct(top, rest): the largest surprise of a window, and the
-    summed surprise of the next four."""
-    @F.pandas_udf("top double, rest double")
+    """UDF text -> struct(top, rest, size): the largest surprise of a window, the
+    summed surprise of the next four, and the log of the number of windows (a
+    long text has more chances), which short texts share."""
+    @F.pandas_udf("top double, rest double, size double")
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         gain, known = model.gain_fn(), {}
         for texts in batches:
@@ -247,8 +246,8 @@ def _features(model: ToxicModel, cache_words: int = 150_000):
                                     known[w] = v
                             s[k] = v
                 top = np.sort(np.array(s))[::-1][:5] if s else np.zeros(1)
-                out.append((top[0], top[1:].sum()))
-            yield pd.DataFrame(out, columns=["top", "rest"])
+                out.append((top[0], top[1:].sum(), math.log(max(len(s), _FEW))))
+            yield pd.DataFrame(out, columns=["top", "rest", "size"])
     return features
 
 
@@ -256,8 +255,8 @@ def probability_of(model: ToxicModel | None, text: Column) -> Column:
     """Probability that a text is toxic (0 without a model)."""
     if model is None:
         return F.lit(0.0)
-    f, (w0, w1, w2) = _features(model)(text), model.weights
-    return F.lit(1.0) / (1.0 + F.exp(-(w0 + w1 * f["top"] + w2 * f["rest"])))
+    f, (w0, w1, w2, w3) = _features(model)(text), model.weights
+    return F.lit(1.0) / (1.0 + F.exp(-(w0 + w1 * f["top"] + w2 * f["rest"] + w3 * f["size"])))
 
 
 def score(docs: DataFrame, model: ToxicModel | None, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
