@@ -113,10 +113,12 @@ def _toxic_part(words: DataFrame, n: dict[int, int], room: int, min_share: float
                     b[g] += o
             yield pd.DataFrame([(g, a[g], b[g]) for g in a], columns=["gram", "a", "b"])
 
+    # often enough, far above the ordinary share, and above chance in a small sample
+    usual = n[1] * (F.col("b") + 0.5) / n[0]
     marked = {r[0] for r in words.mapInPandas(grams, "gram string, a long, b long").groupBy("gram")
               .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-              .where((F.col("a") >= max(3, min_share * n[1]))
-                     & (F.col("a") / n[1] > contrast * (F.col("b") + 0.5) / n[0])).select("gram").collect()}
+              .where((F.col("a") >= max(3, min_share * n[1])) & (F.col("a") > min(contrast, n[0] / 20) * usual)
+                     & (F.col("a") >= usual + 4 * F.sqrt(usual) + 2)).select("gram").collect()}
     if not marked:
         return b""
 
