@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,24 +116,35 @@ def _liveness(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[
             yield pd.DataFrame([_alarm(rec, stream, "silent" if seen else "never seen", last_ts, at)])
         state.update((last_ts, seen, True))
         return
-    alarms = []
+    # All stamps of the trigger first: the result must not depend on how the
+    # rows were cut into Arrow batches.
+    data, starts = [], []
     for pdf in pdfs:
-        starts = pdf[pdf["kind"] == "expected"]["ts"]
-        if len(starts) and last_ts is None:
-            last_ts = starts.max()
-        for t in sorted(pdf[pdf["kind"] == "data"]["ts"]):
-            # A gap inside the data already seen: the alarm the live timer
-            # would have raised at last_ts + limit.
-            if last_ts is not None and t > last_ts:
-                limit = SILENCE_TIMEOUT_S if seen else NEVER_SEEN_TIMEOUT_S
-                if (t - last_ts).total_seconds() > limit and not alarmed:
-                    alarms.append(_alarm(rec, stream, "silent" if seen else "never seen", last_ts,
-                                         pd.Timestamp(last_ts) + pd.Timedelta(seconds=limit)))
-            if last_ts is None or t > last_ts:
-                last_ts = t
-            seen, alarmed = True, False
-    if alarms:
-        yield pd.DataFrame(alarms)
+        is_data = (pdf["kind"] == "data").to_numpy()
+        data.append(pdf["ts"].to_numpy()[is_data])
+        starts.append(pdf["ts"].to_numpy()[~is_data])
+    data, starts = np.unique(np.concatenate(data)), np.concatenate(starts)
+    if last_ts is None and len(starts):
+        last_ts = pd.Timestamp(starts.max())
+    if len(data):
+        points = data.astype("datetime64[ns]")
+        known = last_ts is not None
+        if known:
+            before = np.array([last_ts], dtype="datetime64[ns]")
+            points = np.concatenate([before, points[points > before]])
+        gaps = np.diff(points) / np.timedelta64(1, "s")
+        limits = np.full(len(gaps), float(SILENCE_TIMEOUT_S))
+        first = known and len(gaps) > 0
+        if first and not seen:
+            limits[0] = NEVER_SEEN_TIMEOUT_S
+        late = gaps > limits
+        if first and alarmed:  # that gap has been reported by the timer
+            late[0] = False
+        alarms = [_alarm(rec, stream, "never seen" if k == 0 and first and not seen else "silent", pd.Timestamp(points[k]),
+                         pd.Timestamp(points[k]) + pd.Timedelta(seconds=limits[k])) for k in np.flatnonzero(late)]
+        if alarms:
+            yield pd.DataFrame(alarms)
+        last_ts, seen, alarmed = pd.Timestamp(points[-1]), True, False
     state.update((last_ts, seen, alarmed))
     limit = SILENCE_TIMEOUT_S if seen else NEVER_SEEN_TIMEOUT_S
     if last_ts is not None:
