@@ -15,6 +15,7 @@ import random
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -227,28 +228,38 @@ def _calibrate(model: ToxicModel, words: DataFrame, sample: DataFrame, n: dict[i
     model.weights = tuple(map(float, w))
 
 
-def _features(model: ToxicModel, cache_words: int = 150_000):
+def _features(model: ToxicModel, cache_words: int = 300_000, chars: int = 4_000_000):
     """UDF text -> struct(top, rest, size): the largest surprise of a window, the
     summed surprise of the next four, and the log of the number of windows (a
-    long text has more chances), which short texts share."""
+    long text has more chances), which short texts share.
+
+    A window is compressed once per worker, or, when the cache is full, once per
+    ``chars`` characters."""
     @F.pandas_udf("top double, rest double, size double")
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         gain, known = model.gain_fn(), {}
-        for texts in batches:
+
+        def score(texts: list) -> list[tuple]:
+            bags = [windows_of(t) for t in texts]
+            full = len(known) >= cache_words
+            late = {w: model.surprise_of(*gain(w)) for w in set(chain.from_iterable(bags)).difference(known)}
+            known.update(late)
             out = []
-            for text in texts:
-                windows = windows_of(text)
-                s = list(map(known.get, windows))
-                if None in s:
-                    for k, w in enumerate(windows):
-                        if s[k] is None:
-                            if (v := known.get(w)) is None:
-                                v = model.surprise_of(*gain(w))
-                                if len(known) < cache_words:
-                                    known[w] = v
-                            s[k] = v
-                top = np.sort(np.array(s))[::-1][:5] if s else np.zeros(1)
-                out.append((top[0], top[1:].sum(), math.log(max(len(s), _FEW))))
+            for b in bags:
+                top = np.sort(np.fromiter(map(known.__getitem__, b), np.float64, len(b)))[:-6:-1] if b else np.zeros(1)
+                out.append((top[0], top[1:].sum(), math.log(max(len(b), _FEW))))
+            if full:
+                for w in late:
+                    del known[w]
+            return out
+
+        for texts in batches:
+            out, low, size = [], 0, 0
+            for k, t in enumerate(texts):
+                size += len(t or "")
+                if size >= chars or k == len(texts) - 1:
+                    out += score(texts.iloc[low:k + 1].tolist())
+                    low, size = k + 1, 0
             yield pd.DataFrame(out, columns=["top", "rest", "size"])
     return features
 
