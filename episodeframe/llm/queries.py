@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodeframe.llm import ann, covertree, hostrep, langid, licences, mixing, oracles, packing, simhash, toxicity, warc
-from episodeframe.llm.common import id_crc
+from episodeframe.llm.common import bounded_sample, cut_lineage, id_crc
 
 
 def _vocabulary(name: str) -> str:
@@ -28,9 +28,15 @@ def held_out(mod: int, held: int):
 
 
 def toxic_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicModel | None:
+    """Fit on labelled documents.  The sample is drawn from ids alone and then
+    broadcast to the texts (twice the fitted bound), so no text is shuffled."""
     # one label per document: repeated label rows must not weigh more
-    known = learnable(labels, 4, 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic is not null")
-    return toxicity.fit(learnable(docs, 4, 2).select("doc_id", "text").join(known, "doc_id"))
+    known = learnable(labels, 4, 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic in (0, 1)")
+    here = known.join(docs.select("doc_id"), "doc_id", "left_semi")
+    ids = cut_lineage(bounded_sample(here.select(F.col("doc_id").alias("id"), F.lit("").alias("text"), F.col("toxic").cast("int").alias("toxic")),
+                                     "toxic", {0: 2 * toxicity.ORDINARY_DOCS, 1: 2 * toxicity.TOXIC_DOCS}))
+    texts = docs.select("doc_id", "text").join(F.broadcast(ids.select(F.col("id").alias("doc_id"), "toxic")), "doc_id")
+    return toxicity.fit(cut_lineage(texts))
 
 
 def language_model(docs: DataFrame) -> langid.Lattice | None:

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from episodeframe.llm.common import bounded_sample, cut_lineage, fresh
 
 WINDOW, STEP = 64, 48  # slices of words longer than WINDOW characters
+ORDINARY_DOCS, TOXIC_DOCS = 4000, 1500  # most labelled documents that a model is fitted on
 _GRAMS = (4, 5, 6, 7)
 _FEW = 30  # texts of fewer windows count as having so many
 _LONGEST = 3 * WINDOW  # bytes; window lengths above count as this
@@ -152,7 +153,7 @@ def _ordinary_part(words: DataFrame, room: int, samples: int = 40_000) -> bytes:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        ordinary_docs: int = 4000, toxic_docs: int = 1500, room: int = 4096, level: int = 19,
+        ordinary_docs: int = ORDINARY_DOCS, toxic_docs: int = TOXIC_DOCS, room: int = 4096, level: int = 19,
         min_share: float = 0.02, contrast: float = 200.0) -> ToxicModel | None:
     """Train dictionaries, thresholds and weights; ``None`` unless both
     classes have a text.

@@ -201,7 +201,9 @@ def read(files: DataFrame, split_bytes: int = 8 << 20) -> DataFrame:
     """
     ranges = (files.where("bytes > 0").select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1,
                                                                            F.lit(split_bytes).cast("long"))).alias("low")))
-    ranges = ranges.repartition("path", "low").select("path", "low", (F.col("low") + split_bytes).alias("high"))
+    # a fixed number of tasks: by their few bytes the ranges would all be merged into one
+    tasks = files.agg(F.coalesce(F.sum(F.ceil(F.col("bytes") / split_bytes)), F.lit(1))).first()[0]
+    ranges = ranges.repartition(max(1, tasks)).select("path", "low", (F.col("low") + split_bytes).alias("high"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("path", pa.string()), ("at", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()),
