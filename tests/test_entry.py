@@ -1,5 +1,7 @@
 """Driver contract: entry smoke, registry consistency, every query runs."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -16,9 +18,10 @@ def test_entry_smoke(spark):
 def test_oracles_cover_queries():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    rows_only = set(q) - set(o)
+    # the training-data queries, where installed, have their own tests
+    rows_only = {n for n in set(q) - set(o) if not re.match(r"op\d+_|pipeline$", n)}
     # only non-SQL operators go without an oracle
-    assert rows_only <= {"align_mixed_j5", "stats_merge_quantiles", "smooth_savgol", "smooth_ema"}
+    assert rows_only <= {"align_mixed_j5", "stats_merge_quantiles"}
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
