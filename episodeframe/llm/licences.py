@@ -120,7 +120,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for i, x in enumerate(t.words):
             if not first <= i < first + n:
                 rest = rest + F.when((s + i >= 0) & (F.get(w, s + i) == x), weight[x]).otherwise(0.0)
-        return rest / total
+        return F.round(F.least(rest / total, F.lit(1.0)), 6)
 
     def places(t: Template) -> Column:
         return F.transform(starts(t), lambda s: F.struct(F.lit(t.label).alias("label"), s.alias("start"),

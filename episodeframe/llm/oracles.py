@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from episodeframe.llm.hostrep import TWO_LABEL_SUFFIXES
+from episodeframe.llm.licences import TEMPLATES, Template
 
 _HOSTS = r"""
 u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -76,3 +77,40 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM d
 """
+
+
+def licences(templates: tuple[Template, ...] = TEMPLATES, least_share: float = 0.7) -> str:
+    """Every start of a text is tried for every template."""
+    open_ = [t for t in templates if t.key[1] < len(t.words)]
+    weighed = sorted({w for t in open_ for w in t.words})
+    name = {w: f"idf{k}" for k, w in enumerate(weighed)}
+
+    def places(t: Template) -> str:
+        first, n = t.key
+        stands = " AND ".join(f"w[s + {first + k + 1}] = '{t.words[first + k]}'" for k in range(n))
+        starts = f"list_filter(range({-first}, greatest(len(w) - {first + n - 1}, {-first})), lambda s: {stands})"
+        if t not in open_:
+            share = "1.0::DOUBLE"
+        else:
+            hits = " + ".join(name[x] if first <= i < first + n else f"CASE WHEN s + {i} >= 0 AND w[s + {i + 1}] = '{x}' THEN {name[x]} ELSE 0 END"
+                              for i, x in enumerate(t.words))
+            share = f"round(least(({hits}) / ({' + '.join(name[x] for x in t.words)}), 1.0), 6)"
+        return (f"list_filter(list_transform({starts}, lambda s: {{'label': '{t.label}', 'start': s::BIGINT, 'score': {share}, "
+                f"'base': {str(t.base).lower()}}}), lambda f: f.score >= {least_share})")
+
+    idf = ", ".join(f"ln((count(*) + 1) / (sum(list_contains(w, '{w}')::INT) + 0.5)) AS {name[w]}" for w in weighed)
+    found = places(templates[0])
+    for t in templates[1:]:
+        found = f"list_concat({found}, {places(t)})"
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    labels = "array_to_string(list_sort(list_distinct(list_transform({}, lambda f: f.label))), ',')"
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'),
+                                             '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+k AS (SELECT {idf} FROM d),
+f AS (SELECT doc_id, len(w) AS n_words, {found} AS found FROM d CROSS JOIN k),
+b AS (SELECT *, list_filter(found, lambda f: f.base) AS base FROM f)
+SELECT doc_id, n_words, len(base)::BIGINT AS n_base, list_min(list_transform(base, lambda f: f.start)) AS first_word,
+       list_max(list_transform(base, lambda f: f.start)) AS last_word, {labels.format('base')} AS base_labels,
+       {labels.format('found')} AS labels, coalesce(list_max(list_transform(found, lambda f: f.score)), 0.0)::DOUBLE AS score
+FROM b"""

@@ -103,4 +103,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_toxicity": op1_toxicity, "op2_language": op2_language, "op3_urls": op3_urls, "op4_simhash": op4_simhash,
            "op5_packing": op5_packing, "op6_neighbours": op6_neighbours, "op7_licences": op7_licences,
            "op8_mixing": op8_mixing, "op9_cover_tree": op9_cover_tree, "op10_warc": op10_warc}
-ORACLES = {"op3_urls": oracles.urls(URL_RULES), "op9_cover_tree": oracles.COVER_TREE, "op10_warc": oracles.WARC}
+ORACLES = {"op3_urls": oracles.urls(URL_RULES), "op7_licences": oracles.licences(), "op9_cover_tree": oracles.COVER_TREE, "op10_warc": oracles.WARC}
