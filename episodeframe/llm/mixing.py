@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from episodeframe.llm.common import cut_lineage, fresh, word_count
+from episodeframe.llm.common import cut_lineage, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 _BACK, _ON = 12, 24  # blocks of a part pass that are chosen anew
@@ -181,13 +181,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     shard and shuffled within it; columns as in ``docs`` (and ``shard_col``).
     Cases as in ``mix_report``."""
     _, _, draws = plan(docs, id_col, text_col, source_col, blocks=blocks, seed=seed, **options)
-    s, b, k, o = (fresh(docs, n) for n in ("_src", "_block", "_key", "_order"))
-    rows = (docs.withColumn(s, F.col(source_col).cast("string"))
-            .withColumn(k, F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)))
-            .withColumn(b, F.pmod(F.xxhash64(k), F.lit(blocks))))
-    out = _drawn(rows, draws, s, b).withColumn("_d", F.explode("_draws"))
-    out = (out.withColumn(shard_col or "_shard", F.col("_d")["shard"])
-           .withColumn(o, F.xxhash64(F.lit(seed + 1), F.col("_d")["shard"], F.col("_d")["pass"], F.col(k))))
-    shard = shard_col or "_shard"
-    out = out.repartition(shard).sortWithinPartitions(shard, o)
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], *([shard] if shard_col else []))
+    # the row travels as one struct, so its columns cannot clash with the plan's
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(source_col).cast("string").alias("source"),
+                       F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("key"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
+    out = _drawn(rows, draws, "source", "block").withColumn("draw", F.explode("_draws")).select(
+        "doc", F.col("draw")["shard"].alias("shard"), "key", F.col("draw")["pass"].alias("pass"))
+    out = out.withColumn("ord", F.xxhash64(F.lit(seed + 1), "shard", "pass", "key"))
+    out = out.repartition("shard").sortWithinPartitions("shard", "ord")
+    return out.select("doc.*", *([F.col("shard").alias(shard_col)] if shard_col else []))

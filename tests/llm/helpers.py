@@ -3,7 +3,8 @@
 from pyspark.sql import Row
 
 #: A column of every table below that clashes with names the operators use.
-EXTRA = ["score", "fp", "root", "size", "block", "_key", "id", "lang_pred", "predicted"]
+EXTRA = ["score", "fp", "root", "size", "block", "_key", "id", "lang_pred", "predicted", "_d", "_s", "shard", "_draws",
+         "key", "_found"]
 
 
 def documents(spark, rows, extra=()):

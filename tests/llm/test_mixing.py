@@ -75,8 +75,8 @@ def test_report_meets_targets(spark):
 
 def test_mix_returns_the_reported_rows_in_even_shards(spark):
     docs = documents(spark, rows(), EXTRA)
-    out = mixing.mix(docs, blocks=16, shards=4, shard_col="shard")
-    assert out.columns == [*docs.columns, "shard"]
+    out = mixing.mix(docs, blocks=16, shards=4, shard_col="shard_no")
+    assert out.columns == [*docs.columns, "shard_no"]
     got = Counter((r.doc_id, r.text, r.source) for r in out.collect())
     want = Counter()
     for r in mixing.mix_report(docs, blocks=16).collect():
@@ -85,7 +85,7 @@ def test_mix_returns_the_reported_rows_in_even_shards(spark):
     for (i, _, _), n in got.items():
         total[i] += n
     assert {k: v for k, v in want.items() if v} == dict(total)
-    shards = Counter(r.shard for r in out.collect())
+    shards = Counter(r.shard_no for r in out.collect())
     assert len(shards) == 4
 
 
