@@ -11,22 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodeframe.llm import langid, mixing, packing, queries, simhash, toxicity
-from episodeframe.llm.common import cut_lineage
+from episodeframe.llm.common import cut_lineage, fresh
 
 #: A document stays if its language is certain at least to this degree.
 LEAST_LANGUAGE_SCORE = 0.5
 MOST_TOXICITY = 0.3
 
 
-def _only(docs: DataFrame, like: DataFrame) -> DataFrame:
-    return docs.select(*[F.col(f"`{c}`") for c in like.columns])
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a determined language; ``und`` and doubtful ones go."""
     found = langid.language_of(queries.language_model(docs), F.col("text"))
-    return _only(docs.withColumn("_found", found).where(
-        (F.col("_found")["lang_pred"] != langid.UNDETERMINED) & (F.col("_found")["score"] >= LEAST_LANGUAGE_SCORE)), docs)
+    c = fresh(docs, "_found")
+    return docs.withColumn(c, found).where((F.col(c)["lang_pred"] != langid.UNDETERMINED)
+                                           & (F.col(c)["score"] >= LEAST_LANGUAGE_SCORE)).drop(c)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
