@@ -160,7 +160,7 @@ class Scorer:
 
     BASE, SPREAD, BITS = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15), np.uint64(44)
 
-    def __init__(self, lattice: Lattice, cache_words: int = 200_000, long_word: int = 48):
+    def __init__(self, lattice: Lattice, cache_words: int = 120_000, long_word: int = 48):
         self.lattice, self.room, self.long_word = lattice, cache_words, long_word
         self.at: dict[str, int] = {}
         n = len(lattice.langs)
@@ -239,7 +239,7 @@ class Scorer:
             out.append((self.lattice.langs[k], float(p[k])))
         return out
 
-    def __call__(self, texts: list[str | None], chars: int = 4_000_000) -> list[tuple[str, float]]:
+    def __call__(self, texts: list[str | None], chars: int = 1_500_000) -> list[tuple[str, float]]:
         """(language, posterior) of each text; about ``chars`` at once."""
         out, low, size = [], 0, 0
         for k, t in enumerate(texts):

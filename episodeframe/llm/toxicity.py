@@ -229,7 +229,7 @@ def _calibrate(model: ToxicModel, words: DataFrame, sample: DataFrame, n: dict[i
     model.weights = tuple(map(float, w))
 
 
-def _features(model: ToxicModel, cache_words: int = 300_000, chars: int = 4_000_000):
+def _features(model: ToxicModel, cache_words: int = 150_000, chars: int = 1_500_000):
     """UDF text -> struct(top, rest, size): the largest surprise of a window, the
     summed surprise of the next four, and the log of the number of windows (a
     long text has more chances), which short texts share.
