@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from episodeframe.llm.common import cut_lineage, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
-_BACK, _ON = 12, 24  # blocks of a part pass that are chosen anew
+_OUT, _IN = 12, 24  # blocks of a part pass that are chosen anew against rounding
 
 
 def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = WEIGHTS,
@@ -72,36 +72,62 @@ def _pass_order(seed: int, passes: Column) -> Column:
     return F.xxhash64(F.lit(seed), passes, "block")
 
 
-def nearest_subset(words: list[int], goal: float, units: int = 1_000_000) -> list[int]:
-    """Positions of a subset of ``words`` whose sum comes nearest to ``goal``
-    (subset sums as bits of an integer, in at most ``units`` steps)."""
-    unit = max(1, math.ceil(sum(words) / units))
-    scaled, sums = [round(w / unit) for w in words], [1]
-    for w in scaled:
-        sums.append(sums[-1] | sums[-1] << w)
-    want, reach = max(0, round(goal / unit)), sums[-1]
+def nearest_subset(words: list[int], goal: float, units: int = 1_000_000, step: int = 64) -> list[int]:
+    """Positions of a subset of ``words`` whose sum comes nearest to ``goal``,
+    early positions first (subset sums as bits of an integer, in about
+    ``units`` steps: exact if the goal and the largest useful word count are
+    below).  The sums before every ``step``-th word are kept, those between
+    are formed again on the way back."""
+    use = [i for i, w in enumerate(words) if 0 < w <= 2 * goal]  # none at all is nearer than a larger one
+    if not use:
+        return []
+    # sums over goal + largest are never nearest: less one word they are still over the goal
+    unit = max(1, math.ceil(min(sum(words[i] for i in use), goal + max(words[i] for i in use)) / units))
+    scaled, exact = [round(words[i] / unit) for i in use], goal / unit
+    want = round(exact)
+    mask = (1 << want + max(scaled) + 1) - 1
+    reach, kept, n = 1, [], 0
+    while n < len(scaled) and not reach >> want & 1:
+        if n % step == 0:
+            kept.append(reach)
+        reach |= reach << scaled[n] & mask
+        n += 1
     below = (reach & ((1 << want + 1) - 1)).bit_length() - 1
     above = reach >> want
     above = want + (above & -above).bit_length() - 1 if above else below
-    at, out = (below if want - below <= above - want else above), []
-    for i in range(len(words) - 1, -1, -1):
-        if not sums[i] >> at & 1:
-            out.append(i)
-            at -= scaled[i]
+    at, out = (below if abs(exact - below) <= abs(above - exact) else above), []
+    for k in range(len(kept) - 1, -1, -1):
+        low, sums = k * step, [kept[k]]
+        for w in scaled[low:min(low + step, n)]:
+            sums.append(sums[-1] | sums[-1] << w & mask)
+        for i in range(len(sums) - 2, -1, -1):
+            if not sums[i] >> at & 1:
+                out.append(use[low + i])
+                at -= scaled[low + i]
     return out
 
 
 def _part_pass(blocks: pd.DataFrame) -> pd.DataFrame:
-    """Blocks of a source's part pass: in permuted order while they fit, then
-    the last taken (``_BACK``) and the next (``_ON``) are chosen anew so that
-    the words come nearest to the rest.  At most ``blocks`` rows a source."""
+    """Blocks of a source's part pass: of all its blocks (at most ``blocks``
+    rows a source) the subset nearest to the rest, early ones in permuted
+    order first.  Where sums were rounded, blocks that bring the words nearer
+    change sides, and then those nearest in size to the gap (``_OUT`` taken,
+    ``_IN`` not taken) are chosen anew."""
     b = blocks.sort_values(["ord", "block"], ignore_index=True)
-    rest = float(b["rest"].iloc[0])
-    fit = int((b["words"].cumsum() <= rest).sum())
-    low = max(0, fit - _BACK)
-    free = b["words"].iloc[low:fit + _ON].astype(int).tolist()
-    chosen = [*range(low), *(low + i for i in nearest_subset(free, rest - float(b["words"].iloc[:low].sum())))]
-    b = b.iloc[sorted(chosen)]
+    rest, words = float(b["rest"].iloc[0]), b["words"].astype(int).tolist()
+    taken = set(nearest_subset(words, rest))
+    gap = rest - sum(words[i] for i in taken)
+    for i, w in enumerate(words):
+        if abs(left := gap + (w if i in taken else -w)) < abs(gap):
+            taken ^= {i}
+            gap = left
+    near = sorted((i for i, w in enumerate(words) if w), key=lambda i: abs(words[i] - abs(gap)))
+    some = [i for i in near if i in taken][:_OUT] + [i for i in near if i not in taken][:_IN]
+    goal = gap + sum(words[i] for i in some if i in taken)
+    anew = {some[k] for k in nearest_subset([words[i] for i in some], goal)}
+    if abs(goal - sum(words[i] for i in anew)) < abs(gap):
+        taken = taken - set(some) | anew
+    b = b.iloc[sorted(taken)]
     return pd.DataFrame({"source": b["source"], "pass": b["passes"], "block": b["block"], "ord": b["ord"]})
 
 

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -45,6 +46,33 @@ def test_nearest_subset(words, goal):
     assert abs(sum(words[i] for i in mixing.nearest_subset(words, goal)) - goal) == best
 
 
+@pytest.mark.parametrize("scale", [1, 900])  # exact sums, rounded sums
+@pytest.mark.parametrize("large", [0.15, 0.36, 0.4])
+def test_part_pass_around_a_very_long_document(large, scale):
+    rng = np.random.default_rng(5)
+    for draw in range(6):
+        words = rng.integers(0, 400 * scale, 4096)
+        words[0] = int(words[1:].sum() * large / (1 - large))
+        for part in (0.2, 0.37, 0.5, 0.63, 0.9):
+            rest = float(words.sum() * part)
+            frame = pd.DataFrame({"source": "a", "passes": 1, "block": np.arange(4096), "words": words, "rest": rest,
+                                  "ord": rng.permutation(4096)})
+            if draw % 2:  # the long document right before the cut
+                before = frame["ord"][1:][words[1:].cumsum() < rest - words[0] / 2].index
+                frame.loc[before, "ord"] = -1
+                frame.loc[0, "ord"] = 0
+            got = mixing._part_pass(frame)["block"].to_numpy()
+            assert len(set(got)) == len(got) and abs(words[got].sum() - rest) <= max(0.5, 1e-6 * rest), (draw, part)
+
+
+def test_part_pass_of_several_long_documents():
+    words = np.r_[np.full(3, 120_000), np.full(4093, 10)]  # 650 of 1,000: two long ones and many short ones less
+    for seed in range(4):
+        frame = pd.DataFrame({"source": "a", "passes": 0, "block": np.arange(4096), "words": words, "rest": 260_003.0,
+                              "ord": np.random.default_rng(seed).permutation(4096)})
+        assert words[mixing._part_pass(frame)["block"].to_numpy()].sum() == 260_000
+
+
 def rows(seed=2):
     rng = random.Random(seed)
     out = []
@@ -73,6 +101,19 @@ def test_report_meets_targets(spark):
     assert sorted((str(r.doc_id), r.copies) for r in got) == sorted((str(r.doc_id), r.copies) for r in again)
 
 
+def test_sources_with_a_very_long_document_meet_their_targets(spark):
+    rng, data = random.Random(4), []
+    for s, large in zip("abcdef", (0.15, 0.22, 0.36, 0.4, 0.3, 0.36)):
+        short = [rng.randrange(1, 60) for _ in range(700)]
+        data += [(len(data) + i, "w " * n, "en", s) for i, n in enumerate([*short, int(sum(short) * large / (1 - large))])]
+    for seed in (20, 21, 22):
+        taken, want = Counter(), {}
+        for r in mixing.mix_report(documents(spark, data), blocks=4096, seed=seed).collect():
+            taken[r.source] += r.taken
+            want[r.source] = r.target
+        assert all(abs(taken[s] - want[s]) <= 1 for s in want), (seed, taken, want)
+
+
 def test_mix_returns_the_reported_rows_in_even_shards(spark):
     docs = documents(spark, rows(), EXTRA)
     out = mixing.mix(docs, blocks=16, shards=4, shard_col="shard_no")
