@@ -7,6 +7,7 @@ state lives in Spark's state store under the query's checkpoint location.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -97,58 +98,81 @@ ALARM_SCHEMA = T.StructType([
     T.StructField("alarm", T.StringType()), T.StructField("last_ts", T.TimestampType()),
     T.StructField("at", T.TimestampType()),
 ])
-STATE_SCHEMA = T.StructType([
-    T.StructField("last_ts", T.TimestampType()), T.StructField("seen", T.BooleanType()),
-    T.StructField("alarmed", T.BooleanType())])
 
 
-def _alarm(rec, stream, kind, last_ts, at) -> dict:
-    return {"recording_id": rec, "stream": stream, "alarm": kind, "last_ts": last_ts, "at": at}
+def _limit(seen: bool) -> int:
+    return int((SILENCE_TIMEOUT_S if seen else NEVER_SEEN_TIMEOUT_S) * 1_000_000)
 
 
-def _liveness(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rec, stream = key
-    last_ts, seen, alarmed = state.get if state.exists else (None, False, False)
-    if state.hasTimedOut:
-        if not alarmed:
-            limit = SILENCE_TIMEOUT_S if seen else NEVER_SEEN_TIMEOUT_S
-            at = None if last_ts is None else pd.Timestamp(last_ts) + pd.Timedelta(seconds=limit)
-            yield pd.DataFrame([_alarm(rec, stream, "silent" if seen else "never seen", last_ts, at)])
-        state.update((last_ts, seen, True))
-        return
-    # All stamps of the trigger first: the result must not depend on how the
-    # rows were cut into Arrow batches.
-    data, starts = [], []
+def _runs(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Stamps of an Arrow batch as runs without a silence, per recording and
+    stream, so that a recording's task gets few rows; and one clock row."""
     for pdf in pdfs:
-        is_data = (pdf["kind"] == "data").to_numpy()
-        data.append(pdf["ts"].to_numpy()[is_data])
-        starts.append(pdf["ts"].to_numpy()[~is_data])
-    data, starts = np.unique(np.concatenate(data)), np.concatenate(starts)
-    if last_ts is None and len(starts):
-        last_ts = pd.Timestamp(starts.max())
-    if len(data):
-        points = data.astype("datetime64[ns]")
-        known = last_ts is not None
-        if known:
-            before = np.array([last_ts], dtype="datetime64[ns]")
-            points = np.concatenate([before, points[points > before]])
-        gaps = np.diff(points) / np.timedelta64(1, "s")
-        limits = np.full(len(gaps), float(SILENCE_TIMEOUT_S))
-        first = known and len(gaps) > 0
-        if first and not seen:
-            limits[0] = NEVER_SEEN_TIMEOUT_S
-        late = gaps > limits
-        if first and alarmed:  # that gap has been reported by the timer
-            late[0] = False
-        alarms = [_alarm(rec, stream, "never seen" if k == 0 and first and not seen else "silent", pd.Timestamp(points[k]),
-                         pd.Timestamp(points[k]) + pd.Timedelta(seconds=limits[k])) for k in np.flatnonzero(late)]
-        if alarms:
-            yield pd.DataFrame(alarms)
-        last_ts, seen, alarmed = pd.Timestamp(points[-1]), True, False
-    state.update((last_ts, seen, alarmed))
-    limit = SILENCE_TIMEOUT_S if seen else NEVER_SEEN_TIMEOUT_S
-    if last_ts is not None:
-        state.setTimeoutTimestamp(int(pd.Timestamp(last_ts).value // 1_000_000) + int(limit * 1000))
+        if not len(pdf):
+            continue
+        out = [(None, None, "clock", int(pdf["us"].max()), int(pdf["us"].max()))]
+        for (rec, stream, kind), us in pdf.groupby(["rec", "stream", "kind"], dropna=False, sort=False)["us"]:
+            u = np.unique(us.to_numpy())
+            cut = np.flatnonzero(np.diff(u) > _limit(True))
+            rec, stream = (None if pd.isna(x) else x for x in (rec, stream))
+            out += [(rec, stream, kind, int(low), int(high)) for low, high in zip(u[np.r_[0, cut + 1]], u[np.r_[cut, len(u) - 1]])]
+        yield pd.DataFrame(out, columns=["rec", "stream", "kind", "low", "high"])
+
+
+def _liveness(key, pdfs: Iterator[pd.DataFrame], state: GroupState, delay: int) -> Iterator[pd.DataFrame]:
+    """State of a recording: its clock (largest stamp, microseconds), the
+    watermark at which its wait began, and [stream, last, seen, alarmed]."""
+    rec, is_clock = key
+    if is_clock:
+        for _ in pdfs:
+            pass
+        return
+    clock, since, rows = json.loads(state.get[0]) if state.exists else (None, None, [])
+    streams, alarms = {r[0]: r[1:] for r in rows}, []
+    mark = state.getCurrentWatermarkMs()
+
+    def silent(now: int) -> int | None:
+        """Alarms of all streams due; the wait to the next one."""
+        waits = []
+        for name, (last, seen, alarmed) in streams.items():
+            wait = last + _limit(seen) - (now - delay)
+            if not alarmed and wait <= 0:
+                alarms.append((rec, name, "silent" if seen else "never seen", last, last + _limit(seen)))
+                streams[name][2] = True
+            elif not alarmed:
+                waits.append(wait)
+        return min(waits, default=None)
+
+    if state.hasTimedOut:
+        # the first timeout after a recording's rows only notes the watermark, which
+        # holds their trigger now; from there its clock goes on with the watermark
+        since = mark if since is None else since
+        wait = silent(clock + (mark - since) * 1000)
+        timer = None if wait is None else mark + wait // 1000 + 1
+    else:
+        # all runs of the trigger first: the result must not depend on how the
+        # rows were cut into Arrow batches
+        new = pd.concat(list(pdfs), ignore_index=True).sort_values(["low", "high"])
+        for name, part in new.groupby("stream", dropna=False, sort=False):
+            name = None if pd.isna(name) else name
+            last, seen, alarmed = streams.get(name, (None, False, False))
+            starts, data = part[part["kind"] == "expected"], part[part["kind"] == "data"]
+            if last is None and len(starts):
+                last = int(starts["high"].max())
+            for low, high in zip(data["low"].tolist(), data["high"].tolist()):
+                if last is not None and low - last > _limit(seen) and not alarmed:  # else reported by the clock
+                    alarms.append((rec, name, "silent" if seen else "never seen", last, last + _limit(seen)))
+                if last is None or high > last or not seen:
+                    last, seen, alarmed = high if last is None else max(last, high), True, False
+            streams[name] = [last, seen, alarmed]
+        clock, since = max([*new["high"].tolist(), *([] if clock is None else [clock])]), None
+        silent(clock)
+        timer = mark + 1
+    state.update((json.dumps([clock, since, [[name, *v] for name, v in streams.items()]]),))
+    if timer is not None:
+        state.setTimeoutTimestamp(timer)
+    if alarms:
+        yield pd.DataFrame(alarms, columns=["rec", "stream", "alarm", "last_us", "at_us"])
 
 
 def liveness_alarms(messages: DataFrame, expected: DataFrame, watermark: str = "1 second") -> DataFrame:
@@ -157,14 +181,33 @@ def liveness_alarms(messages: DataFrame, expected: DataFrame, watermark: str = "
 
     ``expected`` rows ``(recording_id, stream, ts)`` seed every expected
     stream at the recording's start, so a stream that never sends data
-    still has state and times out as "never seen".  Event-time timeouts
-    fire as the watermark passes ``last_ts + 5 s``."""
-    data = messages.select("recording_id", "stream", "ts", F.lit("data").alias("kind"))
-    seeds = expected.select("recording_id", "stream", "ts", F.lit("expected").alias("kind"))
-    return (data.unionByName(seeds).withWatermark("ts", watermark)
-            .groupBy("recording_id", "stream")
-            .applyInPandasWithState(_liveness, ALARM_SCHEMA, STATE_SCHEMA, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+    still has state and is reported as "never seen".  Each recording has its own
+    clock, its largest stamp: an alarm is due as that passes ``last + 5 s`` by
+    ``watermark``, however far the clocks of recordings lie apart, and no row is
+    dropped for being behind another recording.  A recording that sends
+    nothing any more is timed by how far the watermark over all recordings
+    moves on meanwhile.  An alarm stands when a stamp from before it comes
+    later; rows without a stamp say nothing."""
+    delay = int(pd.Timedelta(watermark) / pd.Timedelta(microseconds=1))
+
+    def run(key, pdfs, state):
+        return _liveness(key, pdfs, state, delay)
+
+    def rows(df: DataFrame, kind: str) -> DataFrame:
+        return df.where("ts is not null").select(F.col("recording_id").cast("string").alias("rec"), "stream",
+                                                 F.lit(kind).alias("kind"), F.unix_micros("ts").alias("us"))
+
+    runs = rows(messages, "data").unionByName(rows(expected, "expected")).mapInPandas(
+        _runs, "rec string, stream string, kind string, low long, high long")
+    # only clock rows carry the watermark's time: Spark drops rows behind the
+    # watermark, and rows whose time is null never are
+    runs = (runs.withColumn("is_clock", F.col("kind") == "clock")
+            .withColumn("ts", F.when(F.col("is_clock"), F.timestamp_micros("high"))).withWatermark("ts", watermark))
+    out = runs.groupBy("rec", "is_clock").applyInPandasWithState(
+        run, "rec string, stream string, alarm string, last_us long, at_us long", "state string", "append",
+        GroupStateTimeout.EventTimeTimeout)
+    return out.select(F.col("rec").cast("long").alias("recording_id"), "stream", "alarm",
+                      F.timestamp_micros("last_us").alias("last_ts"), F.timestamp_micros("at_us").alias("at"))
 
 
 # ---------------------------------------------------------------- T6 session

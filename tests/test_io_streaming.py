@@ -233,6 +233,45 @@ def test_liveness_alarms(spark, tmpdir_path):
     assert ("a", "silent") in got and ("b", "never seen") in got
 
 
+def _alarms(spark, path, name, batches, expected):
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, "recording_id long, stream string, sec long").coalesce(1).write.json(f"{path}/{name}/{k}")
+    src = (spark.readStream.schema("recording_id long, stream string, sec long").option("maxFilesPerTrigger", 1)
+           .json(f"{path}/{name}/*").withColumn("ts", F.timestamp_seconds(F.col("sec") + 1_700_000_000)))
+    seeds = src.where("stream = 'start'").withColumn("stream", F.explode(F.array(*map(F.lit, expected))))
+    _run(L.liveness_alarms(src.where("stream <> 'start'"), seeds.select("recording_id", "stream", "ts")), name, "append", path)
+    return sorted((r[0], r[1], r[2], r[3] - 1_700_000_000, r[4] - 1_700_000_000) for r in spark.sql(
+        f"select recording_id, stream, alarm, unix_seconds(last_ts), unix_seconds(at) from {name}").collect())
+
+
+def test_liveness_of_recordings_whose_clocks_lie_hours_apart(spark, tmpdir_path):
+    """Recording 1 runs four hours ahead of recording 2; both have the same rows."""
+    one = [[("start", 0), ("a", 0), ("a", 3), ("b", 2)], [("a", 6), ("a", 9), ("b", 4)], [("a", 12), ("a", 15)],
+           [("a", 18), ("b", 18)], [("a", 40), ("b", 19), ("b", 23)]]
+    both = [[(r, s, t + ahead) for r, ahead in ((1, 14_400), (2, 0)) for s, t in rows] for rows in one]
+    got = _alarms(spark, tmpdir_path, "t3_hours", both, ["a", "b", "c"])
+    want = [("a", "silent", 18, 23), ("b", "silent", 4, 9), ("b", "silent", 23, 28), ("c", "never seen", 0, 5)]
+    assert got == sorted((r, s, kind, last + ahead, at + ahead) for r, ahead in ((1, 14_400), (2, 0)) for s, kind, last, at in want)
+
+
+def test_liveness_of_a_recording_that_goes_dark(spark, tmpdir_path):
+    ahead = 14_400
+    batches = [[(2, "start", 0), (2, "a", 0), (1, "a", ahead)], [(2, "a", 3), (1, "a", ahead + 3)],
+               *([(1, "a", ahead + t)] for t in range(6, 22, 3))]
+    assert _alarms(spark, tmpdir_path, "t3_dark", batches, ["a"]) == [(2, "a", "silent", 3, 8)]
+
+
+def test_land_all_keeps_late_and_equal_stamps(spark, tmpdir_path):
+    rows = [[(1, "a", 100, 1), (1, "a", 100, 2), (2, "b", 9_000_000_000_000, 1)], [(1, "a", 50, 3), (2, "b", 10, 2)], [(1, "a", 100, 1)]]
+    for k, part in enumerate(rows):
+        spark.createDataFrame(part, "recording_id long, stream string, ts_ns long, seq long").coalesce(1).write.json(f"{tmpdir_path}/in/{k}")
+    src = (spark.readStream.schema("recording_id long, stream string, ts_ns long, seq long").option("maxFilesPerTrigger", 1)
+           .json(f"{tmpdir_path}/in/*"))
+    L.land_all(src, f"{tmpdir_path}/landed", f"{tmpdir_path}/ck_t8").awaitTermination(120)
+    got = spark.read.parquet(f"{tmpdir_path}/landed").select("recording_id", "stream", "ts_ns", "seq").collect()
+    assert sorted(map(tuple, got)) == sorted(r for part in rows for r in part)
+
+
 def test_recording_sessions(spark, tmpdir_path):
     ctl = spark.createDataFrame([(1, "start", 0), (1, "stop", 5), (2, "start", 1)], "recording_id long, action string, sec long")
     ctl.write.json(f"{tmpdir_path}/ctl")
