@@ -4,7 +4,7 @@ Each table hashes unit vectors by k Gaussian (2-stable) projections cut into
 cells of one width.  A query visits, per table, its own cell and the perturbed
 cells next to it in the estimated order of success (summed squared distances to
 the crossed cell borders).  Candidates of all visited cells are ranked by exact
-cosine.
+cosine.  Queries that find fewer than k are compared with all rows.
 """
 
 from __future__ import annotations
@@ -140,11 +140,29 @@ def _rank_buckets(batches: Iterator[pa.RecordBatch], keep: int, block: int = 256
     yield from done()
 
 
+def _all_pairs(asked: DataFrame, few: DataFrame, bucket: int, queries: int = 4096) -> DataFrame:
+    """Rows for ``_rank_buckets`` in which every query meets every candidate of
+    its length once: blocks of queries (``b``) x blocks of candidates (``salt``)."""
+    dim = F.size("vec").alias("dim")
+    parts = (asked.groupBy(dim).agg(F.ceil(F.count(F.lit(1)) / queries).cast("int").alias("nq"))
+             .join(few.groupBy(dim).agg(F.ceil(F.count(F.lit(1)) / bucket).cast("int").alias("nc")), "dim"))
+    parts = F.broadcast(cut_lineage(parts))  # one row per vector length
+
+    def side(df: DataFrame, key: str, q: Column, c: Column, n: int) -> DataFrame:
+        df = df.select(key, "vec", dim).join(parts, "dim").withColumn("qb", q).withColumn("salt", c)
+        return df.select(F.xxhash64("dim", "qb").alias("b"), "salt", F.lit(n).alias("side"), F.col(key).alias("id"), "vec")
+
+    return side(few, "cid", F.explode(F.expr("sequence(0, nq - 1)")), F.pmod(F.xxhash64("cid"), "nc").cast("int"), 1).unionByName(
+        side(asked, "qid", F.pmod(F.xxhash64("qid"), "nq").cast("int"), F.explode(F.expr("sequence(0, nc - 1)")), 0))
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
            index: Index = Index(), bucket: int = 8192, broadcast_rows: int = 200_000) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best of the candidates found
     for every row with ``is_query`` among all other rows; cosine in double
-    precision, ties to the smaller id, all candidates if fewer than ``k``.
+    precision, ties to the smaller id.  A query whose buckets hold fewer than
+    ``k`` is compared with all rows, block by block, so it gets fewer than ``k``
+    only if there are no more; that work is such queries x rows.
 
     Vectors that are null, empty, zero or hold null or non-finite components
     take no part; so do null ids.  Vectors of different lengths never meet.  Equal
@@ -181,16 +199,26 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     def rank(batches):
         return _rank_buckets(batches, keep)
 
-    found = (own.unionByName(visits).repartition("b", "salt").sortWithinPartitions("b", "salt", "side")
-             .mapInArrow(rank, "qid long, cid long, score double"))
-    # the same candidate comes from several tables with scores equal up to rounding
-    found = found.groupBy("qid", "cid").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")
-    found = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= keep).drop("r")
-    lists = (found.join(few.select("cid", "ids"), "cid")
-             .groupBy("qid").agg(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct((-F.col("score")).alias("s"), i.alias("i")))))
-                                 .alias("near")).select("qid", F.array_sort("near").alias("near")))
-    per_row = rows.where("q").select("id", "h1", "h2").distinct().join(asked.select("h1", "h2", "qid"), ["h1", "h2"]).join(lists, "qid")
+    def ranked(pairs: DataFrame) -> DataFrame:
+        found = (pairs.repartition("b", "salt").sortWithinPartitions("b", "salt", "side")
+                 .mapInArrow(rank, "qid long, cid long, score double"))
+        # the same candidate comes from several tables with scores equal up to rounding
+        found = found.groupBy("qid", "cid").agg(F.max("score").alias("score"))
+        best = Window.partitionBy("qid").orderBy(F.desc("score"), "cid")
+        found = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= keep).drop("r")
+        return cut_lineage(
+            found.join(few.select("cid", "ids"), "cid")
+            .groupBy("qid").agg(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct((-F.col("score")).alias("s"), i.alias("i")))))
+                                .alias("near")).select("qid", F.array_sort("near").alias("near")))
+
+    lists = ranked(own.unionByName(visits))
+    per_row = rows.where("q").select("id", "h1", "h2").distinct().join(asked.select("h1", "h2", "qid"), ["h1", "h2"])
+    others = F.size(F.filter(F.coalesce("near", F.array()), lambda n: n["i"] != F.col("id")))
+    short = per_row.join(lists, "qid", "left").where(others < k).select("qid").distinct()
+    short = cut_lineage(asked.select("qid", "vec").join(short, "qid", "left_semi"))
+    if not short.isEmpty():
+        lists = lists.join(short, "qid", "left_anti").unionByName(ranked(_all_pairs(short, few, bucket)))
+    per_row = per_row.join(lists, "qid")
     near = F.slice(F.filter("near", lambda n: n["i"] != F.col("id")), 1, k)
     return per_row.select(F.col("id").alias("query_id"), F.posexplode(near).alias("p", "n")).select(
         "query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("n")["i"].alias(id_col), (-F.col("n")["s"]).alias("score"))

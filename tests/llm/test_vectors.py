@@ -117,3 +117,35 @@ def test_recall_and_few_candidates(spark):
     v, labels = data(n=20)
     small = ann.search(table(spark, v[:3].tolist(), labels[:3].tolist()), F.col("vec_id") == 0, index=ann.Index(probes=10_000)).collect()
     assert len(small) <= 2 and ann.search(df.limit(0), F.col("vec_id") >= 0).count() == 0
+
+
+@pytest.mark.parametrize("n", [2, 3, 6, 10, 20])
+def test_small_tables_give_all_neighbours(spark, n):
+    """Few rows share a bucket of the production index there."""
+    v = np.random.default_rng(102 + n).normal(size=(n, 64)).astype(np.float32)
+    got = {}
+    for r in ann.search(table(spark, v.tolist(), [0] * n, BAD), F.col("vec_id") < 900, bucket=4).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    x = v / np.linalg.norm(v.astype(np.float64), axis=1, keepdims=True)
+    assert set(got) == set(range(n))
+    for q, near in got.items():
+        near.sort()
+        assert [r for r, *_ in near] == list(range(1, min(5, n - 1) + 1))
+        if n <= 6:  # all others
+            s = x @ x[q]
+            s[q] = -2
+            assert [i for _, i, _ in near] == np.argsort(-s)[:n - 1].tolist()
+            assert [c for *_, c in near] == pytest.approx(np.sort(s)[::-1][:n - 1].tolist(), abs=1e-6)
+
+
+def test_a_far_row_gets_its_neighbours_from_all_rows(spark):
+    """Copies of the query fill no place, blocks of queries and rows are split."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(60, 12)) * 0.02 + np.r_[1.0, np.zeros(11)]
+    v[7] = v[8] = np.r_[-1.0, np.zeros(11)]  # opposite to all others
+    got = sorted((r.query_id, r["rank"], r.vec_id) for r in ann.search(table(spark, v.tolist(), [0] * 60), F.col("vec_id") == 7,
+                                                                             index=ann.Index(tables=1, probes=1), bucket=9).collect())
+    x = v / np.linalg.norm(v, axis=1, keepdims=True)
+    s = x.astype(np.float32).astype(np.float64) @ x[7]
+    s[7] = -2
+    assert [(q, r) for q, r, _ in got] == [(7, r) for r in range(1, 6)] and {i for *_, i in got} == set(np.argsort(-s)[:5].tolist())
