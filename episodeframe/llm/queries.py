@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodeframe.llm import ann, covertree, hostrep, langid, licences, mixing, oracles, packing, simhash, toxicity, warc
+from episodeframe.llm import (ann, covertree, hostrep, langid, licences, mixing, oracles, packing, simhash, toxicity, warc,
+                               whitening)
 from episodeframe.llm.common import bounded_sample, cut_lineage, id_crc
 
 
@@ -100,7 +101,25 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def whitened_rows(vectors: DataFrame, model: whitening.Whitening | None) -> DataFrame:
+    """One row per remaining vector and component."""
+    if model is None:
+        kind = "component int, n long, deviation long, whitened double, explained double, identity_error double"
+        return vectors.sparkSession.createDataFrame([], f"vec_id {vectors.schema['vec_id'].dataType.simpleString()}, {kind}")
+    done = whitening.whiten(vectors.select("vec_id", "embedding"), model).select("vec_id", "whitening.*")
+    parts = F.array(*[F.lit(e).cast("double") for e in model.explained]).cast("array<double>")
+    return done.select("vec_id", "deviation", F.posexplode("whitened").alias("_pos", "whitened")).select(
+        "vec_id", (F.col("_pos") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(parts, F.col("_pos")).alias("explained"), F.lit(model.identity_error).cast("double").alias("identity_error"))
+
+
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitened_rows(vectors, whitening.fit(vectors))
+
+
 QUERIES = {"op1_toxicity": op1_toxicity, "op2_language": op2_language, "op3_urls": op3_urls, "op4_simhash": op4_simhash,
            "op5_packing": op5_packing, "op6_neighbours": op6_neighbours, "op7_licences": op7_licences,
-           "op8_mixing": op8_mixing, "op9_cover_tree": op9_cover_tree, "op10_warc": op10_warc}
+           "op8_mixing": op8_mixing, "op9_cover_tree": op9_cover_tree, "op10_warc": op10_warc,
+           "op11_whitening": op11_whitening}
 ORACLES = {"op3_urls": oracles.urls(URL_RULES), "op7_licences": oracles.licences(), "op9_cover_tree": oracles.COVER_TREE, "op10_warc": oracles.WARC}
