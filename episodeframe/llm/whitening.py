@@ -246,7 +246,7 @@ def _moments(fit: DataFrame, n: int, sums: np.ndarray, basis: np.ndarray) -> tup
 
 def deviations(x: np.ndarray, n: int, sums: np.ndarray) -> np.ndarray:
     """``n * x - S``, exact (Python integers where 64 bits are too few)."""
-    if len(x) and n * max(float(np.abs(x.astype(float)).max()), 1.0) + float(np.abs(sums.astype(float)).max(initial=0)) > 2.0 ** 62:
+    if x.size and n * max(float(np.abs(x.astype(float)).max()), 1.0) + float(np.abs(sums.astype(float)).max(initial=0)) > 2.0 ** 62:
         return x.astype(object) * n - sums.astype(object)
     return x * n - sums
 
