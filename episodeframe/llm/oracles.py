@@ -114,3 +114,27 @@ SELECT doc_id, n_words, len(base)::BIGINT AS n_base, list_min(list_transform(bas
        list_max(list_transform(base, lambda f: f.start)) AS last_word, {labels.format('base')} AS base_labels,
        {labels.format('found')} AS labels, coalesce(list_max(list_transform(found, lambda f: f.score)), 0.0)::DOUBLE AS score
 FROM b"""
+
+
+def collocations(least: int = 30, cover: int = 80, scale: int = 2_000_000, most: int = 2000) -> str:
+    return f"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]'), lambda x: x <> '') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY 1 HAVING sum(len(ws)) > 0),
+g AS (SELECT lang, ws[i:i + k - 1] AS ph FROM w, range(1, 5) AS t(k), unnest(range(1, len(ws) - k + 2)) AS u(i)),
+f AS (SELECT lang, ph, count(*) AS f FROM g GROUP BY 1, 2 HAVING count(*) >= {least}),
+c AS (SELECT lang, ph, f AS a FROM f WHERE len(ph) >= 2),
+cuts AS (SELECT lang, ph, a, unnest(range(1, len(ph))) AS k FROM c),
+s AS (SELECT cuts.lang, cuts.ph, cuts.a, k, x.f AS l, y.f AS r, ({scale}::HUGEINT * cuts.a) // (x.f + y.f) AS score
+      FROM cuts JOIN f x ON x.lang = cuts.lang AND x.ph = cuts.ph[:k] JOIN f y ON y.lang = cuts.lang AND y.ph = cuts.ph[k + 1:]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, ph[i:i + z - 1] AS ph, max(a) AS longer FROM c, range(2, 4) AS t(z), unnest(range(1, len(ph) - z + 2)) AS u(i)
+           WHERE z < len(ph) GROUP BY 1, 2),
+kept AS (SELECT b.*, array_to_string(b.ph, ' ') AS phrase FROM b LEFT JOIN inner_ USING (lang, ph)
+         WHERE longer IS NULL OR 100::HUGEINT * longer < {cover}::HUGEINT * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::INTEGER AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= {most}
+"""
