@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodeframe.llm import (ann, collocations, covertree, hostrep, langid, licences, mixing, oracles, packing, simhash,
-                               toxicity, warc, whitening)
+                               suffixes, toxicity, warc, whitening)
 from episodeframe.llm.common import bounded_sample, cut_lineage, id_crc
 
 
@@ -118,6 +118,13 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened_rows(vectors, whitening.fit(vectors))
 
 
+def op12_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.dedup(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + (x["end"] - x["start"]))
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.top(collocations.phrases(table(spark, sf_dir, "documents"))).select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score")
@@ -126,6 +133,7 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_toxicity": op1_toxicity, "op2_language": op2_language, "op3_urls": op3_urls, "op4_simhash": op4_simhash,
            "op5_packing": op5_packing, "op6_neighbours": op6_neighbours, "op7_licences": op7_licences,
            "op8_mixing": op8_mixing, "op9_cover_tree": op9_cover_tree, "op10_warc": op10_warc,
-           "op11_whitening": op11_whitening, "op13_collocations": op13_collocations}
+           "op11_whitening": op11_whitening, "op12_suffixes": op12_suffixes,
+           "op13_collocations": op13_collocations}
 ORACLES = {"op3_urls": oracles.urls(URL_RULES), "op7_licences": oracles.licences(), "op9_cover_tree": oracles.COVER_TREE, "op10_warc": oracles.WARC,
            "op13_collocations": oracles.collocations()}
