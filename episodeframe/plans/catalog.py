@@ -54,5 +54,5 @@ def load_all() -> None:
     """Import every query module so its ``register`` calls run."""
     from episodeframe.plans import (action_queries, align_queries, episode_queries,  # noqa: F401
                                     function_queries,
-                                    merge_queries, publish_queries, quality_queries, stream_queries,
+                                    merge_queries, publish_queries, quality_queries, sidecar_queries, stream_queries,
                                     trajectory_queries)

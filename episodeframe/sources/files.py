@@ -113,6 +113,21 @@ def read_sidecars(spark: SparkSession, path: str, recording_from_path: str = r"(
             .withColumn("recording_id", F.regexp_extract("source_file", recording_from_path, 1)))
 
 
+def read_sidecar_files(spark: SparkSession, path: str, recording_from_path: str = r"([^/]+)/[^/]+\.json$") -> DataFrame:
+    """Sidecar files as ``(recording_id, kind, part, text)``; the recording
+    is the parent folder's name, the kind the file's stem.  Texts are parsed by
+    ``sidecars.documents``, which tells broken files apart."""
+    df = spark.read.text(path, wholetext=True).withColumn("_f", F.col("_metadata.file_path"))
+    return df.select(F.regexp_extract("_f", recording_from_path, 1).alias("recording_id"),
+                     F.regexp_extract("_f", r"([^/]+)\.json$", 1).alias("kind"), F.lit(0).alias("part"), F.col("value").alias("text"))
+
+
+def read_sidecar_lines(spark: SparkSession, path: str) -> DataFrame:
+    """S5 as a landed table: JSON lines ``{"recording_id", "kind", "part", "doc"}``,
+    one file for many recordings; ``doc`` stays text."""
+    return spark.read.schema("recording_id long, kind string, part int, doc string").json(path).withColumnRenamed("doc", "text")
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Manifest ``{"dataset": {...}, "tasks": [{task_id, task, files:
     [path | {path, ...}]}]}`` -> ``(task_index, task_id, task, file_index,
@@ -141,7 +156,7 @@ def read_stats_json(spark: SparkSession, path: str, prefix: str | None = None) -
     """Stats.json as ``MAP<feature, STRUCT>``; keep features by prefix."""
     stat = T.StructType([T.StructField(n, T.ArrayType(T.DoubleType())) for n in
                          ("min", "max", "mean", "std", "count", "q01", "q10", "q50", "q90", "q99")])
-    df = spark.read.option("wholetext", True).text(path)
+    df = spark.read.text(path, wholetext=True)
     m = F.from_json(F.col("value"), T.MapType(T.StringType(), stat))
     df = df.select(m.alias("stats"))
     if prefix:
