@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from episodeframe.session import cut_lineage
+
 QUANTILES = {"q01": 0.01, "q10": 0.10, "q50": 0.50, "q90": 0.90, "q99": 0.99}
 
 
@@ -26,23 +28,88 @@ def long_vectors(df: DataFrame, features: list[str], keys: list[str] | None = No
 
 
 def vector_stats(df: DataFrame, features: list[str], keys: list[str] | None = None,
-                 quantiles: bool = False, accuracy: int = 10_000) -> DataFrame:
+                 quantiles: bool = False, accuracy: int = 10_000, exact: bool = False) -> DataFrame:
     """A5: per (keys, feature, pos): count, min, max, mean, population std
     and, when asked, quantiles.
 
     Quantiles use ``percentile_approx`` (a mergeable sketch of bounded
-    size): an exact percentile keeps every value of a group in one task,
-    and one source may hold a third of all frames."""
+    size), or with ``exact`` the passes of ``exact_quantiles``; Spark's own
+    exact percentile would keep every value of a group in one task, and one
+    source may hold a third of all frames."""
     keys = keys or []
     lv = long_vectors(df, features, keys)
     aggs = [F.count("value").alias("count"), F.min("value").alias("min"),
             F.max("value").alias("max"), F.avg("value").alias("mean"),
             F.stddev_pop("value").alias("std")]
+    if quantiles and exact:
+        by = [*keys, "feature", "pos"]
+        lv = cut_lineage(lv)
+        return lv.groupBy(*by).agg(*aggs).join(exact_quantiles(lv, by), by, "left")
     if quantiles:
         aggs += [F.percentile_approx("value", p, accuracy).alias(n) for n, p in QUANTILES.items()]
     return lv.groupBy(*keys, "feature", "pos").agg(*aggs)
 
 
+QUANTILE_BINS = 1024
+
+
+def exact_quantiles(values: DataFrame, keys: list[str], value: str = "value", quantiles: dict[str, float] | None = None,
+                    bins: int = QUANTILE_BINS) -> DataFrame:
+    """Exact interpolated quantiles of each group, one column per quantile.
+
+    Quantile q of n values lies at rank ``q (n - 1)`` between two order
+    statistics.  Each order statistic is found by rank refinement: a range that
+    holds it is cut into ``bins`` bins, the values of every bin are counted (with
+    their extremes), and the bin that holds the rank is the next range, until a
+    range is a single value.  A pass is one aggregation with map-side combine
+    over the values that still lie in a range; no group is ever in one task.
+    Values that are null or not finite are left out; a group of none has no row."""
+    quantiles = quantiles or QUANTILES
+    v = F.col(value)
+    data = cut_lineage(values.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))).select(*keys, (v.cast("double") + F.lit(0.0)).alias("_v")))
+    ext = cut_lineage(data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")))
+    rank = [F.struct(F.lit(name).alias("_q"), F.lit(side).alias("_side"),
+                     (F.floor(F.lit(q) * (F.col("_n") - 1)) + side).alias("_rank")) for name, q in quantiles.items() for side in (0, 1)]
+    # wanted: rank within the range (from 0) and the range
+    wanted = ext.select(*keys, "_n", "_low", "_high", F.inline(F.array(*rank))).withColumn(
+        "_rank", F.least("_rank", F.col("_n") - 1)).drop("_n")
+    done, edge = [], F.col("_low") == F.col("_high")
+    while True:
+        wanted = cut_lineage(wanted)
+        done.append(wanted.where(edge).select(*keys, "_q", "_side", F.col("_low").alias("_x")))
+        wanted = wanted.where(~edge)
+        if wanted.isEmpty():
+            break
+        ranges = wanted.select(*keys, "_low", "_high").distinct()
+        share = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+        # extreme ranges overflow the difference; halves keep it finite
+        half = (F.col("_v") / 2 - F.col("_low") / 2) / (F.col("_high") / 2 - F.col("_low") / 2)
+        share = F.when(F.abs(F.col("_high") - F.col("_low")) < float("inf"), share).otherwise(half)
+        hist = (data.join(ranges, keys).where(F.col("_v").between(F.col("_low"), F.col("_high")))
+                .groupBy(*keys, "_low", "_high", F.least(F.floor(share * bins), F.lit(bins - 1)).alias("_bin"))
+                .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")))
+        # at most ``bins`` rows a range: ranks at which the bins begin
+        steps = hist.groupBy(*keys, "_low", "_high").agg(F.array_sort(F.collect_list(F.struct("_bin", "_c", "_bmin", "_bmax"))).alias("_h"))
+        begun = F.aggregate("_h", F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("b")),
+                            lambda s, x: F.struct((s["at"] + x["_c"]).alias("at"), F.concat(s["b"], F.array(s["at"])).alias("b")))["b"]
+        steps = steps.withColumn("_b", begun)
+        # bins begun up to the rank; a column of its own, as a lambda beside a new
+        # ``_rank`` would see the new one
+        wanted = wanted.join(steps, [*keys, "_low", "_high"]).withColumn("_at", F.size(F.filter("_b", lambda b: b <= F.col("_rank"))))
+        hit = F.element_at("_h", F.col("_at"))
+        wanted = wanted.select(*keys, "_q", "_side", (F.col("_rank") - F.element_at("_b", F.col("_at"))).alias("_rank"),
+                               hit["_bmin"].alias("_low"), hit["_bmax"].alias("_high"))
+    found = done[0]
+    for d in done[1:]:
+        found = found.unionByName(d)
+    out = []
+    for name, q in quantiles.items():
+        low, high = (F.max(F.when((F.col("_q") == name) & (F.col("_side") == side), F.col("_x"))) for side in (0, 1))
+        part = F.lit(q) * (F.first("_n") - 1) - F.floor(F.lit(q) * (F.first("_n") - 1))
+        out.append((low + (high - low) * part).alias(name))
+    return found.join(ext.select(*keys, "_n"), keys).groupBy(*keys).agg(*out)
+
+
 def merge_stats(partials: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """A6 + A7: merge partial stats rows ``(source, feature, pos, count,
     mean, std, min, max[, q..])``.

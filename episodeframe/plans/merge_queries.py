@@ -227,12 +227,29 @@ def stats_merge(spark, sf_dir):
                     *[r6(F.col(c)).alias(c) for c in ["mean", "std", "min", "max"]])
 
 
-@register("stats_merge_quantiles")
+_QUANTILES_SQL = ", ".join(f"quantile_cont(value, {p}) AS {q}" for q, p in S.QUANTILES.items())
+
+
+@register("stats_quantiles", f"""
+WITH {_MERGE_CTE}, {_STATS_SQL_BODY},
+x AS (SELECT feature, pos, {_QUANTILES_SQL} FROM lv GROUP BY feature, pos)
+SELECT feature, pos, {", ".join(f"round({q}, 6) AS {q}" for q in S.QUANTILES)} FROM x""")
+def stats_quantiles(spark, sf_dir):
+    """Exact quantiles over all sources, by rank refinement."""
+    fr = source_frames(spark, sf_dir).withColumnRenamed("state", "observation.state")
+    q = S.exact_quantiles(S.long_vectors(fr, ["observation.state", "action"]), ["feature", "pos"])
+    return q.select("feature", "pos", *[r6(F.col(n)).alias(n) for n in S.QUANTILES])
+
+
+@register("stats_merge_quantiles", f"""
+WITH {_MERGE_CTE}, {_STATS_SQL_BODY},
+part AS (SELECT task, nation, feature, pos, count(value) AS n, {_QUANTILES_SQL} FROM lv GROUP BY ALL)
+SELECT feature, pos, {", ".join(f"round(CASE WHEN bool_and({q} IS NOT NULL) THEN sum(n * {q}) / sum(n) END, 6) AS {q}" for q in S.QUANTILES)}
+FROM part GROUP BY feature, pos""")
 def stats_merge_quantiles(spark, sf_dir):
-    """Per-source approximate quantiles merged by count-weighted mean,
-    present only when every source has them (rows-only check: the
-    reference's merge is itself an approximation)."""
+    """Exact quantiles of each source merged by count-weighted mean,
+    present only when every source has them."""
     fr = source_frames(spark, sf_dir).withColumnRenamed("state", "observation.state")
-    part = S.vector_stats(fr, ["observation.state", "action"], ["task", "nation"], quantiles=True)
+    part = S.vector_stats(fr, ["observation.state", "action"], ["task", "nation"], quantiles=True, exact=True)
     m = S.merge_stats(part)
     return m.select("feature", "pos", *[r6(F.col(q)).alias(q) for q in S.QUANTILES])
