@@ -25,11 +25,13 @@ from episodeframe.operators import episodes as EP
 from episodeframe.operators import merge as M
 from episodeframe.operators import selecting as SEL
 from episodeframe.operators import stats as S
+from episodeframe.operators import videos as V
 from episodeframe.operators.actions import next_state
 from episodeframe.operators.blocks import dense_index
 from episodeframe.session import cut_lineage
 from episodeframe.sinks import writers as W
 from episodeframe.sources.config import MappingConfig, topic_dim
+from episodeframe.sources.files import read_published_frames
 
 PAYLOAD = ["position", "orientation", "positions", "velocities", "efforts", "data", "value", "pose", "twist"]
 
@@ -108,8 +110,9 @@ def align_recordings(messages: DataFrame, config: MappingConfig, joint_and_actio
 
 def publish(messages: DataFrame, config: MappingConfig, out_root: str, task: str = "default task",
             steps: DataFrame | None = None, checkpoint: bool = True,
-            joint_and_action: set[str] | None = None, collector: bool = False) -> Published:
-    """Run Entry A + B and write the dataset under ``out_root``."""
+            joint_and_action: set[str] | None = None, collector: bool = False, frames_per_file: int = 1 << 14) -> Published:
+    """Run Entry A + B and write the dataset under ``out_root``; a camera's video
+    file takes about ``frames_per_file`` frames."""
     frames, rejected = align_recordings(messages, config, joint_and_action, collector=collector)
     if checkpoint:
         frames = cut_lineage(frames)
@@ -141,16 +144,23 @@ def publish(messages: DataFrame, config: MappingConfig, out_root: str, task: str
                      F.col("state").alias("observation.state"), "action",
                      *[F.col("camera_index")[c].alias(f"observation.images.{c}.index") for c in config.fields("camera")])
     episodes = episodes.join(eps.select("episode_key", "task").distinct(), "episode_key").drop("episode_key")
+    cameras = config.fields("camera")
+    if cameras:
+        ranges = cut_lineage(V.camera_ranges(V.camera_rows(episodes.select("episode_index", "length"), cameras), config.fps, frames_per_file))
+        episodes = episodes.join(V.wide(ranges, cameras), "episode_index")
+        V.video_files(ranges).write.mode("errorifexists").parquet(f"{out_root.rstrip('/')}/meta/video_files")
+    episodes = cut_lineage(episodes)
     W.write_frames(out, out_root)
     W.write_tasks(tasks, out_root)
     W.write_episodes(episodes, out_root)
-    st = S.vector_stats(out.withColumnRenamed("observation.state", "state_"), ["state_", "action"])
-    st = st.withColumn("feature", F.when(F.col("feature") == "state_", "observation.state")
-                       .otherwise(F.col("feature")))
+    # statistics and totals from the written frames: the renumbering runs once
+    out = read_published_frames(spark, out_root).select(*[F.col(f"`{c}`") for c in out.columns])
+    st = S.vector_stats(out, ["observation.state", "action"])
     W.write_small_json(W.stats_json(st), f"{out_root.rstrip('/')}/meta/stats")
     width = len([f for f in config.state if f.enabled])
     W.write_small_json(W.info_json(S.dataset_totals(out, episodes, tasks), config.fps,
-                                   {"observation.state": width, "action": width}),
+                                   {"observation.state": width, "action": width}, videos=W.video_total(episodes, cameras),
+                                   cameras=cameras),
                        f"{out_root.rstrip('/')}/meta/info")
     if not rejected.isEmpty():
         rejected.write.mode("errorifexists").json(f"{out_root.rstrip('/')}/meta/rejected")

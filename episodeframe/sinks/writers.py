@@ -62,13 +62,29 @@ def stats_json(stats: DataFrame) -> DataFrame:
         "feature", F.struct(*names))))).alias("json"))
 
 
-def info_json(totals: DataFrame, fps: int, features: dict[str, int], chunks_size: int = CHUNK_FILES) -> DataFrame:
+def video_total(episodes: DataFrame, cameras: list[str]) -> DataFrame:
+    """K5: one row with ``total_videos``, the distinct files of all cameras."""
+    files = [F.count_distinct(F.col(f"`videos/{c}/file_index`")) for c in cameras]
+    return episodes.agg(sum(files, F.lit(0)).cast("long").alias("total_videos"))
+
+
+def info_json(totals: DataFrame, fps: int, features: dict[str, int], chunks_size: int = CHUNK_FILES, videos: DataFrame | None = None,
+              cameras: list[str] | None = None, image_size: tuple[int, int] | None = None,
+              rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """K5: totals, ``splits = {"train": "0:N"}``, feature shapes and path
-    templates as one JSON row."""
+    templates as one JSON row.  Chunks are those of the frames' files; a camera
+    is a feature of kind ``video`` (with ``image_size`` = height, width)."""
+    shape = F.array(F.lit(3), *map(F.lit, image_size)) if image_size else F.lit(None).cast("array<int>")
+    none = F.lit(None).cast("struct<`video.fps`:double>")
     feats = F.create_map(*[x for name, width in features.items() for x in (
-        F.lit(name), F.struct(F.lit("float32").alias("dtype"), F.array(F.lit(width)).alias("shape")))])
+        F.lit(name), F.struct(F.lit("float32").alias("dtype"), F.array(F.lit(width)).alias("shape"), none.alias("info")))],
+        *[x for c in cameras or [] for x in (F.lit(f"observation.images.{c}"), F.struct(
+            F.lit("video").alias("dtype"), shape.alias("shape"), F.struct(F.lit(float(fps)).alias("video.fps")).alias("info")))])
+    totals = totals.crossJoin(videos) if videos is not None else totals.withColumn("total_videos", F.lit(0).cast("long"))  # one row each
+    files = F.ceil(F.col("total_frames") / rows_per_file)
     return totals.select(F.to_json(F.struct(
-        F.col("total_episodes"), F.col("total_frames"), F.col("total_tasks"),
+        F.col("total_episodes"), F.col("total_frames"), F.col("total_tasks"), F.col("total_videos"),
+        F.ceil(files / chunks_size).alias("total_chunks"),
         F.lit(fps).alias("fps"), F.lit(chunks_size).alias("chunks_size"),
         F.create_map(F.lit("train"), F.concat(F.lit("0:"), F.col("total_episodes").cast("string"))).alias("splits"),
         F.lit("data/chunk_index={chunk_index}/file_index={file_index}").alias("data_path"),
