@@ -41,12 +41,12 @@ PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b"\x20\x09"
 LONGEST = 4
 
-SHARD_TOKENS = 2_000_000
-HELD_TOKENS = 4_000_000     # of all open shards of a task
-PATHS_PER_RANGE = 2_000_000
+SHARD_TOKENS = 1_000_000
+HELD_TOKENS = 2_000_000     # of all open shards of a task
+PATHS_PER_RANGE = 500_000
 MOST_RANGES = 20_000
 SAMPLED_SHARDS, SAMPLED_PATHS = 64, 512
-PENDING_PATHS = 4_000_000   # union: paths gathered before they are consolidated
+PENDING_PATHS = 1_000_000   # union: paths gathered before they are consolidated
 
 _BREAK = b"\xff"            # never part of UTF-8
 _TABLE = bytes(0xFF if b in PIECE_ENDS else 0x20 if b in BLANKS else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -215,8 +215,7 @@ def summed(path: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Paths in order, the weights of equal ones summed."""
     if not len(path):
         return path, weight
-    key = (path.astype(np.int64) + 1)
-    high, low = key[:, 0] << 32 | key[:, 1], key[:, 2] << 32 | key[:, 3]
+    high, low = ((path[:, k].astype(np.int64) + 1) << 32 | (path[:, k + 1] + 1) for k in (0, 2))
     order = np.lexsort((low, high))
     high, low = high[order], low[order]
     first = np.flatnonzero(np.append(True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])))
