@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from episodeframe.llm.common import cut_lineage
 
 LENGTH = 100
-CORE = 24
+CORE = 40
 #: Different segments of one group that a collection takes; larger groups are cut again.
 MOST_SEGMENTS = 4096
 #: Segments of a collection (whole groups; one group may add ``MOST_SEGMENTS``).
@@ -221,35 +221,32 @@ def recut(found: DataFrame, core: int, length: int) -> DataFrame:
 # ---------------------------------------------------------------- column-wise construction
 
 def _range_min(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Minimum of ``values[low..high]`` (inclusive) for many ranges, by blocks of 64."""
-    size = 64
+    """Minimum of ``values[low..high]`` (inclusive) for many ranges, by blocks of 16."""
+    size = 16
     rows = np.full(-(-len(values) // size) * size, 255, np.uint8)
     rows[:len(values)] = values
     rows = rows.reshape(-1, size)
-    levels = [rows.min(axis=1)]
-    while len(levels[-1]) > 1 << (len(levels) - 1):
-        step = 1 << (len(levels) - 1)
-        last = levels[-1]
-        nxt = last.copy()
-        nxt[:-step] = np.minimum(last[:-step], last[step:])
-        levels.append(nxt)
-        if step * 2 >= len(last):
-            break
-    a, b = low // size, high // size
+    least = rows[:, 0].copy()
+    for k in range(1, size):
+        np.minimum(least, rows[:, k], out=least)
+    levels = [least]
+    while 2 << (len(levels) - 1) < len(rows):
+        step, last = 1 << (len(levels) - 1), levels[-1]
+        levels.append(np.minimum(last, np.append(last[step:], last[len(last) - step:])))
+    a, b = low >> 4, high >> 4
     column = np.arange(size, dtype=np.uint8)
     left, right = rows[a], rows[b]
-    same = a == b
-    stop = np.where(same, high % size, size - 1).astype(np.uint8)
-    left[(column < (low % size).astype(np.uint8)[:, None]) | (column > stop[:, None])] = 255
-    right[(column > (high % size).astype(np.uint8)[:, None]) | same[:, None]] = 255
-    out = np.minimum(left.min(axis=1), right.min(axis=1))
+    start, stop = (low & 15).astype(np.uint8)[:, None], (high & 15).astype(np.uint8)[:, None]
+    same = (a == b)[:, None]
+    left[(column < start) | same & (column > stop)] = 255
+    right[(column > stop) | same] = 255
+    out = np.minimum(left, right).min(axis=1)
     gap = b - a - 1
     far = np.flatnonzero(gap > 0)
     if len(far):
         level = np.frexp(gap[far].astype(float))[1] - 1
-        for k in np.unique(level):
-            q = far[level == k]
-            out[q] = np.minimum(out[q], np.minimum(levels[k][a[q] + 1], levels[k][b[q] - (1 << k)]))
+        table = np.stack(levels)
+        out[far] = np.minimum(out[far], np.minimum(table[level, a[far] + 1], table[level, b[far] - (1 << level.astype(np.int64))]))
     return out
 
 
@@ -261,48 +258,54 @@ def collection(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     front of ``u`` has among all ``c`` of the transform.  Its common prefix with
     the suffix before it is one more than the least common prefix between the
     two places of the round before; that with the suffix behind it likewise.
-    Common prefixes stop at 255."""
+    Common prefixes stop at 255.  The transform is kept as one list per symbol,
+    end to end in ``behind``: the places where the symbol stands in it, ascending."""
     n = len(texts)
     size = np.fromiter(map(len, texts), np.int64, n)
     flat = np.frombuffer(b"".join(texts), np.uint8)
     last = np.cumsum(size) - 1
-    bwt = np.where(size > 0, flat[np.maximum(last, 0)].astype(np.int16) + 1, 0).astype(np.int16) if len(flat) else np.zeros(n, np.int16)
     lcp = np.zeros(n, np.uint8)
-    place = np.arange(n)
     active = np.flatnonzero(size > 0)
+    place, symbol = active.copy(), flat[last[active]].astype(np.int64) + 1
+    behind = np.zeros(0, np.int32)
+    begin = np.zeros(258, np.int64)                        # of each first symbol, in ``behind``
     done = 0
     while len(active):
-        # sequential pass: places of each symbol, in order
-        order = np.argsort(bwt, kind="stable")
-        order = order[len(bwt) - np.count_nonzero(bwt):]    # without the text ends
-        symbol = bwt[order]
-        rank = np.empty(len(bwt), np.int32)
-        rank[order] = np.arange(len(order), dtype=np.int32)
-        mine = rank[place[active]]
-        to = mine + n                                       # the new suffixes' places; the n empty suffixes come first
+        order = np.lexsort((place, symbol))
+        active, place, symbol = active[order], place[order], symbol[order]
+        # where the new suffixes go: the rank of their symbol in the transform
+        count = np.bincount(symbol, minlength=257)
+        to, at = np.empty(len(active), np.int64), 0
+        for c in np.flatnonzero(count):
+            stop = at + count[c]
+            to[at:stop] = begin[c] + np.searchsorted(behind[begin[c]:begin[c + 1]], place[at:stop])
+            at = stop
+        to += np.arange(len(active))
+        is_new = np.zeros(n + len(behind) + len(active), bool)
+        is_new[n + to] = True
+        old = np.flatnonzero(~is_new)                      # new rows of the old rows, which keep their order
+        full = np.empty(len(behind) + len(active), np.int32)
+        full[to] = place
+        full[old[n:] - n] = behind
+        begin[1:] += np.cumsum(count)
         # common prefixes of the new suffixes and of those right behind them
-        touched = np.zeros(len(order) + 1, bool)
-        touched[mine] = True
-        touched[mine + 1] = True
-        t = np.flatnonzero(touched[:-1])
-        t = t[t > 0]
-        t = t[symbol[t] == symbol[t - 1]]
-        value = np.minimum(_range_min(lcp, order[t - 1] + 1, order[t]), 254) + np.uint8(1) if len(t) else np.zeros(0, np.uint8)
-        # the arrays of this round: old rows keep their order
-        total = n + len(order)
-        is_new = np.zeros(total, bool)
-        is_new[to] = True
-        new_bwt, new_lcp = np.empty(total, np.int16), np.empty(total, np.uint8)
-        new_bwt[~is_new], new_lcp[~is_new] = bwt, lcp
+        mark = np.zeros(len(full) + 1, bool)
+        mark[to] = True
+        mark[to + 1] = True
+        mark[begin[:257]] = False                          # the first of a symbol shares nothing
+        t = np.flatnonzero(mark[:-1])
+        value = np.minimum(_range_min(lcp, full[t - 1] + 1, full[t]), 254) + np.uint8(1) if len(t) else np.zeros(0, np.uint8)
+        # the arrays of this round, written anew in one pass
         done += 1
         ahead = size[active] > done
-        front = np.zeros(len(active), np.int16)
-        front[ahead] = flat[last[active[ahead]] - done].astype(np.int16) + 1
-        new_bwt[to], new_lcp[to] = front, 0
-        new_lcp[t + n] = value
-        bwt, lcp = new_bwt, new_lcp
-        place[active] = to
-        active = active[ahead]
+        new_lcp = np.zeros(len(is_new), np.uint8)
+        new_lcp[old] = lcp
+        new_lcp[n + t] = value
+        lcp, behind = new_lcp, old.astype(np.int32)[full]
+        active, place = active[ahead], (n + to)[ahead]
+        symbol = flat[last[active] - done].astype(np.int64) + 1
+    bwt = np.zeros(len(lcp), np.int16)
+    bwt[behind] = np.repeat(np.arange(257), np.diff(begin))
     return bwt, lcp
 
 
@@ -424,7 +427,7 @@ def repeated_ranges(keyed: DataFrame, length: int = LENGTH, core: int = CORE,
     """Runs of removed windows: doc, tie, at, run (windows at at .. at + run - 1)."""
     rows = cut(keyed, core, length)
     shared = rows.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.max("twice").alias("t")).where("c > 1 or t").select("g")
-    rows = cut_lineage(rows.join(shared, "g"))
+    rows = cut_lineage(rows.join(cut_lineage(shared), "g"))  # written: a hot group of the join can be split
     multi, others = _firsts_and_others(rows)
     wanted = multi.groupBy("doc", "tie").agg(F.collect_list(F.struct("g", "s", "at", "run", "twice", "different")).alias("cuts"))
 
