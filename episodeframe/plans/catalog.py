@@ -54,6 +54,6 @@ def load_all() -> None:
     """Import every query module so its ``register`` calls run."""
     from episodeframe.plans import (action_queries, align_queries, episode_queries,  # noqa: F401
                                     merge_job_queries,
-                                    function_queries, json_queries,
+                                    function_queries, json_queries, model_queries,
                                     merge_queries, publish_queries, quality_queries, sidecar_queries, stream_queries,
                                     trajectory_queries)

@@ -117,14 +117,28 @@ def write_raw_streams(messages: DataFrame, path: str) -> None:
     messages.write.partitionBy("recording_id", "stream").mode("errorifexists").parquet(path)
 
 
-def raw_manifest(messages: DataFrame, payload: str = "payload") -> DataFrame:
-    """A10: per (recording, stream): record count and the shape of the first
-    record (JSON schema of the earliest payload)."""
+def raw_manifest(messages: DataFrame, payload: str = "payload", expected: DataFrame | None = None) -> DataFrame:
+    """A10: per (recording, stream): record count, the shape of the first record
+    and ``merged_format``, the shape that holds all records.
+
+    ``expected`` rows (recording_id, stream) without a message are listed with
+    zero records."""
     first = F.min_by(F.col(payload), F.struct("ts_ns", "seq"))
-    return (messages.groupBy("recording_id", "stream")
-            .agg(F.count(F.lit(1)).alias("records"), first.alias("_first"))
-            .withColumn("record_format", F.schema_of_variant(F.try_parse_json("_first")))
-            .drop("_first"))
+    m = (messages.groupBy("recording_id", "stream")
+         .agg(F.count(F.lit(1)).alias("records"), first.alias("_first"), F.schema_of_variant_agg(F.try_parse_json(payload)).alias("merged_format"))
+         .withColumn("record_format", F.schema_of_variant(F.try_parse_json("_first"))).drop("_first"))
+    if expected is None:
+        return m
+    return (expected.select("recording_id", "stream").distinct().join(m, ["recording_id", "stream"], "full")
+            .withColumn("records", F.coalesce("records", F.lit(0).cast("long"))))
+
+
+def write_raw_manifest(manifest: DataFrame, path: str) -> None:
+    """K8: the manifest as JSON lines, one per recording; its ``files`` are as
+    many as the recording has streams."""
+    info = F.struct("records", "record_format", "merged_format")
+    (manifest.groupBy("recording_id").agg(F.map_from_entries(F.collect_list(F.struct("stream", info))).alias("files"))
+     .write.mode("errorifexists").json(path))
 
 
 def append_episode_rows(rows: DataFrame, path: str) -> None:

@@ -177,15 +177,25 @@ def read_raw_manifest(spark: SparkSession, path: str) -> DataFrame:
             .where(F.col("records") > 0))
 
 
+ROBOT_JOINT_SCHEMA = ("_name string, _type string, parent struct<_link: string>, child struct<_link: string>, "
+                      "limit struct<_lower: double, _upper: double, _effort: double, _velocity: double>")
+
+
 def read_robot_joints(spark: SparkSession, path: str) -> DataFrame:
-    """Joints of a robot model file (name, type, parent, child,
-    limits) via the XML source."""
-    df = spark.read.format("xml").option("rowTag", "joint").option("attributePrefix", "_").load(path)
-    cols = {c: c for c in df.columns}
-    out = [F.col("_name").alias("name"), F.col("_type").alias("type")]
-    out.append(F.col("parent._link").alias("parent") if "parent" in cols else F.lit(None).alias("parent"))
-    out.append(F.col("child._link").alias("child") if "child" in cols else F.lit(None).alias("child"))
-    if "limit" in cols:
-        for a in ("lower", "upper", "effort", "velocity"):
-            out.append(F.col(f"limit._{a}").cast("double").alias(a))
-    return df.select(*out)
+    """Joints of robot model files (name, type, parent, child, limits) via
+    the XML source, in a fixed schema; a joint without an element has nulls.
+    Folders named ``model=...`` give a ``model`` column."""
+    df = spark.read.format("xml").schema(ROBOT_JOINT_SCHEMA).option("rowTag", "joint").option("attributePrefix", "_").load(path)
+    model = ["model"] if "model" in df.columns else []
+    return df.where(F.col("_name").isNotNull()).select(
+        *model, F.col("_name").alias("name"), F.col("_type").alias("type"), F.col("parent._link").alias("parent"), F.col("child._link").alias("child"),
+        *[F.col(f"limit._{a}").alias(a) for a in ("lower", "upper", "effort", "velocity")])
+
+
+def read_raw_manifest_lines(spark: SparkSession, path: str) -> DataFrame:
+    """S10 as a landed table: one JSON line per recording with its files; files
+    with zero records are skipped."""
+    info = "struct<records: bigint, record_format: string, merged_format: string>"
+    df = spark.read.schema(f"recording_id long, files map<string, {info}>").json(path)
+    return (df.select("recording_id", F.explode("files").alias("stream", "info"))
+            .select("recording_id", "stream", "info.records", "info.record_format", "info.merged_format").where(F.col("records") > 0))
