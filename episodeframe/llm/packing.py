@@ -25,6 +25,45 @@ from episodeframe.llm.common import cut_lineage
 END_ID = 2
 
 
+def fast_words(path: str):
+    """Encoder of plain lower-case words by the merges of a word-level BPE file:
+    a function from words to (flat ids, end of each word's ids).
+
+    A merge of two symbols is known by the bytes it makes, and its rank is its
+    place in the file; a word's end is a byte 0 after it, which joins the last
+    byte before any other merge.  So byte-pair merging by ranks gives the file's
+    own ids (the tests compare them with the tokenizer's)."""
+    import json
+
+    import tiktoken
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
+    end = model["end_of_word_suffix"]
+
+    def raw(token: str) -> bytes:
+        body = token.removesuffix(end)
+        return bytes(byte_of[c] for c in body) + (b"\x00" if body != token else b"")
+
+    ranks = {bytes([b, 0]): b for b in range(1, 256)} | {bytes([b]): 1 << 20 | b for b in range(256)}
+    for k, pair in enumerate(model["merges"], 256):
+        ranks.setdefault(b"".join(map(raw, pair.split(" ") if isinstance(pair, str) else pair)), k)
+    ids, last = np.zeros((1 << 20) + 256, "<u4"), np.zeros((1 << 20) + 256, bool)
+    for token, i in model["vocab"].items():
+        if all(c in byte_of for c in token.removesuffix(end)):
+            k = ranks.get(raw(token))
+            if k is not None:
+                ids[k], last[k] = i, token.endswith(end)
+    core = tiktoken.Encoding("words", pat_str="[^ ]+", mergeable_ranks=ranks, special_tokens={})._core_bpe
+
+    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = np.array(core.encode_ordinary("\x00 ".join(words) + "\x00"), np.int64)
+        return ids[found], np.flatnonzero(last[found]) + 1
+
+    return encode
+
+
 class WordTokenizer:
     """Whole-text ids of a word-level BPE through a bounded word cache.
 
@@ -36,6 +75,7 @@ class WordTokenizer:
     def __init__(self, path: str, room: int = 400_000):
         from tokenizers import Tokenizer
         self.raw = Tokenizer.from_file(path)
+        self.plain = fast_words(path)
         self.known: dict[str, bytes] = {"": b""}
         self.room = room
         self.tails = {t: self._bytes(self.raw.encode(t, add_special_tokens=False).ids) for t in ".,"}
@@ -60,23 +100,26 @@ class WordTokenizer:
         """Ids of unknown chunks.  A word in any case, alone or before a full
         stop or comma, is encoded once."""
         into: dict[str, bytes] = {}
-        stems: dict[str, list[str]] = {}
-        joint = []
+        words, joint = [], []  # (chunk, word, bytes of the mark behind it)
+        tails = self.tails
         for chunk in missing:
-            stem = chunk[:-1] if chunk[-1] in ".," else chunk
-            if stem.isalpha() and max(stem) < "Ā":
-                stems.setdefault(stem.lower(), []).append(chunk)
+            tail = tails.get(chunk[-1], b"")
+            stem = chunk[:-1] if tail else chunk
+            if stem.isalpha() and (stem.isascii() or max(stem) < "Ā"):
+                words.append((chunk, stem.lower(), tail))
             elif max(chunk) < "Ā" and "<|" not in chunk:
                 joint.append(chunk)
             else:
                 into[chunk] = self._bytes(self.raw.encode(chunk, add_special_tokens=False).ids)
-        known = self.known
-        self._together(joint + [w for w in stems if w not in known], into)
-        for w, chunks in stems.items():
-            base = known.get(w)
-            base = into[w] if base is None else base
-            for c in chunks:
-                into[c] = base + self.tails[c[-1]] if c[-1] in ".," else base
+        self._together(joint, into)
+        known, new = self.known, list({w for _, w, _ in words}.difference(self.known))
+        for at in range(0, len(new), 65_536):
+            part = new[at:at + 65_536]
+            ids, ends = self.plain(part)
+            flat, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+            into.update(zip(part, [flat[s:e] for s, e in zip(cuts, cuts[1:])], strict=True))
+        for chunk, w, tail in words:
+            into[chunk] = (into[w] if w in into else known[w]) + tail
         return into
 
     def encode(self, texts: list[str | None]) -> list[bytes]:

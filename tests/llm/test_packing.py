@@ -84,3 +84,16 @@ def test_empty_table_and_one_length(spark):
     assert packing.pack(docs.limit(0), VOCAB)[0].count() == 0
     pieces, _ = packing.pack(docs, VOCAB, length=16, grid=4)
     assert sum(r.length for r in pieces.collect()) == 50 * len(ids_of("one two three"))
+
+
+def test_fast_words_give_the_tokenizers_ids():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    raw, fast = Tokenizer.from_file(path), packing.fast_words(path)
+    rng = np.random.default_rng(8)
+    letters = list("abcdefghijklmnopqrstuvwxyzeeeeaaatttßéñøæªµÿ")
+    words = sorted({"".join(rng.choice(letters, int(rng.integers(1, 25)))) for _ in range(20_000)}
+                   | {"a", "the", "zzzzzzzzzz", "aaaa" * 200, "é", "straße", "µ"})
+    ids, ends = fast(words)
+    want = [raw.encode(w, add_special_tokens=False).ids for w in words]
+    assert len(ends) == len(words)
+    assert [ids[s:e].tolist() for s, e in zip([0, *ends], ends)] == want
