@@ -8,7 +8,7 @@ from episodeframe.functions.vectors import FieldSpec
 from episodeframe.operators import align as A
 from episodeframe.plans.catalog import _MSG_CTE, EVENT_STEP_NS, EVENT_STREAMS, r6, register
 from episodeframe.plans.recording import aligned_frames, state_action_frames
-from episodeframe.sources.tables import events_as_messages
+from episodeframe.sources.tables import events_as_messages, table
 
 EVENT_LAYOUT = [FieldSpec(s, s, "float.value") for s in EVENT_STREAMS]
 
@@ -123,14 +123,6 @@ def align_linear(spark, sf_dir):
     return _wide_spark(aligned_frames(msgs, {s: A.LINEAR for s in EVENT_STREAMS}, EVENT_STEP_NS))
 
 
-@register("align_mixed_j5")
-def align_mixed(spark, sf_dir):
-    """Per-stream method choice (pose / linear / nearest) in one pass."""
-    msgs = events_as_messages(spark, sf_dir, EVENT_STREAMS)
-    methods = {s: A.method_for(s, {"purchase", "click"}) for s in EVENT_STREAMS}
-    return _wide_spark(aligned_frames(msgs, methods, EVENT_STEP_NS))
-
-
 # -- A1 / A2 / O2
 @register("stream_counts", """
 SELECT user_id AS recording_id, event_type AS stream, count(*) AS n_rows,
@@ -175,19 +167,24 @@ def frame_grid_10min(spark, sf_dir):
 
 # -- J4: pose stream from embeddings, 2.5 ms grid per label
 POSE_STEP_NS = 2_500_000
-_POSE_SQL = f"""
-WITH p0 AS (
+_POSE_WINDOW = ("SELECT recording_id, min(ts_ns) AS s, max(ts_ns) AS e FROM p GROUP BY 1 HAVING min(ts_ns) < max(ts_ns)")
+
+
+def _pose_sql(rows: str = "true", window: str = _POSE_WINDOW) -> str:
+    """CTEs of poses from the embeddings that fulfil ``rows``, up to the
+    interpolated poses ``pose``."""
+    return f"""
+p0 AS (
   SELECT CAST(label AS BIGINT) AS recording_id, vec_id * 1000000 AS ts_ns, vec_id AS seq,
          CAST(embedding[5] AS DOUBLE) AS px, CAST(embedding[6] AS DOUBLE) AS py,
          CAST(embedding[7] AS DOUBLE) AS pz,
          CAST(embedding[1] AS DOUBLE) AS e1, CAST(embedding[2] AS DOUBLE) AS e2,
          CAST(embedding[3] AS DOUBLE) AS e3, CAST(embedding[4] AS DOUBLE) AS e4
-  FROM embeddings),
+  FROM embeddings WHERE {rows}),
 p1 AS (SELECT *, sqrt(e1 * e1 + e2 * e2 + e3 * e3 + e4 * e4) AS n FROM p0),
 p AS (SELECT recording_id, ts_ns, seq, px, py, pz, e1 / n AS qx, e2 / n AS qy, e3 / n AS qz,
              e4 / n AS qw FROM p1),
-win AS (SELECT recording_id, min(ts_ns) AS s, max(ts_ns) AS e FROM p GROUP BY 1
-        HAVING min(ts_ns) < max(ts_ns)),
+win AS ({window}),
 grid AS (SELECT recording_id, k AS frame_index, s + k * {POSE_STEP_NS} AS t_ns
          FROM (SELECT recording_id, s, unnest(range(0, (e - s) // {POSE_STEP_NS} + 1)) AS k FROM win)),
 prv AS (SELECT g.recording_id, g.frame_index, p.*, row_number() OVER (
@@ -211,8 +208,8 @@ c3 AS (SELECT *, CASE WHEN d > 0.9995 THEN 1.0 - r ELSE sin((1.0 - r) * th) / si
               (CASE WHEN d > 0.9995 THEN r ELSE sin(r * th) / sin(th) END) * sgn AS w1 FROM c2),
 c4 AS (SELECT *, aqx * w0 + bqx * w1 AS rx, aqy * w0 + bqy * w1 AS ry, aqz * w0 + bqz * w1 AS rz,
               aqw * w0 + bqw * w1 AS rw FROM c3),
-c5 AS (SELECT *, sqrt(rx * rx + ry * ry + rz * rz + rw * rw) AS rn FROM c4)
-SELECT recording_id, frame_index, t_ns,
+c5 AS (SELECT *, sqrt(rx * rx + ry * ry + rz * rz + rw * rw) AS rn FROM c4),
+pose AS (SELECT recording_id, frame_index, t_ns,
   round(CASE WHEN ats IS NULL THEN bpx WHEN bts IS NULL THEN apx ELSE apx + r * (bpx - apx) END, 6) AS px,
   round(CASE WHEN ats IS NULL THEN bpy WHEN bts IS NULL THEN apy ELSE apy + r * (bpy - apy) END, 6) AS py,
   round(CASE WHEN ats IS NULL THEN bpz WHEN bts IS NULL THEN apz ELSE apz + r * (bpz - apz) END, 6) AS pz,
@@ -220,10 +217,10 @@ SELECT recording_id, frame_index, t_ns,
   round(CASE WHEN ats IS NULL THEN bqy WHEN bts IS NULL THEN aqy WHEN rn > 0 THEN ry * (1.0 / rn) ELSE aqy END, 6) AS qy,
   round(CASE WHEN ats IS NULL THEN bqz WHEN bts IS NULL THEN aqz WHEN rn > 0 THEN rz * (1.0 / rn) ELSE aqz END, 6) AS qz,
   round(CASE WHEN ats IS NULL THEN bqw WHEN bts IS NULL THEN aqw WHEN rn > 0 THEN rw * (1.0 / rn) ELSE aqw END, 6) AS qw
-FROM c5"""
+FROM c5)"""
 
 
-@register("align_pose_slerp", _POSE_SQL)
+@register("align_pose_slerp", f"WITH {_pose_sql()} SELECT * FROM pose")
 def align_pose_slerp(spark, sf_dir):
     """Position lerp + orientation SLERP, clamped, on a 2.5 ms grid."""
     from episodeframe.sources.tables import embeddings_as_poses
@@ -236,6 +233,42 @@ def align_pose_slerp(spark, sf_dir):
                      *[r6(p["orientation"][a]).alias(f"q{a}") for a in "xyzw"])
 
 
+# -- J5: a pose, a joint and a plain stream of one recording
+_MIXED_SQL = f"""
+WITH m AS (SELECT CAST(label AS BIGINT) AS recording_id, vec_id % 3 AS st, vec_id * 1000000 AS ts_ns, CAST(embedding[9] AS DOUBLE) AS value FROM embeddings),
+ext AS (SELECT recording_id, st, min(ts_ns) AS f, max(ts_ns) AS l FROM m GROUP BY 1, 2),
+{_pose_sql("vec_id % 3 = 0", "SELECT recording_id, max(f) AS s, min(l) AS e FROM ext GROUP BY 1 HAVING max(f) < min(l)")},
+x AS (SELECT g.recording_id, g.frame_index, g.t_ns, st.st, p.ts_ns AS pts, p.value AS pv
+      FROM grid g CROSS JOIN (VALUES (1), (2)) st(st)
+      ASOF LEFT JOIN m p ON p.recording_id = g.recording_id AND p.st = st.st AND p.ts_ns < g.t_ns),
+y AS (SELECT x.*, n.ts_ns AS nts, n.value AS nv FROM x ASOF LEFT JOIN m n ON n.recording_id = x.recording_id AND n.st = x.st AND n.ts_ns >= x.t_ns),
+z AS (SELECT y.*, e.l AS lts, (SELECT max(m.value) FROM m WHERE m.recording_id = y.recording_id AND m.st = y.st AND m.ts_ns = e.l) AS lv
+      FROM y LEFT JOIN ext e ON e.recording_id = y.recording_id AND e.st = y.st)
+SELECT pose.*, round(a.v, 6) AS joint, round(b.v, 6) AS grip, b.src AS grip_ts
+FROM pose LEFT JOIN (SELECT *, {LINEAR_VAL} AS v FROM z WHERE st = 1) a USING (recording_id, frame_index)
+LEFT JOIN (SELECT *, {NEAREST_PICK.format(n="nv", p="pv")} AS v, {NEAREST_PICK.format(n="nts", p="pts")} AS src FROM z WHERE st = 2) b
+  ON b.recording_id = pose.recording_id AND b.frame_index = pose.frame_index"""
+
+
+@register("align_mixed_j5", _MIXED_SQL)
+def align_mixed(spark, sf_dir):
+    """The method follows from the stream's name, in one pass: poses by
+    SLERP, joints linearly, others by the nearest sample."""
+    from episodeframe.sources.tables import embeddings_as_poses
+    kind = F.col("seq") % 3
+    poses = embeddings_as_poses(spark, sf_dir).join(
+        table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("seq"), F.col("embedding")[8].cast("double").alias("value")), "seq")
+    is_pose = kind == 0
+    msgs = poses.select("recording_id", F.when(is_pose, "arm_end_pose").when(kind == 1, "joint").otherwise("grip").alias("stream"), "ts_ns", "seq",
+                        F.when(~is_pose, F.col("value")).alias("value"), *[F.when(is_pose, F.col(c)).alias(c) for c in ("position", "orientation")])
+    methods = {s: A.method_for(s, {"joint"}) for s in ("arm_end_pose", "joint", "grip")}
+    fr = aligned_frames(msgs, methods, POSE_STEP_NS, payload=["value", "position", "orientation"])
+    p = F.col("arm_end_pose")
+    return fr.select("recording_id", "frame_index", "t_ns", *[r6(p["position"][a]).alias(f"p{a}") for a in "xyz"],
+                     *[r6(p["orientation"][a]).alias(f"q{a}") for a in "xyzw"], r6(F.col("joint")["value"]).alias("joint"),
+                     r6(F.col("grip")["value"]).alias("grip"), F.col("grip__ts").alias("grip_ts"))
+
+
 # -- head-camera timeline (collector route): click events are the frames
 _TIMELINE_SQL = f"""
 WITH m AS (
