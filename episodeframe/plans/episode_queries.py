@@ -85,6 +85,22 @@ def episode_steps(spark, sf_dir):
                       r6(F.col("s_click")).alias("s_click"), r6(F.col("a_click")).alias("a_click"))
 
 
+@register("episode_steps_unmatched", f"""
+WITH {_MSG_CTE}
+SELECT conv_id AS recording_id, turn AS step_number,
+       CASE WHEN conv_id IN (SELECT recording_id FROM m) THEN 'no sampling window' ELSE 'no recording' END AS reason
+FROM conversations WHERE conv_id NOT IN (SELECT recording_id FROM win)""")
+def episode_steps_unmatched(spark, sf_dir):
+    """Steps that ``episode_steps`` cannot cut: their conversation has no event
+    recording, or its streams have no common window."""
+    msgs = events_as_messages(spark, sf_dir, EVENT_STREAMS)
+    windows = A.grid_params(A.sampling_window(msgs), EVENT_STEP_NS).select(F.col("recording_id").alias("conv_id"))
+    known = msgs.select(F.col("recording_id").alias("conv_id")).distinct().withColumn("known", F.lit(True))
+    lost = table(spark, sf_dir, "conversations").join(windows, "conv_id", "left_anti").join(known, "conv_id", "left")
+    return lost.select(F.col("conv_id").alias("recording_id"), F.col("turn").alias("step_number"),
+                       F.when(F.col("known"), "no sampling window").otherwise("no recording").alias("reason"))
+
+
 def conversation_meta(spark, sf_dir):
     """Task metadata per conversation as a MAP: taskName = first user turn,
     actionDesc = first assistant turn (whole texts)."""

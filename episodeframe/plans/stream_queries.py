@@ -3,13 +3,17 @@ point-cloud explode (F25), over the landed tables."""
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from episodeframe.functions.timeunits import epoch_ns
 from episodeframe.operators.pointcloud import explode_points
 from episodeframe.plans.catalog import r6, register
+from episodeframe.session import ensure_checkpoint_dir
 from episodeframe.sources.tables import events_as_messages, table
 from episodeframe.streaming import live as L
 
@@ -45,6 +49,23 @@ def decimated_events(spark, sf_dir):
             .agg(first.alias("f")).select("recording_id", "stream", "bucket", "f.seq", "f.value"))
 
 
+@register("decimated_stream", """
+SELECT DISTINCT user_id AS recording_id, event_type AS stream, epoch_us(ts) * 1000 // 3600000000000 AS bucket FROM events""")
+def decimated_stream(spark, sf_dir):
+    """T7 as a stream: the landed events run through ``live.decimate`` once;
+    which message of a bucket arrives first is the source's business."""
+    events = table(spark, sf_dir, "events")
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/decimated/{uuid.uuid4().hex}"
+    events.write.parquet(f"{root}/in")
+    src = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+    m = src.select(F.col("user_id").alias("recording_id"), F.col("event_type").alias("stream"), epoch_ns("ts").alias("ts_ns"))
+    kept = L.decimate(L.with_event_time(m), period_ms=3_600_000).select("recording_id", "stream", "bucket")
+    q = (kept.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(kept.schema).parquet(f"{root}/out")
+
+
 @register("accumulated_transforms", """
 WITH t AS (SELECT 'customer_' || CAST(o_custkey AS VARCHAR) AS child, o_orderkey AS seq, o_totalprice AS tx,
                   o_orderdate AS ts FROM orders),
