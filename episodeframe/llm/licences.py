@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from episodeframe.llm.common import cut_lineage
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -68,13 +69,27 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(low, F.lit(_WORD), F.lit(0))
 
 
-def idf(docs: DataFrame, text_col: str, vocabulary: list[str]) -> dict[str, float]:
+_CODES = 1 << 10  # a code is place * _CODES + number of the word
+
+
+def template_words(docs: DataFrame, id_col: str, text_col: str, vocabulary: list[str]) -> DataFrame:
+    """``_id``, ``n_words`` and ``_v``: the words of the text that are template
+    words, as codes of their place and number (from 1), ascending.  Texts are cut
+    into words once; all that follows reads this stored table."""
+    listed = F.array(*map(F.lit, vocabulary))
+    rows = docs.select(F.col(id_col).alias("_id"), words_of(F.col(text_col)).alias("_w"))
+    at = F.filter(F.transform("_w", lambda x, i: F.when(x.isin(*vocabulary), i)), lambda i: i.isNotNull())
+    codes = F.transform(at, lambda i: i.cast("long") * _CODES + F.array_position(listed, F.get("_w", i)))
+    return cut_lineage(rows.select("_id", F.size("_w").cast("long").alias("n_words"), codes.alias("_v")))
+
+
+def idf(found: DataFrame, vocabulary: list[str]) -> dict[str, float]:
     """IDF of each vocabulary word over all files; at most one row per word of
     the templates reaches the driver."""
-    found = docs.select(F.array_intersect(words_of(F.col(text_col)), F.array(*map(F.lit, vocabulary))).alias("w"))
-    n = docs.count()
-    df = dict(found.select(F.explode("w").alias("w")).groupBy("w").count().collect())
-    return {w: math.log((n + 1) / (df.get(w, 0) + 0.5)) for w in vocabulary}
+    numbers = F.array_distinct(F.transform("_v", lambda c: c % _CODES))
+    n = found.count()
+    df = dict(found.select(F.explode(numbers).alias("w")).groupBy("w").count().collect())
+    return {w: math.log((n + 1) / (df.get(k, 0) + 0.5)) for k, w in enumerate(vocabulary, 1)}
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -91,24 +106,30 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the word counts.
     """
     vocabulary = sorted({w for t in templates for w in t.words})
-    weight = idf(docs, text_col, vocabulary)
+    rows = template_words(docs, id_col, text_col, vocabulary)
+    weight = idf(rows, vocabulary)
+    number = {w: k for k, w in enumerate(vocabulary, 1)}
     postings = {t: sorted(range(*_span(t)), key=lambda i, t=t: (-weight[t.words[i]], i))[:2] for t in templates}
-    rare = sorted({t.words[i] for t, at in postings.items() for i in at})
-    w = F.col("_w")
-    rows = docs.select(F.col(id_col).alias("_id"), words_of(F.col(text_col)).alias("_w"))
-    hits = F.filter(F.transform(w, lambda x, i: F.when(x.isin(*rare), i)), lambda i: i.isNotNull())
-    rows = rows.select("_id", "_w", hits.alias("_hits"))
+
+    def stands(word: str, i: int, start: Column) -> Column:
+        return F.array_contains("_v", (start + i) * _CODES + number[word])
+
+    def holds(word: str, i: int):
+        return lambda start: stands(word, i, start)
 
     def starts(t: Template) -> Column:
         def posted(at: int) -> Column:  # starts that a posting of the word at ``at`` implies
-            return F.transform(F.filter("_hits", lambda i: F.get(w, i) == t.words[at]), lambda i: i - at)
+            mine = F.filter("_v", lambda c: c % _CODES == number[t.words[at]])
+            return F.transform(mine, lambda c: F.call_function("div", c, F.lit(_CODES).cast("long")) - at)
 
         out = posted(postings[t][0])
         for at in postings[t][1:]:
             out = F.array_intersect(out, posted(at))
         first, n = t.key
-        phrase = F.array(*[F.lit(x) for x in t.words[first:first + n]])
-        return F.filter(out, lambda s: (s + first >= 0) & (F.slice(w, F.greatest(s + first, F.lit(0)) + 1, n) == phrase))
+        for i in range(first, first + n):
+            if i not in postings[t]:
+                out = F.filter(out, holds(t.words[i], i))
+        return F.filter(out, lambda s: s + first >= 0)
 
     def share(t: Template, s: Column) -> Column:
         total = sum(weight[x] for x in t.words)
@@ -119,17 +140,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rest = F.lit(fixed)
         for i, x in enumerate(t.words):
             if not first <= i < first + n:
-                rest = rest + F.when((s + i >= 0) & (F.get(w, s + i) == x), weight[x]).otherwise(0.0)
+                rest = rest + F.when(stands(x, i, s), weight[x]).otherwise(0.0)
         return F.round(F.least(rest / total, F.lit(1.0)), 6)
 
     def places(t: Template) -> Column:
-        return F.transform(starts(t), lambda s: F.struct(F.lit(t.label).alias("label"), s.alias("start"),
+        return F.transform(starts(t), lambda s: F.struct(F.lit(t.label).alias("label"), s.cast("int").alias("start"),
                                                          share(t, s).alias("score"), F.lit(t.base).alias("base")))
 
     none = "array<struct<label:string,start:int,score:double,base:boolean>>"
-    found = F.when(F.size("_hits") > 0, F.filter(F.concat(*map(places, templates)), lambda f: f["score"] >= least_share)).otherwise(
+    found = F.when(F.size("_v") > 0, F.filter(F.concat(*map(places, templates)), lambda f: f["score"] >= least_share)).otherwise(
         F.array().cast(none))
-    rows = rows.select("_id", F.size("_w").cast("long").alias("n_words"), found.alias("found"))
+    rows = rows.select("_id", "n_words", found.alias("found"))
     base = F.filter("found", lambda f: f["base"])
 
     def joined(a: Column) -> Column:

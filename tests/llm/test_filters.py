@@ -117,4 +117,4 @@ def test_native_plans(spark):
     for df in (licences.scan(docs), hostrep.judge(pages, spark.createDataFrame([], "page_id long, bad int"), queries.URL_RULES)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
-    assert np.isfinite(licences.idf(docs, "text", ["mit"])["mit"])
+    assert np.isfinite(licences.idf(licences.template_words(docs, "doc_id", "text", ["mit"]), ["mit"])["mit"])
