@@ -227,6 +227,35 @@ def decode_payloads(spark, sf_dir):
                     r6(F.col("f.value")).alias("value"), F.col("b.value").alias("bad"))
 
 
+@register("decode_routed_payloads", f"""
+WITH k AS (SELECT *, vec_id % 11 = 0 AS broken, vec_id % 5 AS kind FROM embeddings)
+SELECT vec_id, CASE WHEN NOT broken AND kind = 0 THEN round({_ed(0)}, 6) END AS px, CASE WHEN NOT broken AND kind = 0 THEN round({_ed(6)}, 6) END AS qw,
+       CASE WHEN NOT broken AND kind = 1 THEN round({_ed(2)}, 6) END AS joint, CASE WHEN NOT broken AND kind = 2 THEN round({_ed(1)}, 6) END AS odom_y,
+       CASE WHEN NOT broken AND kind = 2 THEN round({_ed(9)}, 6) END AS turn, CASE WHEN NOT broken AND kind = 3 THEN round({_ed(20)}, 6) END AS value,
+       CASE WHEN NOT broken AND kind = 4 THEN 12 END AS n_array, CASE WHEN NOT broken AND kind = 4 THEN round({_ed(41)}, 6) END AS last
+FROM k""")
+def decode_routed_payloads(spark, sf_dir):
+    """F11 with all five decoders, routed by a decoder column as the topic
+    dimension gives it; unreadable payloads give null."""
+    from episodeframe.functions.decoders import decode_routed
+    xyz = lambda at: F.struct(*[_e(at + k).alias(c) for k, c in enumerate("xyz")])
+    quat = F.struct(*[_e(3 + k).alias(c) for k, c in enumerate("xyzw")])
+    pose = F.struct(xyz(0).alias("position"), quat.alias("orientation"))
+    bodies = {"pose": pose, "joint": F.struct(F.array(*map(_e, range(7))).alias("positions")),
+              "odometry": F.struct(pose.alias("pose"), F.struct(xyz(4).alias("linear"), xyz(7).alias("angular")).alias("twist")),
+              "float": F.struct(_e(20).alias("value")), "array": F.struct(F.array(*map(_e, range(30, 42))).alias("data"))}
+    kind = F.col("vec_id") % 5
+    payload, name = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for k, (n, b) in enumerate(bodies.items()):
+        payload, name = F.when(kind == k, F.to_json(b)).otherwise(payload), F.when(kind == k, n).otherwise(name)
+    m = table(spark, sf_dir, "embeddings").select("vec_id", F.when(F.col("vec_id") % 11 == 0, "{cut").otherwise(payload).alias("payload"), name.alias("decoder"))
+    d = m.select("vec_id", decode_routed("payload", "decoder").alias("d"))
+    data = F.col("d.array.data")
+    return d.select("vec_id", r6(F.col("d.pose.position.x")).alias("px"), r6(F.col("d.pose.orientation.w")).alias("qw"), r6(F.col("d.joint.positions")[2]).alias("joint"),
+                    r6(F.col("d.odometry.pose.position.y")).alias("odom_y"), r6(F.col("d.odometry.twist.angular.z")).alias("turn"),
+                    r6(F.col("d.float.value")).alias("value"), F.size(data).alias("n_array"), r6(F.element_at(data, -1)).alias("last"))
+
+
 @register("sensor_vectors", f"""
 SELECT vec_id, round({_ed(0)}, 6) AS i0, round({_ed(3)}, 6) AS i3, round({_ed(6)}, 6) AS i6, round({_ed(9)}, 6) AS i9, 10 AS imu_width,
        round({_ed(10)}, 6) AS p0, round({_ed(12)}, 6) AS p2, round({_yaw_sql(_ed(0), _ed(1), _ed(2), _ed(3))}, 6) AS p5,

@@ -191,6 +191,53 @@ def replay_dry_run(spark, sf_dir):
                                        "total_delay")
 
 
+def faulty_frames(spark, sf_dir):
+    """Frames whose poses and grippers fail in every way, by number: NaN,
+    infinite, all zero with w = 1, or null."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("episode"), F.transform("embedding", lambda x: x.cast("double")).alias("e"))
+    i, nan, inf = F.col("vec_id"), F.lit(float("nan")), F.lit(float("inf"))
+
+    def pose(px, at, w):
+        return F.struct(F.struct(px.alias("x"), *[F.col("e")[at + k].alias(c) for k, c in ((1, "y"), (2, "z"))]).alias("position"),
+                        F.struct(*[F.col("e")[at + 3 + k].alias(c) for k, c in enumerate("xyz")], w.alias("w")).alias("orientation"))
+
+    zero, one = F.lit(0.0), F.lit(1.0)
+    still = F.struct(F.struct(*[zero.alias(c) for c in "xyz"]).alias("position"), F.struct(*[zero.alias(c) for c in "xyz"], one.alias("w")).alias("orientation"))
+    x, w = F.col("e")[0], F.col("e")[6]
+    act = F.when(i % 7 == 2, still).when(i % 7 != 3, pose(F.when(i % 7 == 1, nan).otherwise(x), 0, F.when(i % 7 == 4, inf).otherwise(w)))
+    obs = F.when(i % 5 == 1, still).when(i % 5 != 0, pose(F.col("e")[7], 7, F.col("e")[13]))
+    return e.select(
+        "vec_id", "episode", (i * 0.1).alias("timestamp"), QC.pose_with_fallback(act, obs).alias("pose"),
+        QC.gripper_with_fallback(
+            F.when(i % 4 == 2, nan).when(i % 4 == 3, -inf).when(i % 4 != 1, F.col("e")[8]),
+            F.when(i % 3 == 1, F.array(-F.abs(F.col("e")[9]))).when(i % 3 == 2, F.array(F.abs(F.col("e")[9]))),
+            F.when(i % 5 == 1, inf).when(i % 5 != 0, F.col("e")[10])).alias("grip"))
+
+
+_FAULTY_SQL = """
+f AS (SELECT vec_id, label AS episode, vec_id * 0.1 AS timestamp,
+        CASE WHEN vec_id % 7 NOT IN (1, 2, 3, 4) THEN embedding[1] WHEN vec_id % 5 NOT IN (0, 1) THEN embedding[8] END::DOUBLE AS px,
+        CASE WHEN vec_id % 4 = 0 THEN embedding[9]::DOUBLE WHEN vec_id % 3 = 1 THEN 0.0 WHEN vec_id % 3 = 2 THEN abs(embedding[10])::DOUBLE
+             WHEN vec_id % 5 NOT IN (0, 1) THEN embedding[11]::DOUBLE END AS grip FROM embeddings)"""
+
+
+@register("faulty_commands", f"WITH {_FAULTY_SQL} SELECT vec_id, round(px, 6) AS px, round(grip, 6) AS grip FROM f")
+def faulty_commands(spark, sf_dir):
+    """P7 + P10: the pose and gripper that is left after each kind of fault."""
+    return faulty_frames(spark, sf_dir).select("vec_id", r6(F.col("pose.position.x")).alias("px"), r6(F.col("grip")).alias("grip"))
+
+
+@register("faulty_replay", f"""
+WITH {_FAULTY_SQL}
+SELECT episode, count(*) AS frames, count(*) FILTER (WHERE px IS NOT NULL OR grip IS NOT NULL) AS valid_frames, count(px) AS pose_commands,
+       count(grip) AS gripper_commands, round(CASE WHEN count(*) > 1 THEN (max(timestamp) - min(timestamp)) / 4.0 ELSE 0 END, 6) AS replay_seconds
+FROM f GROUP BY 1""")
+def faulty_replay(spark, sf_dir):
+    """A12 over frames of which some give no command at all."""
+    s = QC.replay_summary(faulty_frames(spark, sf_dir), "episode", "vec_id", "timestamp", ["pose"], ["grip"], speed=4.0)
+    return s.withColumn("replay_seconds", r6(F.col("replay_seconds")))
+
+
 @register("range_status", """
 SELECT p_partkey, CASE WHEN p_size < 5 THEN 'too close' WHEN p_size > 45 THEN 'out of range' ELSE 'ok' END AS status,
        round(degrees(p_size / 10.0), 6) AS fov_deg
