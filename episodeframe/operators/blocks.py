@@ -159,11 +159,25 @@ def range_blocks(df: DataFrame, order: list[str]) -> DataFrame:
     return cut_lineage(df.repartitionByRange(*order).withColumn(BLK, F.spark_partition_id()))
 
 
-def global_scan(df: DataFrame, order: list[str], scans: list[Scan]) -> DataFrame:
+#: Rows of a stored table up to which one sort scans it (a few narrow columns each).
+SMALL_TABLE = 1 << 18
+
+
+def global_scan(df: DataFrame, order: list[str], scans: list[Scan], small: int = SMALL_TABLE) -> DataFrame:
     """``scans`` over all rows in ``order``, by ``range_blocks``; only one
-    summary row per block crosses partitions."""
-    d = df.withColumn("_one", F.lit(1).cast("long"))
-    return ordered_scan(range_blocks(d, order), [], BLK, order, scans).drop("_one", BLK)
+    summary row per block crosses partitions.
+
+    The rows are stored once and counted; a table of at most ``small`` rows
+    (tasks, files, a modest number of episodes) is one block, scanned by one sort
+    with the same result, which saves the sampling of ranges."""
+    from episodeframe.session import cut_lineage
+    d = cut_lineage(df.withColumn("_one", F.lit(1).cast("long")))
+    if d.count() > small or any(s.kind != "sum" for s in scans):
+        return ordered_scan(range_blocks(d, order), [], BLK, order, scans).drop("_one", BLK)
+    w = Window.partitionBy(F.lit(0)).orderBy(*order)
+    up = Window.unboundedPreceding
+    sums = [F.coalesce(F.sum(s.col).over(w.rowsBetween(up, 0 if s.inclusive else -1)), F.lit(0)).alias(s.out) for s in scans]
+    return d.select("*", *sums).drop("_one")
 
 
 def halo_blocks(df: DataFrame, index: str, before: int = 0, after: int = 0,

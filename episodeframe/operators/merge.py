@@ -64,9 +64,9 @@ def renumber(frames: DataFrame, episode_key: list[str], frame_order: list[str],
         frames = cut_lineage(frames)
     fr = dense_index(frames, episode_key, frame_order, "frame_index",
                      block_col=block_of(frame_order[0], 1 << 16))
-    eps = (fr.groupBy(*episode_key, *[c for c in episode_order if c not in episode_key])
+    eps = (frames.groupBy(*episode_key, *[c for c in episode_order if c not in episode_key])
            .agg(F.count(F.lit(1)).alias("length")))
-    eps = episode_offsets(eps, episode_order)
+    eps = cut_lineage(episode_offsets(eps, episode_order))  # read by the frames and by the caller
     out = (fr.join(eps.select(*episode_key, "episode_index", "dataset_from_index"), episode_key)
            .withColumn("index", F.col("dataset_from_index") + F.col("frame_index"))
            .drop("dataset_from_index"))

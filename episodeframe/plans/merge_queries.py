@@ -48,10 +48,10 @@ def tasks_table(frames):
 def merged(spark, sf_dir):
     f = cut_lineage(source_frames(spark, sf_dir))  # the join runs once
     tasks = tasks_table(f)
-    f = M.attach_task_index(f, tasks)
+    # tasks are numbered by name, so the episodes' order needs no task join before the numbering
     frames, episodes = M.renumber(f, ["source_episode"], ["l_linenumber", "l_partkey", "l_suppkey"],
-                                  ["task_index", "nation", "source_episode"], materialize=False)
-    return frames, episodes, tasks
+                                  ["task", "nation", "source_episode"], materialize=False)
+    return M.attach_task_index(frames, tasks), M.attach_task_index(episodes, tasks), tasks
 
 
 def _vec(c, p):
@@ -119,8 +119,7 @@ def merge_episodes(spark, sf_dir):
     """K3 episodes table with W7 dense video file index, J12 mapping and
     F23 path template."""
     from episodeframe.functions.text import chunk_file_path
-    _, eps, tasks = merged(spark, sf_dir)
-    eps = eps.join(tasks, "task_index")
+    _, eps, _ = merged(spark, sf_dir)
     se = dense_index(eps, ["task_index", "nation"], ["source_episode"], "src_ep",
                      block_col=block_of("source_episode", 1 << 20))
     se = se.withColumn("local_file_index", floor_div(F.col("src_ep"), EPISODES_PER_FILE))

@@ -83,3 +83,11 @@ def test_relative_and_delta(spark):
     # actions: [1,2] (i=0), [3,5] (i=1), [3,5] (i=2, last repeats); first action = [1, 2]
     assert got[2]["action"] == [2.0, 3.0]
     assert got[2]["d"] == [-1.0, -2.0]             # relative action minus unshifted state [3, 5]
+
+
+def test_global_scan_is_the_same_on_small_and_large_tables(spark):
+    from episodeframe.operators.blocks import Scan, global_scan
+    df = spark.range(500).selectExpr("(id * 7919) % 503 as k", "id % 5 as n").repartition(7)
+    scans = [Scan("at", "_one", "sum", inclusive=False), Scan("before", "n", "sum", inclusive=False), Scan("upto", "n", "sum")]
+    one, many = ({tuple(r) for r in global_scan(df, ["k"], scans, small=s).select("k", "at", "before", "upto").collect()} for s in (1000, 0))
+    assert one == many and sorted(r[1] for r in one) == list(range(500))
