@@ -27,13 +27,12 @@ _MARK = "▁"
 _TINY = 1e-200
 
 
-def vocabulary(path: str, max_chars: int = 12) -> list[str]:
-    """Ordinary pieces of a SentencePiece model, at most ``max_chars`` long."""
+def vocabulary(path: str) -> list[str]:
+    """All ordinary pieces of a SentencePiece model."""
     from sentencepiece import SentencePieceProcessor
     sp = SentencePieceProcessor(model_file=path)
     return sorted({p for i in range(sp.get_piece_size())
-                   if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))
-                   and len(p := sp.id_to_piece(i)) <= max_chars})
+                   if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)) and (p := sp.id_to_piece(i))})
 
 
 def words_of(text: str | None) -> list[str]:
@@ -79,26 +78,31 @@ class Lattice:
         return [math.log(a) + shift if a > 0 else shift - 1e3 for a in alpha[-1]]
 
     def expected(self, word: str, lang: int, times: float, counts: dict) -> None:
-        """Add the expected piece counts of a word (posterior over segmentations)."""
-        s = _MARK + word
-        edges, n = self.edges(s), len(s)
-        f, b = [0.0] * (n + 1), [0.0] * (n + 1)
-        f[0] = b[n] = 1.0
-        for j in range(1, n + 1):
-            f[j] = sum(f[i] * p[lang] for i, _, p in edges[j])
-        if not f[n]:
-            return
+        """Add the expected piece counts of a word (posterior over segmentations).
+
+        The forward sum of each position is scaled to 1 by a factor of its own,
+        so words of any length neither underflow nor need logarithms: an edge
+        weighs its probability over the factors of the positions it spans."""
+        edges = self.edges(_MARK + word)
+        n, spans, weights = len(edges) - 1, [1.0], []  # spans[d]: product of the last d factors
+        for here in edges[1:]:
+            end = len(weights)
+            w = [p[lang] / spans[end - i] for i, _, p in here]
+            factor = sum(w)
+            if not factor:
+                return
+            weights.append([x / factor for x in w])
+            spans = [1.0] + [x * factor for x in spans[:self.longest - 1]]
+        behind = [0.0] * n + [1.0]
         for j in range(n, 0, -1):
-            for i, _, p in edges[j]:
-                b[i] += b[j] * p[lang]
-        for j in range(1, n + 1):
-            for i, piece, p in edges[j]:
-                if piece is not None and (c := f[i] * p[lang] * b[j] / f[n]) > 1e-9:
+            for (i, piece, _), w in zip(edges[j], weights[j - 1]):
+                c = w * behind[j]
+                behind[i] += c
+                if piece is not None and c > 1e-9:
                     counts[lang, piece] += times * c
 
 
-def training_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str, docs_per_lang: int,
-                   longest_word: int = 40) -> DataFrame:
+def training_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str, docs_per_lang: int) -> DataFrame:
     """(lang, word, times) of at most ``docs_per_lang`` whole documents a
     language, chosen by a hash of the id; the bound of the fitted sample."""
     sample = bounded_sample(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
@@ -109,8 +113,7 @@ def training_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str, d
             counts: dict = defaultdict(int)
             for lang, text in zip(pdf["lang"], pdf["text"]):
                 for w in words_of(text):
-                    if len(w) <= longest_word:
-                        counts[lang, w] += 1
+                    counts[lang, w] += 1
             yield pd.DataFrame([(a, w, n) for (a, w), n in counts.items()], columns=["lang", "word", "times"])
 
     return (sample.select("lang", "text").repartition(2 * docs.sparkSession.sparkContext.defaultParallelism).mapInPandas(count, "lang string, word string, times long")

@@ -91,3 +91,29 @@ def test_held_out_accuracy(spark):
         spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang"), "doc_id")
     rows = [r for r in got.collect() if r.held_out]
     assert len(rows) > 20 and sum(r.lang_pred == r.lang for r in rows) / len(rows) >= 0.97
+
+
+def test_long_runs_count_and_are_learned(spark):
+    lat = lattice()
+    one, long = defaultdict(float), defaultdict(float)
+    lat.expected("ab" * 4, 1, 1.0, one)
+    lat.expected("ab" * 4000, 1, 1.0, long)
+    assert sum(len(p) * c for (_, p), c in long.items()) == pytest.approx(8001, rel=1e-6)  # every character is in one piece
+    assert sum(len(p) * c for (_, p), c in one.items()) == pytest.approx(9, rel=1e-9)
+    rows = [(i, "zxqj" * 25 + str(i % 3), "zz") for i in range(20)] + [(100 + i, "the cat and the dog run home", "en") for i in range(20)]
+    model = langid.fit(documents(spark, rows), public_tokenizers.path("piece_bpe_32k.model"))
+    assert model.langs == ["en", "zz"]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(documents(spark, rows), model).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
+
+
+def test_every_ordinary_piece_is_summed():
+    pieces = langid.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    assert max(map(len, pieces)) == 16 and "▁international" in pieces
+    longest = next(p for p in pieces if len(p) == 16 and p.startswith("▁") and p[1:].isalpha())
+    probs = np.full((len(pieces), 1), 1e-6)
+    probs[pieces.index(longest)] = 0.5
+    lat = langid.Lattice(["x"], pieces, probs, 1e-9)
+    word = longest[1:]
+    assert lat.log_likelihood(word)[0] == pytest.approx(math.log(0.5), abs=1e-3)
+    assert langid.Scorer(lat).likelihoods([word])[0, 0] == pytest.approx(lat.log_likelihood(word)[0], rel=1e-9)
