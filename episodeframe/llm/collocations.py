@@ -515,7 +515,7 @@ def part_counts(parts: DataFrame, automata: DataFrame, bounds: dict) -> DataFram
 
     def compose(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"lang": [], "words": [], "f": []})
+            return pd.DataFrame({"lang": pd.Series([], dtype=object), "words": pd.Series([], dtype=object), "f": pd.Series([], dtype="int64")})
         a = Automaton.from_bytes(right["automaton"].iloc[0])
         requests = [tuple(w.encode() for w in p) for p in left["words"]]
         return pd.DataFrame({"lang": left["lang"], "words": left["words"], "f": a.compose(requests)})

@@ -97,3 +97,9 @@ def test_automaton_counts_unions_and_shares_states():
 def test_empty_tables(spark):
     assert co.phrases(documents(spark, [])).count() == 0
     assert co.phrases(documents(spark, [(1, None), (2, " . ")])).count() == 0
+
+
+def test_frequent_words_without_a_phrase(spark):
+    rows = [(i, "solo. solo, alone", "de") for i in range(9)] + [(i, "go on", "en") for i in range(9)]
+    got = co.phrases(documents(spark, rows), least=5).collect()
+    assert [(r.lang, r.phrase, r.a) for r in got] == [("en", "go on", 9)]
