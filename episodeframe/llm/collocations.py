@@ -41,8 +41,8 @@ PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b"\x20\x09"
 LONGEST = 4
 
-SHARD_TOKENS = 1_000_000
-HELD_TOKENS = 2_000_000     # of all open shards of a task
+SHARD_TOKENS = 500_000
+HELD_TOKENS = 1_000_000     # of all open shards of a task
 PATHS_PER_RANGE = 500_000
 MOST_RANGES = 20_000
 SAMPLED_SHARDS, SAMPLED_PATHS = 64, 512
