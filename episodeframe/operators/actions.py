@@ -15,24 +15,28 @@ from episodeframe.operators.blocks import (BLK, DEFAULT_BLOCK, HALO, Scan, block
 
 
 def next_state(df: DataFrame, keys: list[str], index: str, cols: dict[str, str],
-               block: int = DEFAULT_BLOCK) -> DataFrame:
+               block: int = DEFAULT_BLOCK, partitions: int | None = None) -> DataFrame:
     """``out[t] = state[t+1]`` inside the episode; the last frame
     repeats its own state.  ``cols`` maps output -> state column.  ``keys``
     must name one episode; null keys are values like any other.
 
     The lead is taken inside each ``(keys, _blk)`` block; the last row of a
-    block takes the first row of the next block from a one-row-per-block
-    table.  If ``df`` already carries ``_blk`` (= index // block, e.g. from
-    ``align_frames(keep_block=True)``) its partitioning is reused and the
-    frames are not shuffled again."""
+    block takes the first row of the next block from a table of one row per
+    block that has one before it; that is at most one per ``block`` frames and is
+    broadcast, so the frames are not shuffled for it.  If ``df`` already carries
+    ``_blk`` (= index // block, e.g. from ``align_frames(keep_block=True)``) its
+    partitioning is reused; else ``partitions`` is the number of partitions of
+    the one shuffle (default: the session's)."""
     d = df if BLK in df.columns else df.withColumn(BLK, block_of(index, block))
+    if partitions and BLK not in df.columns:
+        d = d.repartition(partitions, *keys, BLK)
     w = Window.partitionBy(*keys, BLK).orderBy(index)
     srcs = list(dict.fromkeys(cols.values()))
     here = F.struct(*[F.col(c).alias(c) for c in srcs])
     d = d.withColumn("_nx", F.lead(here, 1).over(w))
-    heads = (d.groupBy(*keys, BLK).agg(F.min_by(here, F.col(index)).alias("_hd"))
+    heads = (d.where(F.col(BLK) > 0).groupBy(*keys, BLK).agg(F.min_by(here, F.col(index)).alias("_hd"))
              .withColumn(BLK, F.col(BLK) - 1))
-    d = null_safe_join(d, heads, keys + [BLK])
+    d = null_safe_join(d, F.broadcast(heads), keys + [BLK])
     outs = [F.when(F.col("_nx").isNotNull(), F.col("_nx")[src])
             .when(F.col("_hd").isNotNull(), F.col("_hd")[src])
             .otherwise(F.col(src)).alias(out) for out, src in cols.items()]

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from episodeframe.functions import quaternion as Q
 from episodeframe.functions.timeunits import ceil_div, floor_div
 from episodeframe.session import cut_lineage
-from episodeframe.operators.blocks import BLK, DEFAULT_BLOCK, Scan, carry_scan, dense_index, ordered_scan
+from episodeframe.operators.blocks import BLK, DEFAULT_BLOCK, Scan, dense_index, ordered_scan, tasks_for
 
 REC, STREAM, TS, SEQ = "recording_id", "stream", "ts_ns", "seq"
 
@@ -103,17 +103,24 @@ def grid_params(window: DataFrame, step_ns: int, max_frames: int | None = None,
                     n.alias("n_frames")))
 
 
-def frame_grid(params: DataFrame, rec: str = REC) -> DataFrame:
+def frame_tasks(params: DataFrame) -> int:
+    """Partitions for the frames of ``params`` (counted from its one row per
+    recording; materialise it where that is costly)."""
+    return tasks_for(params.sparkSession, params.agg(F.sum("n_frames")).first()[0])
+
+
+def frame_grid(params: DataFrame, rec: str = REC, partitions: int | None = None) -> DataFrame:
     """O2: one row per frame ``(recording, frame_index, t_ns)``.
 
     Exploded in two levels (chunks, then frames in a chunk) and the chunk
     rows are spread over partitions, so a very long recording is generated
-    by many tasks."""
+    by many tasks.  There are as many partitions as the frames need
+    (``frame_tasks``): the chunk rows alone would fit into a few."""
     chunks = (params
               .withColumn("_chunk", F.explode(F.sequence(
                   F.lit(0).cast("long"),
                   floor_div(F.col("n_frames") - 1, F.lit(GRID_CHUNK)))))
-              .repartition(rec, "_chunk"))
+              .repartition(partitions or frame_tasks(params), rec, "_chunk"))
     lo = F.col("_chunk") * F.lit(GRID_CHUNK)
     hi = F.least(F.col("n_frames"), lo + F.lit(GRID_CHUNK)) - 1
     return (chunks
@@ -206,7 +213,8 @@ def _row_struct(payload: list[str]) -> Column:
 def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
                  params: DataFrame | None = None, rec: str = REC, stream: str = STREAM,
                  block: int = DEFAULT_BLOCK, keep_block: bool = False,
-                 materialize: bool = True, extents: DataFrame | None = None) -> DataFrame:
+                 materialize: bool = True, extents: DataFrame | None = None,
+                 partitions: int | None = None) -> DataFrame:
     """Align every stream in ``spec`` onto ``frames(rec, frame_index, t_ns)``.
 
     If ``params`` (from ``grid_params``) is given the timeline is that
@@ -220,6 +228,7 @@ def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
     consumers never re-aggregate the raw messages.  ``keep_block`` also
     returns ``_blk`` (= frame_index // block) with the rows already
     partitioned by ``(rec, _blk)``, for frame windows that follow.
+    ``partitions`` of the frames default to ``frame_tasks(params)``.
     """
     names = list(spec.methods)
     msgs = (messages.where(F.col(stream).isin(names) & F.col(TS).isNotNull())
@@ -266,7 +275,9 @@ def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
     # so they share a block).  The block column is kept: downstream frame
     # windows (next state) reuse this partitioning instead of reshuffling.
     blk = floor_div(floor_div(F.col("_key"), F.lit(2)), F.lit(block))
-    filled = (ordered_scan(u, [rec], blk, ["_key", "_kind"], _dedupe_lead(scans), keep_block=True)
+    if partitions is None and params is not None:
+        partitions = frame_tasks(params)
+    filled = (ordered_scan(u, [rec], blk, ["_key", "_kind"], _dedupe_lead(scans), keep_block=True, partitions=partitions)
               .where(F.col("_kind") == 0))
 
     if any(spec.methods[s] == LINEAR for s in names):

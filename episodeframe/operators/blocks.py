@@ -6,8 +6,8 @@ this package runs over fixed-size *blocks* of a dense integer index instead:
 
 * ``carry_scan`` -- unbounded scans (forward fill, backward fill, running
   sums).  Each block is scanned locally; a per-block summary (one row per
-  block, so ``rows / block`` rows) is scanned across blocks and joined back
-  as the carried-in value.
+  block, so ``rows / block`` rows) is scanned across blocks and put ahead of
+  the block's rows as the carried-in value.
 * ``halo_blocks`` -- bounded frames (lead/lag up to ``k`` rows).  The first
   ``after`` rows of each block are copied into the previous block (and the
   last ``before`` rows into the next one) so a window over
@@ -20,8 +20,9 @@ frame table here has.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Rows per block.  2^16 frames is about 36 minutes at 30 fps: large enough that
@@ -30,6 +31,7 @@ DEFAULT_BLOCK = 1 << 16
 
 BLK = "_blk"
 HALO = "_halo"
+_POS = "_pos_in_block"  # 0: inherited from earlier blocks, 1: a row, 2: inherited from later ones
 
 
 def block_of(index: str | Column, block: int) -> Column:
@@ -65,13 +67,28 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFram
     return left.join(r, cond, "left").drop(*names.values())
 
 
+#: Rows of a frame-sized table that one task sorts or shuffles at a time.
+ROWS_PER_TASK = 1 << 18
+
+
+def tasks_for(spark: SparkSession, rows: int | None, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Partitions for so many rows, at least one per core.  Given to
+    ``repartition`` as a number, so that AQE does not merge them by their
+    compressed size: frame rows shrink to a small part of the memory that they
+    take in a sort."""
+    return max(spark.sparkContext.defaultParallelism, -(-int(rows or 0) // rows_per_task))
+
+
 def ordered_scan(df: DataFrame, keys: list[str], block_col: str | Column, order,
-                 scans: list[Scan], keep_block: bool = False) -> DataFrame:
+                 scans: list[Scan], keep_block: bool = False, partitions: int | None = None) -> DataFrame:
     """Run ``scans`` over rows ordered by ``order`` within ``keys``.
 
     ``block_col`` must be monotone in ``order`` (e.g. ``floor(index / B)`` or
-    a time bucket).  Each block is scanned by its own window; a per-block
-    summary is scanned across blocks and joined back as the carry-in."""
+    a time bucket).  A per-block summary (one row per block) is scanned across
+    blocks; what a block inherits joins its rows as one row ahead of them (and
+    one behind them for backward fills), so one window per block does the rest
+    and the rows are shuffled once.  ``partitions`` is the number of partitions
+    of that shuffle (default: the session's)."""
     if isinstance(block_col, str):
         d = df.withColumn(BLK, F.col(block_col))
     else:
@@ -80,56 +97,69 @@ def ordered_scan(df: DataFrame, keys: list[str], block_col: str | Column, order,
     ordc = [F.col(o) if isinstance(o, str) else o for o in order_cols]
     okey = ordc[0] if len(ordc) == 1 else F.struct(*ordc)
     part = keys + [BLK]
-    w = Window.partitionBy(*part).orderBy(*ordc)
+    w = Window.partitionBy(*part).orderBy(_POS, *ordc)
     # Backward scans run as forward scans over the reversed order: Spark
     # evaluates frames that end at UNBOUNDED FOLLOWING row by row (quadratic).
-    wr = Window.partitionBy(*part).orderBy(*[o.desc() for o in ordc])
+    wr = Window.partitionBy(*part).orderBy(F.col(_POS).desc(), *[o.desc() for o in ordc])
     up = Window.unboundedPreceding
     wb = Window.partitionBy(*keys).orderBy(BLK)
     wbr = Window.partitionBy(*keys).orderBy(F.col(BLK).desc())
 
-    local, summary, carry = [], [], []
+    local, summary, carry, source = [], [], [], {}
     for s in scans:
         c = F.col(s.col)
-        lo, so, co = f"_l_{s.out}", f"_s_{s.out}", f"_c_{s.out}"
+        so, co = f"_s_{s.out}", f"_c_{s.out}"
+        source[s.out] = f"_x_{s.out}" if s.kind == "sum" else s.col
         if s.kind == "ffill":
-            local.append(F.last(c, ignorenulls=True).over(
-                w.rowsBetween(up, 0 if s.inclusive else -1)).alias(lo))
             summary.append(F.max_by(c, F.when(c.isNotNull(), okey)).alias(so))
             carry.append(F.last(so, ignorenulls=True).over(wb.rowsBetween(up, -1)).alias(co))
         elif s.kind == "bfill":
-            local.append(F.last(c, ignorenulls=True).over(
-                wr.rowsBetween(up, 0 if s.inclusive else -1)).alias(lo))
             summary.append(F.min_by(c, F.when(c.isNotNull(), okey)).alias(so))
             carry.append(F.last(so, ignorenulls=True).over(wbr.rowsBetween(up, -1)).alias(co))
         elif s.kind == "sum":
-            local.append(F.sum(c).over(w.rowsBetween(up, 0 if s.inclusive else -1)).alias(lo))
             summary.append(F.sum(c).alias(so))
             carry.append(F.sum(so).over(wb.rowsBetween(up, -1)).alias(co))
-        elif s.kind == "lead":
-            local.append(F.lead(c, 1).over(w).alias(lo))
-        else:
+        elif s.kind != "lead":
             raise ValueError(f"unknown scan kind {s.kind!r}")
 
-    # One row per block, scanned across blocks: what each block inherits.
-    out = d.select("*", *local)
+    out = d.withColumn(_POS, F.lit(1))
     if summary:
         # This branch reads only the scanned columns (column pruning); inputs
         # that are costly to recompute are materialised by the caller.
-        blocks = d.groupBy(*part).agg(*summary).select(*part, *carry)
-        out = null_safe_join(out, blocks, part)
-    finals = []
+        held = d
+        if any(s.kind in ("ffill", "bfill") for s in scans):
+            # rows without a value only say that their block exists: those are
+            # counted by hash, and the sort sees rows with values
+            some = reduce(lambda a, b: a | b, [F.col(s.col).isNotNull() if s.kind != "sum" else F.col(s.col) != 0
+                                               for s in scans if s.kind != "lead"])
+            held = d.where(some).unionByName(d.select(*part).distinct(), allowMissingColumns=True)
+        blocks = held.groupBy(*part).agg(*summary)
+        for s in scans:
+            if s.kind == "sum":
+                out = out.withColumn(source[s.out], F.col(s.col).cast(blocks.schema[f"_s_{s.out}"].dataType))
+        blocks = blocks.select(*part, *carry)
+        for pos, kinds in ((0, ("ffill", "sum")), (2, ("bfill",))):
+            got = {source[s.out]: F.col(f"_c_{s.out}") for s in scans if s.kind in kinds}
+            if got:
+                any_of = reduce(lambda a, b: a | b, [c.isNotNull() for c in got.values()])
+                out = out.unionByName(blocks.where(any_of).select(*part, F.lit(pos).alias(_POS), *[c.alias(n) for n, c in got.items()]),
+                                      allowMissingColumns=True)
+    if partitions:
+        out = out.repartition(partitions, *part)
     for s in scans:
-        lc, cc = F.col(f"_l_{s.out}"), F.col(f"_c_{s.out}")
-        if s.kind == "lead":
-            # Block-local: callers put a row and the row after it in one block.
-            finals.append(lc.alias(s.out))
+        c, to = F.col(source[s.out]), 0 if s.inclusive else -1
+        if s.kind == "ffill":
+            got = F.last(c, ignorenulls=True).over(w.rowsBetween(up, to))
+        elif s.kind == "bfill":
+            got = F.last(c, ignorenulls=True).over(wr.rowsBetween(up, to))
         elif s.kind == "sum":
-            finals.append((F.coalesce(cc, F.lit(0)) + F.coalesce(lc, F.lit(0))).alias(s.out))
+            got = F.coalesce(F.sum(c).over(w.rowsBetween(up, to)), F.lit(0))
         else:
-            finals.append(F.coalesce(lc, cc).alias(s.out))
+            # Block-local: callers put a row and the row after it in one block.
+            got = F.lead(c, 1).over(w)
+        local.append(got.alias(s.out))
     extra = [F.col(BLK)] if keep_block and BLK not in df.columns else []
-    return out.select(*df.columns, *extra, *finals)
+    return out.select(*df.columns, *extra, _POS, *local).where(F.col(_POS) == 1).drop(_POS)
 
 
 def carry_scan(df: DataFrame, keys: list[str], index: str, scans: list[Scan],

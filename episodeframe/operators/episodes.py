@@ -12,21 +12,23 @@ from pyspark.sql import functions as F
 
 from episodeframe.functions.text import nonblank
 from episodeframe.functions.timeunits import ceil_div, floor_div
+from episodeframe.operators.blocks import tasks_for
 
 REC = "recording_id"
 CHUNK = 1 << 16
 
 
 def explode_range(df: DataFrame, lo: str, hi: str, out: str, chunk: int = CHUNK,
-                  spread: list[str] | None = None) -> DataFrame:
+                  spread: list[str] | None = None, partitions: int | None = None) -> DataFrame:
     """One row per integer in ``[lo, hi)`` of every input row, generated in
     chunks of at most ``chunk`` values (no row builds an array bigger than
-    that); ``spread`` keys redistribute chunk rows before the inner explode."""
+    that); ``spread`` keys redistribute chunk rows before the inner explode,
+    over ``partitions`` (default: the session's)."""
     lo_c, hi_c = F.col(lo), F.col(hi)
     n_chunks = floor_div(hi_c - lo_c - 1, F.lit(chunk))
     c = df.where(hi_c > lo_c).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), n_chunks)))
     if spread:
-        c = c.repartition(*spread, "_chunk")
+        c = c.repartition(*([partitions] if partitions else []), *spread, "_chunk")
     a = lo_c + F.col("_chunk") * F.lit(chunk)
     b = F.least(hi_c, a + F.lit(chunk)) - 1
     return c.withColumn(out, F.explode(F.sequence(a, b))).drop("_chunk")
@@ -69,10 +71,23 @@ def episode_specs(ranges: DataFrame, params: DataFrame, default_task: Column, re
     return usable.unionByName(fallback)
 
 
-def cut_episodes(frames: DataFrame, specs: DataFrame, rec: str = REC) -> DataFrame:
+def episode_tasks(specs: DataFrame, least: int = 1) -> int:
+    """Partitions for the frames of all episodes (counted from the specs;
+    materialise them where that is costly), at least ``least``."""
+    n = specs.agg(F.sum(F.greatest(F.col("end_index") - F.col("start_index"), F.lit(0)))).first()[0]
+    return max(least, tasks_for(specs.sparkSession, n))
+
+
+def cut_episodes(frames: DataFrame, specs: DataFrame, rec: str = REC, partitions: int | None = None) -> DataFrame:
     """Frames of every episode spec; overlapping steps repeat frames.
-    Adds ``episode_frame_index`` (0.. inside the episode)."""
-    rows = explode_range(specs, "start_index", "end_index", "frame_index", spread=[rec])
+    Adds ``episode_frame_index`` (0.. inside the episode).  ``partitions``
+    (``episode_tasks``) is the number of partitions on both sides of the join
+    (default: the session's)."""
+    rows = explode_range(specs, "start_index", "end_index", "frame_index", spread=[rec], partitions=partitions)
+    if partitions:
+        # below the session's number the join would be dealt once more
+        partitions = max(partitions, int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        rows, frames = (x.repartition(partitions, rec, "frame_index") for x in (rows, frames))
     # The exploded side is as large as the frames, but Catalyst sizes an
     # explode from its small input; never let it be broadcast.
     return (rows.hint("shuffle_merge").join(frames, [rec, "frame_index"])

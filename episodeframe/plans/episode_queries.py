@@ -17,6 +17,7 @@ from episodeframe.operators import align as A
 from episodeframe.operators import episodes as EP
 from episodeframe.operators.actions import next_state
 from episodeframe.plans.catalog import _MSG_CTE, EVENT_STEP_NS, EVENT_STREAMS, r6, register
+from episodeframe.session import cut_lineage
 from episodeframe.sources.tables import events_as_messages, table
 
 DAY_NS = 86_400_000_000_000
@@ -73,14 +74,17 @@ def episode_steps(spark, sf_dir):
     """J6 interval cut of the hourly frames by conversation steps (overlapping,
     so frames repeat), P13 stamps, P11 task text, W1 next state per episode."""
     msgs = events_as_messages(spark, sf_dir, EVENT_STREAMS)
-    params = A.grid_params(A.sampling_window(msgs), EVENT_STEP_NS)
-    frames = A.align_frames(msgs, A.frame_grid(params), A.AlignSpec({"click": A.ASOF}), params=params)
+    params = cut_lineage(A.grid_params(A.sampling_window(msgs), EVENT_STEP_NS))
+    n = A.frame_tasks(params)
+    frames = A.align_frames(msgs, A.frame_grid(params, partitions=n), A.AlignSpec({"click": A.ASOF}), params=params, partitions=n)
     frames = frames.select("recording_id", "frame_index",
                            F.coalesce(F.col("click"), F.lit(0.0)).cast("float").alias("s_click"))
     ranges = EP.step_ranges_on_grid(conversation_steps(spark, sf_dir, params), params)
-    specs = EP.episode_specs(ranges, params, F.lit(FALLBACK_TASK))
-    eps = EP.cut_episodes(frames, specs)
-    eps = next_state(eps, ["recording_id", "start_index", "end_index", "step_number", "task"], "episode_frame_index", {"a_click": "s_click"})
+    specs = cut_lineage(EP.episode_specs(ranges, params, F.lit(FALLBACK_TASK)))
+    n = EP.episode_tasks(specs, least=n)
+    eps = EP.cut_episodes(frames, specs, partitions=n)
+    eps = next_state(eps, ["recording_id", "start_index", "end_index", "step_number", "task"], "episode_frame_index", {"a_click": "s_click"},
+                     partitions=n)
     return eps.select("recording_id", "step_number", "episode_frame_index", "frame_index", "task",
                       r6(F.col("s_click")).alias("s_click"), r6(F.col("a_click")).alias("a_click"))
 

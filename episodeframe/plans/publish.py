@@ -99,7 +99,9 @@ def align_recordings(messages: DataFrame, config: MappingConfig, joint_and_actio
     methods |= {c: A.ASOF for c in cameras}
     ext = cut_lineage(A.stream_extents(seen))
     params = A.grid_params(A.window_from_extents(ext), A.fps_step_ns(config.fps), max_frames)
-    fr = A.align_frames(seen, A.frame_grid(params), A.AlignSpec(methods, [*PAYLOAD, "image_index"]), params=params, extents=ext)
+    n = A.frame_tasks(params)
+    fr = A.align_frames(seen, A.frame_grid(params, partitions=n), A.AlignSpec(methods, [*PAYLOAD, "image_index"]), params=params,
+                        extents=ext, partitions=n)
     out = [build_vector(fr, config.state).alias("state")]
     if config.action_mode == "from_sources":
         out.append(build_vector(fr, config.action).alias("action"))

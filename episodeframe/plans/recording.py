@@ -29,9 +29,10 @@ def aligned_frames(messages: DataFrame, methods: dict[str, str], step_ns: int,
     # raw messages are scanned once for it (pruned to three columns).
     ext = cut_lineage(A.stream_extents(m))
     params = A.grid_params(A.window_from_extents(ext), step_ns, max_frames)
-    grid = A.frame_grid(params)
+    n = A.frame_tasks(params)
+    grid = A.frame_grid(params, partitions=n)
     return A.align_frames(messages, grid, A.AlignSpec(methods, payload or ["value"]), params=params,
-                          keep_block=keep_block, extents=ext)
+                          keep_block=keep_block, extents=ext, partitions=n)
 
 
 def state_action_frames(messages: DataFrame, layout: list[FieldSpec], methods: dict[str, str],

@@ -20,7 +20,7 @@ from episodeframe.operators import sidecars as S
 from episodeframe.operators.actions import next_state
 from episodeframe.plans.catalog import _MSG_CTE, EVENT_STEP_NS, EVENT_STREAMS, r6, register
 from episodeframe.plans.episode_queries import _NORM_SQL, DAY_NS
-from episodeframe.session import ensure_checkpoint_dir
+from episodeframe.session import cut_lineage, ensure_checkpoint_dir
 from episodeframe.sources.files import read_sidecar_lines
 from episodeframe.sources.tables import events_as_messages, table
 
@@ -100,7 +100,7 @@ def write_sidecars(spark, sf_dir: str, params: DataFrame, path: str) -> None:
 
 def _episodes(spark, sf_dir):
     msgs = events_as_messages(spark, sf_dir, EVENT_STREAMS)
-    params = A.grid_params(A.sampling_window(msgs), EVENT_STEP_NS)
+    params = cut_lineage(A.grid_params(A.sampling_window(msgs), EVENT_STEP_NS))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sidecars/{uuid.uuid4().hex}"
     write_sidecars(spark, sf_dir, params, path)
     docs, broken = S.documents(read_sidecar_lines(spark, path))
@@ -155,10 +155,14 @@ def sidecar_steps(spark, sf_dir):
     step gets from its own action, the task's step list or the task's title;
     next-state action inside each episode."""
     msgs, params, specs, _ = _episodes(spark, sf_dir)
-    frames = A.align_frames(msgs, A.frame_grid(params), A.AlignSpec({"view": A.ASOF}), params=params)
+    n = A.frame_tasks(params)
+    frames = A.align_frames(msgs, A.frame_grid(params, partitions=n), A.AlignSpec({"view": A.ASOF}), params=params, partitions=n)
     frames = frames.select("recording_id", "frame_index", F.coalesce(F.col("view"), F.lit(0.0)).cast("float").alias("s_view"))
-    eps = EP.cut_episodes(frames, specs)
-    eps = next_state(eps, ["recording_id", "start_index", "end_index", "step_number", "task"], "episode_frame_index", {"a_view": "s_view"})
+    specs = cut_lineage(specs)
+    n = EP.episode_tasks(specs, least=n)
+    eps = EP.cut_episodes(frames, specs, partitions=n)
+    eps = next_state(eps, ["recording_id", "start_index", "end_index", "step_number", "task"], "episode_frame_index", {"a_view": "s_view"},
+                     partitions=n)
     return eps.select("recording_id", "step_number", "start_index", "episode_frame_index", "frame_index", "task",
                       r6(F.col("s_view")).alias("s_view"), r6(F.col("a_view")).alias("a_view"))
 

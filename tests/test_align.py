@@ -167,3 +167,21 @@ def test_method_choice():
     assert A.method_for("left_arm_joint_states", {"left_arm_joint_states"}) == "linear"
     assert A.method_for("odom") == "nearest"
     assert A.method_for("left_arm_end_pose", downsample=False) == "nearest"
+
+
+def test_frames_get_partitions_by_their_number(spark):
+    """Three rows of parameters, ten million frames: a task makes a bounded part."""
+    params = spark.createDataFrame([(r, 0, 1, n) for r, n in ((1, 9_000_000), (2, 999_999), (3, 1))],
+                                   "recording_id long, start_ns long, step_ns long, n_frames long")
+    assert A.frame_tasks(params) == 39
+    assert A.frame_grid(params).rdd.getNumPartitions() == 39
+
+
+def test_cut_episodes_deals_rows_by_their_number(spark):
+    from episodeframe.operators import episodes as EP
+    specs = spark.createDataFrame([(1, 1, 0, 5_000_000, "a"), (1, 2, 9, 9, "b"), (1, 3, 9, 4, "c")],
+                                  "recording_id long, step_number long, start_index long, end_index long, task string")
+    assert EP.episode_tasks(specs) == 20
+    frames = spark.createDataFrame([(1, k) for k in range(10)], "recording_id long, frame_index long")
+    few = specs.withColumn("end_index", F.least("end_index", F.lit(10)))
+    assert EP.cut_episodes(frames, few, partitions=20).count() == 10

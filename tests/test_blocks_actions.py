@@ -91,3 +91,14 @@ def test_global_scan_is_the_same_on_small_and_large_tables(spark):
     scans = [Scan("at", "_one", "sum", inclusive=False), Scan("before", "n", "sum", inclusive=False), Scan("upto", "n", "sum")]
     one, many = ({tuple(r) for r in global_scan(df, ["k"], scans, small=s).select("k", "at", "before", "upto").collect()} for s in (1000, 0))
     assert one == many and sorted(r[1] for r in one) == list(range(500))
+
+
+def test_scan_carries_over_blocks_without_values_and_null_keys(spark):
+    from episodeframe.operators.blocks import Scan, ordered_scan
+    rows = [(k, i, i // 3, 5 if i in (1, 13) else None, 1) for k in (None, 7) for i in range(18)]
+    df = spark.createDataFrame(rows, "k long, i long, b long, v int, one int")
+    got = ordered_scan(df, ["k"], "b", ["i"], [Scan("f", "v"), Scan("r", "v", "bfill", inclusive=False), Scan("n", "one", "sum", inclusive=False)],
+                       partitions=3)
+    for r in got.collect():
+        assert (r.f, r.r, r.n) == (5 if r.i >= 1 else None, 5 if r.i < 13 else None, r.i)
+    assert got.count() == len(rows) and "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
