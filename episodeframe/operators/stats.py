@@ -44,17 +44,32 @@ def vector_stats(df: DataFrame, features: list[str], keys: list[str] | None = No
     if quantiles and exact:
         by = [*keys, "feature", "pos"]
         lv = cut_lineage(lv)
-        return lv.groupBy(*by).agg(*aggs).join(exact_quantiles(lv, by), by, "left")
+        both = cut_lineage(lv.groupBy(*by).agg(*aggs, *_extremes("value")))  # one pass for both
+        q = exact_quantiles(lv, by, stored=True, extremes=both.select(*by, "_n", "_low", "_high").where(F.col("_n") > 0))
+        return both.drop("_n", "_low", "_high").join(q, by, "left")
     if quantiles:
         aggs += [F.percentile_approx("value", p, accuracy).alias(n) for n, p in QUANTILES.items()]
     return lv.groupBy(*keys, "feature", "pos").agg(*aggs)
 
 
-QUANTILE_BINS = 1024
+#: Bins of a range and pass.  Every task of the first pass may send that many rows
+#: per group; the later passes read only what lies in the few bins left.
+QUANTILE_BINS = 128
+
+
+def _finite(value: str) -> Column:
+    """The value as double, null where it is not finite (-0.0 becomes 0.0)."""
+    v = F.col(value)
+    return F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v.cast("double") + F.lit(0.0))
+
+
+def _extremes(value: str) -> list[Column]:
+    v = _finite(value)
+    return [F.count(v).alias("_n"), F.min(v).alias("_low"), F.max(v).alias("_high")]
 
 
 def exact_quantiles(values: DataFrame, keys: list[str], value: str = "value", quantiles: dict[str, float] | None = None,
-                    bins: int = QUANTILE_BINS) -> DataFrame:
+                    bins: int = QUANTILE_BINS, stored: bool = False, extremes: DataFrame | None = None) -> DataFrame:
     """Exact interpolated quantiles of each group, one column per quantile.
 
     Quantile q of n values lies at rank ``q (n - 1)`` between two order
@@ -62,18 +77,22 @@ def exact_quantiles(values: DataFrame, keys: list[str], value: str = "value", qu
     holds it is cut into ``bins`` bins, the values of every bin are counted (with
     their extremes), and the bin that holds the rank is the next range, until a
     range is a single value.  A pass is one aggregation with map-side combine
-    over the values that still lie in a range; no group is ever in one task.
-    Values that are null or not finite are left out; a group of none has no row."""
+    over the values that still lie in a range (after the first pass those are
+    stored apart); no group is ever in one task.  Values that are null or not
+    finite are left out; a group of none has no row.  ``stored`` says that the
+    values are a stored table already; ``extremes`` are their count, least and
+    largest (``_n``, ``_low``, ``_high``) per group, if known."""
     quantiles = quantiles or QUANTILES
-    v = F.col(value)
-    data = cut_lineage(values.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))).select(*keys, (v.cast("double") + F.lit(0.0)).alias("_v")))
-    ext = cut_lineage(data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")))
+    data = values.select(*keys, _finite(value).alias("_v")).where(F.col("_v").isNotNull())
+    if not stored:
+        data = cut_lineage(data)
+    ext = extremes if extremes is not None else cut_lineage(data.groupBy(*keys).agg(*_extremes("_v")))
     rank = [F.struct(F.lit(name).alias("_q"), F.lit(side).alias("_side"),
                      (F.floor(F.lit(q) * (F.col("_n") - 1)) + side).alias("_rank")) for name, q in quantiles.items() for side in (0, 1)]
     # wanted: rank within the range (from 0) and the range
     wanted = ext.select(*keys, "_n", "_low", "_high", F.inline(F.array(*rank))).withColumn(
         "_rank", F.least("_rank", F.col("_n") - 1)).drop("_n")
-    done, edge = [], F.col("_low") == F.col("_high")
+    done, edge, passes = [], F.col("_low") == F.col("_high"), 0
     while True:
         wanted = cut_lineage(wanted)
         done.append(wanted.where(edge).select(*keys, "_q", "_side", F.col("_low").alias("_x")))
@@ -81,12 +100,16 @@ def exact_quantiles(values: DataFrame, keys: list[str], value: str = "value", qu
         if wanted.isEmpty():
             break
         ranges = wanted.select(*keys, "_low", "_high").distinct()
+        held = data.join(ranges, keys).where(F.col("_v").between(F.col("_low"), F.col("_high")))
+        if passes == 1:  # the first pass left a few bins of each group; ranges of a group never overlap
+            data = cut_lineage(held.select(*keys, "_v"))
+            held = data.join(ranges, keys).where(F.col("_v").between(F.col("_low"), F.col("_high")))
+        passes += 1
         share = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low"))
         # extreme ranges overflow the difference; halves keep it finite
         half = (F.col("_v") / 2 - F.col("_low") / 2) / (F.col("_high") / 2 - F.col("_low") / 2)
         share = F.when(F.abs(F.col("_high") - F.col("_low")) < float("inf"), share).otherwise(half)
-        hist = (data.join(ranges, keys).where(F.col("_v").between(F.col("_low"), F.col("_high")))
-                .groupBy(*keys, "_low", "_high", F.least(F.floor(share * bins), F.lit(bins - 1)).alias("_bin"))
+        hist = (held.groupBy(*keys, "_low", "_high", F.least(F.floor(share * bins), F.lit(bins - 1)).alias("_bin"))
                 .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")))
         # at most ``bins`` rows a range: ranks at which the bins begin
         steps = hist.groupBy(*keys, "_low", "_high").agg(F.array_sort(F.collect_list(F.struct("_bin", "_c", "_bmin", "_bmax"))).alias("_h"))
