@@ -59,8 +59,9 @@ def _read(spark: SparkSession, base: str, folder: str, schema: str) -> DataFrame
     """Rows of one table of all sources below ``base``, with the source's folder."""
     root = base.rstrip("/")
     df = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{root}/*/{folder}")
-    at = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/" + folder + "/", 1)
-    return df.withColumn("_folder", F.url_decode(at))
+    # every row asks for its path: plain cuts, a pattern and a decoder cost more than the row itself
+    at = F.substring_index(F.substring_index(F.col("_metadata.file_path"), f"/{folder}/", 1), "/", -1)
+    return df.withColumn("_folder", F.when(at.contains("%") | at.contains("+"), F.url_decode(at)).otherwise(at))
 
 
 def source_tables(spark: SparkSession, manifest: DataFrame, base: str, cameras: list[str], layout: Layout) -> tuple[DataFrame, ...]:
@@ -119,19 +120,21 @@ def merge_published(spark: SparkSession, manifest: DataFrame, base: str, width:
         raise ValueError("rejected sources: " + "; ".join(f"{r.file}: {r.reason} ({r.n})" for r in listed))
     bad = rejects.select(*SOURCE).distinct()
     frames, episodes, good = (t.join(bad, SOURCE, "left_anti") for t in (frames, episodes, sources))
-    frames, numbered = M.renumber(frames.withColumnsRenamed({"index": "_source_index", "episode_index": "source_episode", "observation.state": "_state"}),
-                                  [*SOURCE, "source_episode"], ["_source_index"], [*SOURCE, "source_episode"])
+    own = frames.withColumnsRenamed({"index": "_source_index", "episode_index": "source_episode", "observation.state": "_state"})
+    # the frames are a Parquet scan; who needs the episodes alone reads no vectors
+    frames, numbered = M.renumber(own, [*SOURCE, "source_episode"], ["_source_index"], [*SOURCE, "source_episode"], materialize=False)
     numbered = cut_lineage(numbered)
     frames = frames.select("timestamp", "frame_index", "episode_index", "index", F.col("task_index").cast("long").alias("task_index"),
                            F.col("_state").alias("observation.state"), "action")
-    ends = frames.groupBy("episode_index").agg(F.min_by("timestamp", "frame_index").alias("_from"), F.max_by("timestamp", "frame_index").alias("_to"))
+    at = F.coalesce("_source_index", F.lit(-1 << 63))  # the order of the frames, without numbering them again
+    ends = own.groupBy(*SOURCE, "source_episode").agg(F.min_by("timestamp", at).alias("_from"), F.max_by("timestamp", at).alias("_to"))
     out = numbered.join(good.select(*SOURCE, "task"), SOURCE)
     if cameras:
         # Files of the first camera, numbered over all sources; every camera's file of that number follows
-        own = files.join(bad, SOURCE, "left_anti").where(F.col(V.CAMERA) == cameras[0]).select(*SOURCE, "local_file").distinct()
-        mapped = global_scan(own, [*SOURCE, "local_file"], [Scan("_file", "_one", "sum", inclusive=False)])
+        first = files.join(bad, SOURCE, "left_anti").where(F.col(V.CAMERA) == cameras[0]).select(*SOURCE, "local_file").distinct()
+        mapped = global_scan(first, [*SOURCE, "local_file"], [Scan("_file", "_one", "sum", inclusive=False)])
         named = _ranges(episodes, cameras).withColumnRenamed("episode_index", "source_episode").join(mapped, [*SOURCE, "local_file"])
-        named = named.join(numbered.select(*SOURCE, "source_episode", "episode_index"), [*SOURCE, "source_episode"]).join(ends, "episode_index")
+        named = named.join(numbered.select(*SOURCE, "source_episode", "episode_index"), [*SOURCE, "source_episode"]).join(ends, [*SOURCE, "source_episode"])
         named = named.select("episode_index", V.CAMERA, F.call_function("div", F.col("_file"), F.lit(V.CHUNK_FILES).cast("long")).alias("chunk_index"),
                              F.col("_file").alias("file_index"), F.coalesce("from_timestamp", "_from").alias("from_timestamp"),
                              F.coalesce("to_timestamp", "_to").alias("to_timestamp"))

@@ -39,8 +39,8 @@ def _is(kind: tuple[int, int]) -> F.Column:
 def write_sources(spark, sf_dir: str, base: str) -> str:
     """Write the sources below ``base``; returns the manifest's path."""
     f = cut_lineage(source_frames(spark, sf_dir))
-    f = cut_lineage(M.attach_task_index(f, tasks_table(f)))
-    f = dense_index(f, ["source_episode"], ["l_linenumber", "l_partkey", "l_suppkey"], "index", block_col=block_of("l_linenumber", 1 << 16))
+    f = M.attach_task_index(f, tasks_table(f))
+    indexed = dense_index(f, ["source_episode"], ["l_linenumber", "l_partkey", "l_suppkey"], "index", block_col=block_of("l_linenumber", 1 << 16))
     eps = f.groupBy(*SRC, "source_episode").agg(F.count(F.lit(1)).alias("length"))
     eps = cut_lineage(dense_index(eps, SRC, ["source_episode"], "episode_index", block_col=block_of("source_episode", 1 << 20)))
     name = F.format_string("%d-%02d", F.col("task_index").cast("int"), F.col("nation").cast("int"))
@@ -49,7 +49,7 @@ def write_sources(spark, sf_dir: str, base: str) -> str:
         df.withColumn("source", name).withColumn("table", F.lit(table)).drop(*SRC).write.mode("append").partitionBy("source", "table").parquet(base)
 
     action = F.when(_is(BAD_WIDTH) & (F.col("l_linenumber") == 2), F.slice("action", 1, 3)).otherwise(F.col("action"))
-    rows = f.where(~_is(NO_DATA)).join(eps.select("source_episode", "episode_index"), "source_episode")
+    rows = indexed.where(~_is(NO_DATA)).join(eps.select("source_episode", "episode_index"), "source_episode")
     write(rows.select(*SRC, "timestamp", "episode_index", "index", F.col("state").alias("observation.state"), action.alias("action")), "data")
     ranges = cut_lineage(V.camera_ranges(V.camera_rows(eps.select(*SRC, "episode_index", "length"), CAMERAS), FPS, FRAMES_PER_FILE, SRC))
     listed = eps.select(*SRC, "episode_index", "length").join(V.wide(ranges, CAMERAS, SRC), [*SRC, "episode_index"])

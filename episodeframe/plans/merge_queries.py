@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from episodeframe.operators import merge as M
 from episodeframe.operators import stats as S
 from episodeframe.functions.timeunits import floor_div
-from episodeframe.operators.blocks import block_of, dense_index
+from episodeframe.operators.blocks import block_of, dense_index, tasks_for
 from episodeframe.plans.catalog import r6, register
 from episodeframe.session import cut_lineage
 from episodeframe.sources.tables import table
@@ -45,8 +45,8 @@ def tasks_table(frames):
     return t.withColumn("task_index", F.col("task_index").cast("long"))
 
 
-def merged(spark, sf_dir):
-    f = cut_lineage(source_frames(spark, sf_dir))  # the join runs once
+def merged(spark, sf_dir, f=None):
+    f = f if f is not None else cut_lineage(source_frames(spark, sf_dir))  # the join runs once
     tasks = tasks_table(f)
     # tasks are numbered by name, so the episodes' order needs no task join before the numbering
     frames, episodes = M.renumber(f, ["source_episode"], ["l_linenumber", "l_partkey", "l_suppkey"],
@@ -144,11 +144,14 @@ SELECT * FROM want w WHERE NOT EXISTS (
 def missing_camera_files_q(spark, sf_dir):
     """Camera files (cameras = return flags present in a file's
     episodes) missing for a file index the first camera has."""
-    frames, eps, _ = merged(spark, sf_dir)
+    f = cut_lineage(source_frames(spark, sf_dir))
+    _, eps, _ = merged(spark, sf_dir, f)
     se = dense_index(eps, ["task_index", "nation"], ["source_episode"], "src_ep",
                      block_col=block_of("source_episode", 1 << 20))
-    cam = (frames.select("source_episode", F.col("l_returnflag").alias("camera")).distinct()
-           .join(se.select("source_episode", "task_index", "nation", "src_ep"), "source_episode")
+    # the flags of an episode need no frame numbers; both sides are dealt by the number of frames
+    n = max(tasks_for(spark, f.count()), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cam = (f.select("source_episode", F.col("l_returnflag").alias("camera")).repartition(n, "source_episode").distinct()
+           .join(se.select("source_episode", "task_index", "nation", "src_ep").repartition(n, "source_episode"), "source_episode")
            .select("task_index", "nation",
                    floor_div(F.col("src_ep"), EPISODES_PER_FILE).alias("local_file_index"),
                    "camera"))
