@@ -57,3 +57,12 @@ def test_publish_round_trip(spark, tmpdir_path):
     expect = {rec for rec, t in topics.items()
               if not ({"click", "view"} <= t and t & {"purchase", "signup"})}
     assert rej == expect
+
+
+def test_source_folder_of_a_row_without_a_pattern(spark, tmpdir_path):
+    from episodeframe.plans import merge_job as J
+    for name in ("a b", "c"):
+        spark.range(2).write.parquet(f"{tmpdir_path}/{name}/table=data")
+    df = J._read(spark, tmpdir_path, "table=data", "id long")
+    assert sorted(r["_folder"] for r in df.collect()) == ["a b", "a b", "c", "c"]
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()

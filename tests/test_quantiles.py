@@ -30,3 +30,18 @@ def test_exact_vector_stats_and_their_merge(spark):
     want = sum(n * np.quantile([float(i) for i in range(n)], 0.9) for n in (20, 40, 60)) / 120
     assert merged[1].q90 == pytest.approx(want)
     assert S.merge_stats(part.withColumn("q10", F.when(F.col("src") > 1, F.col("q10")))).where("pos = 0").first().q10 is None
+
+
+def test_vector_stats_store_the_long_values_once_and_agree(spark):
+    from episodeframe import session
+    from episodeframe.operators import stats as S
+    xs = [float(i * i % 997) for i in range(400)] + [float("nan"), float("inf"), None]
+    df = spark.createDataFrame([([x],) for x in xs], "v array<double>")
+    values = S.long_vectors(df, ["v"])
+    before = len(session._written)
+    got = S.vector_stats(df, ["v"], quantiles=True, exact=True).first()
+    full = [p for p in session._written[before:] if spark.read.parquet(p).count() >= 400]
+    want = S.exact_quantiles(values, ["feature", "pos"], bins=3).first()
+    assert len(full) == 1 and got["count"] == 402
+    s = sorted(x for x in xs[:400])
+    assert got["q50"] == want["q50"] == (s[199] + s[200]) / 2 and got["q99"] == want["q99"]
