@@ -12,9 +12,9 @@ or earlier in the same one) is removed; every byte that such a string covers goe
    or one that holds its minimizer twice, can hold further repeats.
 3. Such groups are dealt to tasks, whole groups to a collection of bounded size.
    Its Burrows-Wheeler transform and common-prefix array are built column by
-   column: each round inserts one more symbol of every segment, from the end, by
-   one sequential pass that reads the arrays of the round before and writes them
-   anew.  Runs of common prefixes of ``length`` or more are equal windows; all
+   column: each round inserts ``STEP`` more symbols of every segment, from the end,
+   by one sequential pass that reads the arrays of the round before and writes
+   them anew.  Runs of common prefixes of ``length`` or more are equal windows; all
    but the earliest are removed.
 4. A group with more than ``most`` different segments is cut again by longer
    minimizers until the core is the whole window, where a group is one string.
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,12 +48,13 @@ CORE = 40
 MOST_SEGMENTS = 4096
 #: Segments of a collection (whole groups; one group may add ``MOST_SEGMENTS``).
 COLLECTION = 12_000
-#: Bytes hashed at once; longer texts are hashed alone.
-CHUNK = 1 << 20
+#: Symbols of a text that one round inserts; with their number they fill 64 bits.
+STEP = 7
+#: Bytes hashed at once (their hashes stay in a core's cache); longer texts are hashed alone.
+CHUNK = 1 << 17
 NO_ID = (1 << 63) - 1
 
 _MULT = 0x9E3779B97F4A7C15
-_MULT2 = 0xC2B2AE3D27D4EB4F
 
 
 # ---------------------------------------------------------------- segments
@@ -79,47 +81,64 @@ class Hashes:
             n = max(len(data) + 1, 2 * CHUNK)
             self.up, self.down = _powers(self.base, n), _powers(self.inverse, n)
         out = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[:len(data)], out=out[1:])
+        out[1:] = data
+        out[1:] += np.uint64(1)
+        out[1:] *= self.up[:len(data)]
+        np.cumsum(out[1:], out=out[1:])
         return out
 
     def ranges(self, sums: np.ndarray, low, high) -> np.ndarray:
         return _mixed((sums[high] - sums[low]) * self.down[low])
 
     def all_of(self, sums: np.ndarray, size: int) -> np.ndarray:
-        return _mixed((sums[size:] - sums[:-size]) * self.down[:len(sums) - size])
+        out = sums[size:] - sums[:-size]
+        out *= self.down[:len(out)]
+        return _mixed(out)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(32)
     return h
 
 
 def _least(h: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each ``width`` consecutive values."""
-    n = len(h)
-    if width == 1:
-        return h
-    rows = np.full(-(-n // width) * width, np.uint64((1 << 64) - 1))
-    rows[:n] = h
-    rows = rows.reshape(-1, width)
-    ahead = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    behind = np.minimum.accumulate(rows, axis=1).ravel()
-    return np.minimum(ahead[:n - width + 1], behind[width - 1:n])
-
-
-def segments(data: np.ndarray, ends: np.ndarray, core: int, length: int, one: Hashes, two: Hashes) -> tuple[np.ndarray, ...]:
+    have = 1
+    while have < width:
+        more = min(have, width - have)
+        h = np.minimum(h[:-more], h[more:])
+        have += more
+    return h
+
+
+def _twice(h: np.ndarray, group: np.ndarray, start: np.ndarray, span: np.ndarray, width: int) -> np.ndarray:
+    """Whether ``group[i]``, the least of ``h[start[i]:start[i] + span[i]]``, is there more than once."""
+    out = np.zeros(len(start), bool)
+    # nearly all minima are among the few values below a bound; the others are looked for among all values
+    bound = np.uint64(min((1 << 64) - 1, (5 << 64) // width))
+    for at, which in ((np.flatnonzero(h <= bound), np.flatnonzero(group <= bound)), (None, np.flatnonzero(group > bound))):
+        if not len(which):
+            continue
+        low, high = start[which], start[which] + span[which]
+        if at is not None:
+            low, high = np.searchsorted(at, low), np.searchsorted(at, high)
+        many = high - low
+        begin = np.append(0, np.cumsum(many)[:-1])
+        each = np.repeat(low - begin, many) + np.arange(many.sum())
+        out[which] = np.add.reduceat(h[each if at is None else at[each]] == np.repeat(group[which], many), begin, dtype=np.int64) > 1
+    return out
+
+
+def segments(data: np.ndarray, ends: np.ndarray, core: int, length: int, hashes: Hashes) -> tuple[np.ndarray, ...]:
     """Segments of texts that lie end to end in ``data`` (text i ends before
     ``ends[i]``): group, hash of the bytes, text, start in ``data``, windows, and
     whether the minimizer occurs more than once."""
     empty = tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, bool))
     if len(data) < length:
         return empty
-    sums = one.sums(data)
-    h = one.all_of(sums, core)
+    sums = hashes.sums(data)
+    h = hashes.all_of(sums, core)
     width = length - core + 1
     least = _least(h, width)
     sizes = np.diff(ends, prepend=0)
@@ -140,10 +159,8 @@ def segments(data: np.ndarray, ends: np.ndarray, core: int, length: int, one: Ha
         start = first
     group = least[start]
     # minimizers within a segment: positions start .. start + run + width - 2
-    span = run + width - 1
-    at = np.repeat(start - np.append(0, np.cumsum(span)[:-1]), span) + np.arange(span.sum())
-    twice = np.add.reduceat(h[at] == np.repeat(group, span), np.append(0, np.cumsum(span)[:-1])) > 1 if len(start) else np.zeros(0, bool)
-    bytes_hash = two.ranges(two.sums(data), start, start + run + length - 1)
+    twice = _twice(h, group, start, run + width - 1, width)
+    bytes_hash = hashes.ranges(sums, start, start + run + length - 1)
     return group, bytes_hash, np.searchsorted(ends, start, side="right"), start, run, twice
 
 
@@ -177,14 +194,14 @@ _SEGMENT = "g long, s long, doc long, tie long, at int, run short, twice boolean
 def cut(docs: DataFrame, core: int, length: int) -> DataFrame:
     """Segments of all texts: group, hash, document, start, windows, minimizer twice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = Hashes(_MULT), Hashes(_MULT2)
+        hashes = Hashes(_MULT)
         for batch in batches:
             data, offsets = _text_buffer(batch.column(2))
             doc, tie = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             for low, high in _chunks(np.diff(offsets)):
                 part = data[offsets[low]:offsets[high]]
                 ends = offsets[low + 1:high + 1] - offsets[low]
-                g, s, text, at, n, twice = segments(part, ends, core, length, one, two)
+                g, s, text, at, n, twice = segments(part, ends, core, length, hashes)
                 begin = np.append(0, ends[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [_long(g), _long(s), pa.array(doc[low + text]), pa.array(tie[low + text]), pa.array((at - begin[text]).astype(np.int32)),
@@ -196,7 +213,7 @@ def cut(docs: DataFrame, core: int, length: int) -> DataFrame:
 def recut(found: DataFrame, core: int, length: int) -> DataFrame:
     """Segments (with bytes) cut again by a longer core, within their groups."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = Hashes(_MULT), Hashes(_MULT2)
+        hashes = Hashes(_MULT)
         names = ["g", "s", "doc", "tie", "at", "run", "twice", "bytes"]
         for batch in batches:
             cols = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
@@ -204,7 +221,7 @@ def recut(found: DataFrame, core: int, length: int) -> DataFrame:
             for low, high in _chunks(np.diff(offsets)):
                 part = data[offsets[low]:offsets[high]]
                 ends = offsets[low + 1:high + 1] - offsets[low]
-                g, s, text, at, n, twice = segments(part, ends, core, length, one, two)
+                g, s, text, at, n, twice = segments(part, ends, core, length, hashes)
                 row = low + text
                 old = cols["g"].to_numpy().view(np.uint64)[row]
                 begin = np.append(0, ends[:-1])
@@ -250,63 +267,104 @@ def _range_min(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndar
     return out
 
 
+def _symbols(flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending blocks of up to ``STEP`` bytes (with their number in the last byte),
+    and the rank of the block that starts at each place of ``flat``; a block ends with its text."""
+    left = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(flat))
+    held = np.minimum(left, STEP).astype(np.uint64)
+    padded = np.append(flat, np.zeros(STEP, np.uint8))
+    block = np.zeros(len(flat), np.uint64)
+    for k in range(STEP):
+        block <<= np.uint64(8)
+        block |= padded[k:k + len(flat)]
+    block <<= np.uint64(8)
+    short = np.flatnonzero(left < STEP)                    # the next text's bytes go
+    over = (STEP + 1 - left[short]).astype(np.uint64) * np.uint64(8)
+    block[short] = block[short] >> over << over
+    block |= held
+    order = np.argsort(block)
+    ascending = block[order]
+    new = np.append(True, ascending[1:] != ascending[:-1]) if len(block) else np.zeros(0, bool)
+    rank = np.empty(len(block), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return ascending[new], rank
+
+
 def collection(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Burrows-Wheeler transform and common-prefix array of a collection.
 
-    Symbols are bytes + 1, 0 ends a text; the ends order by text.  Round j inserts
-    the suffixes of length j: a suffix ``c u`` goes to the place that the ``c`` in
-    front of ``u`` has among all ``c`` of the transform.  Its common prefix with
-    the suffix before it is one more than the least common prefix between the
-    two places of the round before; that with the suffix behind it likewise.
-    Common prefixes stop at 255.  The transform is kept as one list per symbol,
-    end to end in ``behind``: the places where the symbol stands in it, ascending."""
+    Symbols are bytes + 1, 0 ends a text; the ends order by text.  A round inserts
+    the suffixes of the next ``STEP`` lengths, each a block of bytes ``c`` before a
+    suffix ``u`` of an earlier round (or before the end, then maybe a shorter block):
+    ``c u`` goes to the place that the ``c`` in front of ``u`` has among all ``c``.
+    Its common prefix with the suffix before it is that of their blocks, or one block
+    more than the least common prefix between the two places of the round before;
+    that with the suffix behind it likewise.  Common prefixes stop at 255.  ``key``
+    holds block and place of ``u`` of each suffix, ``begin`` where it starts."""
     n = len(texts)
     size = np.fromiter(map(len, texts), np.int64, n)
     flat = np.frombuffer(b"".join(texts), np.uint8)
-    last = np.cumsum(size) - 1
+    ends = np.cumsum(size)
+    blocks, rank = _symbols(flat, ends)
+    held = (blocks & np.uint64(255)).astype(np.uint8)
+    steps = np.uint64(256) ** np.arange(1, STEP + 1, dtype=np.uint64)
+    low = np.int64((1 << 32) - 1)
     lcp = np.zeros(n, np.uint8)
-    active = np.flatnonzero(size > 0)
-    place, symbol = active.copy(), flat[last[active]].astype(np.int64) + 1
-    behind = np.zeros(0, np.int32)
-    begin = np.zeros(258, np.int64)                        # of each first symbol, in ``behind``
-    done = 0
-    while len(active):
-        order = np.lexsort((place, symbol))
-        active, place, symbol = active[order], place[order], symbol[order]
-        # where the new suffixes go: the rank of their symbol in the transform
-        count = np.bincount(symbol, minlength=257)
-        to, at = np.empty(len(active), np.int64), 0
-        for c in np.flatnonzero(count):
-            stop = at + count[c]
-            to[at:stop] = begin[c] + np.searchsorted(behind[begin[c]:begin[c + 1]], place[at:stop])
-            at = stop
-        to += np.arange(len(active))
-        is_new = np.zeros(n + len(behind) + len(active), bool)
-        is_new[n + to] = True
-        old = np.flatnonzero(~is_new)                      # new rows of the old rows, which keep their order
-        full = np.empty(len(behind) + len(active), np.int32)
-        full[to] = place
-        full[old[n:] - n] = behind
-        begin[1:] += np.cumsum(count)
+    key, begin = np.zeros(0, np.int64), np.zeros(0, np.int32)
+    row = np.arange(n)[:, None]                            # of the suffixes inserted last; of the ends at first
+    for done in range(0, int(size.max(initial=0)), STEP):
+        # suffixes of done + 1 .. done + STEP bytes, each with the row of the one ``STEP`` bytes shorter
+        start = ends[:, None] - np.arange(done + 1, done + STEP + 1)
+        there = start >= (ends - size)[:, None]
+        start = start[there]
+        at = rank[start] << 32 | np.broadcast_to(row, there.shape)[there]
+        order = np.argsort(at)
+        at = at[order]
+        to = np.searchsorted(key, at) + np.arange(len(at))
+        is_old = np.ones(n + len(key) + len(at), bool)
+        is_old[n + to] = False
+        old = np.flatnonzero(is_old)                       # new rows of the old rows, which keep their order
+        new_key, new_begin = np.empty(len(key) + len(at), np.int64), np.empty(len(key) + len(at), np.int32)
+        new_key[to], new_begin[to] = at, start[order]
+        rest = old[n:] - n
+        new_key[rest], new_begin[rest] = key, begin
         # common prefixes of the new suffixes and of those right behind them
-        mark = np.zeros(len(full) + 1, bool)
+        mark = np.zeros(len(new_key) + 1, bool)
         mark[to] = True
         mark[to + 1] = True
-        mark[begin[:257]] = False                          # the first of a symbol shares nothing
+        mark[0] = False                                    # the first shares nothing
         t = np.flatnonzero(mark[:-1])
-        value = np.minimum(_range_min(lcp, full[t - 1] + 1, full[t]), 254) + np.uint8(1) if len(t) else np.zeros(0, np.uint8)
+        value = np.zeros(len(t), np.uint8)
+        before, own = new_key[t - 1], new_key[t]
+        c = own >> 32
+        same = before >> 32 == c
+        if same.any():
+            one, two = (before[same] & low) + 1, own[same] & low
+            least, wide = lcp[two], np.flatnonzero(one < two)
+            if len(wide):
+                least[wide] = _range_min(lcp, one[wide], two[wide])
+            value[same] = np.minimum(least, 255 - STEP) + held[c[same]]
+        c, d = c[~same], before[~same] >> 32
+        equal = STEP - np.searchsorted(steps, blocks[c] ^ blocks[d], side="right")
+        value[~same] = np.minimum(equal, np.minimum(held[c], held[d]))
         # the arrays of this round, written anew in one pass
-        done += 1
-        ahead = size[active] > done
-        new_lcp = np.zeros(len(is_new), np.uint8)
+        new_lcp = np.zeros(len(is_old), np.uint8)
         new_lcp[old] = lcp
         new_lcp[n + t] = value
-        lcp, behind = new_lcp, old.astype(np.int32)[full]
-        active, place = active[ahead], (n + to)[ahead]
-        symbol = flat[last[active] - done].astype(np.int64) + 1
-    bwt = np.zeros(len(lcp), np.int16)
-    bwt[behind] = np.repeat(np.arange(257), np.diff(begin))
-    return bwt, lcp
+        lcp, begin = new_lcp, new_begin
+        key = new_key
+        moved = old[key & low]
+        key &= ~low
+        key |= moved
+        placed = np.empty(len(to), np.int64)
+        placed[order] = n + to
+        row = np.zeros(there.shape, np.int64)
+        row[there] = placed
+    # the symbol before a suffix, 0 before a whole text
+    before = np.append(0, flat.astype(np.int16) + 1)
+    ahead = before[ends]
+    before[ends - size] = 0
+    return np.append(np.where(size > 0, ahead, 0), before[begin]).astype(np.int16), lcp
 
 
 def suffix_rows(bwt: np.ndarray, n: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -434,15 +492,28 @@ def repeated_ranges(keyed: DataFrame, length: int = LENGTH, core: int = CORE,
     def fetch(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         names = ["g", "s", "doc", "tie", "at", "run", "twice", "different", "bytes"]
+
+        def taken(batch, low, high, first, cut_out):
+            cuts = batch.column(3).flatten().slice(first, len(cut_out))
+            row = np.repeat(np.arange(low, high), np.asarray(pc.list_value_length(batch.column(3).slice(low, high - low))))
+            return pa.RecordBatch.from_arrays(
+                [*(cuts.field(f) for f in ("g", "s")), *(batch.column(k).take(pa.array(row)) for k in (0, 1)),
+                 *(cuts.field(f) for f in ("at", "run", "twice", "different")), pa.array(cut_out, pa.binary())], names)
+
         for batch in batches:
-            for doc, tie, z, cuts in zip(*(batch.column(k) for k in range(4))):
-                data, places = unpack(z.as_py()), cuts.values
-                col = {f: places.field(f) for f in ("g", "s", "at", "run", "twice", "different")}
-                cut_out = [data[a:a + r + length - 1] for a, r in zip(col["at"].to_pylist(), col["run"].to_pylist())]
-                n = len(cut_out)
-                yield pa.RecordBatch.from_arrays(
-                    [col["g"], col["s"], pa.array([doc.as_py()] * n, pa.int64()), pa.array([tie.as_py()] * n, pa.int64()), col["at"],
-                     col["run"], col["twice"], col["different"], pa.array(cut_out, pa.binary())], names)
+            places = batch.column(3).flatten()
+            at, run = (places.field(f).to_numpy().astype(np.int64) for f in ("at", "run"))
+            low = first = held = 0
+            cut_out, stop = [], (at + run + length - 1).tolist()
+            ends = np.cumsum(np.asarray(pc.list_value_length(batch.column(3)))).tolist()
+            at = at.tolist()
+            for i, z in enumerate(batch.column(2)):
+                data, done = unpack(z.as_buffer()), first + len(cut_out)
+                cut_out += [data[a:b] for a, b in zip(at[done:ends[i]], stop[done:ends[i]])]
+                held += sum(stop[done:ends[i]]) - sum(at[done:ends[i]])
+                if held > CHUNK or i + 1 == len(batch):
+                    yield taken(batch, low, i + 1, first, cut_out)
+                    low, first, held, cut_out = i + 1, ends[i], 0, []
 
     found = cut_lineage(_packed(keyed).join(wanted, ["doc", "tie"]).select("doc", "tie", "z", "cuts").mapInArrow(
         fetch, "g long, s long, doc long, tie long, at int, run short, twice boolean, different long, bytes binary"))

@@ -88,6 +88,38 @@ def test_collection_is_the_sorted_order_of_all_suffixes():
         assert [(i, len(data[i]) - s) for _, i, s in rows] == list(zip(text.tolist(), size.tolist()))
 
 
+def test_a_round_inserts_several_symbols(monkeypatch):
+    rounds, least = [], suffixes._range_min
+
+    def counted(*args):
+        rounds.append(1)
+        return least(*args)
+    monkeypatch.setattr(suffixes, "_range_min", counted)
+    rng = np.random.default_rng(3)
+    data = [bytes(rng.integers(0, 2, 160).astype(np.uint8)) for _ in range(40)]
+    data += [b"", b"\0", b"\0\0", bytes(9), data[0][:-3], data[1] + b"\0"]
+    bwt, lcp = suffixes.collection(data)
+    assert 0 < len(rounds) <= 161 // 5
+    rows = sorted((t[s:], i, s) for i, t in enumerate(data) for s in range(len(t) + 1))
+    assert [data[i][s - 1] + 1 if s else 0 for _, i, s in rows] == bwt.tolist()
+    for (a, _, _), (b, _, _), n in zip(rows, rows[1:], lcp[1:].tolist()):
+        assert a[:n] == b[:n] and (len(a) == n or len(b) == n or a[n] != b[n])
+
+
+@pytest.mark.parametrize("core, letters", [(12, 3), (30, 2), (1, 2)])
+def test_minimizers_that_occur_twice(core, letters):
+    data = np.random.default_rng(core).integers(97, 97 + letters, 3000).astype(np.uint8)
+    data[500:900] = 97
+    ends, length = np.array([700, 705, 3000]), 40
+    hashes = suffixes.Hashes(suffixes._MULT)
+    group, _, _, start, run, twice = suffixes.segments(data, ends, core, length, hashes)
+    h = hashes.all_of(hashes.sums(data), core)
+    for g, a, r, t in zip(group, start, run, twice):
+        span = h[a:a + r + length - core]
+        assert span.min() == g and t == (np.count_nonzero(span == g) > 1)
+    assert run.sum() == 700 - 39 + 2295 - 39 and twice.any()
+
+
 def test_query_on_a_small_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     got = {r.doc_id: r for r in queries.op12_suffixes(spark, "/root/testdata/sf0.001").collect()}
