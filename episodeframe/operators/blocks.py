@@ -170,17 +170,43 @@ def carry_scan(df: DataFrame, keys: list[str], index: str, scans: list[Scan],
 
 
 def dense_index(df: DataFrame, keys: list[str], order: list[str], out: str,
-                block_col: Column | None = None) -> DataFrame:
+                block_col: Column | None = None, attach: DataFrame | None = None,
+                partitions: int | None = None, ranges: list[str] | None = None) -> DataFrame:
     """0-based position of each row within ``keys`` in ``order`` (ties must
     be broken by ``order`` itself).  Blocked running count; ``block_col``
-    defaults to one-minute buckets of the first order column (ns)."""
+    defaults to one-minute buckets of the first order column (ns).
+
+    ``attach`` (one row per ``keys``) gives its other columns to the rows, which
+    are then shuffled once for the count and the join; rows without one are
+    dropped.  They lie in ``partitions`` partitions, with ``ranges`` (the keys
+    in an order) in ranges of those and the block."""
     if block_col is None:
         block_col = block_of(order[0], 60_000_000_000)
+    if attach is not None:
+        return _attached_index(df.withColumn(BLK, block_col), keys, order, out, attach, partitions, ranges).drop(BLK)
     d = df.withColumn("_one_", F.lit(1).cast("long"))
     r = ordered_scan(d, keys, block_col, order, [Scan(out, "_one_", "sum", inclusive=False)])
     return r.drop("_one_")
 
 
+def _attached_index(d: DataFrame, keys: list[str], order: list[str], out: str, attach: DataFrame,
+                    partitions: int | None, ranges: list[str] | None) -> DataFrame:
+    """``dense_index`` with one row ahead of each block that holds the count of
+    the earlier blocks and the attached columns."""
+    part, got, up = [*keys, BLK], [c for c in attach.columns if c not in keys], Window.unboundedPreceding
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy(BLK).rowsBetween(up, -1))
+    heads = d.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", F.coalesce(before, F.lit(0)))
+    heads = heads.join(attach, keys).select(*part, "_before", *got, F.lit(0).alias(_POS))
+    u = d.withColumn(_POS, F.lit(1)).unionByName(heads, allowMissingColumns=True)
+    n = [partitions] if partitions else []
+    u = u.repartitionByRange(*n, *ranges, BLK) if ranges else u.repartition(*n, *part)
+    w = Window.partitionBy(*part).orderBy(_POS, *order)
+    first = w.rowsBetween(up, Window.currentRow)
+    at = F.first("_before").over(first) + F.row_number().over(w) - 2  # the row ahead is number 1
+    r = u.select(*d.columns, _POS, at.alias(out), *[F.first(c).over(first).alias(c) for c in got])
+    return r.where((F.col(_POS) == 1) & F.col(out).isNotNull()).drop(_POS)
+
+
 def range_blocks(df: DataFrame, order: list[str]) -> DataFrame:
     """``df`` stored in range partitions of ``order``, the partition number in
     ``_blk``: blocks for a scan over one global order that no single key value
@@ -200,10 +226,13 @@ def global_scan(df: DataFrame, order: list[str], scans: list[Scan], small: int =
     The rows are stored once and counted; a table of at most ``small`` rows
     (tasks, files, a modest number of episodes) is one block, scanned by one sort
     with the same result, which saves the sampling of ranges."""
-    from episodeframe.session import cut_lineage
+    from episodeframe.session import cut_lineage, release_tables, tables_written
+    since = tables_written()
     d = cut_lineage(df.withColumn("_one", F.lit(1).cast("long")))
     if d.count() > small or any(s.kind != "sum" for s in scans):
-        return ordered_scan(range_blocks(d, order), [], BLK, order, scans).drop("_one", BLK)
+        ranged = range_blocks(d, order)
+        release_tables(df.sparkSession, since, keep=1)
+        return ordered_scan(ranged, [], BLK, order, scans).drop("_one", BLK)
     w = Window.partitionBy(F.lit(0)).orderBy(*order)
     up = Window.unboundedPreceding
     sums = [F.coalesce(F.sum(s.col).over(w.rowsBetween(up, 0 if s.inclusive else -1)), F.lit(0)).alias(s.out) for s in scans]

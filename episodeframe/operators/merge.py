@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from episodeframe.operators.blocks import Scan, global_scan
+from episodeframe.operators.blocks import Scan, block_of, dense_index, global_scan, tasks_for
+from episodeframe.session import cut_lineage, release_tables, tables_written
 
 
 def union_sources(tables: list[DataFrame]) -> DataFrame:
@@ -46,7 +47,7 @@ def episode_offsets(episodes: DataFrame, order: list[str], length: str = "length
 
 
 def renumber(frames: DataFrame, episode_key: list[str], frame_order: list[str],
-             episode_order: list[str], materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+             episode_order: list[str], materialize: bool = True, ranged: bool = False) -> tuple[DataFrame, DataFrame]:
     """Returns ``(frames, episodes)``.
 
     frames gain ``frame_index`` (0.. per episode in ``frame_order``),
@@ -56,21 +57,29 @@ def renumber(frames: DataFrame, episode_key: list[str], frame_order: list[str],
 
     The frames are read by three consumers (the dense frame index and its
     block summaries, the episode lengths, the final offset join), so they are
-    written once to the checkpoint folder; ``materialize=False`` is for frames
-    that are a plain Parquet scan already."""
-    from episodeframe.operators.blocks import block_of, dense_index
-    from episodeframe.session import cut_lineage
+    that are a plain Parquet scan already.
+
+    Where ``episode_order`` orders by columns of the key, an episode has one row
+    and the frames are shuffled once for their number and their episode's;
+    ``ranged`` then leaves them in range partitions of ``index``."""
+    if ranged and set(episode_order) != set(episode_key):
+        raise ValueError("frames are in ranges of their index only if the episodes are ordered by their key")
     if materialize:
         frames = cut_lineage(frames)
-    fr = dense_index(frames, episode_key, frame_order, "frame_index",
-                     block_col=block_of(frame_order[0], 1 << 16))
     eps = (frames.groupBy(*episode_key, *[c for c in episode_order if c not in episode_key])
            .agg(F.count(F.lit(1)).alias("length")))
+    since = tables_written()
     eps = cut_lineage(episode_offsets(eps, episode_order))  # read by the frames and by the caller
-    out = (fr.join(eps.select(*episode_key, "episode_index", "dataset_from_index"), episode_key)
-           .withColumn("index", F.col("dataset_from_index") + F.col("frame_index"))
-           .drop("dataset_from_index"))
-    return out, eps
+    release_tables(frames.sparkSession, since, keep=1)
+    first = eps.select(*episode_key, "episode_index", "dataset_from_index")
+    block = block_of(frame_order[0], 1 << 16)
+    if set(episode_order) <= set(episode_key):
+        n = tasks_for(frames.sparkSession, eps.agg(F.sum("length")).first()[0])
+        out = dense_index(frames, episode_key, frame_order, "frame_index", block, attach=first, partitions=n,
+                          ranges=episode_order if ranged else None)
+    else:
+        out = dense_index(frames, episode_key, frame_order, "frame_index", block).join(first, episode_key)
+    return out.withColumn("index", F.col("dataset_from_index") + F.col("frame_index")).drop("dataset_from_index"), eps
 
 
 def video_file_index(files: DataFrame, source_order: list[str], local_index: str = "local_file_index",

@@ -28,14 +28,15 @@ def long_vectors(df: DataFrame, features: list[str], keys: list[str] | None = No
 
 
 def vector_stats(df: DataFrame, features: list[str], keys: list[str] | None = None,
-                 quantiles: bool = False, accuracy: int = 10_000, exact: bool = False) -> DataFrame:
+                 quantiles: bool = False, accuracy: int = 10_000, exact: bool = False, stored: bool = False) -> DataFrame:
     """A5: per (keys, feature, pos): count, min, max, mean, population std
     and, when asked, quantiles.
 
     Quantiles use ``percentile_approx`` (a mergeable sketch of bounded
     size), or with ``exact`` the passes of ``exact_quantiles``; Spark's own
     exact percentile would keep every value of a group in one task, and one
-    source may hold a third of all frames."""
+    source may hold a third of all frames.  ``stored`` says that ``df`` is a plain
+    scan of stored vectors: its passes read them instead of a second copy."""
     keys = keys or []
     lv = long_vectors(df, features, keys)
     aggs = [F.count("value").alias("count"), F.min("value").alias("min"),
@@ -43,7 +44,7 @@ def vector_stats(df: DataFrame, features: list[str], keys: list[str] | None = No
             F.stddev_pop("value").alias("std")]
     if quantiles and exact:
         by = [*keys, "feature", "pos"]
-        lv = cut_lineage(lv)
+        lv = lv if stored else cut_lineage(lv)
         both = cut_lineage(lv.groupBy(*by).agg(*aggs, *_extremes("value")))  # one pass for both
         q = exact_quantiles(lv, by, stored=True, extremes=both.select(*by, "_n", "_low", "_high").where(F.col("_n") > 0))
         return both.drop("_n", "_low", "_high").join(q, by, "left")

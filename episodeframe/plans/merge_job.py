@@ -22,7 +22,7 @@ from episodeframe.operators import merge as M
 from episodeframe.operators import stats as S
 from episodeframe.operators import videos as V
 from episodeframe.operators.blocks import Scan, global_scan
-from episodeframe.session import cut_lineage
+from episodeframe.session import cut_lineage, release_tables, shuffles_removed, tables_written
 from episodeframe.sinks import writers as W
 from episodeframe.sources.files import read_published_frames
 
@@ -111,10 +111,12 @@ def _missing(episodes: DataFrame, files: DataFrame, cameras: list[str]) -> DataF
 
 def merge_published(spark: SparkSession, manifest: DataFrame, base: str, width: int, cameras: list[str] | None = None,
                     strict: bool = True, layout: Layout | None = None) -> Merged:
-    """The merged tables, not yet written."""
+    """The merged tables, not yet written; frames lie in ranges of their index."""
     cameras = cameras or []
     sources, frames, episodes, files = source_tables(spark, manifest, base, cameras, layout or Layout())
+    since = tables_written()
     rejects = cut_lineage(check_sources(sources, frames, episodes, files, cameras, width))
+    release_tables(spark, since, keep=1)
     if strict and not rejects.isEmpty():
         listed = rejects.orderBy(*SOURCE).limit(20).collect()
         raise ValueError("rejected sources: " + "; ".join(f"{r.file}: {r.reason} ({r.n})" for r in listed))
@@ -122,8 +124,7 @@ def merge_published(spark: SparkSession, manifest: DataFrame, base: str, width:
     frames, episodes, good = (t.join(bad, SOURCE, "left_anti") for t in (frames, episodes, sources))
     own = frames.withColumnsRenamed({"index": "_source_index", "episode_index": "source_episode", "observation.state": "_state"})
     # the frames are a Parquet scan; who needs the episodes alone reads no vectors
-    frames, numbered = M.renumber(own, [*SOURCE, "source_episode"], ["_source_index"], [*SOURCE, "source_episode"], materialize=False)
-    numbered = cut_lineage(numbered)
+    frames, numbered = M.renumber(own, [*SOURCE, "source_episode"], ["_source_index"], [*SOURCE, "source_episode"], materialize=False, ranged=True)
     frames = frames.select("timestamp", "frame_index", "episode_index", "index", F.col("task_index").cast("long").alias("task_index"),
                            F.col("_state").alias("observation.state"), "action")
     at = F.coalesce("_source_index", F.lit(-1 << 63))  # the order of the frames, without numbering them again
@@ -150,12 +151,19 @@ def merge_published(spark: SparkSession, manifest: DataFrame, base: str, width:
 def write_merged(m: Merged, out_root: str, fps: int, width: int, image_size: tuple[int, int] | None = None) -> None:
     """K1-K6.  Statistics and totals are read from the written frames."""
     root, spark = out_root.rstrip("/"), m.frames.sparkSession
-    W.write_frames(m.frames, root)
+    with shuffles_removed(spark):
+        _write_merged(spark, m, root, fps, width, image_size)
+
+
+def _write_merged(spark: SparkSession, m: Merged, root: str, fps: int, width: int, image_size: tuple[int, int] | None) -> None:
     W.write_tasks(m.tasks, root)
-    W.write_episodes(m.episodes, root)
+    W.write_episodes(m.episodes, root)  # its joins shuffle most: before the frames take their place
+    W.write_frames(m.frames, root, ranged=True)
     frames = read_published_frames(spark, root)
-    stats = S.vector_stats(frames, ["observation.state", "action"], quantiles=True, exact=True)
+    since = tables_written()
+    stats = S.vector_stats(frames, ["observation.state", "action"], quantiles=True, exact=True, stored=True)
     W.write_small_json(W.stats_json(stats), f"{root}/meta/stats")
+    release_tables(spark, since)
     episodes = spark.read.parquet(f"{root}/meta/episodes")
     W.write_small_json(W.info_json(S.dataset_totals(frames, episodes, m.tasks), fps, {"observation.state": width, "action": width},
                                    videos=W.video_total(episodes, m.cameras), cameras=m.cameras, image_size=image_size), f"{root}/meta/info")

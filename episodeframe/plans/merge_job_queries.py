@@ -16,16 +16,18 @@ from pyspark.sql import functions as F
 
 from episodeframe.operators import merge as M
 from episodeframe.operators import videos as V
-from episodeframe.operators.blocks import block_of, dense_index
+from episodeframe.operators.blocks import block_of, dense_index, tasks_for
 from episodeframe.plans import merge_job as J
 from episodeframe.plans.catalog import r6, register
-from episodeframe.plans.merge_queries import _MERGE_CTE, _vec, _vec_sql, source_frames, tasks_table
-from episodeframe.session import cut_lineage, ensure_checkpoint_dir
+from episodeframe.plans.merge_queries import _MERGE_CTE, _vec, _vec_sql, tasks_table
+from episodeframe.session import cut_lineage, delete_folder, ensure_checkpoint_dir, release_tables, shuffles_removed, tables_written
 from episodeframe.sources.files import read_manifest, read_published_frames
+from episodeframe.sources.tables import table
 
 CAMERAS = ["front", "wrist"]
 FPS, FRAMES_PER_FILE, WIDTH = 10, 40, 4
 SRC = ["task_index", "nation"]
+LINE_COLUMNS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LAYOUT = J.Layout("table=data", "table=episodes", "table=video_files")
 
 # sources that are broken: task, remainder of the nation's number by 8
@@ -36,33 +38,77 @@ def _is(kind: tuple[int, int]) -> F.Column:
     return (F.col("task_index") == kind[0]) & (F.col("nation") % 8 == kind[1])
 
 
+def _owners(spark, sf_dir):
+    """Per (task, nation, order) with line items: how often the source holds each
+    of them (``copies``) and how many frames that makes.  Orders are joined to
+    their customers before the line items, which are only counted."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("source_episode"), "o_custkey", F.col("o_orderpriority").alias("task"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"))
+    own = o.join(c, o.o_custkey == c.c_custkey).groupBy("task", "nation", "source_episode").agg(F.count(F.lit(1)).alias("copies"))
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("source_episode")).agg(F.count(F.lit(1)).alias("lines"))
+    return own.join(lines, "source_episode").select(
+        "task", "nation", "source_episode", "copies", (F.col("copies") * F.col("lines")).alias("length"))
+
+
+def _indexed(spark, sf_dir, eps, n_frames: int):
+    """Frames of ``merge_queries.source_frames`` with their episode's number and
+    their position in it; the line items are shuffled once and carry their own
+    columns, vectors are made from them later."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("source_episode"), *LINE_COLUMNS)
+    # an order that several sources hold gives each of them its line items, each position to one of the copies
+    per = eps.groupBy("source_episode").agg(F.array_sort(F.collect_list(F.struct(*SRC, "copies", "episode_index"))).alias("_in"))
+    copies = F.flatten(F.transform("_in", lambda e: F.array_repeat(F.struct(*[e[k].alias(k) for k in SRC]), e["copies"].cast("int"))))
+    per = per.select("source_episode", copies.alias("_copies"), F.transform("_in", lambda e: e["episode_index"]).alias("_episodes"))
+    rows = dense_index(lines, ["source_episode"], ["l_linenumber", "l_partkey", "l_suppkey"], "_line", block_col=block_of("l_linenumber", 1 << 16),
+                       attach=per, partitions=tasks_for(spark, n_frames))
+    rows = rows.select(*LINE_COLUMNS, "_line", F.size("_copies").alias("_n"), "_episodes", F.posexplode("_copies").alias("_copy", "_of"))
+    return rows.select(*LINE_COLUMNS, *[F.col("_of")[k].alias(k) for k in SRC],
+                       (F.col("_line") * F.col("_n") + F.col("_copy")).alias("index"), F.explode("_episodes").alias("episode_index"))
+
+
 def write_sources(spark, sf_dir: str, base: str) -> str:
     """Write the sources below ``base``; returns the manifest's path."""
-    f = cut_lineage(source_frames(spark, sf_dir))
-    f = M.attach_task_index(f, tasks_table(f))
-    indexed = dense_index(f, ["source_episode"], ["l_linenumber", "l_partkey", "l_suppkey"], "index", block_col=block_of("l_linenumber", 1 << 16))
-    eps = f.groupBy(*SRC, "source_episode").agg(F.count(F.lit(1)).alias("length"))
+    since = tables_written()
+    with shuffles_removed(spark):
+        path = _write_sources(spark, sf_dir, base)
+    release_tables(spark, since)
+    return path
+
+
+def _write_sources(spark, sf_dir: str, base: str) -> str:
+    own = cut_lineage(_owners(spark, sf_dir))
+    own = M.attach_task_index(own, tasks_table(own))
+    n_frames = own.agg(F.sum("length")).first()[0]
+    eps = own.groupBy(*SRC, "source_episode").agg(F.sum("length").alias("length"), F.sum("copies").alias("copies"))
     eps = cut_lineage(dense_index(eps, SRC, ["source_episode"], "episode_index", block_col=block_of("source_episode", 1 << 20)))
     name = F.format_string("%d-%02d", F.col("task_index").cast("int"), F.col("nation").cast("int"))
 
     def write(df, table):
         df.withColumn("source", name).withColumn("table", F.lit(table)).drop(*SRC).write.mode("append").partitionBy("source", "table").parquet(base)
 
-    action = F.when(_is(BAD_WIDTH) & (F.col("l_linenumber") == 2), F.slice("action", 1, 3)).otherwise(F.col("action"))
-    rows = indexed.where(~_is(NO_DATA)).join(eps.select("source_episode", "episode_index"), "source_episode")
-    write(rows.select(*SRC, "timestamp", "episode_index", "index", F.col("state").alias("observation.state"), action.alias("action")), "data")
-    ranges = cut_lineage(V.camera_ranges(V.camera_rows(eps.select(*SRC, "episode_index", "length"), CAMERAS), FPS, FRAMES_PER_FILE, SRC))
+    # every table in ranges of its sources: a task writes files of a few sources, not a file of each
+    rows = _indexed(spark, sf_dir, eps, n_frames).where(~_is(NO_DATA)).drop("l_partkey", "l_suppkey")
+    rows = rows.repartitionByRange(tasks_for(spark, n_frames), *SRC, "episode_index")
+    state = F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax").cast("array<float>")
+    action = F.array(F.col("l_quantity"), F.col("l_extendedprice") * (1 - F.col("l_discount")), F.col("l_tax"), F.col("l_discount")).cast("array<float>")
+    action = F.when(_is(BAD_WIDTH) & (F.col("l_linenumber") == 2), F.slice(action, 1, 3)).otherwise(action)
+    write(rows.select(*SRC, F.col("l_linenumber").cast("double").alias("timestamp"), "episode_index", "index",
+                      state.alias("observation.state"), action.alias("action")), "data")
+    # every camera has the episodes' frames, so their ranges are computed for one of them
+    ranges = V.camera_ranges(V.camera_rows(eps.select(*SRC, "episode_index", "length"), CAMERAS[:1]), FPS, FRAMES_PER_FILE, SRC)
+    ranges = cut_lineage(ranges).withColumn("camera", F.explode(F.array(*map(F.lit, CAMERAS))))
     listed = eps.select(*SRC, "episode_index", "length").join(V.wide(ranges, CAMERAS, SRC), [*SRC, "episode_index"])
     ghost = listed.where(_is(GHOST_EPISODE) & (F.col("episode_index") == 0)).withColumn("episode_index", F.lit(1 << 40))
-    write(listed.unionByName(ghost), "episodes")
-    write(V.video_files(ranges, SRC).where(~(_is(NO_FILE) & (F.col("camera") == "wrist") & (F.col("file_index") == 0))), "video_files")
+    write(listed.unionByName(ghost).repartitionByRange(*SRC, "episode_index"), "episodes")
+    files = V.video_files(ranges, SRC).where(~(_is(NO_FILE) & (F.col("camera") == "wrist") & (F.col("file_index") == 0)))
+    write(files.repartitionByRange(*SRC, "file_index"), "video_files")
 
     # the manifest: per task its folders by nation, as text or as objects
     folder = F.concat(F.lit("source="), name)
     entry = F.when(F.col("nation") % 2 == 0, F.to_json(F.struct(F.concat(F.lit("raw/"), folder, F.lit("/")).alias("path")))).otherwise(
         F.concat(F.lit('"'), folder, F.lit('"')))
     files = F.array_sort(F.collect_list(F.struct("nation", entry.alias("entry"))))
-    tasks = (f.select(*SRC, "task").distinct().groupBy("task_index", "task")  # one row per task, an entry per nation
+    tasks = (own.select(*SRC, "task").distinct().groupBy("task_index", "task")  # one row per task, an entry per nation
              .agg(F.array_join(F.transform(files, lambda x: x["entry"]), ",").alias("files")).orderBy("task_index").collect())
     text = ",".join('{"task_id":"t%d","task":%s,"files":[%s%s]}' % (
         t.task_index, json.dumps(t.task), t.files, ',"source=none"' if t.task_index == 4 else "") for t in tasks)
@@ -74,7 +120,7 @@ def write_sources(spark, sf_dir: str, base: str) -> str:
 def _merged(spark, sf_dir):
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/merge/{uuid.uuid4().hex}"
     manifest = read_manifest(spark, write_sources(spark, sf_dir, base))
-    return J.merge_published(spark, manifest, base, WIDTH, CAMERAS, strict=False, layout=LAYOUT), f"{base}-merged"
+    return J.merge_published(spark, manifest, base, WIDTH, CAMERAS, strict=False, layout=LAYOUT), base
 
 
 def _case(kind: tuple[int, int]) -> str:
@@ -107,8 +153,10 @@ SELECT new_ep AS episode_index, CAST(k AS BIGINT) AS frame_index, CAST(first + k
        {_vec_sql('state', 's')}, {_vec_sql('action', 'a')} FROM fr""")
 def merge_job_frames(spark, sf_dir):
     """Sources written, merged, published and read back."""
-    m, root = _merged(spark, sf_dir)
+    m, base = _merged(spark, sf_dir)
+    root = f"{base}-merged"
     J.write_merged(m, root, FPS, WIDTH)
+    delete_folder(spark, base)  # the sources, which only this merge reads
     return read_published_frames(spark, root).withColumnRenamed("observation.state", "state").select(
         "episode_index", "frame_index", "index", "task_index", "timestamp", *_vec("state", "s"), *_vec("action", "a"))
 
@@ -176,7 +224,6 @@ SELECT camera, episode_index, n_frames, file_index // {V.CHUNK_FILES} AS chunk_i
 def camera_video_ranges(spark, sf_dir):
     """Video ranges of cameras with frame counts of their own (episode =
     order, camera = return flag, frames = line items)."""
-    from episodeframe.sources.tables import table
     o = dense_index(table(spark, sf_dir, "orders").select("o_orderkey"), [], ["o_orderkey"], "episode_index", block_col=block_of("o_orderkey", 1 << 20))
     n = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", F.col("l_returnflag").alias("camera")).agg(F.count(F.lit(1)).alias("n_frames"))
     r = V.camera_ranges(n.join(o, F.col("l_orderkey") == F.col("o_orderkey")), 30, 500)

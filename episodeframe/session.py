@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,9 @@ DEFAULTS = {
 }
 
 
+# Removes the shuffle files of a statement when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _written: list[str] = []
 
 
@@ -70,6 +75,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of every statement run inside are removed as it ends.
+
+    Otherwise they stay until the driver's garbage collection finds them, and a
+    job of many steps holds the shuffles of all of them at once.  For writes: a
+    frame that is collected again would have to be shuffled again."""
+    was = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, was)
+
+
 def cut_lineage(df: DataFrame, how: str = "table") -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (reliable, survives
     executor loss) and return a DataFrame reading it back.
@@ -81,16 +104,28 @@ def cut_lineage(df: DataFrame, how: str = "table") -> DataFrame:
     if how == "checkpoint":
         return df.checkpoint(eager=True)
     path = f"{d.rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.mode("errorifexists").parquet(path)
     _written.append(path)
     return df.sparkSession.read.parquet(path)
 
 
-def release_tables(spark: SparkSession) -> int:
-    """Delete every table that ``cut_lineage`` wrote in this process; frames
-    that read them must not be used any more.  Returns how many."""
-    jvm, n = spark.sparkContext._jvm, len(_written)
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    return n
+def tables_written() -> int:
+    """How many tables of ``cut_lineage`` there are, for ``release_tables``."""
+    return len(_written)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release_tables(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Delete the tables that ``cut_lineage`` wrote in this process, those after
+    the first ``since`` (``tables_written``) but the last ``keep``; frames that
+    read them must not be used any more.  Returns how many."""
+    paths = _written[since:len(_written) - keep]
+    del _written[since:len(_written) - keep]
+    for path in paths:
+        delete_folder(spark, path)
+    return len(paths)

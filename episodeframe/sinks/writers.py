@@ -25,13 +25,17 @@ def file_columns(index: str, rows_per_file: int = ROWS_PER_FILE) -> list:
     return [F.call_function("div", file, F.lit(CHUNK_FILES).cast("long")).alias("chunk_index"), file.alias("file_index")]
 
 
-def write_frames(frames: DataFrame, root: str, files: int | None = None, rows_per_file: int = ROWS_PER_FILE) -> None:
+def write_frames(frames: DataFrame, root: str, files: int | None = None, rows_per_file: int = ROWS_PER_FILE,
+                 ranged: bool = False) -> None:
     """K1: ``data/chunk_index=C/file_index=F/`` as Parquet; fails if the output
-    already exists.  Frames are range-partitioned and sorted by ``index``."""
+    already exists.  Frames are range-partitioned and sorted by ``index``;
+    ``ranged`` says that they lie in range partitions of it already
+    (``renumber``)."""
     cols = ["timestamp", "frame_index", "episode_index", "index", "task_index",
             "observation.state", "action"] + [c for c in frames.columns if c.startswith("observation.images.")]
     df = frames.select(*[F.col(f"`{c}`") for c in cols if c in frames.columns], *file_columns("index", rows_per_file))
-    df = df.repartitionByRange(files, "index") if files else df.repartitionByRange("index")
+    if not ranged:
+        df = df.repartitionByRange(files, "index") if files else df.repartitionByRange("index")
     (df.sortWithinPartitions("chunk_index", "file_index", "index").write.partitionBy("chunk_index", "file_index")
      .mode("errorifexists").parquet(f"{root.rstrip('/')}/data"))
 
