@@ -24,7 +24,8 @@ def next_state(df: DataFrame, keys: list[str], index: str, cols: dict[str, str],
     block takes the first row of the next block from a table of one row per
     block that has one before it; that is at most one per ``block`` frames and is
     broadcast, so the frames are not shuffled for it.  If ``df`` already carries
-    ``_blk`` (= index // block, e.g. from ``align_frames(keep_block=True)``) its
+    ``_blk`` (= index // block, e.g. from ``align_frames(keep_block=True)``, or
+    blocks of another index that runs along, as ``cut_episodes`` keeps) its
     partitioning is reused; else ``partitions`` is the number of partitions of
     the one shuffle (default: the session's)."""
     d = df if BLK in df.columns else df.withColumn(BLK, block_of(index, block))
@@ -34,8 +35,8 @@ def next_state(df: DataFrame, keys: list[str], index: str, cols: dict[str, str],
     srcs = list(dict.fromkeys(cols.values()))
     here = F.struct(*[F.col(c).alias(c) for c in srcs])
     d = d.withColumn("_nx", F.lead(here, 1).over(w))
-    heads = (d.where(F.col(BLK) > 0).groupBy(*keys, BLK).agg(F.min_by(here, F.col(index)).alias("_hd"))
-             .withColumn(BLK, F.col(BLK) - 1))
+    heads = (d.where(F.col(BLK) > 0).groupBy(*keys, BLK).agg(F.min_by(here, F.col(index)).alias("_hd"), F.min(index).alias("_at"))
+             .where(F.col("_at") > 0).drop("_at").withColumn(BLK, F.col(BLK) - 1))  # no row is before an episode's first
     d = null_safe_join(d, F.broadcast(heads), keys + [BLK])
     outs = [F.when(F.col("_nx").isNotNull(), F.col("_nx")[src])
             .when(F.col("_hd").isNotNull(), F.col("_hd")[src])

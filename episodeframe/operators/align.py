@@ -109,24 +109,30 @@ def frame_tasks(params: DataFrame) -> int:
     return tasks_for(params.sparkSession, params.agg(F.sum("n_frames")).first()[0])
 
 
-def frame_grid(params: DataFrame, rec: str = REC, partitions: int | None = None) -> DataFrame:
+def frame_grid(params: DataFrame, rec: str = REC, partitions: int | None = None, block: int | None = None) -> DataFrame:
     """O2: one row per frame ``(recording, frame_index, t_ns)``.
 
     Exploded in two levels (chunks, then frames in a chunk) and the chunk
     rows are spread over partitions, so a very long recording is generated
     by many tasks.  There are as many partitions as the frames need
-    (``frame_tasks``): the chunk rows alone would fit into a few."""
+    (``frame_tasks``): the chunk rows alone would fit into a few.
+
+    With ``block`` the chunks are blocks of so many frames, named by ``_blk`` and
+    dealt by it: ``align_frames`` with that ``block`` and those ``partitions``
+    scans the frames where they are made, without a shuffle of them."""
+    size = block or GRID_CHUNK
     chunks = (params
               .withColumn("_chunk", F.explode(F.sequence(
                   F.lit(0).cast("long"),
-                  floor_div(F.col("n_frames") - 1, F.lit(GRID_CHUNK)))))
+                  floor_div(F.col("n_frames") - 1, F.lit(size)))))
               .repartition(partitions or frame_tasks(params), rec, "_chunk"))
-    lo = F.col("_chunk") * F.lit(GRID_CHUNK)
-    hi = F.least(F.col("n_frames"), lo + F.lit(GRID_CHUNK)) - 1
+    lo = F.col("_chunk") * F.lit(size)
+    hi = F.least(F.col("n_frames"), lo + F.lit(size)) - 1
     return (chunks
             .withColumn("frame_index", F.explode(F.sequence(lo, hi)))
             .select(rec, "frame_index",
-                    (F.col("start_ns") + F.col("frame_index") * F.col("step_ns")).alias("t_ns")))
+                    (F.col("start_ns") + F.col("frame_index") * F.col("step_ns")).alias("t_ns"),
+                    *([F.col("_chunk").alias(BLK)] if block else [])))
 
 
 # ---------------------------------------------------------------- frame assignment
@@ -228,7 +234,8 @@ def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
     consumers never re-aggregate the raw messages.  ``keep_block`` also
     returns ``_blk`` (= frame_index // block) with the rows already
     partitioned by ``(rec, _blk)``, for frame windows that follow.
-    ``partitions`` of the frames default to ``frame_tasks(params)``.
+    ``partitions`` of the frames default to ``frame_tasks(params)``.  Frames of
+    ``frame_grid(params, partitions=partitions, block=block)`` are not shuffled.
     """
     names = list(spec.methods)
     msgs = (messages.where(F.col(stream).isin(names) & F.col(TS).isNotNull())
@@ -258,10 +265,21 @@ def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
         # arithmetic and are regenerated instead of written.
         buckets = cut_lineage(buckets)
 
+    # Block = frame index // block (a frame and its exact hits share a key,
+    # so they share a block).  The block column is kept: downstream frame
+    # windows (next state) reuse this partitioning instead of reshuffling.
+    blk = floor_div(floor_div(F.col("_key"), F.lit(2)), F.lit(block))
+    if partitions is None and params is not None:
+        partitions = frame_tasks(params)
+
     # Frames join the scan directly at key 2k + 1, ahead of their exact hits.
+    dealt = BLK in frames.columns
     grid_rows = frames.select(rec, (2 * F.col("frame_index") + 1).alias("_key"),
                               F.col("frame_index").alias("_k"), F.col("t_ns").alias("_t"),
-                              F.lit(0).alias("_kind"))
+                              F.lit(0).alias("_kind"), *([BLK] if dealt else []))
+    if dealt:
+        # only the buckets travel, to the blocks where the frames are generated
+        buckets, blk = buckets.withColumn(BLK, blk).repartition(partitions, rec, BLK), BLK
     u = buckets.unionByName(grid_rows, allowMissingColumns=True)
 
     scans = []
@@ -271,13 +289,7 @@ def align_frames(messages: DataFrame, frames: DataFrame, spec: AlignSpec,
         scans.append(Scan(f"_exact_{s}", f"_le_{s}", "lead"))
         if s in interp:
             scans.append(Scan(f"_next_{s}", f"_first_{s}", "bfill", inclusive=False))
-    # Block = frame index // block (a frame and its exact hits share a key,
-    # so they share a block).  The block column is kept: downstream frame
-    # windows (next state) reuse this partitioning instead of reshuffling.
-    blk = floor_div(floor_div(F.col("_key"), F.lit(2)), F.lit(block))
-    if partitions is None and params is not None:
-        partitions = frame_tasks(params)
-    filled = (ordered_scan(u, [rec], blk, ["_key", "_kind"], _dedupe_lead(scans), keep_block=True, partitions=partitions)
+    filled = (ordered_scan(u, [rec], blk, ["_key", "_kind"], _dedupe_lead(scans), keep_block=True, partitions=partitions, dealt=dealt)
               .where(F.col("_kind") == 0))
 
     if any(spec.methods[s] == LINEAR for s in names):

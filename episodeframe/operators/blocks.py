@@ -80,7 +80,7 @@ def tasks_for(spark: SparkSession, rows: int | None, rows_per_task: int = ROWS_P
 
 
 def ordered_scan(df: DataFrame, keys: list[str], block_col: str | Column, order,
-                 scans: list[Scan], keep_block: bool = False, partitions: int | None = None) -> DataFrame:
+                 scans: list[Scan], keep_block: bool = False, partitions: int | None = None, dealt: bool = False) -> DataFrame:
     """Run ``scans`` over rows ordered by ``order`` within ``keys``.
 
     ``block_col`` must be monotone in ``order`` (e.g. ``floor(index / B)`` or
@@ -88,7 +88,9 @@ def ordered_scan(df: DataFrame, keys: list[str], block_col: str | Column, order,
     blocks; what a block inherits joins its rows as one row ahead of them (and
     one behind them for backward fills), so one window per block does the rest
     and the rows are shuffled once.  ``partitions`` is the number of partitions
-    of that shuffle (default: the session's)."""
+    of that shuffle (default: the session's).  ``dealt`` says that ``df`` is a
+    union of parts that each lie in ``partitions`` partitions by ``keys`` and
+    ``_blk``, its block column: then only what blocks inherit is dealt."""
     if isinstance(block_col, str):
         d = df.withColumn(BLK, F.col(block_col))
     else:
@@ -142,9 +144,9 @@ def ordered_scan(df: DataFrame, keys: list[str], block_col: str | Column, order,
             got = {source[s.out]: F.col(f"_c_{s.out}") for s in scans if s.kind in kinds}
             if got:
                 any_of = reduce(lambda a, b: a | b, [c.isNotNull() for c in got.values()])
-                out = out.unionByName(blocks.where(any_of).select(*part, F.lit(pos).alias(_POS), *[c.alias(n) for n, c in got.items()]),
-                                      allowMissingColumns=True)
-    if partitions:
+                ahead = blocks.where(any_of).select(*part, F.lit(pos).alias(_POS), *[c.alias(n) for n, c in got.items()])
+                out = out.unionByName(ahead.repartition(partitions, *part) if dealt else ahead, allowMissingColumns=True)
+    if partitions and not dealt:
         out = out.repartition(partitions, *part)
     for s in scans:
         c, to = F.col(source[s.out]), 0 if s.inclusive else -1

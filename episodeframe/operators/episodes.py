@@ -2,7 +2,8 @@
 
 Steps become index ranges on the frame grid by arithmetic, and ranges are
 exploded in bounded chunks and equi-joined to frames on ``(recording,
-frame_index)``: the plan never compares every frame with every step.
+frame_index)``, or joined to frames that lie in blocks on ``(recording, block)``:
+the plan never compares every frame with every step.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from episodeframe.functions.text import nonblank
 from episodeframe.functions.timeunits import ceil_div, floor_div
-from episodeframe.operators.blocks import tasks_for
+from episodeframe.operators.blocks import BLK, tasks_for
 
 REC = "recording_id"
 CHUNK = 1 << 16
@@ -78,11 +79,26 @@ def episode_tasks(specs: DataFrame, least: int = 1) -> int:
     return max(least, tasks_for(specs.sparkSession, n))
 
 
-def cut_episodes(frames: DataFrame, specs: DataFrame, rec: str = REC, partitions: int | None = None) -> DataFrame:
+def cut_episodes(frames: DataFrame, specs: DataFrame, rec: str = REC, partitions: int | None = None,
+                 block: int | None = None) -> DataFrame:
     """Frames of every episode spec; overlapping steps repeat frames.
     Adds ``episode_frame_index`` (0.. inside the episode).  ``partitions``
     (``episode_tasks``) is the number of partitions on both sides of the join
-    (default: the session's)."""
+    (default: the session's).
+
+    ``block`` is for frames that carry ``_blk`` (= frame_index // block) and lie
+    in ``partitions`` partitions by ``(rec, _blk)`` (``align_frames`` with
+    ``keep_block``): an episode goes once to every block that it touches and is
+    compared with the frames there, so that no frame is shuffled and no episode's
+    text travels once per frame.  ``_blk`` is kept for ``next_state``."""
+    if block:
+        first, last = (floor_div(c, F.lit(block)) for c in (F.col("start_index"), F.col("end_index") - 1))
+        at = specs.where(F.col("end_index") > F.col("start_index")).withColumn(BLK, F.explode(F.sequence(first, last)))
+        at = at.repartition(*([partitions] if partitions else []), rec, BLK)
+        inside = (F.col("frame_index") >= F.col("start_index")) & (F.col("frame_index") < F.col("end_index"))
+        # the frames are on the left: the merge holds the episodes of one block at a time
+        return (frames.join(at.hint("shuffle_merge"), [rec, BLK]).where(inside)
+                .withColumn("episode_frame_index", F.col("frame_index") - F.col("start_index")))
     rows = explode_range(specs, "start_index", "end_index", "frame_index", spread=[rec], partitions=partitions)
     if partitions:
         # below the session's number the join would be dealt once more

@@ -16,12 +16,15 @@ from episodeframe.functions.timeunits import normalize_to_ns
 from episodeframe.operators import align as A
 from episodeframe.operators import episodes as EP
 from episodeframe.operators.actions import next_state
+from episodeframe.operators.blocks import BLK
 from episodeframe.plans.catalog import _MSG_CTE, EVENT_STEP_NS, EVENT_STREAMS, r6, register
 from episodeframe.session import cut_lineage
 from episodeframe.sources.tables import events_as_messages, table
 
 DAY_NS = 86_400_000_000_000
 FALLBACK_TASK = "events user task"
+# frames of one block, from the grid to the next state: an episode is compared with the frames of the blocks it touches
+STEP_BLOCK = 1 << 14
 
 
 def conversation_steps(spark, sf_dir, params):
@@ -75,16 +78,16 @@ def episode_steps(spark, sf_dir):
     so frames repeat), P13 stamps, P11 task text, W1 next state per episode."""
     msgs = events_as_messages(spark, sf_dir, EVENT_STREAMS)
     params = cut_lineage(A.grid_params(A.sampling_window(msgs), EVENT_STEP_NS))
-    n = A.frame_tasks(params)
-    frames = A.align_frames(msgs, A.frame_grid(params, partitions=n), A.AlignSpec({"click": A.ASOF}), params=params, partitions=n)
-    frames = frames.select("recording_id", "frame_index",
-                           F.coalesce(F.col("click"), F.lit(0.0)).cast("float").alias("s_click"))
     ranges = EP.step_ranges_on_grid(conversation_steps(spark, sf_dir, params), params)
     specs = cut_lineage(EP.episode_specs(ranges, params, F.lit(FALLBACK_TASK)))
-    n = EP.episode_tasks(specs, least=n)
-    eps = EP.cut_episodes(frames, specs, partitions=n)
-    eps = next_state(eps, ["recording_id", "start_index", "end_index", "step_number", "task"], "episode_frame_index", {"a_click": "s_click"},
-                     partitions=n)
+    # dealt by recording and block before the frames exist; grid, alignment, cut and next state run where they are made
+    n = EP.episode_tasks(specs, least=A.frame_tasks(params))
+    frames = A.align_frames(msgs, A.frame_grid(params, partitions=n, block=STEP_BLOCK), A.AlignSpec({"click": A.ASOF}), params=params,
+                            block=STEP_BLOCK, keep_block=True, partitions=n)
+    frames = frames.select("recording_id", "frame_index", BLK,
+                           F.coalesce(F.col("click"), F.lit(0.0)).cast("float").alias("s_click"))
+    eps = EP.cut_episodes(frames, specs, partitions=n, block=STEP_BLOCK)
+    eps = next_state(eps, ["recording_id", "start_index", "end_index", "step_number", "task"], "episode_frame_index", {"a_click": "s_click"})
     return eps.select("recording_id", "step_number", "episode_frame_index", "frame_index", "task",
                       r6(F.col("s_click")).alias("s_click"), r6(F.col("a_click")).alias("a_click"))
 
